@@ -64,7 +64,7 @@ def cdc_apply(target: DataFrame, latest: DataFrame, key: Sequence[str] = ("trans
     if upserts:
         touched_ops += [K.CDC_OP_INSERT, K.CDC_OP_AFTER_IMAGE]
     touched = latest.filter(F.col(_q(op_col)).isin(*touched_ops)).select(*[_q(k) for k in key])
-    kept = target.join(touched, list(key), "left_anti")
+    kept = target.join(touched, list(key), "left_anti").select(*[_q(c) for c in target.columns])
     if not upserts:
         return kept
     new_rows = cdc_upserts(latest, op_col).select(*[_q(c) for c in target.columns])
