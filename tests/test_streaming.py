@@ -52,3 +52,30 @@ def test_schema_evolution_restart_adds_columns(spark, tmpdir_path):
     assert s2.fieldNames()[:len(s1.fields)] == s1.fieldNames()     # persisted columns keep their place
     assert {"curtailment_mw", "battery_storage_mwh"} <= set(s2.fieldNames())
     assert s2["production_mw"].dataType == T.DoubleType()
+
+
+def test_streaming_cdc_foreach_batch(spark, tmpdir_path):
+    from voltaic.streaming.ingest import cdc_foreach_batch, latest_version
+    land, ck, target = f"{tmpdir_path}/cdc", f"{tmpdir_path}/ck", f"{tmpdir_path}/current"
+    schema = T.StructType([T.StructField("`__$operation`".strip("`"), T.IntegerType()),
+                           T.StructField("`__$seqval`".strip("`"), T.StringType()),
+                           T.StructField("transaction_id", T.StringType()), T.StructField("amount", T.DoubleType()),
+                           T.StructField("cdc_timestamp", T.StringType())])
+
+    def job():
+        s = stream_json_feed(spark, land, schema).withColumn("cdc_ts", F.to_timestamp("cdc_timestamp")).drop("cdc_timestamp")
+        state_schema = T.StructType([f for f in schema.fields if f.name != "cdc_timestamp"] +
+                                    [T.StructField("cdc_ts", T.TimestampType())])
+        q = (s.writeStream.foreachBatch(cdc_foreach_batch(target, ["transaction_id"], state_schema))
+             .option("checkpointLocation", ck).trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    rec = lambda op, tx, amt, ts: {"__$operation": op, "__$seqval": "000000000001", "transaction_id": tx,
+                                   "amount": amt, "cdc_timestamp": ts}
+    _write(land, "a.json", [rec(2, "t1", 10.0, "2025-06-15T10:00:00Z"), rec(2, "t2", 20.0, "2025-06-15T10:00:00Z")])
+    job()
+    _write(land, "b.json", [rec(4, "t1", 15.0, "2025-06-15T11:00:00Z"), rec(1, "t2", None, "2025-06-15T11:00:00Z"),
+                            rec(2, "t3", 30.0, "2025-06-15T11:00:00Z")])
+    job()
+    cur = spark.read.parquet(latest_version(spark, target))
+    assert sorted((r.transaction_id, r.amount) for r in cur.collect()) == [("t1", 15.0), ("t3", 30.0)]

@@ -3,11 +3,10 @@
 ``percentile_approx`` is a mergeable sketch: each task builds a partial sketch
 per region before the shuffle (``ObjectHashAggregate`` partial/final), so a
 region holding a third of all readings never lands in one task as raw rows.
-The threshold table has one row per region. It is joined back *without* a
-broadcast hint: adaptive execution measures the materialized aggregate and
-switches to a broadcast join only when it is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold`` (a runtime size check), and
-keeps the shuffle join (with skew-split) otherwise.
+The threshold table has one row per region. It is materialized once and
+broadcast only after its row count is checked (``bounded_broadcast``); with
+more groups than the bound it is joined with a shuffle join instead, so the
+raw readings are never shuffled just to meet a handful of threshold rows.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 
 from voltaic import schemas as K
 from voltaic.functions.scoring import meter_anomaly_flag, meter_anomaly_type
+from voltaic.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
 __all__ = ["region_thresholds", "score_meter_anomaly"]
 
@@ -31,10 +31,17 @@ def region_thresholds(readings: DataFrame, group: str = "region", value: str = "
 
 
 def score_meter_anomaly(readings: DataFrame, thresholds: DataFrame | None = None, group: str = "region",
-                        value: str = "kwh_consumed", keep_bounds: bool = False, **kw) -> DataFrame:
+                        value: str = "kwh_consumed", keep_bounds: bool = False,
+                        broadcast_max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS, **kw) -> DataFrame:
     """Add ``is_kwh_anomaly`` (strictly outside the band; NULL when unknown) and
-    ``anomaly_type``. A NULL group never matches a threshold row."""
+    ``anomaly_type``. A NULL group never matches a threshold row.
+
+    ``broadcast_max_rows=None`` skips the checked broadcast and leaves the join
+    strategy to the optimizer (no job runs while building the plan).
+    """
     thr = thresholds if thresholds is not None else region_thresholds(readings, group, value, **kw)
+    if broadcast_max_rows is not None:
+        thr = bounded_broadcast(thr, broadcast_max_rows)
     out = readings.join(thr, group, "left")
     kwh, lo, hi = F.col(value), F.col("p01_kwh"), F.col("p99_kwh")
     out = out.withColumns({"is_kwh_anomaly": meter_anomaly_flag(kwh, lo, hi),

@@ -50,20 +50,33 @@ def cdc_upserts(latest: DataFrame, op_col: str = "__$operation") -> DataFrame:
 
 
 def cdc_apply(target: DataFrame, latest: DataFrame, key: Sequence[str] = ("transaction_id",),
-              op_col: str = "__$operation", deletes: bool = True, upserts: bool = True) -> DataFrame:
+              op_col: str = "__$operation", deletes: bool = True, upserts: bool = True,
+              broadcast_max_keys: int | None = 1_000_000) -> DataFrame:
     """Apply one change per key: deletes remove the key, inserts/after-images
     replace every column (or insert). ``latest`` must hold one row per key
     (see :func:`voltaic.operators.dedup.cdc_latest`).
 
     One anti-join removes every key that is deleted or replaced; the upserts are
     then appended. A delete of an unknown key is a no-op and NULL keys never match.
+
+    With ``broadcast_max_keys`` the change set is materialized once (shared
+    checkpoint folder) and, when it touches at most that many keys, the keys
+    are broadcast: the (large) target is then filtered where it is read, with
+    no shuffle. Larger change sets use a shuffle anti-join. ``None`` leaves the
+    join strategy to the optimizer and runs no job while planning.
     """
     touched_ops = []
     if deletes:
         touched_ops.append(K.CDC_OP_DELETE)
     if upserts:
         touched_ops += [K.CDC_OP_INSERT, K.CDC_OP_AFTER_IMAGE]
+    small = False
+    if broadcast_max_keys is not None:
+        from voltaic.operators.joins import materialize_and_measure
+        latest, small = materialize_and_measure(latest, broadcast_max_keys)
     touched = latest.filter(F.col(_q(op_col)).isin(*touched_ops)).select(*[_q(k) for k in key])
+    if small:
+        touched = F.broadcast(touched)
     kept = target.join(touched, list(key), "left_anti").select(*[_q(c) for c in target.columns])
     if not upserts:
         return kept

@@ -110,7 +110,7 @@ def cdc_target_and_changes(spark, sf) -> tuple[DataFrame, DataFrame]:
     """(current-state target built from changes before the split date, latest later change per key)."""
     ch = cdc_feed(spark, sf)
     early = cdc_latest(ch.filter(F.col("cdc_ts") < F.lit(CDC_SPLIT_DATE).cast("timestamp_ntz")), CDC_KEY)
-    target = merge.cdc_apply(merge.empty_like(spark, ch.schema), early, CDC_KEY)
+    target = merge.cdc_upserts(early)          # the early changes applied to an empty table
     later = cdc_latest(ch.filter(F.col("cdc_ts") >= F.lit(CDC_SPLIT_DATE).cast("timestamp_ntz")), CDC_KEY)
     return target, later
 

@@ -70,14 +70,19 @@ def stream_dedup_events(spark: SparkSession, events_file: str, delay: str = "10
     return spark.read.schema(schema).parquet(f"{out}/data")
 
 
-def latest_version(spark: SparkSession, table_root: str) -> str | None:
-    """Newest ``v=<n>`` folder under ``table_root`` (listing through Spark's file index)."""
+def latest_version(spark: SparkSession, table_root: str, before: int | None = None) -> str | None:
+    """Newest ``v=<n>`` folder under ``table_root`` (optionally with n < ``before``).
+
+    Only partition values are read (the aggregate needs no data columns).
+    """
     try:
         df = spark.read.parquet(table_root)
     except Exception:
         return None
     if "v" not in df.columns:
         return None
+    if before is not None:
+        df = df.filter(F.col("v") < before)
     row = df.agg(F.max("v")).first()
     return None if row is None or row[0] is None else f"{table_root}/v={row[0]}"
 
@@ -90,9 +95,8 @@ def cdc_foreach_batch(target_root: str, key: Sequence[str], schema: T.StructType
     """
     def apply(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        prev = latest_version(spark, target_root)
-        current = (spark.read.parquet(prev).drop("v") if prev and not prev.endswith(f"v={epoch}")
-                   else spark.createDataFrame([], schema))
+        prev = latest_version(spark, target_root, before=epoch)   # a retried epoch ignores its own output
+        current = spark.read.schema(schema).parquet(prev) if prev else spark.createDataFrame([], schema)
         new_state = cdc_apply(current, cdc_latest(batch, key), key)
         new_state.write.mode("overwrite").parquet(f"{target_root}/v={epoch}")
     return apply
