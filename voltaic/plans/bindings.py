@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from voltaic.functions.columns import (backfill_columns, exact_sum, to_ntz, ts_from_filename,
                                        with_event_time, with_hour_bucket, first_existing, resolve_column)
-from voltaic.functions.scoring import band_anomaly, billing_mismatch, cdc_op_name, with_risk_score
+from voltaic.functions.columns import canonicalize
+from voltaic.functions.scoring import band_anomaly, billing_mismatch, cdc_op_name, is_overheating, with_risk_score
 from voltaic.operators import marts, merge, quality
 from voltaic.operators.anomaly import region_thresholds, score_meter_anomaly
 from voltaic.operators.dedup import cdc_latest, dedup_latest
@@ -330,6 +331,35 @@ def q_band_anomaly(spark, sf):
     return m.select("event_id", "kwh_consumed", band_anomaly(F.col("kwh_consumed")).alias("band_anomaly"))
 
 
+def q_overheat_signal(spark, sf):
+    t = scored_telemetry(spark, sf)
+    return t.filter(is_overheating(F.col("oil_temp_delta_c"))).select("telemetry_id", "transformer_id",
+                                                                       "oil_temp_delta_c")
+
+
+def q_canonicalize(spark, sf):
+    """Feed names (``reading_kwh``, ``load_percentage``) mapped to the curated names."""
+    ev = _t(spark, sf, "events").select("event_id", F.col("value").alias("reading_kwh"),
+                                        (F.col("value") / 5).alias("load_percentage"))
+    return canonicalize(ev)
+
+
+def q_key_validity(spark, sf):
+    """Rows kept for dedup vs quarantined for a NULL/blank key, per feed."""
+    from voltaic.operators.dedup import split_key_validity
+    parts = []
+    for name, df, key in [("smart_meter", meter_feed(spark, sf), "event_id"),
+                          ("telemetry", telemetry_feed(spark, sf), "telemetry_id"),
+                          ("telemetry_alarm", telemetry_feed(spark, sf), "alarm_code")]:
+        ok, bad = split_key_validity(df, [key])
+        parts.append(ok.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("feed"), F.lit("valid").alias("route"), "n"))
+        parts.append(bad.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("feed"), F.lit("quarantine").alias("route"), "n"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def q_billing_mismatch(spark, sf):
     li = _t(spark, sf, "lineitem")
     charge = (li.groupBy(F.col("l_orderkey").alias("transaction_id"))

@@ -495,6 +495,19 @@ ORACLES: dict[str, str] = {
            "SELECT 'GOLD', 'customer_hourly_usage', COUNT(*) FROM hourly",
            "SELECT 'GOLD', 'billing_kpis_daily', COUNT(*) FROM bill_daily"]),
     "q_stream_dedup": "SELECT DISTINCT * FROM events",
+    "q_overheat_signal": f"""WITH {TELEMETRY} SELECT telemetry_id, transformer_id, oil_temp_delta_c FROM scored_tel
+        WHERE oil_temp_delta_c BETWEEN 60.0 AND 90.0""",
+    "q_canonicalize": "SELECT event_id, value AS kwh_consumed, value / 5 AS load_pct FROM events",
+    "q_key_validity": "\nUNION ALL\n".join(
+        f"SELECT '{feed}' AS feed, '{route}' AS route, COUNT(*) AS n FROM {src} WHERE "
+        + ("NOT " if route == "valid" else "") + f"({key} IS NULL OR trim(CAST({key} AS VARCHAR)) = '')"
+        for feed, src, key in [("smart_meter", "events", "event_id"),
+                               ("telemetry", "(SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) "
+                                             "AS telemetry_id FROM lineitem)", "telemetry_id"),
+                               ("telemetry_alarm", "(SELECT CASE WHEN l_returnflag = 'R' THEN 'OVERLOAD' "
+                                                   "WHEN l_returnflag = 'A' THEN '' END AS alarm_code FROM lineitem)",
+                                "alarm_code")]
+        for route in ("valid", "quarantine")),
 }
 
 
