@@ -87,3 +87,10 @@ def test_coverage_and_integrity(spark):
     assert (c.keys_in_facts, c.keys_found_in_dim) == (3, 1)
     ri = quality.referential_integrity([("f->d", facts, ["k"], dim, ["k"])]).first()
     assert (ri.child_rows, ri.null_fk_rows, ri.orphan_rows, ri.orphan_keys) == (4, 1, 2, 1)
+
+
+def test_billing_daily_extended_counts(spark):
+    b = spark.createDataFrame([("t1", dt.date(2025, 7, 1), 1.0, "OVERDUE"), ("t2", dt.date(2025, 7, 1), 2.0, None)],
+                              "transaction_id string, due_date date, total_amount double, payment_status string")
+    d = marts.billing_daily(b, extended=True).first()
+    assert (d.overdue_count, d.unknown_status_count, d.amount_outstanding) == (1, 1, 1.0)

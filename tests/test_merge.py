@@ -132,3 +132,11 @@ def test_snapshot_diff(spark):
     new = spark.createDataFrame([(1, "a"), (3, "c"), (4, "d")], "k int, v string")
     got = rows(merge.snapshot_diff(old, new, ["k"]), "k", "v", "_change_type")
     assert got == [(2, "b", "delete"), (3, "c", "update_postimage"), (3, None, "update_preimage"), (4, "d", "insert")]
+
+
+def test_fallback_key(spark):
+    from voltaic.operators.dedup import with_fallback_key
+    df = spark.createDataFrame([("e1", "m1", "t1"), (None, "m1", "t1"), (" ", "m2", None), (None, None, None)],
+                               "event_id string, meter_id string, event_ts string")
+    got = [r._dedup_key for r in with_fallback_key(df, "event_id", ["meter_id", "event_ts"]).collect()]
+    assert got == ["e1", "m1|t1", "m2|", None]

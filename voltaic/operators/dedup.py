@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from voltaic import schemas as K
 from voltaic.functions.columns import is_blank
 
-__all__ = ["row_hash", "dedup_latest", "split_key_validity", "cdc_order", "cdc_latest"]
+__all__ = ["row_hash", "dedup_latest", "split_key_validity", "with_fallback_key", "cdc_order", "cdc_latest"]
 
 _RN = "__rn"
 
@@ -52,6 +52,17 @@ def split_key_validity(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, D
     return df.filter(~bad), df.filter(bad)
 
 
+def with_fallback_key(df: DataFrame, primary: str, fallback: Sequence[str], out: str = "_dedup_key") -> DataFrame:
+    """Dedup key = the primary id, or (when it is NULL/blank) the fallback columns joined
+    (e.g. ``meter_id || event_ts``); NULL only when every part is missing."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in fallback]
+    any_part = None
+    for c in fallback:
+        any_part = F.col(c).isNotNull() if any_part is None else (any_part | F.col(c).isNotNull())
+    alt = F.when(any_part, F.concat_ws("|", *parts))
+    return df.withColumn(out, F.when(~is_blank(primary), F.col(primary).cast("string")).otherwise(alt))
+
+
 def cdc_order(df: DataFrame, ts_col: str = "cdc_ts", seq_col: str = "__$seqval",
               ingest_col: str = "_ingestion_ts") -> list[Column]:
     """Latest-change ordering: event time, sequence, ingestion time, then LSN,
