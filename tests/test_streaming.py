@@ -79,3 +79,26 @@ def test_streaming_cdc_foreach_batch(spark, tmpdir_path):
     job()
     cur = spark.read.parquet(latest_version(spark, target))
     assert sorted((r.transaction_id, r.amount) for r in cur.collect()) == [("t1", 15.0), ("t3", 30.0)]
+
+
+def test_parse_envelope_binary_payload_keeps_broker_metadata(spark):
+    import datetime as dt
+    from voltaic.schemas import SMART_METER_SCHEMA
+    from voltaic.sources.ingest import parse_envelope
+    msg = json.dumps({"event_id": "e1", "meter_id": "SM-N-00001", "timestamp": "2025-06-15T10:00:48.337Z",
+                      "reading_kwh": 2.5, "region": "NORTH"}).encode()
+    df = spark.createDataFrame([(bytearray(msg), dt.datetime(2025, 6, 15, 10, 0, 49))], "value binary, timestamp timestamp")
+    out = parse_envelope(df, SMART_METER_SCHEMA, "value", keep=[F.col("timestamp").alias("kafka_ts")])
+    r = out.first()
+    assert (r.event_id, r.reading_kwh, r.region, r.kafka_ts) == ("e1", 2.5, "NORTH", dt.datetime(2025, 6, 15, 10, 0, 49))
+    assert out.columns[-1] == "kafka_ts" and "meter_status" in out.columns
+
+
+def test_dedup_within_watermark_on_id_only(spark, tmpdir_path):
+    land, out, ck = f"{tmpdir_path}/land", f"{tmpdir_path}/out", f"{tmpdir_path}/ck"
+    _write(land, "a.json", [{"event_id": "t1", "timestamp": "2025-06-15T10:00:00Z", "v": 1.0},
+                            {"event_id": "t1", "timestamp": "2025-06-15T10:00:05Z", "v": 1.0},   # same id, new time
+                            {"event_id": "t2", "timestamp": "2025-06-15T10:01:00Z", "v": 2.0}])
+    s = stream_json_feed(spark, land, SCHEMA).withColumn("ts", F.to_timestamp("timestamp"))
+    run_available_now(watermark_dedup(s, ["event_id"], "ts", "5 minutes", within_watermark=True), out, ck)
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["t1", "t2"]
