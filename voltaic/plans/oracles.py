@@ -495,6 +495,25 @@ ORACLES: dict[str, str] = {
            "SELECT 'GOLD', 'customer_hourly_usage', COUNT(*) FROM hourly",
            "SELECT 'GOLD', 'billing_kpis_daily', COUNT(*) FROM bill_daily"]),
     "q_stream_dedup": "SELECT DISTINCT * FROM events",
+    "q_meter_silver": f"""WITH m AS (
+          SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS meter_id, event_type AS region,
+                 TRY_CAST(CAST(ts AS VARCHAR) AS TIMESTAMP) AS event_ts, value AS kwh_consumed FROM events),
+        t AS ({thresholds('m', 'x').split('AS (', 1)[1].rsplit(')', 1)[0]})
+        SELECT m.event_id, m.meter_id, m.region, m.event_ts, CAST(m.event_ts AS DATE) AS event_date, m.kwh_consumed,
+               (m.kwh_consumed < t.p01_kwh) OR (m.kwh_consumed > t.p99_kwh) AS is_kwh_anomaly,
+               CASE WHEN m.kwh_consumed < t.p01_kwh THEN 'LOW_CONSUMPTION'
+                    WHEN m.kwh_consumed > t.p99_kwh THEN 'HIGH_CONSUMPTION' END AS anomaly_type
+        FROM m LEFT JOIN t ON m.region = t.region""",
+    "q_maintenance_silver": """SELECT o_orderkey AS log_id, o_custkey AS transformer_id,
+        CAST(o_orderdate AS DATE) AS reported_date, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS maintenance_ts
+        FROM orders""",
+    "q_renewable_silver": """SELECT event_id AS reading_id, user_id AS plant_id, value AS production_mw,
+        date_trunc('hour', ts) AS event_ts, CAST(date_trunc('hour', ts) AS DATE) AS event_date,
+        CAST(NULL AS DOUBLE) AS curtailment_mw, CAST(NULL AS DOUBLE) AS battery_storage_mwh FROM events""",
+    "q_billing_silver": """SELECT o_orderkey AS transaction_id,
+        strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') AS cdc_timestamp,
+        CAST(o_orderdate AS DATE) AS billing_period_start, CAST(o_orderdate AS DATE) + 29 AS billing_period_end,
+        CAST(o_orderdate AS DATE) + 30 AS due_date, o_orderdate AS cdc_ts FROM orders""",
     "q_overheat_signal": f"""WITH {TELEMETRY} SELECT telemetry_id, transformer_id, oil_temp_delta_c FROM scored_tel
         WHERE oil_temp_delta_c BETWEEN 60.0 AND 90.0""",
     "q_canonicalize": "SELECT event_id, value AS kwh_consumed, value / 5 AS load_pct FROM events",
