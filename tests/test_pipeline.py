@@ -96,7 +96,11 @@ def test_full_then_incremental_run(spark, tmpdir_path):
     ren = spark.read.parquet(r1.tables["gold.renewable_kpis_hourly"])
     assert sorted(r.curtailment_mw_sum for r in ren.collect()) == [0.0, 1.0]
 
-    r2 = run_pipeline(spark, src, target, "INCR", batch_id="b2")
+    r2 = run_pipeline(spark, src, target, "INCR", batch_id="b2", catalog_prefix="grid")
+    assert spark.catalog.tableExists("grid_gold.ops_daily_dashboard")
+    assert spark.table("grid_silver.dim_transformer_current").count() == 2
+    assert spark.sql("SELECT count(*) FROM grid_audit.dq_violations WHERE batch_id = 'b2'").first()[0] > 0
+    assert spark.table("grid_audit.table_metrics").schema["metric_value"].dataType.typeName() == "string"
     assert spark.read.parquet(r2.tables["silver.smart_meter_readings"]).count() == 31
     assert spark.read.parquet(r2.tables["bronze.billing_cdc_events"]).count() == 6     # file ledger: no re-append
     trf2 = spark.read.parquet(r2.tables["silver.dim_transformer"])

@@ -23,7 +23,8 @@ from voltaic.functions.scoring import with_risk_score
 from voltaic.operators import marts, merge, quality
 from voltaic.operators.anomaly import score_meter_anomaly
 from voltaic.operators.dedup import cdc_latest, dedup_latest, split_key_validity
-from voltaic.plans.tables import Layout, read_current, write_partitioned, write_table, write_version
+from voltaic.plans.tables import (AUDIT_DDL, Layout, ensure_database, read_current, register_current_view,
+                                  register_table, write_partitioned, write_table, write_version)
 from voltaic.sources.ingest import (add_ingestion_cols, evolve_schema, load_schema, new_files_only,
                                     read_csv_feed, read_json_feed, read_parquet_feed, save_schema, stream_json_feed)
 from voltaic.streaming.ingest import run_available_now
@@ -298,9 +299,28 @@ def run_audit(spark: SparkSession, lay: Layout, batch_id: str, silver: dict[str,
     write_table(metrics.coalesce(1), lay.path("audit", "table_metrics"), "append")
 
 
+def register_catalog(spark: SparkSession, target_root: str, prefix: str, res: RunResult) -> dict[str, str]:
+    """Register every written table as ``<prefix>_<layer>.<table>`` (external parquet tables),
+    the audit tables with their typed columns, and ``*_current`` views of the dimensions."""
+    lay = Layout(target_root)
+    names = {}
+    for name, path in res.tables.items():
+        layer, table = name.split(".", 1)
+        db = f"{prefix}_{layer}"
+        ensure_database(spark, db, f"{lay.root.rstrip('/')}/_catalog")
+        names[name] = register_table(spark, db, table, path, AUDIT_DDL.get(table) if layer == "audit" else None)
+        if layer == "silver" and table.startswith("dim_"):
+            names[f"{name}_current"] = register_current_view(spark, db, table)
+    return names
+
+
 def run_pipeline(spark: SparkSession, sources: Sources, target_root: str, run_mode: str = "FULL",
-                 batch_id: str | None = None) -> RunResult:
-    """Run all layers once with a single batch id; returns written paths and metrics."""
+                 batch_id: str | None = None, catalog_prefix: str | None = None) -> RunResult:
+    """Run all layers once with a single batch id; returns written paths and metrics.
+
+    With ``catalog_prefix`` the written tables are also registered in the session
+    catalog (``<prefix>_bronze`` ... ``<prefix>_audit`` databases).
+    """
     if run_mode not in ("FULL", "INCR"):
         raise ValueError("run_mode must be FULL or INCR")
     batch_id = batch_id or uuid.uuid4().hex
@@ -310,6 +330,9 @@ def run_pipeline(spark: SparkSession, sources: Sources, target_root: str, run_mo
     silver = run_silver(spark, lay, batch_id, res)
     gold = run_gold(spark, lay, silver, run_mode == "INCR", res)
     run_audit(spark, lay, batch_id, silver, gold, res)
+    res.tables["audit.table_metrics"] = lay.path("audit", "table_metrics")
+    if catalog_prefix:
+        register_catalog(spark, target_root, catalog_prefix, res)
     return res
 
 

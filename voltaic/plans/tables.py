@@ -77,3 +77,43 @@ def write_version(spark: SparkSession, df: DataFrame, table_path: str, version:
     df.write.mode("overwrite").parquet(target)
     spark.createDataFrame([(target,)], "path string").coalesce(1).write.mode("overwrite").text(f"{table_path}/_current")
     return target
+
+
+# ---------------------------------------------------------------------------
+# Catalog registration (external tables over the written folders)
+# ---------------------------------------------------------------------------
+AUDIT_DDL = {
+    "table_metrics": "batch_id STRING, layer STRING, table_fqn STRING, metric_name STRING, metric_value STRING",
+    "dq_violations": ("batch_id STRING, layer STRING, dataset STRING, rule_name STRING, severity STRING, "
+                      "violation_count BIGINT, sample_keys STRING, created_ts TIMESTAMP"),
+}
+
+
+def ensure_database(spark: SparkSession, db: str, location_root: str) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{location_root.rstrip('/')}/{db}.db'")
+
+
+def register_table(spark: SparkSession, db: str, table: str, path: str, ddl: str | None = None) -> str:
+    """(Re)point ``db.table`` at ``path`` as an external parquet table and refresh its file listing.
+
+    Dropping an external table never deletes data, so re-registration after a
+    new version is written is safe.
+    """
+    fqn = f"`{db}`.`{table}`"
+    current = None
+    if spark.catalog.tableExists(f"{db}.{table}"):
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {fqn}").filter("col_name = 'Location'").collect()
+        current = rows[0]["data_type"] if rows else None
+    if current is not None and current.rstrip("/").endswith(path.rstrip("/").split(":", 1)[-1]):
+        spark.sql(f"REFRESH TABLE {fqn}")
+        return f"{db}.{table}"
+    spark.sql(f"DROP TABLE IF EXISTS {fqn}")
+    cols = f"({ddl}) " if ddl else ""
+    spark.sql(f"CREATE TABLE {fqn} {cols}USING parquet LOCATION '{path}'")
+    return f"{db}.{table}"
+
+
+def register_current_view(spark: SparkSession, db: str, table: str) -> str:
+    """``<table>_current``: the current rows of an SCD2 dimension."""
+    spark.sql(f"CREATE OR REPLACE VIEW `{db}`.`{table}_current` AS SELECT * FROM `{db}`.`{table}` WHERE is_current = true")
+    return f"{db}.{table}_current"
