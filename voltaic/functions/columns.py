@@ -131,15 +131,21 @@ def null_safe_changed(cols: Sequence[str], left: str, right: str) -> Column:
 
 
 def exact_sum(col: Column | str, scale: int = 6) -> Column:
-    """Sum of a double measure computed exactly in decimal, returned as double.
+    """Sum of a double measure computed exactly, returned as double.
 
     Float addition is order dependent, so a plain ``sum`` can differ in the last
-    bits between runs with different partitionings. Summing ``decimal(18, scale)``
-    is associative: the same input always gives the same double, however the
-    cluster splits the work. Inputs are rounded to ``scale`` decimals.
+    bits between runs with different partitionings. Here every value is split
+    into its integer part and its fraction rounded (half up) to ``scale``
+    decimals; both are summed as ``bigint`` (fast, associative, codegen'd hash
+    aggregation) and combined once per group in decimal. The result is the same
+    double however the cluster splits the work.
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast(T.DecimalType(18, scale))).cast("double")
+    x = c.cast("double")
+    whole = F.floor(x)
+    frac_units = F.floor((x - whole) * F.lit(float(10 ** scale)) + F.lit(0.5))
+    units = (F.sum(whole).cast(T.DecimalType(38, 0)) * F.lit(10 ** scale) + F.sum(frac_units))
+    return units.cast("double") / F.lit(float(10 ** scale))
 
 
 def exact_avg(col: Column | str, scale: int = 6) -> Column:

@@ -10,8 +10,12 @@ from __future__ import annotations
 
 
 def ES(x: str) -> str:
-    """Exact sum of a double measure (decimal(18,6)), as double."""
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,6))) AS DOUBLE)"
+    """Exact sum of a double measure at 6 decimals (integer part and rounded fraction summed
+    separately as integers), as double."""
+    v = f"CAST({x} AS DOUBLE)"
+    return (f"(CAST(CAST(SUM(CAST(FLOOR({v}) AS BIGINT)) AS HUGEINT) * 1000000"
+            f" + SUM(CAST(FLOOR(({v} - FLOOR({v})) * 1000000.0::DOUBLE + 0.5::DOUBLE) AS BIGINT)) AS DOUBLE)"
+            f" / 1000000.0::DOUBLE)")
 
 
 def EA(x: str) -> str:
