@@ -102,3 +102,18 @@ def test_dedup_within_watermark_on_id_only(spark, tmpdir_path):
     s = stream_json_feed(spark, land, SCHEMA).withColumn("ts", F.to_timestamp("timestamp"))
     run_available_now(watermark_dedup(s, ["event_id"], "ts", "5 minutes", within_watermark=True), out, ck)
     assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["t1", "t2"]
+
+
+def test_subscribe_stream_parses_payloads_with_throttling(spark, tmpdir_path):
+    from voltaic.sources.ingest import subscribe_stream
+    land, out, ck = f"{tmpdir_path}/bus", f"{tmpdir_path}/out", f"{tmpdir_path}/ck"
+    _write(land, "p1.json", [{"event_id": "e1", "timestamp": "2025-06-15T10:00:00Z", "v": 1.5}])
+    _write(land, "p2.json", [{"event_id": "e2", "timestamp": "2025-06-15T10:00:01Z", "v": 2.5}])
+    # a text stream stands in for the bus: one payload per line in column `value`, one file per trigger
+    s = subscribe_stream(spark, "text", {"path": land, "maxFilesPerTrigger": "1"}, SCHEMA, "value",
+                         keep=[F.current_timestamp().alias("received_ts")])
+    q = s.writeStream.format("parquet").option("checkpointLocation", ck).trigger(availableNow=True).start(out)
+    q.awaitTermination()
+    assert q.recentProgress and max(p["numInputRows"] for p in q.recentProgress) == 1   # throttled: 1 file per batch
+    got = sorted((r.event_id, r.v) for r in spark.read.parquet(out).collect())
+    assert got == [("e1", 1.5), ("e2", 2.5)]

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-__all__ = ["add_ingestion_cols", "source_file_name", "parse_envelope", "read_json_feed", "read_csv_feed",
+__all__ = ["add_ingestion_cols", "source_file_name", "parse_envelope", "subscribe_stream", "read_json_feed",
+           "read_csv_feed",
            "read_parquet_feed", "stream_json_feed", "stream_csv_feed", "merge_schema_hints",
            "evolve_schema", "save_schema", "load_schema", "new_files_only"]
 
@@ -62,6 +63,19 @@ def parse_envelope(df: DataFrame, schema: T.StructType | str, value_col: str = "
     return parsed.select("__d.*", *[c for c in parsed.columns if c != "__d"])
 
 
+def subscribe_stream(spark: SparkSession, fmt: str, options: dict[str, str], schema: T.StructType | str,
+                     value_col: str = "value", keep: Sequence[str | Column] = ()) -> DataFrame:
+    """Message-bus stream parsed into typed columns.
+
+    ``fmt``/``options`` are handed to the source unchanged, so start position
+    (``startingOffsets``), throttling (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``)
+    and subscription settings are the connector's own. The connector itself is
+    supplied by the deployment (e.g. ``kafka`` with its package on the classpath).
+    """
+    raw = spark.readStream.format(fmt).options(**options).load()
+    return parse_envelope(raw, schema, value_col, keep)
+
+
 def read_json_feed(spark: SparkSession, path: str, schema: T.StructType | None = None,
                    glob: str | None = None) -> DataFrame:
     """Batch JSON lines; malformed lines go to ``_corrupt_record`` when the schema has it."""
