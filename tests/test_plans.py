@@ -79,3 +79,14 @@ def test_no_python_in_the_hot_path_and_no_cross_products(spark, name):
     for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "CartesianProduct",
                 "BroadcastNestedLoopJoin"):
         assert bad not in p, (name, bad)
+
+
+def test_scd2_small_delta_leaves_untouched_dimension_unshuffled(spark):
+    from voltaic.operators import merge
+    dim = merge.scd2_baseline(spark.read.parquet(f"{SF_SMALL}/customer.parquet"))
+    delta = dim.filter(F.col("c_mktsegment") == "BUILDING").withColumn("c_acctbal", F.col("c_acctbal") + 1) \
+        .drop("scd_version").limit(5)
+    p = plan(merge.scd2_apply(dim, delta, ["c_custkey"]))
+    assert "LeftAnti" in p and "LeftSemi" in p and "BroadcastHashJoin" in p
+    anti = p.split("LeftAnti")[1].split("BroadcastExchange")[0]
+    assert "Exchange hashpartitioning" not in anti

@@ -113,7 +113,7 @@ def scd2_next_version(delta: DataFrame, dim: DataFrame, key: Sequence[str]) -> D
 
 def scd2_changes(dim: DataFrame, delta: DataFrame, key: Sequence[str],
                  compare_cols: Sequence[str] | None = None, end_offset_days: int = 1,
-                 insert_new_versions: bool = True) -> DataFrame:
+                 insert_new_versions: bool = True, broadcast_max_keys: int | None = 1_000_000) -> DataFrame:
     """Current rows and delta rows after the merge, tagged by ``_scd_action``:
 
     ``keep`` (untouched current row), ``expire`` (changed: closed with
@@ -126,7 +126,19 @@ def scd2_changes(dim: DataFrame, delta: DataFrame, key: Sequence[str],
     types = {f.name: f.dataType for f in dim.schema.fields}
     if compare_cols is None:
         compare_cols = [c for c in change_columns(delta, keys=key) if c in dim_cols]
-    cur = dim_current(dim).alias("t")
+    cur = dim_current(dim)
+    untouched = None
+    if broadcast_max_keys is not None:
+        # Small delta: only the current rows it touches take part in the (shuffled) full
+        # outer join; all other current rows pass through a broadcast anti-join unshuffled.
+        from voltaic.operators.joins import materialize_and_measure
+        delta, small = materialize_and_measure(delta, broadcast_max_keys)
+        if small:
+            keys = F.broadcast(delta.select(*[_q(k) for k in key]))
+            untouched = cur.join(keys, list(key), "left_anti").select(
+                *[_q(c) for c in dim_cols], F.lit("keep").alias("_scd_action"))
+            cur = cur.join(keys, list(key), "left_semi")
+    cur = cur.alias("t")
     src = delta.withColumn("__present", F.lit(True)).alias("s")
     j = cur.join(src, _key_cond(key, "t", "s"), "full_outer")
 
@@ -173,18 +185,23 @@ def scd2_changes(dim: DataFrame, delta: DataFrame, key: Sequence[str],
     old_row = F.when(t_here, F.struct(*old_fields, action_old.alias("_scd_action")))
     new_row = F.when(emit_new, F.struct(*new_fields, action_new.alias("_scd_action")))
     rows = F.filter(F.array(old_row, new_row), lambda r: r.isNotNull())
-    return j.select(F.inline(rows))
+    out = j.select(F.inline(rows))
+    return out if untouched is None else untouched.unionByName(out)
 
 
 def scd2_apply(dim: DataFrame, delta: DataFrame, key: Sequence[str],
                compare_cols: Sequence[str] | None = None, end_offset_days: int = 1,
-               insert_new_versions: bool = True) -> DataFrame:
+               insert_new_versions: bool = True, broadcast_max_keys: int | None = 1_000_000) -> DataFrame:
     """New dimension after an SCD2 merge: untouched history plus :func:`scd2_changes`.
 
     Re-applying the same delta is a no-op (the new current rows equal the delta).
+    With ``broadcast_max_keys`` (default) a delta whose key count is checked to be
+    within the bound is broadcast, so the untouched part of the dimension is
+    never shuffled; a larger delta uses one full outer join of the current rows.
     """
     history = dim.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
-    merged = scd2_changes(dim, delta, key, compare_cols, end_offset_days, insert_new_versions).drop("_scd_action")
+    merged = scd2_changes(dim, delta, key, compare_cols, end_offset_days, insert_new_versions,
+                          broadcast_max_keys).drop("_scd_action")
     return history.unionByName(merged)
 
 

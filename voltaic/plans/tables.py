@@ -35,9 +35,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
                 repartition_by_partitions: bool = True) -> str:
     """Write parquet; for partitioned output, cluster rows by partition value first
     (one shuffle) so each date is written by few tasks instead of every task
-    writing a small file per date."""
+    writing a small file per date. The ``rebalance`` hint lets adaptive execution
+    split a hot date over several writers and merge small dates, so one date
+    holding a third of the rows does not end up in a single task."""
     if partition_by and repartition_by_partitions:
-        df = df.repartition(*[F.col(c) for c in partition_by])
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
