@@ -99,3 +99,14 @@ def test_cdc_op_name_and_bands(spark):
     df = spark.createDataFrame([(1, 0.01), (2, 60.0), (3, 5.0), (4, None)], "op int, kwh double")
     got = df.select(S.cdc_op_name("op").alias("n"), S.band_anomaly(F.col("kwh")).alias("b")).collect()
     assert [(r.n, r.b) for r in got] == [("DELETE", "SUSPECTED_THEFT"), ("INSERT", "SPIKE"), (None, None), ("UPDATE", None)]
+
+
+def test_size_for_input(spark):
+    from voltaic.session import size_for_input
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_for_input(spark, 100 * 1024 ** 4) == 409600          # 100 TiB / 256 MiB
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(256 * 1024 ** 2)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")

@@ -150,7 +150,11 @@ def _dim_dates(df: DataFrame) -> DataFrame:
     return df.withColumns(fix) if fix else df
 
 
-def run_silver(spark: SparkSession, lay: Layout, batch_id: str, res: RunResult) -> dict[str, DataFrame]:
+def run_silver(spark: SparkSession, lay: Layout, batch_id: str, res: RunResult,
+               incremental: bool = False) -> dict[str, DataFrame]:
+    """Silver tables. Merge targets (transformer SCD2, billing current state) continue
+    from their current version in INCR mode; FULL rebuilds them from the snapshot and
+    the whole bronze change history into a fresh version."""
     out: dict[str, DataFrame] = {}
     b = lambda n: _try_read(spark, lay.path("bronze", n))
 
@@ -178,7 +182,7 @@ def run_silver(spark: SparkSession, lay: Layout, batch_id: str, res: RunResult)
     snap, delta = b("transformer_master_snapshot"), b("transformer_master_delta")
     if snap is not None:
         path = lay.path("silver", "dim_transformer")
-        dim = read_current(spark, path)
+        dim = read_current(spark, path) if incremental else None
         if dim is None:
             dim = _dim_dates(merge.scd2_baseline(snap))
         if delta is not None:
@@ -192,7 +196,7 @@ def run_silver(spark: SparkSession, lay: Layout, batch_id: str, res: RunResult)
         path = lay.path("silver", "billing_transactions_current")
         changes = silver_billing(bill)
         latest = cdc_latest(changes, ["transaction_id"])
-        target = read_current(spark, path)
+        target = read_current(spark, path) if incremental else None
         if target is None:
             target = merge.empty_like(spark, changes.schema)
         new_state = merge.cdc_apply(target, latest.select(*target.columns), ["transaction_id"])
@@ -327,7 +331,7 @@ def run_pipeline(spark: SparkSession, sources: Sources, target_root: str, run_mo
     lay = Layout(target_root)
     res = RunResult(batch_id)
     ingest_bronze(spark, sources, lay, batch_id, run_mode, res)
-    silver = run_silver(spark, lay, batch_id, res)
+    silver = run_silver(spark, lay, batch_id, res, incremental=run_mode == "INCR")
     gold = run_gold(spark, lay, silver, run_mode == "INCR", res)
     run_audit(spark, lay, batch_id, silver, gold, res)
     res.tables["audit.table_metrics"] = lay.path("audit", "table_metrics")

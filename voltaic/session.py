@@ -40,6 +40,22 @@ def build_session(master: str | None = None, app_name: str = "voltaic",
     return spark
 
 
+def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2,
+                   max_split_bytes: int = 256 * 1024 ** 2) -> int:
+    """Size shuffles for an input volume so each reducer handles ~``target_partition_bytes``.
+
+    Sets the initial shuffle partition count (adaptive execution coalesces small
+    ones at runtime and uses the same size as its advisory target) and the
+    maximum scan split size. Returns the partition count.
+    """
+    n = max(1, -(-int(input_bytes) // int(target_partition_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(int(target_partition_bytes)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(int(max_split_bytes)))
+    return n
+
+
 def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     """A folder under the cluster's shared checkpoint directory.
 
@@ -79,4 +95,4 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "shared_dir", "cut_lineage", "local_path", "SESSION_DEFAULTS"]
+__all__ = ["build_session", "size_for_input", "shared_dir", "cut_lineage", "local_path", "SESSION_DEFAULTS"]
