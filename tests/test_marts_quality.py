@@ -94,3 +94,9 @@ def test_billing_daily_extended_counts(spark):
                               "transaction_id string, due_date date, total_amount double, payment_status string")
     d = marts.billing_daily(b, extended=True).first()
     assert (d.overdue_count, d.unknown_status_count, d.amount_outstanding) == (1, 1, 1.0)
+
+
+def test_sample_keys_use_csv_quoting(spark):
+    df = spark.createDataFrame([('a,b', 1), ('say "hi"', 2), (None, 3)], "k string, v int")
+    r = quality.evaluate_rules(df, [quality.Rule("R", "WARNING", F.lit(True), ("k", "v"))], "d").first()
+    assert r.sample_keys == 'k,v | ,3 | "a,b",1 | "say ""hi""",2'

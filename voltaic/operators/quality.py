@@ -37,11 +37,19 @@ class Rule:
     key_cols: Sequence[str] = field(default_factory=tuple)
 
 
+def _csv_field(c: Column) -> Column:
+    """One CSV field with minimal quoting: NULL -> empty; quoted when it holds a comma,
+    a double quote or a line break (inner quotes doubled)."""
+    v = F.coalesce(c.cast("string"), F.lit(""))
+    quoted = F.concat(F.lit('"'), F.regexp_replace(v, '"', '""'), F.lit('"'))
+    return F.when(v.rlike('[,"\n\r]'), quoted).otherwise(v)
+
+
 def _key_string(df: DataFrame, cols: Sequence[str]) -> Column:
     present = [c for c in cols if c in df.columns]
     if not present:
         return F.lit("")
-    return F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in present])
+    return F.concat_ws(",", *[_csv_field(F.col(c)) for c in present])
 
 
 def rule_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

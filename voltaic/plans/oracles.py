@@ -292,7 +292,11 @@ ops AS (
 
 
 def key_line(cols: list[str]) -> str:
-    return "concat_ws(',', " + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in cols) + ")"
+    def field(c: str) -> str:
+        v = f"COALESCE(CAST({c} AS VARCHAR), '')"
+        return (f"CASE WHEN regexp_matches({v}, '[,\"' || chr(10) || chr(13) || ']') "
+                f"THEN '\"' || replace({v}, '\"', '\"\"') || '\"' ELSE {v} END")
+    return "concat_ws(',', " + ", ".join(field(c) for c in cols) + ")"
 
 
 def rule_rows(src: str, dataset: str, rules: list[tuple[str, str, str, list[str]]], layer: str = "SILVER",
