@@ -30,7 +30,7 @@ def test_latest_per_key_limits_before_the_shuffle(spark):
 def test_thresholds_are_broadcast_after_a_size_check(spark):
     from voltaic.plans import bindings
     p = plan(bindings.q_meter_anomaly(spark, SF_SMALL))
-    assert "BroadcastHashJoin" in p and "ExistingRDD" in p      # checkpointed, counted, then broadcast
+    assert "BroadcastHashJoin" in p and "voltaic/materialized" in p   # written once, counted, then broadcast
     # the readings side is not shuffled for the join
     join_side = p.split("BroadcastHashJoin")[1].split("BroadcastExchange")[0]
     assert "Exchange hashpartitioning(region" not in join_side

@@ -1,10 +1,11 @@
 """Size-checked broadcast for joins of a large fact with a small derived table.
 
 A broadcast is only safe for data whose size is known. ``bounded_broadcast``
-materializes the small side once in the cluster's shared checkpoint folder
-(a reliable checkpoint: it survives executor loss and is not recomputed),
-counts it from there, and marks it for broadcast only when it has at most
-``max_rows`` rows. Otherwise the join stays a shuffle join (sort-merge with
+materializes the small side once as a parquet table in the cluster's shared
+checkpoint folder (it survives executor loss and is computed exactly once;
+a reliable ``checkpoint()`` of an unpersisted plan would compute it twice),
+counts it from the parquet footers, and marks it for broadcast only when it
+has at most ``max_rows`` rows. Otherwise the join stays a shuffle join (sort-merge with
 adaptive skew splitting). Compared with leaving the decision to adaptive
 execution alone, this avoids shuffle-writing the large side before the
 runtime switch to a broadcast.
@@ -23,13 +24,14 @@ DEFAULT_MAX_BROADCAST_ROWS = 100_000
 
 
 def materialize_and_measure(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """(``df`` checkpointed once in the shared folder, whether it has at most ``max_rows`` rows).
-
-    The count reads the checkpoint and stops after ``max_rows + 1`` rows.
-    """
-    shared_dir(df.sparkSession, unique=False)  # checkpoint folder = the cluster's shared one
-    materialized = df.checkpoint(eager=True)
-    return materialized, materialized.limit(max_rows + 1).count() <= max_rows
+    """(``df`` written once under the shared checkpoint folder and read back,
+    whether it has at most ``max_rows`` rows). The count comes from parquet
+    footers, so measuring reads no data."""
+    spark = df.sparkSession
+    path = shared_dir(spark, "voltaic", "materialized")
+    df.write.parquet(path)
+    materialized = spark.read.schema(df.schema).parquet(path)
+    return materialized, materialized.count() <= max_rows
 
 
 def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
