@@ -81,14 +81,16 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
 
 
 def cut_lineage(df, spark: SparkSession | None = None):
-    """Materialize ``df`` to the shared checkpoint directory (reliable checkpoint).
+    """Write ``df`` once as parquet under the shared checkpoint directory and read it back.
 
     Survives executor loss, unlike a local checkpoint: the data sits on the
-    shared file system and the plan restarts from it.
+    shared file system and later plans restart from it. The plan is computed
+    once (a reliable ``checkpoint()`` of an unpersisted plan computes it twice).
     """
     spark = spark or df.sparkSession
-    shared_dir(spark, unique=False)
-    return df.checkpoint(eager=True)
+    path = shared_dir(spark, "voltaic", "lineage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def local_path(path: str) -> str:

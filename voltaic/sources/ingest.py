@@ -88,9 +88,19 @@ def read_json_feed(spark: SparkSession, path: str, schema: T.StructType | None =
 
 
 def read_csv_feed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """CSV with a header row. With a contract schema, columns are matched by header
+    *name* (an explicit CSV schema would match by position and silently shift values
+    when a file reorders or drops columns) and converted with ``try_cast``: an empty
+    or malformed cell becomes NULL, a missing column a typed NULL, and columns not in
+    the contract are kept as strings after the contract columns."""
     r = spark.read.option("header", True)
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    return r.csv(path)
+    if schema is None:
+        return r.option("inferSchema", True).csv(path)
+    raw = r.csv(path)                                   # every column a string, named by the header
+    typed = [(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in raw.columns
+              else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]
+    extra = [F.col(f"`{c}`") for c in raw.columns if c not in set(schema.fieldNames())]
+    return raw.select(*typed, *extra)
 
 
 def read_parquet_feed(spark: SparkSession, *paths: str) -> DataFrame:
@@ -109,7 +119,10 @@ def stream_json_feed(spark: SparkSession, folder: str, schema: T.StructType, glo
 
 
 def stream_csv_feed(spark: SparkSession, folder: str, schema: T.StructType, glob: str | None = None) -> DataFrame:
-    r = spark.readStream.schema(schema).option("header", True)
+    """CSV landing folder as a stream. Streams need the schema up front, so the header of
+    every file is checked against it (``enforceSchema=false``): a file whose columns do not
+    match fails instead of having its values shifted into the wrong columns."""
+    r = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.csv(folder)
