@@ -23,6 +23,7 @@ from voltaic.functions.scoring import with_risk_score
 from voltaic.operators import marts, merge, quality
 from voltaic.operators.anomaly import score_meter_anomaly
 from voltaic.operators.dedup import cdc_latest, dedup_latest, split_key_validity
+from voltaic.session import cut_lineage
 from voltaic.plans.tables import (AUDIT_DDL, Layout, ensure_database, read_current, register_current_view,
                                   register_table, write_partitioned, write_table, write_version)
 from voltaic.sources.ingest import (add_ingestion_cols, evolve_schema, load_schema, new_files_only,
@@ -105,10 +106,15 @@ def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
 # ---------------------------------------------------------------------------
 # Silver
 # ---------------------------------------------------------------------------
-def silver_meters(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+def silver_meters(bronze: DataFrame, materialize=None) -> tuple[DataFrame, DataFrame]:
+    """(scored readings, quarantined rows). Scoring reads the deduplicated readings twice
+    (per-region thresholds, then the join); ``materialize`` (e.g. ``cut_lineage``) lets the
+    writer store them once so the dedup shuffle is not repeated."""
     sm = with_event_time(canonicalize(bronze), "timestamp", "event_ts", "event_date")
     valid, quarantine = split_key_validity(sm, ["event_id"])
     latest = dedup_latest(valid, ["event_id"], [F.col("_ingestion_ts").desc(), F.col("_source_file").desc()])
+    if materialize is not None:
+        latest = materialize(latest)
     return score_meter_anomaly(latest), quarantine
 
 
@@ -165,7 +171,7 @@ def run_silver(spark: SparkSession, lay: Layout, batch_id: str, res: RunResult,
         out[name] = spark.read.parquet(path)
 
     if (sm := b("smart_meter_events")) is not None:
-        readings, q = silver_meters(sm)
+        readings, q = silver_meters(sm, materialize=cut_lineage)
         save("smart_meter_readings", readings)
         save("smart_meter_quarantine", q)
     if (tel := b("substation_telemetry_events")) is not None:
