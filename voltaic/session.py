@@ -63,9 +63,14 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     and the driver can reach. When the session has none (local tests) a fresh
     temp folder is created and registered, never on a cluster.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = None
+    try:  # absent on Spark Connect sessions
+        sc = spark.sparkContext
+    except Exception:
+        sc = None
+    base = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc is not None else None)
     if not base:
-        master = spark.sparkContext.master or ""
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
         if not master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         import tempfile
@@ -73,7 +78,8 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
     if base.startswith("file:"):
         base = base[len("file:"):]
-    spark.sparkContext.setCheckpointDir(base)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
     path = "/".join([base.rstrip("/"), *parts])
     if unique:
         path = f"{path}/{uuid.uuid4().hex}"
