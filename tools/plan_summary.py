@@ -26,6 +26,8 @@ def summarize(spark, df) -> dict:
     for m in re.finditer(r"Scan parquet [^\n]*\n(?:[^\n]+\n)*?ReadSchema: struct<([^>]*)>", text):
         block = m.group(0)
         loc = re.search(r"\[file:[^\]]*/([^/\]]+\.parquet)\]", block)
+        if loc is None and "voltaic/materialized" in block:
+            loc = re.match(r"(.*)", "materialized(size-checked)")
         pushed = re.search(r"PushedFilters: \[([^\]]*)\]", block)
         ncols = len([c for c in m.group(1).split(",") if c])
         scans.append(f"{loc.group(1) if loc else '?'}:{ncols}c" + (f" pushed[{pushed.group(1)[:60]}]" if pushed and pushed.group(1) else ""))
