@@ -140,3 +140,17 @@ def test_fallback_key(spark):
                                "event_id string, meter_id string, event_ts string")
     got = [r._dedup_key for r in with_fallback_key(df, "event_id", ["meter_id", "event_ts"]).collect()]
     assert got == ["e1", "m1|t1", "m2|", None]
+
+
+def test_silver_meters_fallback_key(spark):
+    from voltaic.plans.pipeline import silver_meters
+    rows_in = [("e1", "m1", "2025-06-15T10:00:00Z", 1.0, "N", T0, "f1"),
+               (None, "m1", "2025-06-15T11:00:00Z", 2.0, "N", T0, "f1"),
+               (None, "m1", "2025-06-15T11:00:00Z", 2.0, "N", T1, "f2"),     # same meter+time: one reading
+               (None, None, None, 3.0, "N", T0, "f1")]                        # nothing to key on
+    df = spark.createDataFrame(rows_in, "event_id string, meter_id string, timestamp string, reading_kwh double, "
+                                        "region string, _ingestion_ts timestamp, _source_file string")
+    kept, bad = silver_meters(df, fallback_key=True)
+    assert kept.count() == 2 and bad.count() == 1
+    plain_kept, plain_bad = silver_meters(df)
+    assert plain_kept.count() == 1 and plain_bad.count() == 3

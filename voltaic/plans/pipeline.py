@@ -22,7 +22,7 @@ from voltaic.functions.columns import (backfill_columns, canonicalize, parse_ts,
 from voltaic.functions.scoring import with_risk_score
 from voltaic.operators import marts, merge, quality
 from voltaic.operators.anomaly import score_meter_anomaly
-from voltaic.operators.dedup import cdc_latest, dedup_latest, split_key_validity
+from voltaic.operators.dedup import cdc_latest, dedup_latest, split_key_validity, with_fallback_key
 from voltaic.session import cut_lineage
 from voltaic.plans.tables import (AUDIT_DDL, Layout, ensure_database, read_current, register_current_view,
                                   register_table, write_partitioned, write_table, write_version)
@@ -106,13 +106,20 @@ def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
 # ---------------------------------------------------------------------------
 # Silver
 # ---------------------------------------------------------------------------
-def silver_meters(bronze: DataFrame, materialize=None) -> tuple[DataFrame, DataFrame]:
+def silver_meters(bronze: DataFrame, materialize=None, fallback_key: bool = False) -> tuple[DataFrame, DataFrame]:
     """(scored readings, quarantined rows). Scoring reads the deduplicated readings twice
     (per-region thresholds, then the join); ``materialize`` (e.g. ``cut_lineage``) lets the
-    writer store them once so the dedup shuffle is not repeated."""
+    writer store them once so the dedup shuffle is not repeated. With ``fallback_key`` a
+    reading without ``event_id`` is keyed by ``meter_id|event_ts`` instead of quarantined."""
     sm = with_event_time(canonicalize(bronze), "timestamp", "event_ts", "event_date")
-    valid, quarantine = split_key_validity(sm, ["event_id"])
-    latest = dedup_latest(valid, ["event_id"], [F.col("_ingestion_ts").desc(), F.col("_source_file").desc()])
+    key = "event_id"
+    if fallback_key:
+        sm = with_fallback_key(sm, "event_id", ["meter_id", "event_ts"])
+        key = "_dedup_key"
+    valid, quarantine = split_key_validity(sm, [key])
+    latest = dedup_latest(valid, [key], [F.col("_ingestion_ts").desc(), F.col("_source_file").desc()])
+    if fallback_key:
+        latest, quarantine = latest.drop(key), quarantine.drop(key)
     if materialize is not None:
         latest = materialize(latest)
     return score_meter_anomaly(latest), quarantine
