@@ -50,3 +50,19 @@ def test_csv_stream_checks_headers(spark, tmpdir_path):
     schema = T.StructType([T.StructField("log_id", T.StringType()), T.StructField("transformer_id", T.StringType())])
     run_available_now(stream_csv_feed(spark, f"{tmpdir_path}/s", schema), f"{tmpdir_path}/o", f"{tmpdir_path}/c")
     assert [tuple(r) for r in spark.read.parquet(f"{tmpdir_path}/o").collect()] == [("ML-1", "TRF-1")]
+
+
+def test_register_table_repoints_to_new_version(spark, tmpdir_path):
+    from voltaic.plans.tables import ensure_database, read_current, register_current_view, register_table, write_version
+    root = f"{tmpdir_path}/dim"
+    v1 = write_version(spark, spark.createDataFrame([(1, True)], "k int, is_current boolean"), root, "b1")
+    ensure_database(spark, "vt_silver", f"{tmpdir_path}/_catalog")
+    register_table(spark, "vt_silver", "dim", v1)
+    register_current_view(spark, "vt_silver", "dim")
+    assert spark.table("vt_silver.dim_current").count() == 1
+    v2 = write_version(spark, spark.createDataFrame([(1, False), (1, True), (2, True)], "k int, is_current boolean"),
+                       root, "b2")
+    assert read_current(spark, root).count() == 3
+    register_table(spark, "vt_silver", "dim", v2)
+    assert spark.table("vt_silver.dim").count() == 3
+    assert spark.table("vt_silver.dim_current").count() == 2
