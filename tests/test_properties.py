@@ -18,3 +18,29 @@ def test_exact_sum_matches_decimal_and_ignores_partitioning(spark, values, parts
     one = df.coalesce(1).agg(exact_sum("x").alias("s")).first().s
     many = df.repartition(parts).agg(exact_sum("x").alias("s")).first().s
     assert one == many == want
+
+
+vals = st.one_of(st.none(), st.integers(min_value=0, max_value=3))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(dim_vals=st.dictionaries(st.integers(0, 8), vals, min_size=1, max_size=8),
+       delta_vals=st.dictionaries(st.integers(0, 12), vals, min_size=1, max_size=8))
+def test_scd2_apply_idempotent_one_current_per_key(spark, dim_vals, delta_vals):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from voltaic.operators import merge
+    dim = merge.scd2_baseline(spark.createDataFrame(list(dim_vals.items()), "k int, v int"))
+    delta = spark.createDataFrame([(k, v, "2025-06-01") for k, v in delta_vals.items()],
+                                  "k int, v int, record_effective_date string")
+    once = merge.scd2_apply(dim, delta, ["k"])
+    twice = merge.scd2_apply(once, delta, ["k"])
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    assert sorted(map(tuple, once.collect()), key=key) == sorted(map(tuple, twice.collect()), key=key)
+    cur = {r.k: r.v for r in once.filter(F.col("is_current")).collect()}
+    assert once.filter(F.col("is_current")).count() == len(cur)           # one current row per key
+    assert cur == {**dim_vals, **delta_vals}                              # current state = snapshot updated by delta
+    changed = {k for k in delta_vals if k in dim_vals and dim_vals[k] != delta_vals[k]}
+    expired = {r.k for r in once.filter(~F.col("is_current")).collect()}
+    assert expired == changed
+    assert all(r.record_end_date == dt.date(2025, 5, 31) for r in once.filter(~F.col("is_current")).collect())
