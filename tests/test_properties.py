@@ -44,3 +44,27 @@ def test_scd2_apply_idempotent_one_current_per_key(spark, dim_vals, delta_vals):
     expired = {r.k for r in once.filter(~F.col("is_current")).collect()}
     assert expired == changed
     assert all(r.record_end_date == dt.date(2025, 5, 31) for r in once.filter(~F.col("is_current")).collect())
+
+
+change = st.tuples(st.integers(0, 5), st.sampled_from([1, 2, 4]), st.integers(0, 1000))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(target=st.dictionaries(st.integers(0, 5), st.integers(0, 9), max_size=6),
+       changes=st.lists(change, min_size=1, max_size=20, unique_by=lambda c: (c[0], c[2])))
+def test_cdc_apply_equals_replay(spark, target, changes):
+    import datetime as dt
+    from voltaic.operators.dedup import cdc_latest
+    from voltaic.operators import merge
+    base = dt.datetime(2025, 6, 15)
+    ddl = "transaction_id int, `__$operation` int, cdc_ts timestamp, amount int"
+    t = spark.createDataFrame([(k, 2, base, v) for k, v in target.items()], ddl)
+    ch = spark.createDataFrame([(k, op, base + dt.timedelta(seconds=s), s) for k, op, s in changes], ddl)
+    got = {r.transaction_id: r.amount for r in merge.cdc_apply(t, cdc_latest(ch)).collect()}
+    want = dict(target)
+    for k, op, s in sorted(changes, key=lambda c: c[2]):      # replay in event-time order
+        if op == 1:
+            want.pop(k, None)
+        else:
+            want[k] = s
+    assert got == want
