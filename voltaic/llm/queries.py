@@ -6,17 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltaic.llm import simhash
+from voltaic.llm import lm, packing, simhash, topk, toxicity
 from voltaic.llm.common import table
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(spark, table(spark, sf_dir, "documents"))
+
+
+def op4_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.digest(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op5_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(spark, table(spark, sf_dir, "documents"))
 
 
+def op9_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_simhash_pivots": op6_simhash_pivots}
+    found = (op2_best_fit_packing, op4_pivot_topk, op5_toxicity_ftrl, op6_simhash_pivots, op9_bloom_lm)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_pivot_topk": topk.ORACLE_SQL}
