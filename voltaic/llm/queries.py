@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltaic.llm import lm, packing, simhash, topk, toxicity
+from voltaic.llm import chat, lm, packing, quality, simhash, topk, toxicity
 from voltaic.llm.common import table
 
 
@@ -26,14 +26,22 @@ def op6_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(spark, table(spark, sf_dir, "documents"))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(spark, table(spark, sf_dir, "conversations"))
+
+
+def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_best_fit_packing, op4_pivot_topk, op5_toxicity_ftrl, op6_simhash_pivots, op9_bloom_lm)
+    found = (op2_best_fit_packing, op4_pivot_topk, op5_toxicity_ftrl, op6_simhash_pivots, op7_chat_format, op8_line_quality, op9_bloom_lm)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_pivot_topk": topk.ORACLE_SQL}
+    return {"op4_pivot_topk": topk.ORACLE_SQL, "op7_chat_format": chat.ORACLE_SQL, "op8_line_quality": quality.ORACLE_SQL}

@@ -174,9 +174,9 @@ def digest(spark: SparkSession, embeddings: DataFrame) -> DataFrame:
 #: The same search by brute force.
 ORACLE_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(x::DOUBLE * 256)) AS v FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
