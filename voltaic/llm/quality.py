@@ -1,7 +1,7 @@
 """Line-first quality rules, with Spark expressions only.
 
-Every line of a text is judged by itself: punctuation (it must end like a sentence, hold few signs and
-not shout), navigation (items between separators) and boilerplate (notices that sites repeat). Lines
+Every line of a text is judged by itself: punctuation (it must hold a sentence's end, few signs and no
+shouting), navigation (items between separators) and boilerplate (notices that sites repeat). Lines
 that fail are removed; a text that loses more than half of its code points that way is rejected. The
 base rules reject texts of fewer than ``MIN_WORDS`` words and texts of which more than half of the words
 lie in repeated three-word windows.
@@ -23,8 +23,8 @@ from voltaic.llm.native import let, words
 
 MIN_WORDS = 50
 SYMBOLS = r"[#*$%&|<>]+"
-#: A line ends like a sentence: a closing mark, then at most white space.
-ENDING = r"[.!?;:…。！？\"”»)\]][\x20\x09-\x0D]*\z"
+#: A line holds the end of a sentence or clause: a closing mark before white space or the line's end.
+ENDING = r"[.!?;:…。！？\"”»)\]](?:[\x20\x09-\x0D]|\z)"
 SEPARATOR = r"[|›»·•]"
 #: Notices that sites repeat on many pages.
 BOILERPLATE = (
@@ -133,7 +133,7 @@ p AS (SELECT r, count(DISTINCT i + k) AS n FROM g, (VALUES (0), (1), (2)) t(k) W
 l AS (SELECT r, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)),
 j AS (
   SELECT r, line,
-    regexp_matches(line, '[.!?;:…。！？"”»)\]][\x20\x09-\x0D]*\z')
+    regexp_matches(line, '[.!?;:…。！？"”»)\]](?:[\x20\x09-\x0D]|\z)')
     AND 10 * (length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g'))) <= length(line)
     AND 5 * (length(line) - length(replace(line, '!!', ''))) <= 2 * n
     AND NOT (length(line) - length(regexp_replace(line, '[|›»·•]', '', 'g')) >= 3 AND 4 * (length(line) - length(regexp_replace(line, '[|›»·•]', '', 'g'))) >= n)
