@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltaic.llm import chat, lm, packing, quality, simhash, topk, toxicity
+from voltaic.llm import chat, html_text, lm, packing, quality, simhash, topk, toxicity
 from voltaic.llm.common import table
 
 
@@ -38,8 +38,12 @@ def op9_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_line_block_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.digest(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_best_fit_packing, op4_pivot_topk, op5_toxicity_ftrl, op6_simhash_pivots, op7_chat_format, op8_line_quality, op9_bloom_lm)
+    found = (op2_best_fit_packing, op4_pivot_topk, op5_toxicity_ftrl, op6_simhash_pivots, op7_chat_format, op8_line_quality, op9_bloom_lm, op10_line_block_html)
     return {f.__name__: f for f in found}
 
 
