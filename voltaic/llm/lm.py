@@ -47,7 +47,7 @@ MAX_FILTER_BYTES = 128 << 20
 #: Most words in the broadcast table of exact counts: 16 MB.
 HEAD = 1 << 20
 #: Hashes gathered in a task before it sends partial counts.
-GATHER = 3_000_000
+GATHER = 1_500_000
 END = np.uint64(0x9E3779B97F4A7C15)
 WORD, PAIR = 0, 1
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
