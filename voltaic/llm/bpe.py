@@ -1,8 +1,9 @@
 """Byte-level BPE encoding and decoding.
 
-Words are the matches of the tokenizer's splitting pattern. Each task gathers the distinct words of a bounded
-group of its documents into one row; Spark higher-order functions then encode every distinct
-word once: its bytes are folded, one merge for each step, always the pair whose joined bytes have the lowest rank (the
+Words are the matches of the tokenizer's splitting pattern. The most frequent distinct words of all
+documents (a bounded number) are encoded first and sent to the tasks as a table. Each task then gathers the other
+distinct words of a bounded group of its documents into one row. Both are encoded by Spark higher-order
+functions: a word's bytes are folded, one merge for each step, always the pair whose joined bytes have the lowest rank (the
 leftmost of equals), until no joined pair has a rank. The rank map is a literal: an array of small
 maps, addressed by a hash of the bytes, so a look-up doesn't search the vocabulary. Each document's ids are
 put together from its words' ids in the next step, and decoding joins the binary pieces of the ids.
@@ -30,6 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltaic.llm.common import store
 from voltaic.llm.native import let
 
 #: Small maps that the rank map is spread over.
@@ -37,6 +39,8 @@ BUCKETS = 1 << 15
 LONG = 96
 #: Code points of documents whose distinct words make one row.
 GROUP = 12_000_000
+#: Most words in the broadcast table of frequent words, which are encoded once for all documents: about 25 MB.
+FREQUENT = 1 << 20
 NEIGHBOURS = re.compile(r"\s\s|\A\s|\s\Z")
 
 
@@ -131,21 +135,10 @@ def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Words(dict):
-    """Numbers of the distinct words of a group; long words count down from -1."""
-
-    def __init__(self):
-        super().__init__()
-        self.short: list[str] = []
-        self.long: list[bytes] = []
+    """Numbers of the distinct words of a group."""
 
     def __missing__(self, word: str) -> int:
-        raw = word.encode("utf-8", "replace")
-        if len(raw) > LONG:
-            self.long.append(raw)
-            self[word] = -len(self.long)
-        else:
-            self.short.append(raw.hex().upper())
-            self[word] = len(self.short) - 1
+        self[word] = len(self)
         return self[word]
 
 
@@ -178,63 +171,97 @@ def number_words(text: str, words: _Words, chunks: _Chunks) -> list[int]:
     return out
 
 
-def group_words(docs: DataFrame, ranks: bytes) -> DataFrame:
-    """Rows ``ids, numbers, words, long``: for a group of documents each one's words as numbers into the two lists."""
-    content = docs.sparkSession.sparkContext.broadcast(ranks)
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes], list[bytes]]]:
+    """Groups of about ``GROUP`` code points: ids, each text's words as numbers, the distinct words."""
+    ids, numbers, size = [], [], 0
+    words = _Words()
+    chunks = _Chunks(words)
+    for batch in batches:
+        at = 0
+        for i, text in enumerate(batch.column(1)):
+            text = text.as_py()
+            numbers.append(np.array(number_words(text, words, chunks), "<i4").tobytes())
+            size += len(text or "")
+            if size >= GROUP:
+                yield pa.concat_arrays([*ids, batch.column(0).slice(at, i + 1 - at)]), numbers, [w.encode("utf-8", "replace") for w in words]
+                at, ids, numbers, size = i + 1, [], [], 0
+                words = _Words()
+                chunks = _Chunks(words)
+        ids.append(batch.column(0).slice(at))
+    if numbers:
+        yield pa.concat_arrays(ids), numbers, [w.encode("utf-8", "replace") for w in words]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, numbers, size = [], [], 0
-        words = _Words()
-        chunks = _Chunks(words)
-
-        def row() -> pa.RecordBatch:
-            by_rank = ranks_of(content.value) if words.long else {}
-            long = [np.array(heap_merges(w, by_rank), "<u4").tobytes() for w in words.long]
-            many = pa.concat_arrays(ids)
-            whole = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-            return pa.RecordBatch.from_arrays(
-                [whole(many), whole(pa.array(numbers, pa.binary())), whole(pa.array(words.short, pa.string())), whole(pa.array(long, pa.binary()))], names=["ids", "numbers", "words", "long"]
-            )
 
-        for batch in batches:
-            at = 0
-            for i, text in enumerate(batch.column(1)):
-                text = text.as_py()
-                numbers.append(np.array(number_words(text, words, chunks), "<i4").tobytes())
-                size += len(text or "")
-                if size >= GROUP:
-                    ids.append(batch.column(0).slice(at, i + 1 - at))
-                    yield row()
-                    at, ids, numbers, size = i + 1, [], [], 0
-                    words = _Words()
-                    chunks = _Chunks(words)
-            ids.append(batch.column(0).slice(at))
-        if numbers:
-            yield row()
-
-    return docs.mapInArrow(run, f"ids array<{kind}>, numbers array<binary>, words array<string>, long array<binary>")
-
-
-def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.array([*map(xxhash.xxh3_64_intdigest, words)], np.uint64)
+
+
+def frequent_words(docs: DataFrame, ranks: bytes, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes (ascending), first places and ids of the most frequent words, at most ``most``, encoded once each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, numbers, words in _groups(batches):
+            n = np.bincount(np.frombuffer(b"".join(numbers), "<i4"), minlength=len(words))
+            short = [i for i, w in enumerate(words) if len(w) <= LONG]
+            for a in range(0, len(short), 50_000):
+                part = short[a : a + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array([words[i].hex().upper() for i in part], pa.string()), pa.array(n[part].astype(np.int64))], names=["word", "n"])
+
+    counts = store(docs.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    least, total = None, 0
+    for n, k in sorted(((r["n"], r["k"]) for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True):
+        if n < 2 or total + k > most:
+            break
+        least, total = n, total + k
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, "<u4")
+    table = rank_table(ranks_of(ranks))
+    chosen = counts.filter(F.col("n") >= least).select("word").repartition(F.col("word"))
+    found = store(chosen.select("word", let(table, lambda t: fold_merges(F.col("word"), t)).alias("ids"))).toArrow().combine_chunks()
+    keys = _hashes([bytes.fromhex(w) for w in found["word"].to_pylist()])
+    order = np.argsort(keys)
+    lists = found["ids"].combine_chunks() if isinstance(found["ids"], pa.ChunkedArray) else found["ids"]
+    lists = lists.take(pa.array(order))
+    return keys[order], np.asarray(lists.offsets).astype(np.int64) - lists.offsets[0].as_py(), lists.flatten().to_numpy().astype("<u4")
+
+
+def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
     """``doc_id, ids`` (little-endian unsigned 32-bit): the ids of each row's whole text."""
     ranks = ranks or read_ranks()
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    encoded = let(rank_table(ranks_of(ranks)), lambda table: F.transform("words", lambda w: fold_merges(w, table)))
-    groups = group_words(docs, ranks).select("ids", "numbers", "long", encoded.alias("encoded"))
+    context = docs.sparkSession.sparkContext
+    content, head = context.broadcast(ranks), context.broadcast(frequent_words(docs, ranks, frequent))
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, _, _ = head.value
+        whole = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
+        for ids, numbers, words in _groups(batches):
+            # where each word's ids will be found: in the frequent words' table, or behind it in this group's own
+            place = np.full(len(words), -1, np.int64)
+            if len(keys):
+                mine = _hashes(words)
+                at = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
+                place = np.where(keys[at] == mine, at, -1)
+            rest = np.flatnonzero(place < 0)
+            long = [i for i in rest.tolist() if len(words[i]) > LONG]
+            short = [i for i in rest.tolist() if len(words[i]) <= LONG]
+            place[short + long] = len(keys) + np.arange(len(rest))
+            merged = [np.array(heap_merges(words[i], ranks_of(content.value)), "<u4").tobytes() for i in long]
+            columns = [ids, pa.array(numbers, pa.binary()), pa.array([words[i].hex().upper() for i in short], pa.string()), pa.array(merged, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*map(whole, columns), pa.array([place.astype("<i8").tobytes()], pa.binary())], names=["ids", "numbers", "words", "long", "place"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, starts, known = head.value
         for batch in batches:
             for row in range(batch.num_rows):
                 ids, numbers, long, encoded = (batch.column(i).slice(row, 1).flatten() for i in range(4))
-                flat = [encoded.flatten().to_numpy(zero_copy_only=False).astype("<u4")]
-                counts = [np.diff(np.asarray(encoded.offsets))]
-                for one in reversed(long.to_pylist()):  # number -1 is the last place, -2 the one before
-                    flat.append(np.frombuffer(one, "<u4"))
-                    counts.append(np.array([len(flat[-1])]))
-                flat, count = np.concatenate(flat), np.concatenate(counts)
-                first = np.cumsum(count) - count
+                place = np.frombuffer(batch.column(4)[row].as_py(), "<i8")
+                own = [encoded.flatten().to_numpy(zero_copy_only=False).astype("<u4"), *(np.frombuffer(x, "<u4") for x in long.to_pylist())]
+                flat = np.concatenate([known, *own])
+                count = np.concatenate([np.diff(starts), np.diff(np.asarray(encoded.offsets)), [len(x) for x in own[1:]]]).astype(np.int64)
+                first = (np.cumsum(count) - count)[place]
+                count = count[place]
                 for a in range(0, len(numbers), 500):
                     out = []
                     for each in numbers.slice(a, 500).to_pylist():
@@ -244,7 +271,9 @@ def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str =
                         out.append(flat[at].tobytes())
                     yield pa.RecordBatch.from_arrays([ids.slice(a, 500), pa.array(out, pa.binary())], names=["doc_id", "ids"])
 
-    return groups.mapInArrow(join, f"doc_id {kind}, ids binary")
+    encoded = let(rank_table(ranks_of(ranks)), lambda table: F.transform("words", lambda w: fold_merges(w, table)))
+    groups = docs.mapInArrow(number, f"ids array<{kind}>, numbers array<binary>, words array<string>, long array<binary>, place binary")
+    return groups.select("ids", "numbers", "long", encoded.alias("encoded"), "place").mapInArrow(join, f"doc_id {kind}, ids binary")
 
 
 def decode_documents(encoded: DataFrame, ranks: bytes | None = None) -> DataFrame:
