@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltaic.llm import bpe, chat, html_text, lm, packing, quality, simhash, topk, toxicity
+from voltaic.llm import bpe, chat, html_text, lm, packing, pii, quality, simhash, topk, toxicity
 from voltaic.llm.common import table
 
 
+def op1_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(spark, table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_line_block_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_best_fit_packing, op3_byte_bpe, op4_pivot_topk, op5_toxicity_ftrl, op6_simhash_pivots, op7_chat_format, op8_line_quality, op9_bloom_lm, op10_line_block_html)
+    found = (op1_pii_spans, op2_best_fit_packing, op3_byte_bpe, op4_pivot_topk, op5_toxicity_ftrl, op6_simhash_pivots, op7_chat_format, op8_line_quality, op9_bloom_lm, op10_line_block_html)
     return {f.__name__: f for f in found}
 
 
