@@ -12,12 +12,14 @@ from conftest import SF_SMALL  # noqa: E402
 
 @pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="test data not present")
 def test_all_queries_match_oracles(spark):
-    import __spark_entry__ as E
     from check_oracles import compare_all
-    problems = compare_all(spark, SF_SMALL, list(E.queries()), verbose=False)
+
+    from voltaic.plans import bindings, oracles
+    names = list(bindings.queries())
+    problems = compare_all(spark, SF_SMALL, names, verbose=False)
     bad = {k: v for k, v in problems.items() if v}
     assert not bad, bad
-    assert set(E.queries()) == set(E.oracle_sql()) | {"q_stream_dedup"} or set(E.queries()) == set(E.oracle_sql())
+    assert set(names) == set(oracles.oracle_sql())
 
 
 def test_entry_smoke(spark):
