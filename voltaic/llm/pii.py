@@ -50,7 +50,7 @@ PROPOSALS = {
         "strict": (r"^(?:[0-9a-f]{16,}|[A-Z0-9]{16,}|(?=.*[A-Z])(?=.*[a-z]).{20,})$", r"^(?:[0-9/+-]+|[A-Za-z]+[0-9]+)$"),
         "gazetteer": (r"^(?:AKIA|ASIA|ghp_|gho_|sk_|pk_|xox|AIza|eyJ)", r"^(?:https?|www)"),
         "context": (r"(?i)(?:password|passwd|pwd|secret|token|api.?key|access.?key|credentials?|auth)[^A-Za-z0-9]{0,5}$", r"(?i)(?:isbn|commit|version|order|invoice|model|doi)[^A-Za-z0-9]{0,5}$"),
-        "make_up": (r"^(?=(?:[^0-9]*[0-9]){2})(?=(?:[^A-Za-z]*[A-Za-z]){4})", r"^[^0-9]*[0-9]?[^0-9]*$"),
+        "make_up": (r"^(?:[A-Za-z_/+-]*+[0-9]++[A-Za-z_/+-]++){2}", r"^[^0-9]*+[0-9]*+$|^[0-9]++[^0-9]*+$"),
     },
     "phone_local": {
         "wide": r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9.-])",
