@@ -75,12 +75,19 @@ def test_null_safe_change_detects_null_transitions(spark):
     assert got == [True, True, False, False, True]
 
 
-def test_exact_sum_is_order_independent(spark):
-    vals = [(0.1,), (0.2,), (0.3,)] * 1000
-    df = spark.createDataFrame(vals, "v double")
-    a = df.repartition(7).agg(C.exact_sum("v").alias("s")).first().s
-    b = df.coalesce(1).agg(C.exact_sum("v").alias("s")).first().s
-    assert a == b == 600.0
+def test_null_safe_change_with_a_dot_in_the_name(spark):
+    df = spark.sql("select named_struct('a.b', 1) as t, named_struct('a.b', 2) as s")
+    assert df.select(C.null_safe_changed(["a.b"], "t", "s")).first()[0]
+
+
+def test_rounded_touches_doubles_only(spark):
+    r = C.rounded(spark.sql("select 1.00000049D as x, 3 as n, 'a' as s")).first()
+    assert tuple(r) == (1.0, 3, "a")
+
+
+def test_canonicalize_keeps_both_spellings(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, 3.0), (None, 4.0)], "reading_kwh double, kwh_consumed double")
+    assert [r.kwh_consumed for r in C.canonicalize(df).collect()] == [1.0, 3.0, 4.0]
 
 
 def test_risk_score_boundaries(spark):

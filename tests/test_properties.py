@@ -1,23 +1,23 @@
-"""Property tests: exact sums are exact and independent of partitioning."""
+"""Property tests: exact percentiles, SCD2, CDC replay."""
 
-from decimal import Decimal
+import math
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from voltaic.functions.columns import exact_sum
+from voltaic.operators.anomaly import exact_percentiles
 
-cents = st.integers(min_value=-10_000_000, max_value=10_000_000)
+finite = st.floats(allow_nan=False, allow_infinity=False, width=32)
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(values=st.lists(cents, min_size=1, max_size=60), parts=st.integers(min_value=1, max_value=7))
-def test_exact_sum_matches_decimal_and_ignores_partitioning(spark, values, parts):
-    df = spark.createDataFrame([(v / 100,) for v in values], "x double")
-    want = float(sum(Decimal(v) / 100 for v in values))
-    one = df.coalesce(1).agg(exact_sum("x").alias("s")).first().s
-    many = df.repartition(parts).agg(exact_sum("x").alias("s")).first().s
-    assert one == many == want
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.one_of(st.none(), finite), min_size=1, max_size=60), p=st.sampled_from([0.01, 0.5, 0.95, 0.99]))
+def test_exact_percentile_is_the_value_at_its_rank(spark, values, p):
+    df = spark.createDataFrame([("g", v) for v in values], "g string, v double")
+    known = sorted(v for v in values if v is not None)
+    for parts in (1, 7):
+        got = [r.x for r in exact_percentiles(df.repartition(parts), "g", "v", {"x": p}).collect()]
+        assert got == ([known[max(math.ceil(p * len(known)), 1) - 1]] if known else [])
 
 
 vals = st.one_of(st.none(), st.integers(min_value=0, max_value=3))

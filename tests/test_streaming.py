@@ -55,30 +55,64 @@ def test_schema_evolution_restart_adds_columns(spark, tmpdir_path):
 
 
 def test_streaming_cdc_foreach_batch(spark, tmpdir_path):
-    from voltaic.streaming.ingest import cdc_foreach_batch, latest_version
+    from voltaic.streaming.ingest import cdc_foreach_batch, read_cdc_state
     land, ck, target = f"{tmpdir_path}/cdc", f"{tmpdir_path}/ck", f"{tmpdir_path}/current"
-    schema = T.StructType([T.StructField("`__$operation`".strip("`"), T.IntegerType()),
-                           T.StructField("`__$seqval`".strip("`"), T.StringType()),
+    schema = T.StructType([T.StructField("__$operation", T.IntegerType()), T.StructField("__$seqval", T.StringType()),
                            T.StructField("transaction_id", T.StringType()), T.StructField("amount", T.DoubleType()),
                            T.StructField("cdc_timestamp", T.StringType())])
+    changes = lambda df: df.withColumn("cdc_ts", F.to_timestamp("cdc_timestamp")).drop("cdc_timestamp")
 
     def job():
-        s = stream_json_feed(spark, land, schema).withColumn("cdc_ts", F.to_timestamp("cdc_timestamp")).drop("cdc_timestamp")
-        state_schema = T.StructType([f for f in schema.fields if f.name != "cdc_timestamp"] +
-                                    [T.StructField("cdc_ts", T.TimestampType())])
-        q = (s.writeStream.foreachBatch(cdc_foreach_batch(target, ["transaction_id"], state_schema))
+        s = changes(stream_json_feed(spark, land, schema))
+        q = (s.writeStream.foreachBatch(cdc_foreach_batch(target, ["transaction_id"]))
              .option("checkpointLocation", ck).trigger(availableNow=True).start())
         q.awaitTermination()
+        assert q.exception() is None
+        return sorted((r.transaction_id, r.amount) for r in read_cdc_state(spark, target).collect())
 
     rec = lambda op, tx, amt, ts: {"__$operation": op, "__$seqval": "000000000001", "transaction_id": tx,
-                                   "amount": amt, "cdc_timestamp": ts}
-    _write(land, "a.json", [rec(2, "t1", 10.0, "2025-06-15T10:00:00Z"), rec(2, "t2", 20.0, "2025-06-15T10:00:00Z")])
-    job()
-    _write(land, "b.json", [rec(4, "t1", 15.0, "2025-06-15T11:00:00Z"), rec(1, "t2", None, "2025-06-15T11:00:00Z"),
-                            rec(2, "t3", 30.0, "2025-06-15T11:00:00Z")])
-    job()
-    cur = spark.read.parquet(latest_version(spark, target))
-    assert sorted((r.transaction_id, r.amount) for r in cur.collect()) == [("t1", 15.0), ("t3", 30.0)]
+                                   "amount": amt, "cdc_timestamp": f"2025-06-15T{ts}:00Z"}
+    assert read_cdc_state(spark, target) is None
+    _write(land, "a.json", [rec(2, "t1", 10.0, "10:00"), rec(2, "t2", 20.0, "10:00")])
+    assert job() == [("t1", 10.0), ("t2", 20.0)]
+    _write(land, "b.json", [rec(4, "t1", 15.0, "12:00"), rec(1, "t2", None, "11:00"), rec(2, "t3", 30.0, "11:00")])
+    assert job() == [("t1", 15.0), ("t3", 30.0)]
+    _write(land, "c.json", [rec(4, "t1", 11.0, "11:00"), rec(4, "t2", 21.0, "10:30")])      # both late
+    assert job() == [("t1", 15.0), ("t3", 30.0)]
+    _write(land, "d.json", [rec(1, "t1", None, "13:00"), rec(1, "t3", None, "13:00")])      # everything goes
+    assert job() == []
+    _write(land, "e.json", [rec(2, "t4", 40.0, "14:00")])
+    assert job() == [("t4", 40.0)]                                                          # and stays gone
+    # a retried epoch starts from the version before it
+    batch = changes(spark.createDataFrame([(4, "000000000001", "t4", 41.0, "2025-06-15T15:00:00Z")], schema))
+    for _ in range(2):
+        cdc_foreach_batch(target, ["transaction_id"])(batch, 5)
+        assert [(r.transaction_id, r.amount) for r in read_cdc_state(spark, target).collect()] == [("t4", 41.0)]
+
+
+def test_stream_dedup_of_a_folder_equals_that_of_a_file(spark, tmpdir_path):
+    from voltaic.streaming.ingest import stream_dedup_events
+    rows = spark.range(200).selectExpr("id as event_id", "timestamp_ntz'2025-01-01 00:00:00' + make_interval(0,0,0,0,0,cast(id % 37 as int)) as ts", "id * 2 as v")
+    rows.coalesce(1).write.parquet(f"{tmpdir_path}/one")
+    rows.repartition(4).write.parquet(f"{tmpdir_path}/four.parquet")
+    one = [os.path.join(tmpdir_path, "one", f) for f in os.listdir(f"{tmpdir_path}/one") if f.endswith(".parquet")][0]
+    for table in (one, f"{tmpdir_path}/four.parquet"):
+        for within in (False, True):
+            got = stream_dedup_events(spark, table, "400 days", within, files_per_batch=1)
+            assert got.count() == 200 and got.distinct().count() == 200
+
+
+def test_evolving_numbers_and_corrupt_lines(spark, tmpdir_path):
+    land = f"{tmpdir_path}/ren"
+    _write(land, "a.json", [{"id": "r1", "mw": 5}])
+    s1 = evolve_schema(spark, land)
+    _write(land, "b.json", [{"id": "r2", "mw": 5.5, "turbine": 7}])
+    with open(f"{land}/c.json", "w") as f:
+        f.write("{not json\n")
+    s2 = evolve_schema(spark, land, s1)
+    rows = {r.id: r for r in spark.read.schema(s2).json(land).collect()}
+    assert (rows["r1"].mw, rows["r2"].mw, rows["r2"].turbine) == (5.0, 5.5, 7.0)
+    assert rows[None]._corrupt_record == "{not json"
 
 
 def test_parse_envelope_binary_payload_keeps_broker_metadata(spark):

@@ -14,7 +14,7 @@ __all__ = [
     "require_columns", "resolve_column", "first_existing", "canonicalize", "parse_ts",
     "parse_date", "with_event_time", "hour_bucket", "with_hour_bucket", "ts_from_filename",
     "backfill_columns", "is_blank", "has_text", "ratio", "guarded_ratio", "null_safe_changed",
-    "exact_sum", "exact_avg", "cast_keys_to_string", "change_columns", "to_ntz",
+    "rounded", "change_columns", "to_ntz",
 ]
 
 
@@ -43,12 +43,15 @@ def first_existing(df: DataFrame, candidates: Sequence[str], default: Column | N
 
 
 def canonicalize(df: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
-    """Rename feed column names to the curated names (``reading_kwh -> kwh_consumed`` ...).
+    """Bring feed column names to the curated names (``reading_kwh -> kwh_consumed`` ...).
 
-    A feed that already carries the curated name keeps it untouched.
+    Where a feed has both, a row's curated value wins and the other one, which stays, fills its gaps.
     """
     mapping = CANONICAL_NAMES if mapping is None else mapping
     renames = {src: dst for src, dst in mapping.items() if src in df.columns and dst not in df.columns}
+    both = {src: dst for src, dst in mapping.items() if src in df.columns and dst in df.columns}
+    if both:
+        df = df.withColumns({dst: F.coalesce(F.col(dst), F.col(src)) for src, dst in both.items()})
     return df.withColumnsRenamed(renames) if renames else df
 
 
@@ -125,38 +128,19 @@ def null_safe_changed(cols: Sequence[str], left: str, right: str) -> Column:
         return F.lit(False)
     pred = None
     for c in cols:
-        diff = ~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+        diff = ~F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`"))
         pred = diff if pred is None else (pred | diff)
     return pred
 
 
-def exact_sum(col: Column | str, scale: int = 6) -> Column:
-    """Sum of a double measure computed exactly, returned as double.
+def rounded(df: DataFrame, scale: int = 6) -> DataFrame:
+    """Doubles rounded to ``scale`` decimals, for results that are compared value by value.
 
-    Float addition is order dependent, so a plain ``sum`` can differ in the last
-    bits between runs with different partitionings. Here every value is split
-    into its integer part and its fraction rounded (half up) to ``scale``
-    decimals; both are summed as ``bigint`` (fast, associative, codegen'd hash
-    aggregation) and combined once per group in decimal. The result is the same
-    double however the cluster splits the work.
+    Floating-point sums depend on the order of addition in their last bits; marts keep
+    Spark's plain sums and only a comparison rounds.
     """
-    c = F.col(col) if isinstance(col, str) else col
-    x = c.cast("double")
-    whole = F.floor(x)
-    frac_units = F.floor((x - whole) * F.lit(float(10 ** scale)) + F.lit(0.5))
-    units = (F.sum(whole).cast(T.DecimalType(38, 0)) * F.lit(10 ** scale) + F.sum(frac_units))
-    return units.cast("double") / F.lit(float(10 ** scale))
-
-
-def exact_avg(col: Column | str, scale: int = 6) -> Column:
-    """Mean over non-NULL values, from :func:`exact_sum` and ``count``."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.try_divide(exact_sum(c, scale), F.count(c).cast("double"))
-
-
-def cast_keys_to_string(df: DataFrame, cols: Iterable[str]) -> list[Column]:
-    """String casts of the requested key columns that exist in ``df``."""
-    return [F.col(c).cast("string").alias(c) for c in cols if c in df.columns]
+    return df.withColumns({f.name: F.round(F.col(f"`{f.name}`"), scale) for f in df.schema.fields
+                           if isinstance(f.dataType, T.DoubleType)})
 
 
 def change_columns(df: DataFrame, exclude: Iterable[str] = SCD_COLUMNS, keys: Iterable[str] = ()) -> list[str]:

@@ -1,47 +1,74 @@
 """Dynamic per-region consumption bands (A1) and meter anomaly scoring.
 
-``percentile_approx`` is a mergeable sketch: each task builds a partial sketch
-per region before the shuffle (``ObjectHashAggregate`` partial/final), so a
-region holding a third of all readings never lands in one task as raw rows.
-The threshold table has one row per region. It is materialized once and
-broadcast only after its row count is checked (``bounded_broadcast``); with
-more groups than the bound it is joined with a shuffle join instead, so the
-raw readings are never shuffled just to meet a handful of threshold rows.
+Percentiles are exact: the value whose rank is ``ceil(p * n)``. No sketch is merged
+per region and no region's readings meet in one task:
+
+1. values are counted per (region, bucket), partially aggregated before the shuffle; a
+   bucket is a thin monotone slice of the value axis, and there are at most a few million
+   slices however wide the values spread;
+2. running counts over a region's slices name the slice that holds each rank;
+3. only the values of those slices are counted one by one, and running counts inside the
+   slice give the value.
+
+Everything is one lazy plan; building it runs no job.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltaic import schemas as K
 from voltaic.functions.scoring import meter_anomaly_flag, meter_anomaly_type
-from voltaic.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
-__all__ = ["region_thresholds", "score_meter_anomaly"]
+__all__ = ["exact_percentiles", "region_thresholds", "score_meter_anomaly"]
+
+#: Slices for each factor of e on the value axis.
+SLICES = 1024
+_NAN_SLICE = 1 << 40
+
+
+def _slice(v: Column) -> Column:
+    """Monotone slice number of a double: NaN last (as Spark orders it), infinities at the ends."""
+    far = F.least(F.log1p(F.abs(v)), F.lit(1e6))
+    return F.when(F.isnan(v), F.lit(_NAN_SLICE)).otherwise(F.floor(F.signum(v) * far * SLICES)).cast("bigint")
+
+
+def exact_percentiles(df: DataFrame, group: str, value: str, percentiles: dict[str, float]) -> DataFrame:
+    """One row per group (NULL included) that has a value: a column per named percentile.
+
+    A percentile ``p`` is the smallest value whose rank among the group's non-NULL values is at
+    least ``ceil(p * n)`` (and at least 1).
+    """
+    rows = df.select(F.col(f"`{group}`").alias("g"), F.col(f"`{value}`").cast("double").alias("v")).filter("v is not null")
+    rows = rows.withColumn("slice", _slice(F.col("v")))
+    of_group = Window.partitionBy("g")
+    counts = rows.groupBy("g", "slice").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumns({"upto": F.sum("n").over(of_group.orderBy("slice")), "total": F.sum("n").over(of_group)})
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"),
+                                F.greatest(F.ceil(F.lit(p) * F.col("total")), F.lit(1)).cast("bigint").alias("rank"))
+                       for name, p in percentiles.items()])
+    held = counts.select("g", "slice", (F.col("upto") - F.col("n")).alias("before"), "upto", F.explode(wanted).alias("w"))
+    held = held.filter("w.rank > before and w.rank <= upto").select(
+        F.col("g").alias("pg"), F.col("slice").alias("pslice"), "w.name", (F.col("w.rank") - F.col("before")).alias("need"))
+    inside = rows.join(held, F.col("g").eqNullSafe(F.col("pg")) & (F.col("slice") == F.col("pslice")))
+    exact = inside.groupBy("g", "name", "need", "v").agg(F.count(F.lit(1)).alias("n"))
+    exact = exact.withColumn("upto", F.sum("n").over(Window.partitionBy("g", "name").orderBy("v"))).filter("upto >= need")
+    return exact.groupBy(F.col("g").alias(group)).agg(
+        *[F.min(F.when(F.col("name") == name, F.col("v"))).alias(name) for name in percentiles])
 
 
 def region_thresholds(readings: DataFrame, group: str = "region", value: str = "kwh_consumed",
-                      low: float = K.METER_LOW_PERCENTILE, high: float = K.METER_HIGH_PERCENTILE,
-                      accuracy: int = 10000) -> DataFrame:
+                      low: float = K.METER_LOW_PERCENTILE, high: float = K.METER_HIGH_PERCENTILE) -> DataFrame:
     """Per-group low/high percentiles of ``value`` (``p01_kwh``, ``p99_kwh``)."""
-    p = F.percentile_approx(F.col(value), [low, high], accuracy)
-    return (readings.groupBy(group).agg(p.alias("__p"))
-            .select(group, F.col("__p")[0].alias("p01_kwh"), F.col("__p")[1].alias("p99_kwh")))
+    return exact_percentiles(readings, group, value, {"p01_kwh": low, "p99_kwh": high})
 
 
 def score_meter_anomaly(readings: DataFrame, thresholds: DataFrame | None = None, group: str = "region",
-                        value: str = "kwh_consumed", keep_bounds: bool = False,
-                        broadcast_max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS, **kw) -> DataFrame:
+                        value: str = "kwh_consumed", keep_bounds: bool = False, **kw) -> DataFrame:
     """Add ``is_kwh_anomaly`` (strictly outside the band; NULL when unknown) and
-    ``anomaly_type``. A NULL group never matches a threshold row.
-
-    ``broadcast_max_rows=None`` skips the checked broadcast and leaves the join
-    strategy to the optimizer (no job runs while building the plan).
-    """
+    ``anomaly_type``. A NULL group never matches a threshold row."""
     thr = thresholds if thresholds is not None else region_thresholds(readings, group, value, **kw)
-    if broadcast_max_rows is not None:
-        thr = bounded_broadcast(thr, broadcast_max_rows)
     out = readings.join(thr, group, "left")
     kwh, lo, hi = F.col(value), F.col("p01_kwh"), F.col("p99_kwh")
     out = out.withColumns({"is_kwh_anomaly": meter_anomaly_flag(kwh, lo, hi),

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from voltaic import schemas as K
 from voltaic.functions.columns import change_columns, null_safe_changed
 
-__all__ = ["cdc_deletes", "cdc_upserts", "cdc_apply", "empty_like", "scd2_baseline",
+__all__ = ["cdc_upserts", "cdc_apply", "empty_like", "scd2_baseline",
            "dim_current", "scd2_next_version", "scd2_changes", "scd2_apply", "snapshot_diff"]
 
 
@@ -41,17 +41,12 @@ def empty_like(spark, schema: T.StructType) -> DataFrame:
 # ---------------------------------------------------------------------------
 # CDC (M1, M2)
 # ---------------------------------------------------------------------------
-def cdc_deletes(latest: DataFrame, key: Sequence[str], op_col: str = "__$operation") -> DataFrame:
-    return latest.filter(F.col(_q(op_col)) == K.CDC_OP_DELETE).select(*[_q(k) for k in key]).distinct()
-
-
 def cdc_upserts(latest: DataFrame, op_col: str = "__$operation") -> DataFrame:
     return latest.filter(F.col(_q(op_col)).isin(K.CDC_OP_INSERT, K.CDC_OP_AFTER_IMAGE))
 
 
 def cdc_apply(target: DataFrame, latest: DataFrame, key: Sequence[str] = ("transaction_id",),
-              op_col: str = "__$operation", deletes: bool = True, upserts: bool = True,
-              broadcast_max_keys: int | None = 1_000_000) -> DataFrame:
+              op_col: str = "__$operation", deletes: bool = True, upserts: bool = True) -> DataFrame:
     """Apply one change per key: deletes remove the key, inserts/after-images
     replace every column (or insert). ``latest`` must hold one row per key
     (see :func:`voltaic.operators.dedup.cdc_latest`).
@@ -59,24 +54,15 @@ def cdc_apply(target: DataFrame, latest: DataFrame, key: Sequence[str] = ("trans
     One anti-join removes every key that is deleted or replaced; the upserts are
     then appended. A delete of an unknown key is a no-op and NULL keys never match.
 
-    With ``broadcast_max_keys`` the change set is materialized once (shared
-    checkpoint folder) and, when it touches at most that many keys, the keys
-    are broadcast: the (large) target is then filtered where it is read, with
-    no shuffle. Larger change sets use a shuffle anti-join. ``None`` leaves the
-    join strategy to the optimizer and runs no job while planning.
+    Only the touched keys enter the join; adaptive execution broadcasts them when their
+    measured size allows it. Building the plan runs no job.
     """
     touched_ops = []
     if deletes:
         touched_ops.append(K.CDC_OP_DELETE)
     if upserts:
         touched_ops += [K.CDC_OP_INSERT, K.CDC_OP_AFTER_IMAGE]
-    small = False
-    if broadcast_max_keys is not None:
-        from voltaic.operators.joins import materialize_and_measure
-        latest, small = materialize_and_measure(latest, broadcast_max_keys)
     touched = latest.filter(F.col(_q(op_col)).isin(*touched_ops)).select(*[_q(k) for k in key])
-    if small:
-        touched = F.broadcast(touched)
     kept = target.join(touched, list(key), "left_anti").select(*[_q(c) for c in target.columns])
     if not upserts:
         return kept
@@ -113,7 +99,7 @@ def scd2_next_version(delta: DataFrame, dim: DataFrame, key: Sequence[str]) -> D
 
 def scd2_changes(dim: DataFrame, delta: DataFrame, key: Sequence[str],
                  compare_cols: Sequence[str] | None = None, end_offset_days: int = 1,
-                 insert_new_versions: bool = True, broadcast_max_keys: int | None = 1_000_000) -> DataFrame:
+                 insert_new_versions: bool = True) -> DataFrame:
     """Current rows and delta rows after the merge, tagged by ``_scd_action``:
 
     ``keep`` (untouched current row), ``expire`` (changed: closed with
@@ -127,17 +113,6 @@ def scd2_changes(dim: DataFrame, delta: DataFrame, key: Sequence[str],
     if compare_cols is None:
         compare_cols = [c for c in change_columns(delta, keys=key) if c in dim_cols]
     cur = dim_current(dim)
-    untouched = None
-    if broadcast_max_keys is not None:
-        # Small delta: only the current rows it touches take part in the (shuffled) full
-        # outer join; all other current rows pass through a broadcast anti-join unshuffled.
-        from voltaic.operators.joins import materialize_and_measure
-        delta, small = materialize_and_measure(delta, broadcast_max_keys)
-        if small:
-            keys = F.broadcast(delta.select(*[_q(k) for k in key]))
-            untouched = cur.join(keys, list(key), "left_anti").select(
-                *[_q(c) for c in dim_cols], F.lit("keep").alias("_scd_action"))
-            cur = cur.join(keys, list(key), "left_semi")
     cur = cur.alias("t")
     src = delta.withColumn("__present", F.lit(True)).alias("s")
     j = cur.join(src, _key_cond(key, "t", "s"), "full_outer")
@@ -173,7 +148,7 @@ def scd2_changes(dim: DataFrame, delta: DataFrame, key: Sequence[str],
             old, new = t_c, F.col(f"s.{_q(c)}")
         else:
             old = t_c
-            new = F.col(f"s.{_q(c)}") if c in delta.columns else F.lit(None)
+            new = F.col(f"s.{_q(c)}") if c in delta.columns else t_c       # absent from the delta: carried forward
         old_fields.append(typed(c, old))
         new_fields.append(typed(c, new))
 
@@ -185,23 +160,23 @@ def scd2_changes(dim: DataFrame, delta: DataFrame, key: Sequence[str],
     old_row = F.when(t_here, F.struct(*old_fields, action_old.alias("_scd_action")))
     new_row = F.when(emit_new, F.struct(*new_fields, action_new.alias("_scd_action")))
     rows = F.filter(F.array(old_row, new_row), lambda r: r.isNotNull())
-    out = j.select(F.inline(rows))
-    return out if untouched is None else untouched.unionByName(out)
+    return j.select(F.inline(rows))
 
 
 def scd2_apply(dim: DataFrame, delta: DataFrame, key: Sequence[str],
                compare_cols: Sequence[str] | None = None, end_offset_days: int = 1,
-               insert_new_versions: bool = True, broadcast_max_keys: int | None = 1_000_000) -> DataFrame:
+               insert_new_versions: bool = True) -> DataFrame:
     """New dimension after an SCD2 merge: untouched history plus :func:`scd2_changes`.
 
-    Re-applying the same delta is a no-op (the new current rows equal the delta).
-    With ``broadcast_max_keys`` (default) a delta whose key count is checked to be
-    within the bound is broadcast, so the untouched part of the dimension is
-    never shuffled; a larger delta uses one full outer join of the current rows.
+    Columns that only the delta has are added (NULL in older rows); columns that it lacks are
+    carried forward. Re-applying the same delta is a no-op (the new current rows equal the delta).
+    One full outer join of the current rows with the delta; the history is not shuffled.
     """
+    known = {f.name: f.dataType for f in delta.schema.fields}
+    fresh = {c: F.lit(None).cast(known[c]) for c in change_columns(delta, keys=key) if c not in dim.columns}
+    dim = dim.withColumns(fresh) if fresh else dim                    # a column that the delta brings is kept
     history = dim.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
-    merged = scd2_changes(dim, delta, key, compare_cols, end_offset_days, insert_new_versions,
-                          broadcast_max_keys).drop("_scd_action")
+    merged = scd2_changes(dim, delta, key, compare_cols, end_offset_days, insert_new_versions).drop("_scd_action")
     return history.unionByName(merged)
 
 

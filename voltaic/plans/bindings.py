@@ -19,8 +19,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from voltaic.functions.columns import (backfill_columns, exact_sum, to_ntz, ts_from_filename,
+from voltaic.functions.columns import (backfill_columns, rounded, to_ntz, ts_from_filename,
                                        with_event_time, with_hour_bucket, first_existing, resolve_column)
 from voltaic.functions.columns import canonicalize
 from voltaic.functions.scoring import band_anomaly, billing_mismatch, cdc_op_name, is_overheating, with_risk_score
@@ -35,7 +36,9 @@ CDC_SPLIT_DATE = "1997-01-01"
 SCD_EFFECTIVE = "2025-06-01"
 NEW_KEY_OFFSET = 1_000_000_000
 EVOLVED_FROM = "2024-01-16"
+STREAM_DELAY = "4000 days"    # more than any of the tables spans
 FRAUD_BELOW = 25000.0
+FRAUD_SCALE = 1000.0    # brings order totals into the range of the fraud band of base amounts
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -400,7 +403,7 @@ def q_renewable_silver(spark, sf):
         F.concat(F.lit("landing/renewable_production_"), F.date_format("ts", "yyyyMMdd"), F.lit("_"),
                  F.date_format("ts", "HH"), F.lit("00.json")).alias("_source_file"),
         F.lit("2025-06-15 00:00:00").cast("timestamp").alias("_ingestion_ts"))
-    return to_ntz(silver_renewable(bronze).select("reading_id", "plant_id", "production_mw", "event_ts", "event_date",
+    return to_ntz(silver_renewable(bronze)[0].select("reading_id", "plant_id", "production_mw", "event_ts", "event_date",
                                                   "curtailment_mw", "battery_storage_mwh"))
 
 
@@ -419,22 +422,27 @@ def q_billing_silver(spark, sf):
 def q_billing_mismatch(spark, sf):
     li = _t(spark, sf, "lineitem")
     charge = (li.groupBy(F.col("l_orderkey").alias("transaction_id"))
-                .agg(exact_sum(F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")))
+                .agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")))
                      .alias("metered_charge")))
     b = bills_feed(spark, sf).join(charge, "transaction_id", "left")
     lo, hi = K.FRAUD_BASE_AMOUNT_BAND
-    return b.select("transaction_id", "total_amount", "metered_charge",
+    return rounded(b.select("transaction_id", "total_amount", "metered_charge",
                     billing_mismatch(F.col("metered_charge"), F.lit(1.0), F.col("total_amount")).alias("mismatch_ratio"),
-                    F.col("total_amount").between(lo, hi).alias("base_amount_in_fraud_band"))
+                    (F.col("total_amount") / FRAUD_SCALE).between(lo, hi).alias("base_amount_in_fraud_band")))
 
 
 def q_usage_hourly(spark, sf):
-    return marts.usage_hourly(scored_meters(spark, sf))
+    return rounded(marts.usage_hourly(scored_meters(spark, sf)))
+
+
+def q_meter_customers(spark, sf):
+    """The (meter, customer) bridge."""
+    return marts.meter_customers(merge.dim_current(customer_dim(spark, sf)))
 
 
 def q_usage_customer(spark, sf):
     hourly = marts.usage_hourly(scored_meters(spark, sf))
-    return marts.usage_with_customer(hourly, merge.dim_current(customer_dim(spark, sf)))
+    return rounded(marts.usage_with_customer(hourly, merge.dim_current(customer_dim(spark, sf))))
 
 
 def q_health_hourly(spark, sf):
@@ -447,19 +455,19 @@ def q_health_enriched(spark, sf):
 
 
 def q_billing_daily(spark, sf):
-    return marts.billing_daily(bills_feed(spark, sf))
+    return rounded(marts.billing_daily(bills_feed(spark, sf)))
 
 
 def q_renewable_hourly(spark, sf):
-    return marts.renewable_hourly(renewable_feed(spark, sf))
+    return rounded(marts.renewable_hourly(renewable_feed(spark, sf)))
 
 
 def q_renewable_daily(spark, sf):
-    return marts.renewable_daily(marts.renewable_hourly(renewable_feed(spark, sf)))
+    return rounded(marts.renewable_daily(marts.renewable_hourly(renewable_feed(spark, sf))))
 
 
 def q_energy_daily(spark, sf):
-    return marts.energy_daily(marts.usage_hourly(scored_meters(spark, sf)))
+    return rounded(marts.energy_daily(marts.usage_hourly(scored_meters(spark, sf))))
 
 
 def q_risk_daily(spark, sf):
@@ -467,11 +475,11 @@ def q_risk_daily(spark, sf):
 
 
 def q_ops_daily(spark, sf):
-    return _ops(spark, sf)
+    return rounded(_ops(spark, sf))
 
 
 def q_ops_snapshot(spark, sf):
-    return marts.ops_snapshot(_ops(spark, sf))
+    return rounded(marts.ops_snapshot(_ops(spark, sf)))
 
 
 def q_dq_null_keys(spark, sf):
@@ -597,8 +605,57 @@ def q_rowcounts(spark, sf):
 
 
 def q_stream_dedup(spark, sf):
+    """Every event twice, in micro-batches, down to once (T4); the delay covers the whole table."""
+    from voltaic.streaming.ingest import stream_dedup_events
+    return stream_dedup_events(spark, f"{sf}/events.parquet", STREAM_DELAY)
+
+
+def q_stream_dedup_id(spark, sf):
+    """The same by event id alone within the watermark (T5)."""
     from voltaic.streaming.ingest import stream_dedup_events
-    return stream_dedup_events(spark, f"{sf}/events.parquet")
+    return stream_dedup_events(spark, f"{sf}/events.parquet", STREAM_DELAY, within_watermark=True)
+
+
+def q_cdc_stream(spark, sf):
+    """Billing-style changes landed in four files, merged by a stream one file at a time (T9): the
+    files are dealt by part key, so changes arrive out of order and late ones must have no effect."""
+    from voltaic.session import shared_dir
+    from voltaic.streaming.ingest import cdc_foreach_batch, read_cdc_state, stream_table
+    root = shared_dir(spark, "voltaic", "cdc_stream")
+    cdc_feed(spark, sf).repartition(4, "l_partkey").write.parquet(f"{root}/landing")
+    q = (stream_table(spark, f"{root}/landing", files_per_batch=1).writeStream
+         .foreachBatch(cdc_foreach_batch(f"{root}/state", CDC_KEY)).option("checkpointLocation", f"{root}/_checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return read_cdc_state(spark, f"{root}/state")
+
+
+def q_csv_feed(spark, sf):
+    """Orders landed as CSV in two column orders (S4), read back by each file's own header."""
+    from voltaic.session import shared_dir
+    from voltaic.sources.ingest import read_csv_feed
+    root = shared_dir(spark, "voltaic", "csv_feed")
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    o.filter("o_orderstatus = 'F'").write.option("header", True).csv(f"{root}/f")
+    o.filter("o_orderstatus <> 'F'").select("o_totalprice", "o_orderstatus", "o_orderkey").write.option("header", True).csv(f"{root}/rest")
+    return read_csv_feed(spark, f"{root}/*", T.StructType.fromDDL("o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderstatus string"))
+
+
+def q_scd2_deltas(spark, sf):
+    """Two dated deltas applied in order (S13): a changed supplier gets three versions."""
+    from voltaic.plans.pipeline import apply_deltas
+    dim = transformer_dim(spark, sf)
+    s = _t(spark, sf, "supplier").select(F.col("s_suppkey").alias("transformer_id"), "s_name",
+                                         F.col("s_nationkey").alias("region"), "s_acctbal")
+    later = s.withColumns({"s_acctbal": F.col("s_acctbal") + 2, "record_effective_date": F.lit("2025-06-01")})
+    first = s.filter("region < 10").withColumns({"s_acctbal": F.col("s_acctbal") + 1, "record_effective_date": F.lit("2025-05-01")})
+    return apply_deltas(dim, later.unionByName(first))
+
+
+#: Queries whose feed or state has to be written first.
+EAGER = ("q_stream_dedup", "q_stream_dedup_id", "q_cdc_stream", "q_csv_feed", "q_scd2_deltas")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

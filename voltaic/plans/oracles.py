@@ -3,23 +3,31 @@
 Written directly against the registered views (``events``, ``lineitem``, ...),
 without any voltaic code, so a DuckDB run is an independent check of the Spark
 plans. Percentiles use the exact rank definition (smallest value whose rank is
-at least ceil(p * n)), which the Spark sketch meets at the checked scale.
+at least ceil(p * n)).
 """
 
 from __future__ import annotations
 
 
 def ES(x: str) -> str:
-    """Exact sum of a double measure at 6 decimals (integer part and rounded fraction summed
-    separately as integers), as double."""
-    v = f"CAST({x} AS DOUBLE)"
-    return (f"(CAST(CAST(SUM(CAST(FLOOR({v}) AS BIGINT)) AS HUGEINT) * 1000000"
-            f" + SUM(CAST(FLOOR(({v} - FLOOR({v})) * 1000000.0::DOUBLE + 0.5::DOUBLE) AS BIGINT)) AS DOUBLE)"
-            f" / 1000000.0::DOUBLE)")
+    """Sum of a measure."""
+    return f"SUM(CAST({x} AS DOUBLE))"
 
 
 def EA(x: str) -> str:
-    return f"({ES(x)} / CAST(COUNT({x}) AS DOUBLE))"
+    return f"AVG(CAST({x} AS DOUBLE))"
+
+
+def R(*columns: str) -> str:
+    """All columns, the named measures rounded to the six decimals at which results are compared."""
+    return "* REPLACE (" + ", ".join(f"round({c}, 6) AS {c}" for c in columns) + ")"
+
+
+USAGE = ("kwh_total", "voltage_avg", "current_avg", "pf_avg", "anomaly_rate")
+BILLED = ("amount_total", "amount_paid", "amount_outstanding", "fraud_rate")
+REN_HOUR = ("production_mw_sum", "grid_injection_mw_sum", "curtailment_mw_sum", "battery_storage_mwh_max", "curtailment_rate")
+REN_DAY = ("renewable_production_mw", "renewable_injection_mw", "renewable_curtailment_mw", "renewable_curtailment_rate")
+OPS_DOUBLES = ("kwh_total", "meter_anomaly_rate", "high_risk_rate", "amount_total", "amount_paid", "amount_outstanding", "fraud_rate", *REN_DAY)
 
 
 def GR(num: str, den: str) -> str:
@@ -433,26 +441,27 @@ ORACLES: dict[str, str] = {
         charge AS (SELECT l_orderkey AS transaction_id,
                           {ES("l_extendedprice * (1 - l_discount) * (1 + l_tax)")} AS metered_charge
                    FROM lineitem GROUP BY l_orderkey)
-        SELECT b.transaction_id, b.total_amount, c.metered_charge,
-               abs(c.metered_charge * 1.0::DOUBLE - b.total_amount) / b.total_amount AS mismatch_ratio,
-               b.total_amount BETWEEN 0.01 AND 50.0 AS base_amount_in_fraud_band
+        SELECT b.transaction_id, round(b.total_amount, 6) AS total_amount, round(c.metered_charge, 6) AS metered_charge,
+               round(abs(c.metered_charge * 1.0::DOUBLE - b.total_amount) / b.total_amount, 6) AS mismatch_ratio,
+               b.total_amount / 1000.0::DOUBLE BETWEEN 0.01 AND 50.0 AS base_amount_in_fraud_band
         FROM bills b LEFT JOIN charge c USING (transaction_id)""",
-    "q_usage_hourly": f"WITH {SCORED_METERS}, {usage_hourly('scored_meters', 'hourly')} SELECT * FROM hourly",
+    "q_usage_hourly": f"WITH {SCORED_METERS}, {usage_hourly('scored_meters', 'hourly')} SELECT {R(*USAGE)} FROM hourly",
+    "q_meter_customers": f"WITH {CUSTOMER} SELECT DISTINCT meter_id, customer_id FROM cust_dim WHERE is_current",
     "q_usage_customer": f"""WITH {SCORED_METERS}, {usage_hourly('scored_meters', 'hourly')}, {CUSTOMER}
-        SELECT * FROM hourly LEFT JOIN (SELECT meter_id, MIN(customer_id) AS customer_id, COUNT(*) AS meter_owner_count
+        SELECT {R(*USAGE)} FROM hourly LEFT JOIN (SELECT meter_id, MIN(customer_id) AS customer_id, COUNT(*) AS meter_owner_count
                                         FROM cust_dim WHERE is_current GROUP BY meter_id) o USING (meter_id)""",
     "q_health_hourly": f"WITH {TELEMETRY}, {HEALTH} SELECT * FROM health_hourly",
     "q_health_enriched": f"""WITH {TELEMETRY}, {HEALTH}, {TRANSFORMER}
         SELECT * FROM health_hourly LEFT JOIN (SELECT transformer_id, s_name, region AS dim_region, s_acctbal
                                                FROM trf_dim WHERE is_current) d USING (transformer_id)""",
-    "q_billing_daily": f"WITH {BILLS} SELECT * FROM bill_daily",
-    "q_renewable_hourly": f"WITH {RENEWABLE} SELECT * FROM ren_hourly",
-    "q_renewable_daily": f"WITH {RENEWABLE} SELECT * FROM ren_daily",
+    "q_billing_daily": f"WITH {BILLS} SELECT {R(*BILLED)} FROM bill_daily",
+    "q_renewable_hourly": f"WITH {RENEWABLE} SELECT {R(*REN_HOUR)} FROM ren_hourly",
+    "q_renewable_daily": f"WITH {RENEWABLE} SELECT {R(*REN_DAY)} FROM ren_daily",
     "q_energy_daily": f"""WITH {SCORED_METERS}, {usage_hourly('scored_meters', 'hourly')}, {energy_daily('hourly', 'energy')}
-        SELECT * FROM energy""",
+        SELECT {R("kwh_total", "meter_anomaly_rate")} FROM energy""",
     "q_risk_daily": f"WITH {TELEMETRY}, {HEALTH} SELECT * FROM risk_daily",
-    "q_ops_daily": OPS + "SELECT * FROM ops",
-    "q_ops_snapshot": OPS + "SELECT * FROM ops ORDER BY event_date DESC, region ASC NULLS FIRST, state ASC NULLS FIRST LIMIT 30",
+    "q_ops_daily": OPS + f"SELECT {R(*OPS_DOUBLES)} FROM ops",
+    "q_ops_snapshot": OPS + f"SELECT {R(*OPS_DOUBLES)} FROM ops ORDER BY event_date DESC, region ASC NULLS FIRST, state ASC NULLS FIRST LIMIT 30",
     "q_dq_null_keys": DQ_WITH + " SELECT * FROM (" + "\nUNION ALL\n".join([
         rule_rows("scored_meters", "smart_meter_readings", _pick(METER_RULES, {"PK_NOT_NULL_event_id", "PK_NOT_NULL_meter_id"}), include_zero=True, samples=False),
         rule_rows("scored_tel", "substation_telemetry", _pick(TEL_RULES, {"PK_NOT_NULL_telemetry_id", "PK_NOT_NULL_transformer_id"}), include_zero=True, samples=False),
@@ -503,6 +512,22 @@ ORACLES: dict[str, str] = {
            "SELECT 'GOLD', 'customer_hourly_usage', COUNT(*) FROM hourly",
            "SELECT 'GOLD', 'billing_kpis_daily', COUNT(*) FROM bill_daily"]),
     "q_stream_dedup": "SELECT DISTINCT * FROM events",
+    "q_stream_dedup_id": "SELECT * FROM events QUALIFY ROW_NUMBER() OVER (PARTITION BY event_id) = 1",
+    "q_cdc_stream": f"""WITH {CDC} SELECT * FROM (SELECT * FROM cdc_feed WHERE "__$operation" IS DISTINCT FROM 3
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {CDC_ORDER}) = 1)
+        WHERE "__$operation" IN (2, 4)""",
+    "q_csv_feed": """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS o_custkey, o_totalprice,
+        o_orderstatus FROM orders""",
+    "q_scd2_deltas": f"""WITH {TRANSFORMER}
+        SELECT transformer_id, s_name, region, s_acctbal, record_effective_date,
+               CASE WHEN region < 10 THEN DATE '2025-04-30' ELSE DATE '2025-05-31' END AS record_end_date,
+               false AS is_current, scd_version FROM trf_dim
+        UNION ALL
+        SELECT transformer_id, s_name, region, s_acctbal + 1, DATE '2025-05-01', DATE '2025-05-31', false, 2
+        FROM trf_dim WHERE region < 10
+        UNION ALL
+        SELECT transformer_id, s_name, region, s_acctbal + 2, DATE '2025-06-01', DATE '9999-12-31', true,
+               CASE WHEN region < 10 THEN 3 ELSE 2 END FROM trf_dim""",
     "q_meter_silver": f"""WITH m AS (
           SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS meter_id, event_type AS region,
                  TRY_CAST(CAST(ts AS VARCHAR) AS TIMESTAMP) AS event_ts, value AS kwh_consumed FROM events),

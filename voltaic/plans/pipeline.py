@@ -25,7 +25,8 @@ from voltaic.operators.anomaly import score_meter_anomaly
 from voltaic.operators.dedup import cdc_latest, dedup_latest, split_key_validity, with_fallback_key
 from voltaic.session import cut_lineage
 from voltaic.plans.tables import (AUDIT_DDL, Layout, ensure_database, read_current, register_current_view,
-                                  register_table, write_partitioned, write_table, write_version)
+                                  read_if_present, register_table, reset_checkpoints, write_partitioned, write_table,
+                                  write_version)
 from voltaic.sources.ingest import (add_ingestion_cols, evolve_schema, load_schema, new_files_only,
                                     read_csv_feed, read_json_feed, read_parquet_feed, save_schema, stream_json_feed)
 from voltaic.streaming.ingest import run_available_now
@@ -75,11 +76,11 @@ def ingest_bronze(spark: SparkSession, src: Sources, lay: Layout, batch_id: str,
         res.tables[f"bronze.{name}"] = out
 
     if src.smart_meter:
-        stream("smart_meter_events", src.smart_meter, K.SMART_METER_SCHEMA, "smart_meter")
+        stream("smart_meter_events", src.smart_meter, K.with_corrupt(K.SMART_METER_SCHEMA), "smart_meter")
     if src.telemetry:
-        stream("substation_telemetry_events", src.telemetry, K.TELEMETRY_SCHEMA, "substation_telemetry")
+        stream("substation_telemetry_events", src.telemetry, K.with_corrupt(K.TELEMETRY_SCHEMA), "substation_telemetry")
     if src.billing_cdc:
-        batch("billing_cdc_events", read_json_feed(spark, src.billing_cdc, K.BILLING_CDC_SCHEMA), "billing_cdc", True)
+        batch("billing_cdc_events", read_json_feed(spark, src.billing_cdc, K.with_corrupt(K.BILLING_CDC_SCHEMA)), "billing_cdc", True)
     if src.maintenance:
         batch("maintenance_logs", read_csv_feed(spark, src.maintenance, K.MAINTENANCE_SCHEMA), "maintenance_csv", True)
     for name, path, system in [("transformer_master_snapshot", src.transformer_snapshot, "transformer_master"),
@@ -97,21 +98,24 @@ def ingest_bronze(spark: SparkSession, src: Sources, lay: Layout, batch_id: str,
 
 
 def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:
-        return None
+    """A bronze table with the columns of all its files, or None if it was never written."""
+    return read_if_present(lambda: spark.read.option("mergeSchema", True).parquet(path))
 
 
 # ---------------------------------------------------------------------------
 # Silver
 # ---------------------------------------------------------------------------
+def _curated(bronze: DataFrame) -> DataFrame:
+    """Curated names only."""
+    return canonicalize(bronze).drop(*K.CANONICAL_NAMES)
+
+
 def silver_meters(bronze: DataFrame, materialize=None, fallback_key: bool = False) -> tuple[DataFrame, DataFrame]:
     """(scored readings, quarantined rows). Scoring reads the deduplicated readings twice
     (per-region thresholds, then the join); ``materialize`` (e.g. ``cut_lineage``) lets the
     writer store them once so the dedup shuffle is not repeated. With ``fallback_key`` a
     reading without ``event_id`` is keyed by ``meter_id|event_ts`` instead of quarantined."""
-    sm = with_event_time(canonicalize(bronze), "timestamp", "event_ts", "event_date")
+    sm = with_event_time(_curated(bronze), "timestamp", "event_ts", "event_date")
     key = "event_id"
     if fallback_key:
         sm = with_fallback_key(sm, "event_id", ["meter_id", "event_ts"])
@@ -126,7 +130,7 @@ def silver_meters(bronze: DataFrame, materialize=None, fallback_key: bool = Fals
 
 
 def silver_telemetry(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    tel = with_event_time(canonicalize(bronze), "timestamp", "telemetry_ts", "event_date")
+    tel = with_event_time(_curated(bronze), "timestamp", "telemetry_ts", "event_date")
     valid, quarantine = split_key_validity(tel, ["telemetry_id"])
     latest = dedup_latest(valid, ["telemetry_id"], [F.col("_ingestion_ts").desc(), F.col("_source_file").desc()])
     return with_risk_score(latest), quarantine
@@ -137,16 +141,18 @@ def silver_maintenance(bronze: DataFrame) -> DataFrame:
     return bronze.withColumn("maintenance_ts", parse_ts(F.col(c).cast("string"))) if c else bronze
 
 
-def silver_renewable(bronze: DataFrame) -> DataFrame:
+def silver_renewable(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(readings, quarantined rows): typed, backfilled, the latest of each reading id."""
     c = resolve_column(bronze, K.RENEWABLE_TIME_CANDIDATES)
     if c:
         ren = bronze.withColumn("event_ts", parse_ts(F.col(c).cast("string"))).drop(c)
     else:
         ren = bronze.withColumn("event_ts", ts_from_filename("_source_file", K.RENEWABLE_FILE_PATTERN))
     ren = backfill_columns(ren.withColumn("event_date", F.to_date("event_ts")), K.RENEWABLE_EVOLVED_COLUMNS)
-    if "reading_id" in ren.columns:
-        ren = dedup_latest(ren, ["reading_id"], [F.col("_ingestion_ts").desc(), F.col("_source_file").desc()])
-    return ren
+    if "reading_id" not in ren.columns:
+        return ren, ren.limit(0)
+    ren, quarantine = split_key_validity(ren, ["reading_id"])
+    return dedup_latest(ren, ["reading_id"], [F.col("_ingestion_ts").desc(), F.col("_source_file").desc()]), quarantine
 
 
 def silver_billing(bronze: DataFrame) -> DataFrame:
@@ -163,11 +169,29 @@ def _dim_dates(df: DataFrame) -> DataFrame:
     return df.withColumns(fix) if fix else df
 
 
-def run_silver(spark: SparkSession, lay: Layout, batch_id: str, res: RunResult,
-               incremental: bool = False) -> dict[str, DataFrame]:
-    """Silver tables. Merge targets (transformer SCD2, billing current state) continue
-    from their current version in INCR mode; FULL rebuilds them from the snapshot and
-    the whole bronze change history into a fresh version."""
+def apply_deltas(dim: DataFrame, deltas: DataFrame, key: str = "transformer_id", step=None) -> DataFrame:
+    """An SCD2 dimension after all dated deltas, applied in the order of their effective dates.
+
+    One merge for each date (dates of delta files: a handful; ``step`` may store the dimension in
+    between). A row that is not newer than its key's current version changes nothing, so deltas
+    that were applied before may be given again.
+    """
+    deltas = _dim_dates(deltas)
+    days = [r[0] for r in deltas.select("record_effective_date").distinct().orderBy("record_effective_date").collect()]
+    for i, day in enumerate(days):
+        rows = deltas.filter(F.col("record_effective_date").eqNullSafe(F.lit(day)))
+        current = merge.dim_current(dim).select(key, F.to_date("record_effective_date").alias("__since"))
+        rows = dedup_latest(rows, [key], [F.col("record_end_date").desc()] if "record_end_date" in rows.columns else [])
+        rows = rows.join(current, key, "left").filter("__since is null or record_effective_date > __since").drop("__since")
+        dim = merge.scd2_apply(dim, rows, [key])
+        if step is not None and i < len(days) - 1:
+            dim = step(dim)
+    return dim
+
+
+def run_silver(spark: SparkSession, lay: Layout, batch_id: str, res: RunResult) -> dict[str, DataFrame]:
+    """Silver tables. Merge targets (transformer SCD2, billing changes) continue from their
+    current version in either run mode; what a run applies again changes nothing."""
     out: dict[str, DataFrame] = {}
     b = lambda n: _try_read(spark, lay.path("bronze", n))
 
@@ -190,31 +214,30 @@ def run_silver(spark: SparkSession, lay: Layout, batch_id: str, res: RunResult,
     if (cust := b("customer_master_snapshot")) is not None:
         save("dim_customer", _dim_dates(merge.scd2_baseline(cust)))
     if (ren := b("renewable_production")) is not None:
-        save("renewable_production", silver_renewable(ren))
+        readings, q = silver_renewable(ren)
+        save("renewable_production", readings)
+        save("renewable_quarantine", q)
 
     snap, delta = b("transformer_master_snapshot"), b("transformer_master_delta")
     if snap is not None:
         path = lay.path("silver", "dim_transformer")
-        dim = read_current(spark, path) if incremental else None
+        dim = read_current(spark, path)
         if dim is None:
             dim = _dim_dates(merge.scd2_baseline(snap))
         if delta is not None:
-            d = dedup_latest(_dim_dates(delta), ["transformer_id"], [F.col("record_effective_date").desc()])
-            d = d.select(*[c for c in d.columns if c in dim.columns])
-            dim = merge.scd2_apply(dim, d, ["transformer_id"])
+            dim = apply_deltas(dim, delta, step=cut_lineage)
         res.tables["silver.dim_transformer"] = write_version(spark, dim, path, batch_id)
         out["dim_transformer"] = read_current(spark, path)
 
     if (bill := b("billing_cdc_events")) is not None:
-        path = lay.path("silver", "billing_transactions_current")
-        changes = silver_billing(bill)
-        latest = cdc_latest(changes, ["transaction_id"])
-        target = read_current(spark, path) if incremental else None
-        if target is None:
-            target = merge.empty_like(spark, changes.schema)
-        new_state = merge.cdc_apply(target, latest.select(*target.columns), ["transaction_id"])
-        res.tables["silver.billing_transactions_current"] = write_version(spark, new_state, path, batch_id)
-        out["billing_transactions_current"] = read_current(spark, path)
+        path = lay.path("silver", "billing_changes_latest")
+        changes, q = split_key_validity(silver_billing(bill), ["transaction_id"])
+        save("billing_quarantine", q)
+        state = read_current(spark, path)                # the latest change of each key, deletes included
+        if state is not None:
+            changes = state.unionByName(changes, allowMissingColumns=True)
+        write_version(spark, cdc_latest(changes, ["transaction_id"]), path, batch_id)
+        save("billing_transactions_current", merge.cdc_upserts(read_current(spark, path)))
     return out
 
 
@@ -250,8 +273,7 @@ def run_gold(spark: SparkSession, lay: Layout, silver: dict[str, DataFrame], inc
         save("renewable_kpis_hourly", marts.renewable_hourly(silver["renewable_production"]), "event_date")
         ren = marts.renewable_daily(out["renewable_kpis_hourly"])
     if hourly is not None and health is not None:
-        energy = marts.energy_daily(hourly)
-        risk = marts.risk_daily(health)
+        energy, risk = marts.energy_daily(out["customer_hourly_usage"]), marts.risk_daily(out["transformer_health_hourly"])
         if bills is None:
             bills = spark.createDataFrame([], "bill_date date, tx_count bigint, amount_total double, amount_paid double, "
                                               "amount_outstanding double, fraud_rate double")
@@ -276,7 +298,7 @@ def run_audit(spark: SparkSession, lay: Layout, batch_id: str, silver: dict[str,
                                                          allowMissingColumns=True)
         parts.append(quality.evaluate_rules(tel, quality.telemetry_rules(), "substation_telemetry"))
     if "billing_transactions_current" in silver:
-        bill = silver["billing_transactions_current"]
+        bill = silver["billing_transactions_current"].unionByName(silver["billing_quarantine"], allowMissingColumns=True)
         parts.append(quality.evaluate_rules(bill, quality.billing_rules(bill), "billing_transactions_current"))
     if "dim_transformer" in silver:
         trf = silver["dim_transformer"]
@@ -289,7 +311,7 @@ def run_audit(spark: SparkSession, lay: Layout, batch_id: str, silver: dict[str,
         for p in parts[1:]:
             v = v.unionByName(p)
         v = v.select(F.lit(batch_id).alias("batch_id"), *v.columns, F.current_timestamp().alias("created_ts"))
-        write_table(v.coalesce(1), lay.path("audit", "dq_violations"), "append")
+        write_table(v.repartition(1), lay.path("audit", "dq_violations"), "append")
         res.tables["audit.dq_violations"] = lay.path("audit", "dq_violations")
 
     # coverage and time bounds (tiny one-row aggregates)
@@ -332,19 +354,23 @@ def register_catalog(spark: SparkSession, target_root: str, prefix: str, res: Ru
 
 
 def run_pipeline(spark: SparkSession, sources: Sources, target_root: str, run_mode: str = "FULL",
-                 batch_id: str | None = None, catalog_prefix: str | None = None) -> RunResult:
+                 batch_id: str | None = None, catalog_prefix: str | None = None,
+                 forget_checkpoints: bool = False) -> RunResult:
     """Run all layers once with a single batch id; returns written paths and metrics.
 
     With ``catalog_prefix`` the written tables are also registered in the session
-    catalog (``<prefix>_bronze`` ... ``<prefix>_audit`` databases).
+    catalog (``<prefix>_bronze`` ... ``<prefix>_audit`` databases). ``forget_checkpoints`` makes the
+    streams read every landed file again (the latest-per-key steps absorb the repeats).
     """
     if run_mode not in ("FULL", "INCR"):
         raise ValueError("run_mode must be FULL or INCR")
     batch_id = batch_id or uuid.uuid4().hex
     lay = Layout(target_root)
     res = RunResult(batch_id)
+    if forget_checkpoints:
+        reset_checkpoints(spark, lay)
     ingest_bronze(spark, sources, lay, batch_id, run_mode, res)
-    silver = run_silver(spark, lay, batch_id, res, incremental=run_mode == "INCR")
+    silver = run_silver(spark, lay, batch_id, res)
     gold = run_gold(spark, lay, silver, run_mode == "INCR", res)
     run_audit(spark, lay, batch_id, silver, gold, res)
     res.tables["audit.table_metrics"] = lay.path("audit", "table_metrics")

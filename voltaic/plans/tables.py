@@ -1,17 +1,19 @@
 """Table layout and writes (the only place that persists data).
 
-Merge targets are immutable versions: ``<table>/v=<batch_id>/`` plus a one-row
-``<table>/_current`` pointer, because Spark cannot overwrite a path its own
-plan is reading. Partitioned marts use dynamic partition overwrite so an
+Merge targets are immutable versions, ``<table>/v=<tag>-<id>/``, listed in
+``<table>/_versions``, because Spark cannot overwrite a path its own plan is reading. Partitioned marts use dynamic partition overwrite so an
 incremental run replaces only the dates it produced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -58,28 +60,72 @@ def write_partitioned(spark: SparkSession, df: DataFrame, path: str, partition_b
         spark.conf.set(key, old)
 
 
-def current_version(spark: SparkSession, table_path: str) -> str | None:
-    """Path of the current version of a versioned table, or None if it has none."""
+#: What Spark says when a table was never written: no folder, or one without any file.
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+VERSIONS_KEPT = 2
+
+
+def read_if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """``read()``, or None if its path was never written. Any other error is raised."""
     try:
-        rows = spark.read.text(f"{table_path}/_current").take(1)
-    except Exception:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() in _ABSENT:
+            return None
+        raise
+
+
+def _versions(spark: SparkSession, table_path: str) -> DataFrame | None:
+    return read_if_present(lambda: spark.read.schema("n bigint, path string, tag string").json(f"{table_path}/_versions"))
+
+
+def current_version(spark: SparkSession, table_path: str, before_tag: int | None = None) -> str | None:
+    """Path of the newest version of a versioned table (optionally among numeric tags below
+    ``before_tag``), or None if it has none."""
+    log = _versions(spark, table_path)
+    if log is None:
         return None
-    return rows[0][0] if rows else None
+    if before_tag is not None:
+        log = log.filter(F.col("tag").cast("bigint") < before_tag)
+    return log.agg(F.max_by("path", "n")).first()[0]
 
 
-def read_current(spark: SparkSession, table_path: str) -> DataFrame | None:
-    v = current_version(spark, table_path)
+def read_current(spark: SparkSession, table_path: str, before_tag: int | None = None) -> DataFrame | None:
+    v = current_version(spark, table_path, before_tag)
     return spark.read.parquet(v) if v else None
 
 
-def write_version(spark: SparkSession, df: DataFrame, table_path: str, version: str) -> str:
-    """Write ``df`` as a new immutable version and move the pointer to it."""
-    target = f"{table_path}/v={version}"
-    df.write.mode("overwrite").parquet(target)
-    spark.createDataFrame([(target,)], "path string").coalesce(1).write.mode("overwrite").text(f"{table_path}/_current")
+def write_version(spark: SparkSession, df: DataFrame, table_path: str, tag: str) -> str:
+    """Write ``df`` as a new version in a folder of its own and make it the current one.
+
+    The folder is never one that an earlier version uses, so a retry with the same tag may read
+    the version that it replaces. The version log gains one line, last: readers see the old
+    version until that file is committed and the new one from then on. Versions that are not
+    among the newest ``VERSIONS_KEPT`` are deleted afterwards.
+    """
+    log = _versions(spark, table_path)
+    last = (log.agg(F.max("n")).first()[0] if log is not None else None) or 0
+    target = f"{table_path}/v={tag}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(target)
+    entry = spark.createDataFrame([(last + 1, target, str(tag))], "n bigint, path string, tag string")
+    entry.coalesce(1).write.mode("append").json(f"{table_path}/_versions")
+    if log is not None:
+        for old in log.filter(F.col("n") <= last + 1 - VERSIONS_KEPT).select("path").distinct().collect():  # a few paths
+            _delete(spark, old["path"])
     return target
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def reset_checkpoints(spark: SparkSession, lay: Layout) -> None:
+    """Forget what the streams have read: the next run ingests every landed file again."""
+    _delete(spark, lay.checkpoints)
+
+
 # ---------------------------------------------------------------------------
 # Catalog registration (external tables over the written folders)
 # ---------------------------------------------------------------------------

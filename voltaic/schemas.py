@@ -42,7 +42,6 @@ VOLTAGE_MIN_V = 150.0
 VOLTAGE_MAX_V = 300.0
 OIL_DELTA_IMPLAUSIBLE_C = 80.0
 DQ_SAMPLE_KEYS = 20
-SEVERITY_ORDER = ("CRITICAL", "WARNING")
 
 # Candidate column names, first present wins.
 AMOUNT_CANDIDATES = ("amount_due", "amount", "total_amount", "bill_amount")
@@ -58,8 +57,10 @@ RENEWABLE_FILE_PATTERN = r"renewable_production_(\d{8})_(\d{4})"
 CANONICAL_NAMES = {"reading_kwh": "kwh_consumed", "load_percentage": "load_pct"}
 
 # ---------------------------------------------------------------------------
-# Feed contracts (JSON messages as they arrive; timestamps stay strings)
+# Feed contracts (JSON messages as they arrive; timestamps stay strings). A measure that feeds
+# name in two ways is listed under both names.
 # ---------------------------------------------------------------------------
+CORRUPT = "_corrupt_record"               # the raw text of a line that is no such message
 S, D, L, I, B = T.StringType(), T.DoubleType(), T.LongType(), T.IntegerType(), T.BooleanType()
 
 
@@ -72,6 +73,7 @@ SMART_METER_SCHEMA = _schema(
     ("reading_kwh", D), ("voltage_v", D), ("current_a", D), ("power_factor", D),
     ("frequency_hz", D), ("meter_status", S), ("region", S), ("state", S),
     ("grid_zone", S), ("is_anomaly_flag", B),
+    ("kwh_consumed", D), ("reading_type", S), ("temperature_c", D),
 )
 
 TELEMETRY_SCHEMA = _schema(
@@ -80,6 +82,7 @@ TELEMETRY_SCHEMA = _schema(
     ("oil_temperature_c", D), ("ambient_temperature_c", D), ("dissolved_gas_ppm", D),
     ("humidity_percent", D), ("breaker_status", S), ("alarm_code", S), ("region", S),
     ("state", S), ("iot_device_id", S), ("iot_hub_enqueued_time", S), ("sequence_number", L),
+    ("load_pct", D), ("vibration_mm_s", D),
 )
 
 BILLING_CDC_SCHEMA = _schema(
@@ -100,6 +103,12 @@ MAINTENANCE_SCHEMA = _schema(
     ("follow_up_required", S), ("next_inspection_date", T.DateType()),
 )
 
+
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    """A JSON contract that also keeps the raw text of lines that don't fit it."""
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, S, True)])
+
+
 AUDIT_METRICS_SCHEMA = "batch_id string, layer string, table_fqn string, metric_name string, metric_value string"
 DQ_VIOLATIONS_SCHEMA = ("batch_id string, layer string, dataset string, rule_name string, severity string, "
                         "violation_count bigint, sample_keys string, created_ts timestamp")

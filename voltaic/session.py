@@ -57,33 +57,11 @@ def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes
 
 
 def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
-    """A folder under the cluster's shared checkpoint directory.
-
-    The directory named by ``spark.checkpoint.dir`` is the one every executor
-    and the driver can reach. When the session has none (local tests) a fresh
-    temp folder is created and registered, never on a cluster.
-    """
-    sc = None
-    try:  # absent on Spark Connect sessions
-        sc = spark.sparkContext
-    except Exception:
-        sc = None
-    base = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc is not None else None)
-    if not base:
-        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
-        if not master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        import tempfile
-        base = tempfile.mkdtemp(prefix="voltaic-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if sc is not None and not sc.getCheckpointDir():
-        sc.setCheckpointDir(base)
+    """A folder that the driver and every executor reach: under ``spark.checkpoint.dir``, or under
+    ``spark.sql.warehouse.dir`` where that is unset. The URI is kept as the session gives it."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     path = "/".join([base.rstrip("/"), *parts])
-    if unique:
-        path = f"{path}/{uuid.uuid4().hex}"
-    return path
+    return f"{path}/{uuid.uuid4().hex}" if unique else path
 
 
 def cut_lineage(df, spark: SparkSession | None = None):
@@ -99,8 +77,4 @@ def cut_lineage(df, spark: SparkSession | None = None):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["build_session", "size_for_input", "shared_dir", "cut_lineage", "local_path", "SESSION_DEFAULTS"]
+__all__ = ["build_session", "size_for_input", "shared_dir", "cut_lineage", "SESSION_DEFAULTS"]

@@ -16,6 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltaic.plans.tables import read_if_present
+from voltaic.schemas import CORRUPT
+
 __all__ = ["add_ingestion_cols", "source_file_name", "parse_envelope", "subscribe_stream", "read_json_feed",
            "read_csv_feed",
            "read_parquet_feed", "stream_json_feed", "stream_csv_feed", "merge_schema_hints",
@@ -87,20 +90,39 @@ def read_json_feed(spark: SparkSession, path: str, schema: T.StructType | None =
     return r.json(path)
 
 
+def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """The CSV files under ``path``, grouped by their header line (a few groups; one name per file)."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("start"),
+                                         F.monotonically_increasing_id().alias("line"))
+    # the lines of a file's first block are read in order by one task
+    first = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    return [r["files"] for r in first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+            .orderBy("header").collect()]
+
+
 def read_csv_feed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header row. With a contract schema, columns are matched by header
-    *name* (an explicit CSV schema would match by position and silently shift values
-    when a file reorders or drops columns) and converted with ``try_cast``: an empty
-    or malformed cell becomes NULL, a missing column a typed NULL, and columns not in
-    the contract are kept as strings after the contract columns."""
-    r = spark.read.option("header", True)
+    """CSV with a header row. With a contract schema, each file's columns are matched by its own
+    header *names* (Spark takes one file's header for all of them otherwise, which shifts values
+    when files reorder or drop columns) and converted with ``try_cast``: an empty or malformed
+    cell becomes NULL, a missing column a typed NULL, and columns not in the contract are kept
+    as strings after the contract columns."""
     if schema is None:
-        return r.option("inferSchema", True).csv(path)
-    raw = r.csv(path)                                   # every column a string, named by the header
-    typed = [(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in raw.columns
-              else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]
-    extra = [F.col(f"`{c}`") for c in raw.columns if c not in set(schema.fieldNames())]
-    return raw.select(*typed, *extra)
+        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+
+    def typed(files: list[str] | str) -> DataFrame:
+        raw = spark.read.option("header", True).csv(files)           # every column a string, named by the header
+        known = [(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in raw.columns
+                  else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]
+        return raw.select(*known, *[F.col(f"`{c}`") for c in raw.columns if c not in set(schema.fieldNames())])
+
+    groups = _files_by_header(spark, path)
+    if len(groups) < 2:
+        return typed(path)
+    out = typed(groups[0])
+    for files in groups[1:]:
+        out = out.unionByName(typed(files), allowMissingColumns=True)
+    return out
 
 
 def read_parquet_feed(spark: SparkSession, *paths: str) -> DataFrame:
@@ -139,19 +161,35 @@ def merge_schema_hints(schema: T.StructType, hints: str) -> T.StructType:
     return T.StructType(ordered)
 
 
+def _wider(old: T.DataType, new: T.DataType) -> T.DataType:
+    """The type that holds values of both: numbers as doubles, otherwise the one known first."""
+    numbers = (T.LongType, T.IntegerType, T.DoubleType)
+    return T.DoubleType() if isinstance(old, numbers) and isinstance(new, numbers) else old
+
+
 def evolve_schema(spark: SparkSession, folder: str, previous: T.StructType | None = None,
-                  hints: str | None = None, glob: str | None = None) -> T.StructType:
-    """Union of the previous schema and the one inferred from the folder now
-    (new columns are appended, existing types kept), with hints applied."""
+                  hints: str | None = None, glob: str | None = None, since: str | None = None) -> T.StructType:
+    """Union of the previous schema and the one inferred from the folder now (new columns are
+    appended), with hints applied and a ``_corrupt_record`` column for lines that don't fit.
+
+    JSON numbers are doubles unless a hint says otherwise: 5 today may be 5.5 tomorrow, and files
+    already written must stay readable next to later ones. ``since`` (a timestamp) infers from
+    files modified after it only; each of those is read whole.
+    """
     r = spark.read
     if glob:
         r = r.option("pathGlobFilter", glob)
+    if since:
+        r = r.option("modifiedAfter", since)
     inferred = r.json(folder).schema
-    fields = list(previous.fields) if previous is not None else []
-    known = {f.name for f in fields}
-    fields += [T.StructField(f.name, f.dataType, True) for f in inferred.fields if f.name not in known]
-    out = T.StructType(fields)
-    return merge_schema_hints(out, hints) if hints else out
+    fields = {f.name: f.dataType for f in (previous.fields if previous is not None else [])}
+    for f in inferred.fields:
+        if f.name != CORRUPT:
+            fields[f.name] = _wider(fields.get(f.name, f.dataType), f.dataType)
+    fields = {n: T.DoubleType() if isinstance(t, T.LongType) else t for n, t in fields.items()}
+    out = T.StructType([T.StructField(n, t, True) for n, t in fields.items()])
+    out = merge_schema_hints(out, hints) if hints else out
+    return out if CORRUPT in out.fieldNames() else out.add(CORRUPT, T.StringType())
 
 
 def save_schema(spark: SparkSession, schema: T.StructType, location: str) -> None:
@@ -160,10 +198,8 @@ def save_schema(spark: SparkSession, schema: T.StructType, location: str) -> Non
 
 
 def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
-    try:
-        rows = spark.read.text(location).take(1)
-    except Exception:
-        return None
+    saved = read_if_present(lambda: spark.read.text(location))
+    rows = saved.take(1) if saved is not None else []
     return T.StructType.fromJson(json.loads(rows[0][0])) if rows else None
 
 

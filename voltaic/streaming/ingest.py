@@ -5,9 +5,9 @@
   for files already committed: the checkpoint is the exactly-once ledger.
 * ``watermark_dedup``: duplicate delivery removed with bounded state: the
   event-time watermark lets Spark evict keys older than the delay.
-* ``cdc_foreach_batch``: each micro-batch of change rows is reduced to the latest
-  change per key and merged into the current-state table (new version folder
-  per batch, so a failed batch is simply retried from the checkpoint).
+* ``cdc_foreach_batch``: each micro-batch of change rows is merged into the latest
+  change per key, deletes included (a new version per batch, so a failed batch
+  is simply retried from the checkpoint).
 """
 
 from __future__ import annotations
@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltaic.operators.dedup import cdc_latest
-from voltaic.operators.merge import cdc_apply
+from voltaic.operators.merge import cdc_upserts
+from voltaic.plans.tables import read_current, write_version
 from voltaic.session import shared_dir
 
-__all__ = ["run_available_now", "watermark_dedup", "stream_dedup_events", "cdc_foreach_batch", "latest_version"]
+__all__ = ["run_available_now", "watermark_dedup", "stream_table", "stream_dedup_events", "cdc_foreach_batch",
+           "read_cdc_state"]
 
 
 def run_available_now(stream: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet",
@@ -53,50 +55,57 @@ def watermark_dedup(stream: DataFrame, keys: Sequence[str], event_time: str, del
     return s.dropDuplicates([*keys, event_time])
 
 
-def stream_dedup_events(spark: SparkSession, events_file: str, delay: str = "10 minutes") -> DataFrame:
-    """Events delivered twice (two streaming sources over the same landing folder),
-    de-duplicated with a watermark, appended to parquet in the shared checkpoint
-    area; returns the deduplicated table."""
-    folder, name = events_file.rsplit("/", 1)
-    schema = spark.read.parquet(events_file).schema
+def _is_file(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isFile()
 
-    def source() -> DataFrame:
-        return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
 
-    both = source().unionByName(source()).withColumn("__event_time", F.col("ts").cast(T.TimestampType()))
-    deduped = watermark_dedup(both, ["event_id"], "__event_time", delay).drop("__event_time")
+def stream_table(spark: SparkSession, table: str, files_per_batch: int | None = None) -> DataFrame:
+    """A parquet table, one file or a folder of files, as a stream."""
+    reader = spark.readStream.schema(spark.read.parquet(table).schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if _is_file(spark, table):
+        folder, name = table.rsplit("/", 1)
+        return reader.option("pathGlobFilter", name).parquet(folder)
+    return reader.parquet(table)
+
+
+def stream_dedup_events(spark: SparkSession, events: str, delay: str = "10 minutes", within_watermark: bool = False,
+                        files_per_batch: int | None = None) -> DataFrame:
+    """Events delivered twice (two streaming sources over the same table), de-duplicated with a
+    watermark in as many micro-batches as the sources give, and appended to parquet in the
+    shared folder; returns the deduplicated table.
+
+    Late data: an event that is older than ``delay`` behind the newest event of the batches
+    before it is dropped, so ``delay`` must cover how far the table is out of order.
+    """
+    both = stream_table(spark, events, files_per_batch).unionByName(stream_table(spark, events, files_per_batch))
+    columns = both.columns
+    both = both.withColumn("__event_time", F.col("ts").cast(T.TimestampType()))
+    deduped = watermark_dedup(both, ["event_id"], "__event_time", delay, within_watermark).select(*columns)
     out = shared_dir(spark, "voltaic", "stream_dedup")
     run_available_now(deduped, f"{out}/data", f"{out}/_checkpoint")
-    return spark.read.schema(schema).parquet(f"{out}/data")
+    return spark.read.schema(deduped.schema).parquet(f"{out}/data")
 
 
-def latest_version(spark: SparkSession, table_root: str, before: int | None = None) -> str | None:
-    """Newest ``v=<n>`` folder under ``table_root`` (optionally with n < ``before``).
+def cdc_foreach_batch(target_root: str, key: Sequence[str], op_col: str = "__$operation"):
+    """``foreachBatch`` function that merges each micro-batch of changes into versioned state.
 
-    Only partition values are read (the aggregate needs no data columns).
-    """
-    try:
-        df = spark.read.parquet(table_root)
-    except Exception:
-        return None
-    if "v" not in df.columns:
-        return None
-    if before is not None:
-        df = df.filter(F.col("v") < before)
-    row = df.agg(F.max("v")).first()
-    return None if row is None or row[0] is None else f"{table_root}/v={row[0]}"
-
-
-def cdc_foreach_batch(target_root: str, key: Sequence[str], schema: T.StructType):
-    """``foreachBatch`` function merging each micro-batch of changes into the current state.
-
-    State is written as ``target_root/v=<epoch>``; the batch id makes a retried
-    epoch overwrite its own version, so the merge is idempotent under retries.
+    The state is the latest change of each key, deletes included: a change that arrives after a later
+    one of its key (by time, then sequence) finds it there and has no effect, and a deleted key stays
+    deleted. Each epoch writes a version of its own, tagged with the epoch; a retried epoch starts
+    from the version before it, so the merge is idempotent. :func:`read_cdc_state` gives the live rows.
     """
     def apply(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        prev = latest_version(spark, target_root, before=epoch)   # a retried epoch ignores its own output
-        current = spark.read.schema(schema).parquet(prev) if prev else spark.createDataFrame([], schema)
-        new_state = cdc_apply(current, cdc_latest(batch, key), key)
-        new_state.write.mode("overwrite").parquet(f"{target_root}/v={epoch}")
+        state = read_current(spark, target_root, before_tag=epoch)
+        changes = batch if state is None else state.unionByName(batch, allowMissingColumns=True)
+        write_version(spark, cdc_latest(changes, key, op_col=op_col), target_root, str(epoch))
     return apply
+
+
+def read_cdc_state(spark: SparkSession, target_root: str, op_col: str = "__$operation") -> DataFrame | None:
+    """The live rows of the newest state: every key whose latest change is not a delete."""
+    state = read_current(spark, target_root)
+    return None if state is None else cdc_upserts(state, op_col)
