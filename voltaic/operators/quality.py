@@ -1,8 +1,9 @@
 """Data-quality rules, coverage/integrity checks and audit reports.
 
-Rules over one dataset are evaluated together: one pass tags every violating
-row with the rules it breaks (an ``inline`` of an array of structs), then
-counts and samples are aggregated per rule. Samples are the first
+Rules over one dataset are evaluated together: one plan tags every violating
+row with the rules it breaks (an ``inline`` of an array of structs), and both
+counts and samples are aggregated from the tagged rows, so what lies below them
+(such as a dedup exchange) is planned once and reused. Samples are the first
 ``DQ_SAMPLE_KEYS`` keys in key order: ``row_number() <= 20`` is planned as a
 partial ``WindowGroupLimit`` before the shuffle, so even a rule broken by a
 third of all rows ships at most 20 rows per task to the sampler and never
@@ -25,6 +26,8 @@ __all__ = ["Rule", "rule_violations", "rule_counts", "evaluate_rules", "meter_ru
            "join_coverage", "coverage_metric", "referential_integrity", "time_bounds", "row_counts",
            "dq_report", "metrics_report", "metric_rows"]
 
+#: Shards that each rule's sample candidates are cut in first.
+SHARDS = 64
 VIOLATION_COLUMNS = ["layer", "dataset", "rule_name", "severity", "violation_count", "sample_keys"]
 
 
@@ -79,8 +82,9 @@ def evaluate_rules(df: DataFrame, rules: Sequence[Rule], dataset: str, layer: st
     the key columns followed by up to ``sample_size`` key rows, joined by `` | ``,
     keys taken in ascending key order.
     """
-    counts = _rule_counts(df, rules)
-    samples = _rule_samples(df, rules, sample_size)
+    viol = rule_violations(df, rules)
+    counts = viol.groupBy("rule_name", "severity").agg(F.count(F.lit(1)).alias("violation_count"))
+    samples = _rule_samples(df, viol, rules, sample_size)
     # rule names are unique within one call; both sides hold one row per rule
     out = counts.join(samples, "rule_name", "left")
     return out.select(F.lit(layer).alias("layer"), F.lit(dataset).alias("dataset"), "rule_name", "severity",
@@ -105,9 +109,15 @@ def _rule_counts(df: DataFrame, rules: Sequence[Rule], include_zero: bool = Fals
     return out if include_zero else out.filter(F.col("violation_count") > 0)
 
 
-def _rule_samples(df: DataFrame, rules: Sequence[Rule], sample_size: int) -> DataFrame:
-    """First ``sample_size`` keys per rule, in key order, as `header | row | row ...`."""
-    viol = rule_violations(df, rules)
+def _rule_samples(df: DataFrame, viol: DataFrame, rules: Sequence[Rule], sample_size: int) -> DataFrame:
+    """First ``sample_size`` keys per rule, in key order, as `header | row | row ...`.
+
+    Two levels: the rows of a rule are first cut to ``sample_size`` in each of ``SHARDS`` shards, so
+    what one task merges at the end does not grow with the number of tasks.
+    """
+    shard = F.pmod(F.xxhash64("key"), F.lit(SHARDS))
+    part = Window.partitionBy("rule_name", "__shard").orderBy(F.col("sort").asc_nulls_first())
+    viol = viol.withColumn("__shard", shard).withColumn("__rn", F.row_number().over(part)).filter(F.col("__rn") <= sample_size)
     w = Window.partitionBy("rule_name").orderBy(F.col("sort").asc_nulls_first())
     top = viol.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= sample_size)
     agg = top.groupBy("rule_name").agg(F.sort_array(F.collect_list(F.struct("__rn", "key"))).alias("__s"))

@@ -27,7 +27,7 @@ from voltaic.functions.columns import canonicalize
 from voltaic.functions.scoring import band_anomaly, billing_mismatch, cdc_op_name, is_overheating, with_risk_score
 from voltaic.operators import marts, merge, quality
 from voltaic.operators.anomaly import region_thresholds, score_meter_anomaly
-from voltaic.operators.dedup import cdc_latest, dedup_latest
+from voltaic.operators.dedup import cdc_latest, dedup_latest, split_key_validity
 from voltaic import schemas as K
 from voltaic.sources.ingest import add_ingestion_cols, parse_envelope, source_file_name
 
@@ -64,10 +64,49 @@ def meter_feed(spark, sf) -> DataFrame:
         F.concat(F.col("event_type"), F.lit("-"), F.when(F.col("k") < 50, "A").otherwise("B")).alias("state"))
 
 
+def latest_meters(spark, sf) -> DataFrame:
+    return dedup_latest(meter_feed(spark, sf), ["event_id"], [F.col("event_ts").desc()], total_order=False)
+
+
 def scored_meters(spark, sf) -> DataFrame:
-    r = meter_feed(spark, sf)
-    r = dedup_latest(r, ["event_id"], [F.col("event_ts").desc()])
-    return score_meter_anomaly(r)
+    return score_meter_anomaly(latest_meters(spark, sf))
+
+
+# Feeds with faults, dealt over the whole table by a fixed rule, so that every quality rule has something to find.
+def faulty_meters(spark, sf) -> DataFrame:
+    """Meter readings, deduplicated, with missing ids, negative energy, broken times and repeated deliveries."""
+    m, fault = meter_feed(spark, sf), F.col("event_id") % 40
+    broken = m.withColumns({
+        "meter_id": F.when(fault == 5, F.lit(None)).otherwise(F.col("meter_id")),
+        "kwh_consumed": F.when(fault == 7, -F.col("kwh_consumed")).otherwise(F.col("kwh_consumed")),
+        "event_ts": F.when(fault == 9, F.lit(None)).otherwise(F.col("event_ts")),
+        "event_id": F.when(fault == 3, F.lit(None)).otherwise(F.col("event_id"))})
+    again = m.filter(fault == 11).withColumn("event_ts", F.expr("event_ts - interval 1 hour"))
+    valid, held = split_key_validity(broken.unionByName(again), ["event_id"])
+    return dedup_latest(valid, ["event_id"], [F.col("event_ts").desc()], total_order=False).unionByName(held)
+
+
+def faulty_telemetry(spark, sf) -> DataFrame:
+    """Telemetry, deduplicated and risk-scored, with missing ids and broken times."""
+    t, fault = telemetry_feed(spark, sf), F.col("substation_id") % 50
+    t = t.withColumns({"telemetry_id": F.when(fault == 1, F.lit(None)).otherwise(F.col("telemetry_id")),
+                       "transformer_id": F.when(fault == 2, F.lit(None)).otherwise(F.col("transformer_id")),
+                       "telemetry_ts": F.when(fault == 3, F.lit(None)).otherwise(F.col("telemetry_ts"))})
+    valid, held = split_key_validity(t, ["telemetry_id"])
+    return with_risk_score(_latest_telemetry(valid).unionByName(held))
+
+
+def faulty_bills(spark, sf) -> DataFrame:
+    """Bills with missing ids and negative amounts."""
+    b, fault = bills_feed(spark, sf), F.col("transaction_id") % 60
+    return b.withColumns({"total_amount": F.when(fault == 2, -F.col("total_amount")).otherwise(F.col("total_amount")),
+                          "transaction_id": F.when(fault == 1, F.lit(None)).otherwise(F.col("transaction_id"))})
+
+
+def early_ending_dim(spark, sf) -> DataFrame:
+    """A customer dimension whose current rows of one nation end too early."""
+    end = F.when(F.col("c_nationkey") == 3, F.lit("2025-12-31").cast("date")).otherwise(F.col("record_end_date"))
+    return customer_dim(spark, sf).withColumn("record_end_date", end)
 
 
 def telemetry_feed(spark, sf) -> DataFrame:
@@ -89,8 +128,13 @@ def telemetry_feed(spark, sf) -> DataFrame:
 
 def telemetry_latest(spark, sf) -> DataFrame:
     t = telemetry_feed(spark, sf)
+    return _latest_telemetry(t)
+
+
+def _latest_telemetry(t: DataFrame) -> DataFrame:
+    # the order is total: no two rows of an id share all three, so no row hash is needed and columns can be pruned
     return dedup_latest(t, ["telemetry_id"], [F.col("telemetry_ts").desc(), F.col("substation_id").desc(),
-                                              F.col("transformer_id").desc()])
+                                              F.col("transformer_id").desc()], total_order=False)
 
 
 def scored_telemetry(spark, sf) -> DataFrame:
@@ -307,8 +351,7 @@ def q_snapshot_diff(spark, sf):
 
 
 def q_region_thresholds(spark, sf):
-    r = dedup_latest(meter_feed(spark, sf), ["event_id"], [F.col("event_ts").desc()])
-    return region_thresholds(r)
+    return region_thresholds(latest_meters(spark, sf))
 
 
 def q_meter_anomaly(spark, sf):
@@ -349,7 +392,6 @@ def q_canonicalize(spark, sf):
 
 def q_key_validity(spark, sf):
     """Rows kept for dedup vs quarantined for a NULL/blank key, per feed."""
-    from voltaic.operators.dedup import split_key_validity
     parts = []
     for name, df, key in [("smart_meter", meter_feed(spark, sf), "event_id"),
                           ("telemetry", telemetry_feed(spark, sf), "telemetry_id"),
@@ -483,7 +525,7 @@ def q_ops_snapshot(spark, sf):
 
 
 def q_dq_null_keys(spark, sf):
-    meters, tel, bills = scored_meters(spark, sf), scored_telemetry(spark, sf), bills_feed(spark, sf)
+    meters, tel, bills = faulty_meters(spark, sf), faulty_telemetry(spark, sf), faulty_bills(spark, sf)
     parts = [quality.rule_counts(meters, [r for r in quality.meter_rules() if r.rule_name.startswith("PK_")],
                                  "smart_meter_readings", include_zero=True),
              quality.rule_counts(tel, [r for r in quality.telemetry_rules() if r.rule_name.startswith("PK_")],
@@ -494,7 +536,7 @@ def q_dq_null_keys(spark, sf):
 
 
 def _range_violations(spark, sf) -> DataFrame:
-    meters, tel, bills = scored_meters(spark, sf), scored_telemetry(spark, sf), bills_feed(spark, sf)
+    meters, tel, bills = faulty_meters(spark, sf), faulty_telemetry(spark, sf), faulty_bills(spark, sf)
     m_rules = [r for r in quality.meter_rules() if r.rule_name in ("NEGATIVE_KWH", "VOLTAGE_OUT_OF_RANGE")]
     t_rules = [r for r in quality.telemetry_rules() if r.rule_name == "OIL_TEMP_DELTA_IMPLAUSIBLE"]
     b_rules = quality.billing_rules(bills)[1:]
@@ -512,7 +554,7 @@ def q_dq_samples(spark, sf):
 
 
 def q_dq_bad_ts(spark, sf):
-    meters, tel = scored_meters(spark, sf), scored_telemetry(spark, sf)
+    meters, tel = faulty_meters(spark, sf), faulty_telemetry(spark, sf)
     m = [r for r in quality.meter_rules() if r.rule_name == "INVALID_TIMESTAMP"]
     t = [r for r in quality.telemetry_rules() if r.rule_name == "INVALID_TIMESTAMP"]
     return (quality.rule_counts(meters, m, "smart_meter_readings", include_zero=True)
@@ -536,6 +578,8 @@ def q_dq_scd2_end(spark, sf):
     rule = [quality.dimension_end_date_rule("customer_id")]
     return (quality.rule_counts(_scd_applied(spark, sf), rule, "dim_customer", include_zero=True)
             .unionByName(quality.rule_counts(_append_only_load(spark, sf), rule, "dim_customer_append_only",
+                                             include_zero=True))
+            .unionByName(quality.rule_counts(early_ending_dim(spark, sf), rule, "dim_customer_early_end",
                                              include_zero=True)))
 
 
@@ -546,12 +590,12 @@ def q_dq_empty(spark, sf):
 
 
 def q_dq_report(spark, sf):
-    meters, tel, bills = scored_meters(spark, sf), scored_telemetry(spark, sf), bills_feed(spark, sf)
+    meters, tel, bills = faulty_meters(spark, sf), faulty_telemetry(spark, sf), faulty_bills(spark, sf)
     parts = [quality.evaluate_rules(meters, quality.meter_rules(), "smart_meter_readings"),
              quality.evaluate_rules(tel, quality.telemetry_rules(), "substation_telemetry"),
              quality.evaluate_rules(bills, quality.billing_rules(bills), "billing_transactions_current"),
              quality.dimension_multi_current(_append_only_load(spark, sf), "customer_id", "dim_customer"),
-             quality.evaluate_rules(_scd_applied(spark, sf), [quality.dimension_end_date_rule("customer_id")],
+             quality.evaluate_rules(early_ending_dim(spark, sf), [quality.dimension_end_date_rule("customer_id")],
                                     "dim_customer")]
     out = parts[0]
     for p in parts[1:]:
@@ -560,10 +604,11 @@ def q_dq_report(spark, sf):
 
 
 def q_join_coverage(spark, sf):
-    m = quality.join_coverage(scored_meters(spark, sf), merge.dim_current(customer_dim(spark, sf)), "meter_id",
+    known = merge.dim_current(customer_dim(spark, sf)).filter("meter_id % 7 <> 0")           # a seventh is not assigned yet
+    m = quality.join_coverage(latest_meters(spark, sf), known, "meter_id",
                               "keys_in_facts", "keys_found_in_dim")
-    t = quality.join_coverage(scored_telemetry(spark, sf), merge.dim_current(transformer_dim(spark, sf)),
-                              "transformer_id", "keys_in_facts", "keys_found_in_dim")
+    t = quality.join_coverage(telemetry_latest(spark, sf),
+                              merge.dim_current(transformer_dim(spark, sf)).filter("region >= 5"), "transformer_id", "keys_in_facts", "keys_found_in_dim")
     fmt = quality.coverage_metric
     return (m.select(F.lit("meter_to_customer_join_coverage").alias("metric_name"), "keys_in_facts",
                      "keys_found_in_dim", fmt(m, "keys_in_facts", "keys_found_in_dim").alias("metric_value"))
@@ -574,7 +619,11 @@ def q_join_coverage(spark, sf):
 
 def q_referential_integrity(spark, sf):
     t = lambda n: _t(spark, sf, n)
+    fault = F.col("o_orderkey") % 50
+    broken = t("orders").select(F.when(fault == 1, F.lit(None)).when(fault == 2, F.col("o_custkey") + NEW_KEY_OFFSET)
+                                .otherwise(F.col("o_custkey")).alias("o_custkey"))
     rels = [
+        ("faulty orders.o_custkey->customer", broken, ["o_custkey"], t("customer"), ["c_custkey"]),
         ("orders.o_custkey->customer", t("orders"), ["o_custkey"], t("customer"), ["c_custkey"]),
         ("lineitem.l_orderkey->orders", t("lineitem"), ["l_orderkey"], t("orders"), ["o_orderkey"]),
         ("lineitem.l_suppkey->supplier", t("lineitem"), ["l_suppkey"], t("supplier"), ["s_suppkey"]),
@@ -589,17 +638,17 @@ def q_referential_integrity(spark, sf):
 
 def q_time_bounds(spark, sf):
     return to_ntz(quality.time_bounds([
-        ("smart_meter_readings", scored_meters(spark, sf), "event_ts"),
-        ("substation_telemetry", scored_telemetry(spark, sf), "telemetry_ts"),
+        ("smart_meter_readings", latest_meters(spark, sf), "event_ts"),
+        ("substation_telemetry", telemetry_latest(spark, sf), "telemetry_ts"),
         ("billing_transactions_current", bills_feed(spark, sf), "cdc_ts")]))
 
 
 def q_rowcounts(spark, sf):
     names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
     tables = [("BRONZE", n, _t(spark, sf, n)) for n in names]
-    tables += [("SILVER", "smart_meter_readings", scored_meters(spark, sf)),
-               ("SILVER", "substation_telemetry", scored_telemetry(spark, sf)),
-               ("GOLD", "customer_hourly_usage", marts.usage_hourly(scored_meters(spark, sf))),
+    tables += [("SILVER", "smart_meter_readings", latest_meters(spark, sf)),
+               ("SILVER", "substation_telemetry", telemetry_latest(spark, sf)),
+               ("GOLD", "customer_hourly_usage", marts.usage_hourly(latest_meters(spark, sf))),
                ("GOLD", "billing_kpis_daily", marts.billing_daily(bills_feed(spark, sf)))]
     return quality.row_counts(tables)
 

@@ -349,16 +349,42 @@ END_RULE = [("SCD2_CURRENT_END_DATE_NOT_MAX", "WARNING", "(is_current AND record
 MULTI_RULE = [("SCD2_MULTIPLE_CURRENT_RECORDS", "CRITICAL", "true", ["customer_id", "count"])]
 MULTI_SRC = "(SELECT customer_id, COUNT(*) AS count FROM append_only WHERE is_current GROUP BY customer_id HAVING COUNT(*) > 1)"
 
-DQ_WITH = "WITH " + SCORED_METERS + "," + TELEMETRY + "," + BILLS + "," + CUSTOMER
+FAULTY = """
+faulty_m AS (
+  SELECT * REPLACE (CASE WHEN event_id % 40 = 3 THEN NULL ELSE event_id END AS event_id,
+                    CASE WHEN event_id % 40 = 5 THEN NULL ELSE meter_id END AS meter_id,
+                    CASE WHEN event_id % 40 = 7 THEN -kwh_consumed ELSE kwh_consumed END AS kwh_consumed,
+                    CASE WHEN event_id % 40 = 9 THEN NULL ELSE event_ts END AS event_ts) FROM meter_feed
+  UNION ALL SELECT * REPLACE (event_ts - INTERVAL 1 HOUR AS event_ts) FROM meter_feed WHERE event_id % 40 = 11),
+dq_meters AS (
+  SELECT * FROM faulty_m WHERE event_id IS NULL UNION ALL
+  (SELECT * FROM faulty_m WHERE event_id IS NOT NULL
+   QUALIFY ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY event_ts DESC) = 1)),
+faulty_t AS (
+  SELECT * REPLACE (CASE WHEN substation_id % 50 = 1 THEN NULL ELSE telemetry_id END AS telemetry_id,
+                    CASE WHEN substation_id % 50 = 2 THEN NULL ELSE transformer_id END AS transformer_id,
+                    CASE WHEN substation_id % 50 = 3 THEN NULL ELSE telemetry_ts END AS telemetry_ts),
+         oil_temperature_c - ambient_temperature_c AS oil_temp_delta_c FROM tel_feed),
+dq_tel AS (
+  SELECT * FROM faulty_t WHERE telemetry_id IS NULL UNION ALL
+  (SELECT * FROM faulty_t WHERE telemetry_id IS NOT NULL
+   QUALIFY ROW_NUMBER() OVER (PARTITION BY telemetry_id ORDER BY telemetry_ts DESC NULLS LAST, substation_id DESC,
+                              transformer_id DESC NULLS LAST) = 1)),
+dq_bills AS (
+  SELECT * REPLACE (CASE WHEN transaction_id % 60 = 1 THEN NULL ELSE transaction_id END AS transaction_id,
+                    CASE WHEN transaction_id % 60 = 2 THEN -total_amount ELSE total_amount END AS total_amount) FROM bills),
+early_end AS (
+  SELECT * REPLACE (CASE WHEN c_nationkey = 3 THEN DATE '2025-12-31' ELSE record_end_date END AS record_end_date) FROM cust_dim)"""
+DQ_WITH = "WITH " + METER_FEED + "," + TELEMETRY + "," + BILLS + "," + CUSTOMER + "," + FAULTY
 
 
 def _pick(rules, names):
     return [r for r in rules if r[0] in names]
 
 
-RANGES = ("(" + rule_rows("scored_meters", "smart_meter_readings", _pick(METER_RULES, {"NEGATIVE_KWH", "VOLTAGE_OUT_OF_RANGE"}))
-          + "\nUNION ALL\n" + rule_rows("scored_tel", "substation_telemetry", _pick(TEL_RULES, {"OIL_TEMP_DELTA_IMPLAUSIBLE"}))
-          + "\nUNION ALL\n" + rule_rows("bills", "billing_transactions_current", _pick(BILL_RULES, {"NEGATIVE_AMOUNT"})) + ")")
+RANGES = ("(" + rule_rows("dq_meters", "smart_meter_readings", _pick(METER_RULES, {"NEGATIVE_KWH", "VOLTAGE_OUT_OF_RANGE"}))
+          + "\nUNION ALL\n" + rule_rows("dq_tel", "substation_telemetry", _pick(TEL_RULES, {"OIL_TEMP_DELTA_IMPLAUSIBLE"}))
+          + "\nUNION ALL\n" + rule_rows("dq_bills", "billing_transactions_current", _pick(BILL_RULES, {"NEGATIVE_AMOUNT"})) + ")")
 
 
 def _coverage(metric: str, facts: str, dim: str, key: str) -> str:
@@ -463,17 +489,18 @@ ORACLES: dict[str, str] = {
     "q_ops_daily": OPS + f"SELECT {R(*OPS_DOUBLES)} FROM ops",
     "q_ops_snapshot": OPS + f"SELECT {R(*OPS_DOUBLES)} FROM ops ORDER BY event_date DESC, region ASC NULLS FIRST, state ASC NULLS FIRST LIMIT 30",
     "q_dq_null_keys": DQ_WITH + " SELECT * FROM (" + "\nUNION ALL\n".join([
-        rule_rows("scored_meters", "smart_meter_readings", _pick(METER_RULES, {"PK_NOT_NULL_event_id", "PK_NOT_NULL_meter_id"}), include_zero=True, samples=False),
-        rule_rows("scored_tel", "substation_telemetry", _pick(TEL_RULES, {"PK_NOT_NULL_telemetry_id", "PK_NOT_NULL_transformer_id"}), include_zero=True, samples=False),
-        rule_rows("bills", "billing_transactions_current", _pick(BILL_RULES, {"PK_NOT_NULL_transaction_id"}), include_zero=True, samples=False)]) + ")",
+        rule_rows("dq_meters", "smart_meter_readings", _pick(METER_RULES, {"PK_NOT_NULL_event_id", "PK_NOT_NULL_meter_id"}), include_zero=True, samples=False),
+        rule_rows("dq_tel", "substation_telemetry", _pick(TEL_RULES, {"PK_NOT_NULL_telemetry_id", "PK_NOT_NULL_transformer_id"}), include_zero=True, samples=False),
+        rule_rows("dq_bills", "billing_transactions_current", _pick(BILL_RULES, {"PK_NOT_NULL_transaction_id"}), include_zero=True, samples=False)]) + ")",
     "q_dq_ranges": DQ_WITH + " SELECT dataset, rule_name, severity, violation_count FROM " + RANGES,
     "q_dq_samples": DQ_WITH + " SELECT dataset, rule_name, sample_keys FROM " + RANGES,
     "q_dq_bad_ts": DQ_WITH + " SELECT * FROM (" + "\nUNION ALL\n".join([
-        rule_rows("scored_meters", "smart_meter_readings", _pick(METER_RULES, {"INVALID_TIMESTAMP"}), include_zero=True, samples=False),
-        rule_rows("scored_tel", "substation_telemetry", _pick(TEL_RULES, {"INVALID_TIMESTAMP"}), include_zero=True, samples=False)]) + ")",
+        rule_rows("dq_meters", "smart_meter_readings", _pick(METER_RULES, {"INVALID_TIMESTAMP"}), include_zero=True, samples=False),
+        rule_rows("dq_tel", "substation_telemetry", _pick(TEL_RULES, {"INVALID_TIMESTAMP"}), include_zero=True, samples=False)]) + ")",
     "q_dq_multi_current": f"WITH {CUSTOMER} " + rule_rows(MULTI_SRC, "dim_customer", MULTI_RULE),
-    "q_dq_scd2_end": f"WITH {CUSTOMER} SELECT * FROM (" + rule_rows("scd_applied", "dim_customer", END_RULE, include_zero=True, samples=False)
-    + "\nUNION ALL\n" + rule_rows("append_only", "dim_customer_append_only", END_RULE, include_zero=True, samples=False) + ")",
+    "q_dq_scd2_end": DQ_WITH + " SELECT * FROM (" + rule_rows("scd_applied", "dim_customer", END_RULE, include_zero=True, samples=False)
+    + "\nUNION ALL\n" + rule_rows("append_only", "dim_customer_append_only", END_RULE, include_zero=True, samples=False)
+    + "\nUNION ALL\n" + rule_rows("early_end", "dim_customer_early_end", END_RULE, include_zero=True, samples=False) + ")",
     "q_dq_empty": OPS + """SELECT 'GOLD' AS layer, 'ops_daily_dashboard' AS dataset, 'GOLD_EMPTY_TABLE' AS rule_name,
           'CRITICAL' AS severity, CAST(1 AS BIGINT) AS violation_count, '' AS sample_keys
         FROM (SELECT COUNT(*) AS n FROM ops) WHERE n = 0
@@ -481,16 +508,18 @@ ORACLES: dict[str, str] = {
         SELECT 'GOLD', 'ops_daily_negative_energy', 'GOLD_EMPTY_TABLE', 'CRITICAL', CAST(1 AS BIGINT), ''
         FROM (SELECT COUNT(*) AS n FROM ops WHERE kwh_total < 0) WHERE n = 0""",
     "q_dq_report": DQ_WITH + " SELECT * FROM (" + "\nUNION ALL\n".join([
-        rule_rows("scored_meters", "smart_meter_readings", METER_RULES),
-        rule_rows("scored_tel", "substation_telemetry", TEL_RULES),
-        rule_rows("bills", "billing_transactions_current", BILL_RULES),
+        rule_rows("dq_meters", "smart_meter_readings", METER_RULES),
+        rule_rows("dq_tel", "substation_telemetry", TEL_RULES),
+        rule_rows("dq_bills", "billing_transactions_current", BILL_RULES),
         rule_rows(MULTI_SRC, "dim_customer", MULTI_RULE),
-        rule_rows("scd_applied", "dim_customer", END_RULE)])
+        rule_rows("early_end", "dim_customer", END_RULE)])
     + ") ORDER BY CASE severity WHEN 'CRITICAL' THEN 1 WHEN 'WARNING' THEN 2 ELSE 3 END, dataset, rule_name",
     "q_join_coverage": f"WITH {SCORED_METERS}, {TELEMETRY}, {CUSTOMER}, {TRANSFORMER} "
-    + _coverage("meter_to_customer_join_coverage", "scored_meters", "cust_dim", "meter_id")
-    + "\nUNION ALL\n" + _coverage("telemetry_to_transformer_join_coverage", "scored_tel", "trf_dim", "transformer_id"),
+    + _coverage("meter_to_customer_join_coverage", "scored_meters", "(SELECT * FROM cust_dim WHERE meter_id % 7 <> 0)", "meter_id")
+    + "\nUNION ALL\n" + _coverage("telemetry_to_transformer_join_coverage", "scored_tel", "(SELECT * FROM trf_dim WHERE region >= 5)", "transformer_id"),
     "q_referential_integrity": "\nUNION ALL\n".join([
+        _ri("faulty orders.o_custkey->customer", """(SELECT CASE WHEN o_orderkey % 50 = 1 THEN NULL WHEN o_orderkey % 50 = 2
+            THEN o_custkey + 1000000000 ELSE o_custkey END AS o_custkey FROM orders)""", "o_custkey", "customer", "c_custkey"),
         _ri("orders.o_custkey->customer", "orders", "o_custkey", "customer", "c_custkey"),
         _ri("lineitem.l_orderkey->orders", "lineitem", "l_orderkey", "orders", "o_orderkey"),
         _ri("lineitem.l_suppkey->supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
