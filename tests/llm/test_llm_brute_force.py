@@ -178,7 +178,7 @@ def test_packing_plan(seed):
     capacity = int(rng.integers(8, 400))
     sizes = rng.integers(1, capacity + 1, int(rng.integers(1, 4000))) if seed % 2 else np.clip(rng.lognormal(3, 1, 2000).astype(int), 1, capacity)
     counts = collections.Counter(sizes.tolist())
-    slots, bins = packing.plan_packing(counts, capacity, max(1, capacity // 8), 16), collections.defaultdict(list)
+    slots, bins = packing.plan_packing(counts, capacity, ((8,), (2, 3, 4))[seed % 3 > 0], 16), collections.defaultdict(list)
     for size, n in counts.items():
         mine = slots[slots[:, 0] == size]
         for rank in range(n):
@@ -347,3 +347,20 @@ def test_pipeline_stages_follow_their_operators(spark, texts):
     packed = C.STAGES[4][1](spark, docs, SF)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == set(texts)
     kept.unpersist()
+
+
+def test_quality_verdicts_follow_the_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    judged = Q.op8_line_quality(spark, sf).join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id").filter("not base_failed")
+    counts = {(r.quality, r.kept): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
+    assert counts.get((1, False), 0) <= 0.001 * counts[1, True] and counts.get((0, True), 0) <= 0.02 * counts[0, False]
+
+
+def test_quality_removes_failed_lines_only(spark):
+    from voltaic.llm import quality
+
+    lines = ["A sentence that ends well, as most of them do.", "Home | About | News | Contact | Help", "Buy!! NOW!! CHEAP!! GOOD!!", "no end of a sentence here", "All rights reserved. Privacy policy.", "$$$ %%% &&& ###.", "Another fine sentence; it has a clause."]
+    text = "\n".join([*lines, ""]) + "\n" + "\n".join(f"Filler sentence number {i} keeps the document long enough to stay." for i in range(12))
+    row = quality.keep_clean(spark.createDataFrame([(1, text, 5)], "doc_id long, text string, n_chars int")).first()
+    kept = row.text.split("\n")
+    assert [x for x in lines if x in kept] == [lines[0], lines[6]] and len(kept) == 14 and row.n_chars == len(row.text)

@@ -6,8 +6,8 @@ Tokens are counted once, where the documents lie; everything after that works on
    full pieces with the shorter remainder first. A piece carries its rank among the pieces of its
    length in its own task.
 2. The histogram of lengths (at most ``capacity`` rows, whatever the input) goes to the driver.
-   ``plan_packing`` packs the histogram: lengths of ``large`` tokens and more are split, longest
-   first, into groups of equal cardinality and rounded up to their group's longest; a linear
+   ``plan_packing`` packs the histogram: large lengths (from a half, a third and a quarter of the
+   capacity on, whichever gives the fewest sequences) are split, longest first, into groups of equal cardinality and rounded up to their group's longest; a linear
    programme over configurations of those few sizes is solved by column generation; actual lengths
    are substituted for the rounded ones; what rounding down left over and all small lengths follow
    by best fit, longest first. Runs of equal sequences are handled at once, so the work depends on
@@ -39,8 +39,8 @@ from voltaic.llm.common import store
 
 CAPACITY = 2048
 CLOSING_ID = 0
-#: Lengths from this on are large: at most eight fit into one sequence.
-LARGE = CAPACITY // 8
+#: Lengths from a half, a third or a quarter of the capacity on are large; the plan with the fewest sequences is taken.
+SHARES = (2, 3, 4)
 #: Groups of equal cardinality that large lengths are rounded up in.
 GROUPS = 128
 #: Rounds of column generation; each basis on the way is a feasible packing.
@@ -160,12 +160,24 @@ def _grouped(counts: dict[int, int], large: int, groups: int) -> list[list[list[
     return out
 
 
-def plan_packing(counts: dict[int, int], capacity: int = CAPACITY, large: int = LARGE, groups: int = GROUPS) -> np.ndarray:
+def plan_packing(counts: dict[int, int], capacity: int = CAPACITY, shares: tuple[int, ...] = SHARES, groups: int = GROUPS) -> np.ndarray:
     """Slots ``(length, first rank, per sequence, first sequence, offset)`` that pack the histogram.
 
     Rank r of a length lies in the slot with the largest first rank up to r; with d = r - first rank
     its sequence is first sequence + d // per sequence, its place offset + (d % per sequence) * length.
     """
+    fewest, best = None, np.zeros((0, 5), np.int64)
+    for share in shares:
+        slots, sequences = _plan(counts, capacity, max(1, capacity // share), groups)
+        if fewest is None or sequences < fewest:
+            fewest, best = sequences, slots
+        if fewest * capacity < sum(s * n for s, n in counts.items()) + capacity:
+            break  # no packing has fewer
+    return best
+
+
+def _plan(counts: dict[int, int], capacity: int, large: int, groups: int) -> tuple[np.ndarray, int]:
+    """The slots of one plan and how many sequences it takes; lengths from ``large`` on go through configurations."""
     counts = {int(s): int(n) for s, n in counts.items() if n > 0}
     left = dict(counts)
     bins: dict[int, list[tuple[int, list[tuple[int, int]]]]] = {}  # room -> runs of (how many sequences, [(length, times)])
@@ -239,7 +251,7 @@ def plan_packing(counts: dict[int, int], capacity: int = CAPACITY, large: int =
                 ranks[size] += many * per
                 offset += size * per
             sequence += many
-    return np.array(sorted(slots), np.int64).reshape(-1, 5)
+    return np.array(sorted(slots), np.int64).reshape(-1, 5), sequence
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
