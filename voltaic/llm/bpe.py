@@ -4,8 +4,8 @@ Words are the matches of the tokenizer's splitting pattern. The most frequent di
 documents (a bounded number) are encoded first and sent to the tasks as a table. Each task then gathers the other
 distinct words of a bounded group of its documents into one row. Both are encoded by Spark higher-order
 functions: a word's bytes are folded, one merge for each step, always the pair whose joined bytes have the lowest rank (the
-leftmost of equals), until no joined pair has a rank. The rank map is a literal: an array of small
-maps, addressed by a hash of the bytes, so a look-up doesn't search the vocabulary. Each document's ids are
+leftmost of equals), until no joined pair has a rank. The rank map is a literal, small buckets of
+token pairs, so a look-up doesn't search the vocabulary. Each document's ids are
 put together from its words' ids in the next step, and decoding joins the binary pieces of the ids.
 Documents don't leave their partition.
 
@@ -21,7 +21,8 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-import re
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,14 +35,17 @@ from pyspark.sql import functions as F
 from voltaic.llm.common import store
 from voltaic.llm.native import let
 
-#: Small maps that the rank map is spread over.
-BUCKETS = 1 << 15
+#: How the rank map spreads pairs over its buckets, and what it takes off the ranks that it stores.
+FACTOR, BELOW = 641, 1 << 30
 LONG = 96
 #: Code points of documents whose distinct words make one row.
-GROUP = 12_000_000
+GROUP = 4_000_000
+#: Distinct chunks that a task counts before it sends their words' counts.
+CHUNKS = 200_000
+#: Marks that close a chunk of letters, each a word of its own there.
+MARKS = frozenset(".,;:!?)")
 #: Most words in the broadcast table of frequent words, which are encoded once for all documents: about 25 MB.
 FREQUENT = 1 << 20
-NEIGHBOURS = re.compile(r"\s\s|\A\s|\s\Z")
 
 
 def read_ranks(path: str | None = None) -> bytes:
@@ -68,39 +72,43 @@ def _pattern():
 
 
 def rank_table(ranks: dict[bytes, int]) -> Column:
-    """The rank map as a literal: hex of a token -> rank, spread over ``BUCKETS`` maps by a hash of the hex."""
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+    """The rank map as a literal: for pairs of tokens, named by their own ranks, the rank of their joined bytes.
+
+    Pair (a, b) lies in the bucket ``(a * FACTOR + b) % buckets``, which holds ``a, rank - BELOW`` for each of its
+    pairs. There are at least as many buckets as tokens, so in one bucket a alone names the pair; ranks are
+    stored below zero, so no a is taken for one.
+    """
+    size = 1 << max(17, max(ranks.values()).bit_length())
+    buckets: list[list[int]] = [[] for _ in range(size)]
     for token, rank in ranks.items():
-        key = token.hex().upper()
-        buckets[xxhash.xxh64_intdigest(key, 42) % BUCKETS][key] = rank
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
+        for i in range(1, len(token)):
+            a, b = ranks.get(token[:i]), ranks.get(token[i:])
+            if a is not None and b is not None:
+                buckets[(a * FACTOR + b) % size] += [a, rank - BELOW]
+    return F.from_json(F.lit(json.dumps(buckets)), "array<array<int>>")
 
 
 def fold_merges(word: Column, table: Column) -> Column:
-    """The ids of a word given as hex digits, by folding ranked merges over its bytes."""
-    rank = lambda key: F.element_at(F.get(table, F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")), key)
+    """The ids of a word, an array of its bytes' ids, by folding ranked merges over it."""
     none = F.array().cast("array<int>")
-    n = (F.length(word) / 2).cast("int")
 
-    def start(pieces: Column) -> Column:
-        pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: rank(F.concat(F.get(pieces, i - 1), F.get(pieces, i))))
-        return F.struct(pieces.alias("p"), pairs.alias("r"))
+    def rank(a: Column, b: Column) -> Column:  # below zero, or anything else if the pair has none
+        return let(F.get(table, (a * FACTOR + b).bitwiseAND(F.size(table) - 1)), lambda bucket: F.get(bucket, F.array_position(bucket, a).cast("int")))
 
     def step(s: Column) -> Column:
-        def merged(k: Column) -> Column:  # pairs[k - 1] joins pieces[k - 1] and pieces[k]
-            one = F.concat(F.get(s.p, k - 1), F.get(s.p, k))
-            left = F.when(k > 1, F.array(rank(F.concat(F.get(s.p, k - 2), one)))).otherwise(none)
-            right = F.when(k < F.size(s.r), F.array(rank(F.concat(one, F.get(s.p, k + 1))))).otherwise(none)
+        def merged(k: Column) -> Column:  # pair k (from 1) joins the pieces k and k + 1 into the token that its rank names
+            one = F.element_at(s.r, k) + BELOW
+            left = F.when(k > 1, F.array(rank(F.get(s.p, k - 2), one))).otherwise(none)
+            right = F.when(k < F.size(s.r), F.array(rank(one, F.get(s.p, k + 1)))).otherwise(none)
             pieces = F.concat(F.slice(s.p, F.lit(1), k - 1), F.array(one), F.slice(s.p, k + 2, F.size(s.p)))
             pairs = F.concat(F.slice(s.r, F.lit(1), F.greatest(k - 2, F.lit(0))), left, right, F.slice(s.r, k + 2, F.size(s.r)))
             return F.struct(pieces.alias("p"), pairs.alias("r"))
 
-        lowest = F.array_min(s.r)
-        return F.when(lowest.isNull(), s).otherwise(let(F.array_position(s.r, lowest).cast("int"), merged))
+        return let(F.array_min(s.r), lambda low: F.when(low < 0, let(F.array_position(s.r, low).cast("int"), merged)).otherwise(s))
 
-    bytes_ = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(word, 2 * i + 1, 2))
-    folded = F.aggregate(F.sequence(F.lit(2), n), let(bytes_, start), lambda s, _: step(s), lambda s: F.transform(s.p, rank))
-    return let(rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded))
+    pairs = F.transform(F.sequence(F.lit(1), F.size(word) - 1), lambda i: rank(F.get(word, i - 1), F.get(word, i)))
+    start = F.struct(word.alias("p"), pairs.alias("r"))
+    return F.when(F.size(word) < 2, word).otherwise(F.aggregate(F.sequence(F.lit(2), F.size(word)), start, lambda s, _: step(s), lambda s: s.p))
 
 
 def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -142,56 +150,81 @@ class _Words(dict):
         return self[word]
 
 
+class _Odd(Exception):
+    """A chunk whose words depend on what stands beside it."""
+
+
+def split_words(text: str) -> list[str]:
+    """The matches of the splitting pattern."""
+    return _pattern().findall(text)
+
+
+def split_chunk(chunk: str) -> list[str]:
+    """The words of a chunk between spaces, with the space before it: mostly letters and a closing mark."""
+    if chunk.isalpha():
+        return [" " + chunk]
+    if chunk[-1:] in MARKS and chunk[:-1].isalpha():
+        return [" " + chunk[:-1], chunk[-1]]
+    return split_words(" " + chunk)
+
+
 class _Chunks(dict):
-    """Numbers of the words in a chunk between spaces, with the space before it."""
+    """The words of a chunk between spaces: their numbers as bytes."""
 
     def __init__(self, words: _Words):
         super().__init__()
-        self.words, self.split = words, _pattern().findall
+        self.words = words
+
+    def numbers(self, words: list[str]) -> bytes:
+        return array("i", [self.words[w] for w in words]).tobytes()
 
-    def __missing__(self, chunk: str) -> list[int]:
-        self[chunk] = found = [self.words[w] for w in self.split(" " + chunk)]
+    def __missing__(self, chunk: str) -> bytes:
+        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+            raise _Odd
+        self[chunk] = found = self.numbers(split_chunk(chunk))
         return found
 
 
-def number_words(text: str, words: _Words, chunks: _Chunks) -> list[int]:
+def number_words(text: str, chunks: _Chunks) -> bytes:
     """The words of a text as numbers.
 
-    Where no two white-space characters meet, a word never crosses a space but takes it as its first
-    character, so each chunk is split once and looked up from then on.
+    Where a space stands alone, a word never crosses it but takes it as its first
+    character, so each chunk between spaces is split once for its group and looked up from then on.
     """
-    if not text:
-        return []
-    if NEIGHBOURS.search(text):
-        return [words[w] for w in chunks.split(text)]
     first, *rest = text.split(" ")
-    out = [words[w] for w in chunks.split(first)]
-    for found in map(chunks.__getitem__, rest):
-        out += found
-    return out
+    if not text or rest and (not first or first[-1].isspace()):
+        return chunks.numbers(split_words(text))
+    try:
+        return chunks.numbers(split_words(first)) + b"".join(map(chunks.__getitem__, rest))
+    except _Odd:
+        return chunks.numbers(split_words(text))
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes], list[bytes]]]:
     """Groups of about ``GROUP`` code points: ids, each text's words as numbers, the distinct words."""
-    ids, numbers, size = [], [], 0
-    words = _Words()
+    ids, numbers, size, words = [], [], 0, _Words()
     chunks = _Chunks(words)
     for batch in batches:
         at = 0
         for i, text in enumerate(batch.column(1)):
-            text = text.as_py()
-            numbers.append(np.array(number_words(text, words, chunks), "<i4").tobytes())
-            size += len(text or "")
+            text = text.as_py() or ""
+            numbers.append(number_words(text, chunks))
+            size += len(text)
             if size >= GROUP:
                 yield pa.concat_arrays([*ids, batch.column(0).slice(at, i + 1 - at)]), numbers, [w.encode("utf-8", "replace") for w in words]
-                at, ids, numbers, size = i + 1, [], [], 0
-                words = _Words()
+                at, ids, numbers, size, words = i + 1, [], [], 0, _Words()
                 chunks = _Chunks(words)
         ids.append(batch.column(0).slice(at))
     if numbers:
         yield pa.concat_arrays(ids), numbers, [w.encode("utf-8", "replace") for w in words]
 
 
+def _byte_ids(words: list[bytes], ids: np.ndarray) -> pa.Array:
+    """The words as lists of their bytes' ids."""
+    ends = np.concatenate([[0], np.cumsum([len(w) for w in words], dtype=np.int64)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[np.frombuffer(b"".join(words), np.uint8)], pa.int32()))
+
+
 def _hashes(words: list[bytes]) -> np.ndarray:
     return np.array([*map(xxhash.xxh3_64_intdigest, words)], np.uint64)
 
@@ -199,15 +232,28 @@ def _hashes(words: list[bytes]) -> np.ndarray:
 def frequent_words(docs: DataFrame, ranks: bytes, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes (ascending), first places and ids of the most frequent words, at most ``most``, encoded once each."""
 
+    def counted(chunks: Counter) -> Iterator[pa.RecordBatch]:
+        n: Counter = Counter()
+        for chunk, times in chunks.items():
+            for word in split_chunk(chunk):
+                n[word] += times
+        short = [(w, k) for w, k in ((w.encode("utf-8", "replace"), k) for w, k in n.items()) if len(w) <= LONG]
+        for a in range(0, len(short), 50_000):
+            part = short[a : a + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.binary()), pa.array([k for _, k in part], pa.int64())], names=["word", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, numbers, words in _groups(batches):
-            n = np.bincount(np.frombuffer(b"".join(numbers), "<i4"), minlength=len(words))
-            short = [i for i, w in enumerate(words) if len(w) <= LONG]
-            for a in range(0, len(short), 50_000):
-                part = short[a : a + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array([words[i].hex().upper() for i in part], pa.string()), pa.array(n[part].astype(np.int64))], names=["word", "n"])
-
-    counts = store(docs.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+        # what white space next to a space does to its neighbours is left out: these counts only choose the table's words
+        chunks: Counter = Counter()
+        for batch in batches:
+            for text in batch.column(1):
+                chunks.update((text.as_py() or "").split(" "))
+                if len(chunks) >= CHUNKS:
+                    yield from counted(chunks)
+                    chunks = Counter()
+        yield from counted(chunks)
+
+    counts = store(docs.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
     least, total = None, 0
     for n, k in sorted(((r["n"], r["k"]) for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True):
         if n < 2 or total + k > most:
@@ -215,27 +261,42 @@ def frequent_words(docs: DataFrame, ranks: bytes, most: int) -> tuple[np.ndarray
         least, total = n, total + k
     if least is None:
         return np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, "<u4")
-    table = rank_table(ranks_of(ranks))
-    chosen = counts.filter(F.col("n") >= least).select("word").repartition(F.col("word"))
-    found = store(chosen.select("word", let(table, lambda t: fold_merges(F.col("word"), t)).alias("ids"))).toArrow().combine_chunks()
-    keys = _hashes([bytes.fromhex(w) for w in found["word"].to_pylist()])
+    known = ranks_of(ranks)
+    byte_ids = np.array([known[bytes([b])] for b in range(256)], np.int32)
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(words).view(np.int64)), _byte_ids(words, byte_ids)], names=["key", "bytes"])
+
+    table = rank_table(known)
+    chosen = counts.filter(F.col("n") >= least).select("word").repartition(F.col("word")).mapInArrow(spell, "key long, bytes array<int>")
+    found = store(chosen.select("key", let(table, lambda t: fold_merges(F.col("bytes"), t)).alias("ids"))).toArrow().combine_chunks()
+    keys = found["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
     lists = found["ids"].combine_chunks() if isinstance(found["ids"], pa.ChunkedArray) else found["ids"]
     lists = lists.take(pa.array(order))
     return keys[order], np.asarray(lists.offsets).astype(np.int64) - lists.offsets[0].as_py(), lists.flatten().to_numpy().astype("<u4")
 
 
-def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
-    """``doc_id, ids`` (little-endian unsigned 32-bit): the ids of each row's whole text."""
+def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, decode: bool = False) -> DataFrame:
+    """``doc_id, ids`` (little-endian unsigned 32-bit): the ids of each row's whole text.
+
+    With ``decode`` also ``decoded``, the bytes that the ids stand for, made by the same task.
+    """
     ranks = ranks or read_ranks()
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     context = docs.sparkSession.sparkContext
-    content, head = context.broadcast(ranks), context.broadcast(frequent_words(docs, ranks, frequent))
+    table_keys, table_starts, table_ids = frequent_words(docs, ranks, frequent)
+    content, head, head_ids = context.broadcast(ranks), context.broadcast(table_keys), context.broadcast((table_starts, table_ids))
+    whole_ranks = ranks_of(ranks)
+    byte_ids = np.array([whole_ranks[bytes([b])] for b in range(256)], np.int32)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, _, _ = head.value
-        whole = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
+        keys = head.value
+        known = ranks_of(content.value)
+        row = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
         for ids, numbers, words in _groups(batches):
             # where each word's ids will be found: in the frequent words' table, or behind it in this group's own
             place = np.full(len(words), -1, np.int64)
@@ -243,50 +304,61 @@ def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str =
                 mine = _hashes(words)
                 at = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
                 place = np.where(keys[at] == mine, at, -1)
-            rest = np.flatnonzero(place < 0)
-            long = [i for i in rest.tolist() if len(words[i]) > LONG]
-            short = [i for i in rest.tolist() if len(words[i]) <= LONG]
-            place[short + long] = len(keys) + np.arange(len(rest))
-            merged = [np.array(heap_merges(words[i], ranks_of(content.value)), "<u4").tobytes() for i in long]
-            columns = [ids, pa.array(numbers, pa.binary()), pa.array([words[i].hex().upper() for i in short], pa.string()), pa.array(merged, pa.binary())]
-            yield pa.RecordBatch.from_arrays([*map(whole, columns), pa.array([place.astype("<i8").tobytes()], pa.binary())], names=["ids", "numbers", "words", "long", "place"])
+            rest = np.flatnonzero(place < 0).tolist()
+            # a word that is a token needs no merges, a long one a heap
+            ready = [i for i in rest if len(words[i]) > LONG or words[i] in known]
+            folded = [i for i in rest if not (len(words[i]) > LONG or words[i] in known)]
+            place[folded + ready] = len(keys) + np.arange(len(rest))
+            merged = [np.array([known[words[i]]] if words[i] in known else heap_merges(words[i], known), "<u4").tobytes() for i in ready]
+            columns = [ids, pa.array(numbers, pa.binary()), _byte_ids([words[i] for i in folded], byte_ids), pa.array(merged, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*map(row, columns), pa.array([place.astype("<i8").tobytes()], pa.binary())], names=["ids", "numbers", "words", "ready", "place"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, starts, known = head.value
+        starts, frequent_ids = head_ids.value
+        pieces = pieces_of(content.value) if decode else []
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, numbers, long, encoded = (batch.column(i).slice(row, 1).flatten() for i in range(4))
+                ids, numbers, ready, encoded = (batch.column(i).slice(row, 1).flatten() for i in range(4))
                 place = np.frombuffer(batch.column(4)[row].as_py(), "<i8")
-                own = [encoded.flatten().to_numpy(zero_copy_only=False).astype("<u4"), *(np.frombuffer(x, "<u4") for x in long.to_pylist())]
-                flat = np.concatenate([known, *own])
-                count = np.concatenate([np.diff(starts), np.diff(np.asarray(encoded.offsets)), [len(x) for x in own[1:]]]).astype(np.int64)
-                first = (np.cumsum(count) - count)[place]
-                count = count[place]
+                own, ends = encoded.flatten().to_numpy(zero_copy_only=False).astype("<u4"), np.asarray(encoded.offsets)
+                ends = ends - ends[0]
+                mine = [own[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)] + ready.to_pylist()
+                n = len(starts) - 1
+                words = [frequent_ids[starts[p] : starts[p + 1]].tobytes() if p < n else mine[p - n] for p in place.tolist()]
                 for a in range(0, len(numbers), 500):
-                    out = []
-                    for each in numbers.slice(a, 500).to_pylist():
-                        w = np.frombuffer(each, "<i4")
-                        n = count[w]
-                        at = np.arange(n.sum()) + np.repeat(first[w] - (np.cumsum(n) - n), n)
-                        out.append(flat[at].tobytes())
-                    yield pa.RecordBatch.from_arrays([ids.slice(a, 500), pa.array(out, pa.binary())], names=["doc_id", "ids"])
+                    out = [b"".join(map(words.__getitem__, memoryview(each).cast("i"))) for each in numbers.slice(a, 500).to_pylist()]
+                    columns = [ids.slice(a, 500), pa.array(out, pa.binary())]
+                    if decode:
+                        columns.append(pa.array([decoded(x, pieces) for x in out], pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
+
+    table = rank_table(whole_ranks)
+    encoded = let(table, lambda t: F.transform("words", lambda w: fold_merges(w, t)))
+    groups = docs.mapInArrow(number, f"ids array<{kind}>, numbers array<binary>, words array<array<int>>, ready array<binary>, place binary")
+    groups = groups.select("ids", "numbers", "ready", encoded.alias("encoded"), "place")
+    return groups.mapInArrow(join, f"doc_id {kind}, ids binary" + ", decoded binary" * decode)
 
-    encoded = let(rank_table(ranks_of(ranks)), lambda table: F.transform("words", lambda w: fold_merges(w, table)))
-    groups = docs.mapInArrow(number, f"ids array<{kind}>, numbers array<binary>, words array<string>, long array<binary>, place binary")
-    return groups.select("ids", "numbers", "long", encoded.alias("encoded"), "place").mapInArrow(join, f"doc_id {kind}, ids binary")
+
+def pieces_of(ranks: bytes) -> list[bytes]:
+    """The binary piece of each id."""
+    pieces = [b""] * (max(ranks_of(ranks).values(), default=-1) + 1)
+    for token, rank in ranks_of(ranks).items():
+        pieces[rank] = token
+    return pieces
+
+
+def decoded(ids: bytes, pieces: list[bytes]) -> bytes:
+    return b"".join(map(pieces.__getitem__, memoryview(ids).cast("I")))
 
 
 def decode_documents(encoded: DataFrame, ranks: bytes | None = None) -> DataFrame:
-    """``encoded`` with ``decoded``: the binary pieces of the ids, joined."""
-    ranks = ranks or read_ranks()
-    content = encoded.sparkSession.sparkContext.broadcast(ranks)
+    """``doc_id, ids`` with ``decoded``: the binary pieces of the ids, joined."""
+    content = encoded.sparkSession.sparkContext.broadcast(ranks or read_ranks())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = [b""] * (max(ranks_of(content.value).values(), default=-1) + 1)
-        for token, rank in ranks_of(content.value).items():
-            pieces[rank] = token
+        pieces = pieces_of(content.value)
         for batch in batches:
-            out = [b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist())) for ids in batch.column(1).to_pylist()]
+            out = [decoded(ids, pieces) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=["doc_id", "ids", "decoded"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
@@ -295,10 +367,7 @@ def decode_documents(encoded: DataFrame, ranks: bytes | None = None) -> DataFram
 
 def digest(docs: DataFrame) -> DataFrame:
     """Digests of the ids and of the bytes they decode to."""
-    ranks = read_ranks()
-    decoded = decode_documents(encode_documents(docs, ranks), ranks)
-    return decoded.select(
+    both = encode_documents(docs, decode=True)
+    return both.select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
-
-
