@@ -215,8 +215,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         bits, segments, keys, exact = model.value
         part, at = TaskContext.get().partitionId(), 0
         for whole in batches:
-            for cut in range(0, whole.num_rows, 1000):
-                batch = whole.slice(cut, 1000)
+            for cut in range(0, whole.num_rows, 500):
+                batch = whole.slice(cut, 500)
                 each = [hashed(t.as_py()) for t in batch.column(1)]
                 if not each:
                     continue
