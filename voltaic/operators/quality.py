@@ -130,47 +130,63 @@ def _rule_samples(df: DataFrame, viol: DataFrame, rules: Sequence[Rule], sample_
 # ---------------------------------------------------------------------------
 # Rule sets of the source pipeline (Q1-Q11)
 # ---------------------------------------------------------------------------
+# Fixed values (must equal the source pipeline's): dataset, rule name, severity, sample key columns.
+RULES = (
+    ("meter", "PK_NOT_NULL_event_id", "CRITICAL", ("meter_id", "event_ts", "region")),
+    ("meter", "PK_NOT_NULL_meter_id", "CRITICAL", ("event_id", "event_ts", "region")),
+    ("meter", "NEGATIVE_KWH", "WARNING", ("event_id", "meter_id", "kwh_consumed")),
+    ("meter", "INVALID_TIMESTAMP", "CRITICAL", ("event_id", "meter_id")),
+    ("meter", "VOLTAGE_OUT_OF_RANGE", "WARNING", ("event_id", "meter_id", "voltage_v", "region")),
+    ("telemetry", "PK_NOT_NULL_telemetry_id", "CRITICAL", ("transformer_id", "telemetry_ts", "region")),
+    ("telemetry", "PK_NOT_NULL_transformer_id", "CRITICAL", ("telemetry_id", "telemetry_ts", "region")),
+    ("telemetry", "INVALID_TIMESTAMP", "CRITICAL", ("telemetry_id", "transformer_id", "region")),
+    ("telemetry", "OIL_TEMP_DELTA_IMPLAUSIBLE", "WARNING", ("telemetry_id", "transformer_id", "oil_temp_delta_c", "region")),
+    ("billing", "PK_NOT_NULL_transaction_id", "CRITICAL", ("customer_id", "cdc_ts")),
+    ("billing", "NEGATIVE_AMOUNT", "WARNING", ("transaction_id", "customer_id")),
+    ("dimension", "SCD2_MULTIPLE_CURRENT_RECORDS", "CRITICAL", ("count",)),
+    ("dimension", "SCD2_CURRENT_END_DATE_NOT_MAX", "WARNING", ("record_end_date", "scd_version")),
+    ("gold", "GOLD_EMPTY_TABLE", "CRITICAL", ()),
+)
+
+
+def _rules(dataset: str, predicates: dict[str, Column], first: Sequence[str] = (), last: Sequence[str] = ()) -> list[Rule]:
+    """The dataset's rules that have a predicate; ``first`` and ``last`` are key columns known only at plan time."""
+    return [Rule(name, severity, predicates[name], (*first, *keys, *last))
+            for d, name, severity, keys in RULES if d == dataset and name in predicates]
+
+
 def meter_rules() -> list[Rule]:
-    kwh, v = F.col("kwh_consumed"), F.col("voltage_v")
-    return [
-        Rule("PK_NOT_NULL_event_id", "CRITICAL", is_blank("event_id"), ("meter_id", "event_ts", "region")),
-        Rule("PK_NOT_NULL_meter_id", "CRITICAL", is_blank("meter_id"), ("event_id", "event_ts", "region")),
-        Rule("NEGATIVE_KWH", "WARNING", kwh < 0, ("event_id", "meter_id", "kwh_consumed")),
-        Rule("INVALID_TIMESTAMP", "CRITICAL", F.col("event_ts").isNull(), ("event_id", "meter_id")),
-        Rule("VOLTAGE_OUT_OF_RANGE", "WARNING", (v < K.VOLTAGE_MIN_V) | (v > K.VOLTAGE_MAX_V),
-             ("event_id", "meter_id", "voltage_v", "region")),
-    ]
+    v = F.col("voltage_v")
+    return _rules("meter", {
+        "PK_NOT_NULL_event_id": is_blank("event_id"), "PK_NOT_NULL_meter_id": is_blank("meter_id"),
+        "NEGATIVE_KWH": F.col("kwh_consumed") < 0, "INVALID_TIMESTAMP": F.col("event_ts").isNull(),
+        "VOLTAGE_OUT_OF_RANGE": (v < K.VOLTAGE_MIN_V) | (v > K.VOLTAGE_MAX_V)})
 
 
 def telemetry_rules() -> list[Rule]:
-    return [
-        Rule("PK_NOT_NULL_telemetry_id", "CRITICAL", is_blank("telemetry_id"), ("transformer_id", "telemetry_ts", "region")),
-        Rule("PK_NOT_NULL_transformer_id", "CRITICAL", is_blank("transformer_id"), ("telemetry_id", "telemetry_ts", "region")),
-        Rule("INVALID_TIMESTAMP", "CRITICAL", F.col("telemetry_ts").isNull(), ("telemetry_id", "transformer_id", "region")),
-        Rule("OIL_TEMP_DELTA_IMPLAUSIBLE", "WARNING", F.col("oil_temp_delta_c") > K.OIL_DELTA_IMPLAUSIBLE_C,
-             ("telemetry_id", "transformer_id", "oil_temp_delta_c", "region")),
-    ]
+    return _rules("telemetry", {
+        "PK_NOT_NULL_telemetry_id": is_blank("telemetry_id"), "PK_NOT_NULL_transformer_id": is_blank("transformer_id"),
+        "INVALID_TIMESTAMP": F.col("telemetry_ts").isNull(),
+        "OIL_TEMP_DELTA_IMPLAUSIBLE": F.col("oil_temp_delta_c") > K.OIL_DELTA_IMPLAUSIBLE_C})
 
 
 def billing_rules(bills: DataFrame) -> list[Rule]:
-    rules = [Rule("PK_NOT_NULL_transaction_id", "CRITICAL", is_blank("transaction_id"), ("customer_id", "cdc_ts"))]
     amount = resolve_column(bills, K.AMOUNT_CANDIDATES)
-    if amount:
-        rules.append(Rule("NEGATIVE_AMOUNT", "WARNING", F.col(amount) < 0, ("transaction_id", "customer_id", amount)))
-    return rules
+    rules = _rules("billing", {"PK_NOT_NULL_transaction_id": is_blank("transaction_id")})
+    return rules + (_rules("billing", {"NEGATIVE_AMOUNT": F.col(amount) < 0}, last=(amount,)) if amount else [])
 
 
 def dimension_multi_current(dim: DataFrame, key: str, dataset: str, layer: str = "SILVER") -> DataFrame:
     """SCD2_MULTIPLE_CURRENT_RECORDS (Q12): keys with more than one current row."""
     multi = dim.filter(F.col("is_current")).groupBy(key).count().filter(F.col("count") > 1)
-    return evaluate_rules(multi, [Rule("SCD2_MULTIPLE_CURRENT_RECORDS", "CRITICAL", F.lit(True), (key, "count"))],
+    return evaluate_rules(multi, _rules("dimension", {"SCD2_MULTIPLE_CURRENT_RECORDS": F.lit(True)}, first=(key,)),
                           dataset, layer)
 
 
 def dimension_end_date_rule(key: str) -> Rule:
     """SCD2_CURRENT_END_DATE_NOT_MAX (Q13)."""
     pred = F.col("is_current") & (F.to_date(F.col("record_end_date")) != F.to_date(F.lit(K.SCD_OPEN_END_DATE)))
-    return Rule("SCD2_CURRENT_END_DATE_NOT_MAX", "WARNING", pred, (key, "record_end_date", "scd_version"))
+    return _rules("dimension", {"SCD2_CURRENT_END_DATE_NOT_MAX": pred}, first=(key,))[0]
 
 
 def empty_table_violation(df: DataFrame, dataset: str, layer: str = "GOLD") -> DataFrame:
@@ -178,10 +194,11 @@ def empty_table_violation(df: DataFrame, dataset: str, layer: str = "GOLD") -> D
 
     Reads at most one row per partition (``limit(1)``), not the table.
     """
+    _, name, severity, _ = next(r for r in RULES if r[0] == "gold")
     n = df.limit(1).agg(F.count(F.lit(1)).alias("n"))
     return n.filter(F.col("n") == 0).select(
-        F.lit(layer).alias("layer"), F.lit(dataset).alias("dataset"), F.lit("GOLD_EMPTY_TABLE").alias("rule_name"),
-        F.lit("CRITICAL").alias("severity"), F.lit(1).cast("bigint").alias("violation_count"),
+        F.lit(layer).alias("layer"), F.lit(dataset).alias("dataset"), F.lit(name).alias("rule_name"),
+        F.lit(severity).alias("severity"), F.lit(1).cast("bigint").alias("violation_count"),
         F.lit("").alias("sample_keys"))
 
 

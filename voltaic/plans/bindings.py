@@ -270,8 +270,19 @@ def q_resolve_column(spark, sf):
 
 
 def q_schema_evolve(spark, sf):
-    r = backfill_columns(renewable_feed(spark, sf), K.RENEWABLE_EVOLVED_COLUMNS)
-    return r.select("reading_id", "production_mw", "curtailment_mw", "battery_storage_mwh")
+    """Readings landed as JSON in two layouts (S6, T8, P8): the schema is inferred and saved after the first,
+    evolved after the second, and columns that a layout lacks come back as typed NULLs."""
+    from voltaic.session import shared_dir
+    from voltaic.sources.ingest import evolve_schema, load_schema, save_schema
+    root = shared_dir(spark, "voltaic", "schema_evolve")
+    columns = ["reading_id", "production_mw", *K.RENEWABLE_EVOLVED_COLUMNS]
+    feed = renewable_feed(spark, sf).select("event_ts", *columns)
+    cut, hints = F.lit(EVOLVED_FROM).cast("timestamp_ntz"), "reading_id bigint"
+    feed.filter(F.col("event_ts") < cut).select(columns[:2]).write.json(f"{root}/landing")
+    save_schema(spark, evolve_schema(spark, f"{root}/landing", None, hints), f"{root}/schema")
+    feed.filter(F.col("event_ts") >= cut).select(columns).write.mode("append").json(f"{root}/landing")
+    schema = evolve_schema(spark, f"{root}/landing", load_schema(spark, f"{root}/schema"), hints)
+    return backfill_columns(spark.read.schema(schema).json(f"{root}/landing"), K.RENEWABLE_EVOLVED_COLUMNS).select(columns)
 
 
 def q_ts_from_filename(spark, sf):
@@ -703,8 +714,38 @@ def q_scd2_deltas(spark, sf):
     return apply_deltas(dim, later.unionByName(first))
 
 
+def q_scd2_variant(spark, sf):
+    """The documented merge variant (M4): some columns compared, old rows closed on the effective date
+    itself, no new versions of changed keys."""
+    return merge.scd2_apply(customer_dim(spark, sf), customer_delta(spark, sf), ["customer_id"],
+                            compare_cols=["c_acctbal", "c_mktsegment"], end_offset_days=0, insert_new_versions=False)
+
+
+def q_metrics_report(spark, sf):
+    """The metrics of one of two runs, in report order."""
+    counts = quality.row_counts([("BRONZE", n, _t(spark, sf, n)) for n in ("orders", "lineitem", "events")]
+                                + [("SILVER", "billing_transactions_current", bills_feed(spark, sf).filter("fraud_flag"))])
+    rows = counts.select("layer", F.concat_ws(".", F.lower("layer"), "table_name").alias("table_fqn"),
+                         F.lit("rowcount").alias("metric_name"), F.col("row_count").cast("string").alias("metric_value"))
+    runs = rows.withColumn("batch_id", F.lit("b1")).unionByName(rows.withColumns({"batch_id": F.lit("b2"), "metric_value": F.lit("0")}))
+    return quality.metrics_report(runs, "b1")
+
+
+def q_partition_overwrite(spark, sf):
+    """A mart partitioned by month, then an incremental write that replaces only the months it holds (K5)."""
+    from voltaic.plans.tables import write_partitioned
+    from voltaic.session import shared_dir
+    path = shared_dir(spark, "voltaic", "partition_overwrite")
+    month = F.year("due_date") * 100 + F.month("due_date")
+    mart = bills_feed(spark, sf).groupBy(month.alias("bill_month"), "payment_status").agg(F.count(F.lit(1)).alias("tx_count"))
+    write_partitioned(spark, mart, path, ["bill_month"], incremental=False)
+    again = mart.filter("bill_month between 199501 and 199503").withColumn("tx_count", F.col("tx_count") + 1000)
+    write_partitioned(spark, again, path, ["bill_month"], incremental=True)
+    return spark.read.parquet(path).select("bill_month", "payment_status", "tx_count")
+
+
 #: Queries whose feed or state has to be written first.
-EAGER = ("q_stream_dedup", "q_stream_dedup_id", "q_cdc_stream", "q_csv_feed", "q_scd2_deltas")
+EAGER = ("q_schema_evolve", "q_partition_overwrite", "q_stream_dedup", "q_stream_dedup_id", "q_cdc_stream", "q_csv_feed", "q_scd2_deltas")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -541,6 +541,26 @@ ORACLES: dict[str, str] = {
            "SELECT 'GOLD', 'customer_hourly_usage', COUNT(*) FROM hourly",
            "SELECT 'GOLD', 'billing_kpis_daily', COUNT(*) FROM bill_daily"]),
     "q_stream_dedup": "SELECT DISTINCT * FROM events",
+    "q_scd2_variant": f"""WITH {CUSTOMER}, v AS (
+          SELECT *, t_id IS NOT NULL AND s_id IS NOT NULL AND (t_c_acctbal IS DISTINCT FROM s_c_acctbal
+                    OR t_c_mktsegment IS DISTINCT FROM s_c_mktsegment) AS ch FROM scd_join)
+        SELECT t_id AS customer_id, t_meter_id AS meter_id, t_c_name AS c_name, t_c_nationkey AS c_nationkey,
+               t_c_acctbal AS c_acctbal, t_c_mktsegment AS c_mktsegment, t_eff AS record_effective_date,
+               CASE WHEN ch THEN CAST(s_eff AS DATE) ELSE t_end END AS record_end_date, NOT ch AS is_current,
+               t_version AS scd_version FROM v WHERE t_id IS NOT NULL
+        UNION ALL
+        SELECT s_id, s_meter_id, s_c_name, s_c_nationkey, s_c_acctbal, s_c_mktsegment, CAST(s_eff AS DATE),
+               CAST(s_end AS DATE), true, 1 FROM v WHERE t_id IS NULL""",
+    "q_metrics_report": f"""WITH {BILLS}
+        SELECT layer, lower(layer) || '.' || name AS table_fqn, 'rowcount' AS metric_name, CAST(n AS VARCHAR) AS metric_value
+        FROM (SELECT 'BRONZE' AS layer, 'orders' AS name, COUNT(*) AS n FROM orders
+              UNION ALL SELECT 'BRONZE', 'lineitem', COUNT(*) FROM lineitem
+              UNION ALL SELECT 'BRONZE', 'events', COUNT(*) FROM events
+              UNION ALL SELECT 'SILVER', 'billing_transactions_current', COUNT(*) FROM bills WHERE fraud_flag)""",
+    "q_partition_overwrite": f"""WITH {BILLS}
+        SELECT bill_month, payment_status, n + CASE WHEN bill_month BETWEEN 199501 AND 199503 THEN 1000 ELSE 0 END AS tx_count
+        FROM (SELECT CAST(year(due_date) * 100 + month(due_date) AS INTEGER) AS bill_month, payment_status, COUNT(*) AS n
+              FROM bills GROUP BY ALL)""",
     "q_stream_dedup_id": "SELECT * FROM events QUALIFY ROW_NUMBER() OVER (PARTITION BY event_id) = 1",
     "q_cdc_stream": f"""WITH {CDC} SELECT * FROM (SELECT * FROM cdc_feed WHERE "__$operation" IS DISTINCT FROM 3
         QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {CDC_ORDER}) = 1)
