@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltaic.llm.common import store
+from voltaic.llm.common import least_count, store
 from voltaic.llm.native import let
 
 #: How the rank map spreads pairs over its buckets, and what it takes off the ranks that it stores.
@@ -254,11 +254,7 @@ def frequent_words(docs: DataFrame, ranks: bytes, most: int) -> tuple[np.ndarray
         yield from counted(chunks)
 
     counts = store(docs.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    least, total = None, 0
-    for n, k in sorted(((r["n"], r["k"]) for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True):
-        if n < 2 or total + k > most:
-            break
-        least, total = n, total + k
+    least = least_count(counts, most, 2)
     if least is None:
         return np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, "<u4")
     known = ranks_of(ranks)

@@ -67,3 +67,18 @@ def words_of(text: str | None) -> list[bytes]:
 def doc_crc(col: str = "doc_id"):
     """crc32 of the id written as text (null: of the empty text)."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))
+
+
+def least_count(counts: DataFrame, most: int, floor: int = 1) -> int | None:
+    """The least count ``n`` (``floor`` or more) so that at most ``most`` rows have it or a higher one.
+
+    Counts are looked at in eight steps for each doubling, so a few hundred rows come to the driver,
+    however many different counts there are. None: even the highest step has too many rows.
+    """
+    steps = counts.filter(F.col("n") >= floor).groupBy(F.floor(F.log2("n") * 8)).agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("rows"))
+    least, total = None, 0
+    for step in sorted(steps.collect(), key=lambda r: -r["least"]):
+        if total + step["rows"] > most:
+            break
+        least, total = step["least"], total + step["rows"]
+    return least

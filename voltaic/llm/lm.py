@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaic.llm.common import doc_crc, store, words_of
+from voltaic.llm.common import doc_crc, least_count, store, words_of
 
 FOLDS, HELD_OUT = 5, 1
 B = 2.0
@@ -185,13 +185,8 @@ def build_filter(spark: SparkSession, counts: DataFrame) -> tuple[np.ndarray, in
 
 def head_counts(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Keys (ascending) and exact counts of the words whose count makes them fit into ``HEAD`` places."""
-    by_count = sorted(((r["n"], r["k"]) for r in words.groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True)
-    least, total = float("inf"), 0
-    for n, k in by_count:
-        if total + k > HEAD:
-            break
-        least, total = n, total + k
-    rows = words.filter(F.col("n") >= least).select("key", "n").toArrow() if total else None
+    least = least_count(words, HEAD)
+    rows = words.filter(F.col("n") >= least).select("key", "n").toArrow() if least is not None else None
     keys = rows["key"].to_numpy().view(np.uint64) if rows is not None else np.zeros(0, np.uint64)
     n = rows["n"].to_numpy() if rows is not None else np.zeros(0, np.int64)
     order = np.argsort(keys)

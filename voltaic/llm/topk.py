@@ -74,13 +74,13 @@ class Best:
         self.score[rows], self.id[rows] = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
 
 
-def _search(best: Best, q: np.ndarray, q_ids: np.ndarray, q_table: np.ndarray, x: np.ndarray, x_ids: np.ndarray, x_table: np.ndarray) -> None:
-    """Evaluates one chunk of candidates for all queries of a block."""
+def _search(best: Best, q: np.ndarray, q_ids: np.ndarray, q_table: np.ndarray, x: np.ndarray, x_ids: np.ndarray, x_table: np.ndarray, far: float) -> None:
+    """Evaluates one chunk of candidates for all queries of a block; ``far``: the largest pivot's length."""
     q2, x2 = (q * q).sum(1), (x * x).sum(1)
     gap = np.zeros((len(q), len(x)), np.float32)
     for p in range(q_table.shape[1]):
         np.maximum(gap, np.abs(q_table[:, p, None] - x_table[None, :, p]), out=gap)
-    slack = 1e-5 * (1 + np.sqrt(q2)[:, None] + np.sqrt(x2)[None, :])  # the table is single precision
+    slack = 1e-5 * (1 + np.sqrt(q2)[:, None] + np.sqrt(x2)[None, :]) + 1e-6 * far  # the table is single precision
     bound = (q2[:, None] + x2[None, :] - np.maximum(gap - slack, 0) ** 2) / 2
     top = bound.max(0)
     order = np.argsort(-top, kind="stable")
@@ -116,6 +116,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     width = vectors.agg(F.max(F.size("v"))).first()[0] or 0
     pivots = vectors.orderBy(F.xxhash64("vec_id", F.lit(11)), "vec_id").limit(PIVOTS).toArrow()
     points = _matrix(pivots["v"], width)
+    far = float(np.sqrt((points * points).sum(1)).max(initial=0))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -144,7 +145,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
                 x, x_ids, x_table = rows_of(b)
                 for at in range(0, len(x), CHUNK):
                     s = slice(at, at + CHUNK)
-                    _search(best, q, q_ids, q_table, x[s], x_ids[s], x_table[s])
+                    _search(best, q, q_ids, q_table, x[s], x_ids[s], x_table[s], far)
             found = np.isfinite(best.score)
             row, _ = np.nonzero(found)
             yield pa.RecordBatch.from_arrays([pa.array(q_ids[row]), pa.array(best.id[found]), pa.array(best.score[found].astype(np.int64))], names=["query_id", "vec_id", "score"])
