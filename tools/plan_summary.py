@@ -14,7 +14,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-import __spark_entry__ as E  # noqa: E402
+from voltaic.plans import bindings  # noqa: E402
 from voltaic.session import build_session  # noqa: E402
 
 
@@ -26,8 +26,6 @@ def summarize(spark, df) -> dict:
     for m in re.finditer(r"Scan parquet [^\n]*\n(?:[^\n]+\n)*?ReadSchema: struct<([^>]*)>", text):
         block = m.group(0)
         loc = re.search(r"\[file:[^\]]*/([^/\]]+\.parquet)\]", block)
-        if loc is None and "voltaic/materialized" in block:
-            loc = re.match(r"(.*)", "materialized(size-checked)")
         pushed = re.search(r"PushedFilters: \[([^\]]*)\]", block)
         ncols = len([c for c in m.group(1).split(",") if c])
         scans.append(f"{loc.group(1) if loc else '?'}:{ncols}c" + (f" pushed[{pushed.group(1)[:60]}]" if pushed and pushed.group(1) else ""))
@@ -46,14 +44,14 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", shuffle_partitions=8)
     rows = []
-    for name, fn in E.queries().items():
+    for name, fn in bindings.queries().items():
         s = summarize(spark, fn(spark, sf))
         rows.append(f"| `{name}` | {s['exchanges']} | {s['broadcast_joins']} | {s['smj']} | {s['partial_aggs']} | "
                     f"{s['partial_limits']} | {'yes' if s['python'] else 'no'} | {'; '.join(s['scans'])} |")
     out = ["# Physical plans of the registered queries", "",
            f"Generated by `tools/plan_summary.py` on `{sf}` (local[8], AQE on, initial plans before runtime",
            "re-optimization). Exchanges = shuffles (hash/range/single partition); BHJ = broadcast hash joins",
-           "(thresholds and CDC/SCD2 keys are broadcast only after a checked row count); partial aggs/limits =",
+           "that the optimizer picks from file sizes before adaptive execution measures them; partial aggs/limits =",
            "map-side combine before the shuffle; scans show the parquet file, the number of columns actually",
            "read and the filters pushed into the reader.", "",
            "| query | exchanges | BHJ | SMJ | partial aggs | partial window limits | python | scans (file:columns read) |",
