@@ -362,5 +362,7 @@ def test_quality_removes_failed_lines_only(spark):
     lines = ["A sentence that ends well, as most of them do.", "Home | About | News | Contact | Help", "Buy!! NOW!! CHEAP!! GOOD!!", "no end of a sentence here", "All rights reserved. Privacy policy.", "$$$ %%% &&& ###.", "Another fine sentence; it has a clause."]
     text = "\n".join([*lines, ""]) + "\n" + "\n".join(" ".join(f"word{i}and{j}" for j in range(9)) + "." for i in range(12))
     row = quality.keep_clean(spark.createDataFrame([(1, text, 5)], "doc_id long, text string, n_chars int")).first()
-    kept = row.text.split("\n")
+    kept = [x for x in row.text.split("\n") if x]
+    clean = "\n\nWhole and fine.\r\n \n" + "\n\n".join(" ".join(f"w{i}x{j}" for j in range(9)) + "." for i in range(12)) + "\n"
+    assert quality.keep_clean(spark.createDataFrame([(1, clean, 5)], "doc_id long, text string, n_chars int")).first().text == clean
     assert [x for x in lines if x in kept] == [lines[0], lines[6]] and len(kept) == 14 and row.n_chars == len(row.text)

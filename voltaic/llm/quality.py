@@ -10,8 +10,8 @@ A text's repeated windows are found inside its row: its windows are sorted by a
 words, and equal neighbours mark their positions, so the work is that of a sort, however repetitive
 the text is. No rows are exchanged.
 
-Defined results: a null or empty text has no words and is rejected by the base rules; blank lines are
-neither kept nor lost; repeated rows are judged each; an empty table gives an empty result.
+Defined results: a null or empty text has no words and is rejected by the base rules; blank lines
+stay and count for nothing, so a text whose lines all pass is left as it is; repeated rows are judged each; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -83,20 +83,22 @@ def judge(docs: DataFrame, text_col: str = "text") -> DataFrame:
             repeated_words(w).alias("n_repeat_words"),
         )
 
-    def lined(lines: Column) -> Column:
-        good = F.filter(lines, line_passes)
-        chars = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda n, x: n + F.length(x))
-        return let(
-            good,
-            lambda kept: F.struct(
+    has_word = lambda line: line.rlike(r"[^\x20\x09-\x0D]")
+    chars = lambda lines: F.aggregate(lines, F.lit(0).cast("long"), lambda n, x: n + F.length(x))
+
+    def lined(every: Column) -> Column:
+        def counted(lines: Column, kept: Column) -> Column:
+            return F.struct(
                 (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
                 F.array_join(kept, "\n").alias("clean"),
-                (2 * chars(kept) < chars(lines)).alias("lost"),
-            ),
-        )
+                (2 * chars(F.filter(kept, has_word)) < chars(lines)).alias("lost"),
+            )
+
+        kept = F.filter(every, lambda line: ~has_word(line) | line_passes(line))
+        return let(F.filter(every, has_word), lambda lines: let(kept, lambda k: counted(lines, k)))
 
     rows = docs.withColumn("__w", let(words(text), measured))
-    rows = rows.withColumn("__l", let(F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")), lined))
+    rows = rows.withColumn("__l", let(F.split(text, "\n"), lined))
     failed = (F.col("__w.n_words") < MIN_WORDS) | (100 * F.col("__w.n_repeat_words") > 50 * F.col("__w.n_words"))
     quality = F.struct(
         "__w.n_words", "__w.word_chars", count_of(text, SYMBOLS).cast("long").alias("n_symbols"), "__l.n_dup_lines", "__w.n_repeat_words",
