@@ -94,8 +94,8 @@ def _places(entries: np.ndarray, probe: int) -> np.ndarray:
     return (mix(entries + np.uint64((probe + 1) * int(M2) % (1 << 64))) % np.uint64(SEGMENT_BITS)).astype(np.int64)
 
 
-def present(filter_bytes: np.ndarray, segments: int, entries: np.ndarray) -> np.ndarray:
-    base = (entries % np.uint64(segments)).astype(np.int64) * SEGMENT_BITS
+def present(filter_bytes: np.ndarray, base: np.ndarray, entries: np.ndarray) -> np.ndarray:
+    """Whether the filter holds ``entries``, whose segments begin at the bits ``base``."""
     found = np.ones(len(entries), bool)
     for probe in range(PROBES):
         bit = base + _places(entries, probe)
@@ -105,10 +105,11 @@ def present(filter_bytes: np.ndarray, segments: int, entries: np.ndarray) -> np.
 
 def probe_counts(filter_bytes: np.ndarray, segments: int, keys: np.ndarray, kind: int) -> np.ndarray:
     """The counts that the filter gives for ``keys``: probes each level until one is missing."""
+    base = ((keys & np.uint64((1 << 63) - 1)) % np.uint64(segments)).astype(np.int64) * SEGMENT_BITS
     reached, alive, at = np.zeros(len(keys), np.int64), np.arange(len(keys)), 0
     while len(alive):
         at += 1
-        alive = alive[present(filter_bytes, segments, _entry(keys[alive], kind, at))]
+        alive = alive[present(filter_bytes, base[alive], _entry(keys[alive], kind, at))]
         reached[alive] = at
     return middle(reached)
 
@@ -156,26 +157,23 @@ def build_filter(spark: SparkSession, counts: DataFrame) -> tuple[np.ndarray, in
     segments = min(max(1, -(-entries * BITS // SEGMENT_BITS)), MAX_FILTER_BYTES * 8 // SEGMENT_BITS)
     chosen = counts.withColumn("level", levels).filter((F.col("kind") == WORD) | (F.col("level") >= least))
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kind = batch.column(0).to_numpy()
-            key, top = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()
-            for at in range(1, int(top.max(initial=0)) + 1):
-                for k in (WORD, PAIR):
-                    entries = _entry(key[(top >= at) & (kind == k)], k, at)
-                    if len(entries):
-                        yield pa.RecordBatch.from_arrays([pa.array((entries % np.uint64(segments)).astype(np.int32)), pa.array(entries.view(np.int64))], names=["segment", "entry"])
+    # all levels of an n-gram lie in one segment, so each n-gram is sent once
+    segment = F.pmod(F.col("key").bitwiseAND(F.lit((1 << 63) - 1)), F.lit(segments)).cast("int")
 
     def build(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(SEGMENT_BITS // 8, np.uint8)
         for batch in batches:
-            entries = np.asarray(batch.column("entry")).view(np.uint64)
-            for probe in range(PROBES):
-                bit = _places(entries, probe)
-                np.bitwise_or.at(bits, bit >> 3, np.left_shift(np.uint8(1), (bit & 7).astype(np.uint8)))
+            kind, top = np.asarray(batch.column("kind")), np.asarray(batch.column("level"))
+            keys = np.asarray(batch.column("key")).view(np.uint64)
+            for at in range(1, int(top.max(initial=0)) + 1):
+                for k in (WORD, PAIR):
+                    entries = _entry(keys[(top >= at) & (kind == k)], k, at)
+                    for probe in range(PROBES):
+                        bit = _places(entries, probe)
+                        np.bitwise_or.at(bits, bit >> 3, np.left_shift(np.uint8(1), (bit & 7).astype(np.uint8)))
         yield pa.RecordBatch.from_pydict({"segment": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([zlib.compress(bits.tobytes(), 1)])})
 
-    parts = chosen.select("kind", "key", "level").mapInArrow(spread, "segment int, entry long").groupBy("segment").applyInArrow(build, "segment int, bits binary")
+    parts = chosen.select(segment.alias("segment"), "kind", "key", F.col("level").cast("byte").alias("level")).groupBy("segment").applyInArrow(build, "segment int, bits binary")
     out = np.zeros(segments * SEGMENT_BITS // 8, np.uint8)
     for row in parts.toLocalIterator():  # one segment at a time, at most MAX_FILTER_BYTES in all
         at = row["segment"] * SEGMENT_BITS // 8
