@@ -334,7 +334,8 @@ def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str =
     table = rank_table(whole_ranks)
     encoded = let(table, lambda t: F.transform("words", lambda w: fold_merges(w, t)))
     groups = docs.mapInArrow(number, f"ids array<{kind}>, numbers array<binary>, words array<array<int>>, ready array<binary>, place binary")
-    groups = groups.select("ids", "numbers", "ready", encoded.alias("encoded"), "place")
+    # stored in between, so that a task runs one Python worker beside the JVM and not two
+    groups = store(groups, "zstd").select("ids", "numbers", "ready", encoded.alias("encoded"), "place")
     return groups.mapInArrow(join, f"doc_id {kind}, ids binary" + ", decoded binary" * decode)
 
 

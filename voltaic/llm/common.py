@@ -45,14 +45,14 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/voltaic-llm/{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame) -> DataFrame:
+def store(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     What follows restarts from these files when executors are lost, and nothing is computed twice.
     """
     ship_code(df.sparkSession)
     path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
