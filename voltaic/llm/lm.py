@@ -10,9 +10,14 @@ its range. The probability of a word after the word before it interpolates both
 fixed weight ``LAMBDA``: ``LAMBDA * min(1, c(h, w) / c(h)) + (1 - LAMBDA) * (c(w) + 0.5) / (N + 0.5 (V + 1))``,
 all counts read from the filter; a text starts after an end mark.
 
-Size. The filter is broadcast, so its size is bounded by ``MAX_FILTER_BYTES``: all words and the word
-pairs of at least ``cutoff`` occurrences enter, with ``BITS`` bits each; the cutoff is the least (2 or
-more) with which they fit. It is built in segments of fixed size by the executors.
+Size. The whole model is a Bloom filter of as many buckets as the training text needs (one for each
+``BUCKET_CHARS`` code points), ``BITS`` bits for each entry, so its false positives do not grow with the
+corpus. An n-gram's bucket follows from its key; a bucket is counted and built by one task and stays in
+storage. Besides, the frequent n-grams are in a broadcast filter of at most ``MAX_FILTER_BYTES``: pairs of
+``cutoff`` levels or more and words of one level less, with the least cutoff (2 or more) with which they
+fit. An n-gram that the broadcast filter does not give such a level is looked up in its bucket:
+each batch of texts sends each such n-gram once, and the levels come back to the batch. The bound thus decides where
+an n-gram is looked up and not whether.
 
 Base score. Word counts are exact, whatever the filter holds: the most frequent words, at most
 ``HEAD`` of them, are looked up in a broadcast table; each text's other words go as (row, word) through a
@@ -32,8 +37,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from voltaic.llm.common import doc_crc, least_count, store, words_of
 
@@ -44,6 +51,10 @@ LAMBDA = 0.3
 BITS, PROBES = 10, 5
 SEGMENT_BITS = 1 << 22
 MAX_FILTER_BYTES = 128 << 20
+#: Code points of training text for each bucket of the whole filter.
+BUCKET_CHARS = 4_000_000
+#: A word's level that its bucket has to tell.
+OPEN = 255
 #: Most words in the broadcast table of exact counts: 16 MB.
 HEAD = 1 << 20
 #: Hashes gathered in a task before it sends partial counts.
@@ -89,40 +100,82 @@ def _entry(keys: np.ndarray, kind: int, at: int) -> np.ndarray:
     return mix(keys + np.uint64((0x632BE59BD9B4E019 * (2 * at + kind)) % (1 << 64)))
 
 
-def _places(entries: np.ndarray, probe: int) -> np.ndarray:
-    """The bit of the probe inside an entry's segment."""
-    return (mix(entries + np.uint64((probe + 1) * int(M2) % (1 << 64))) % np.uint64(SEGMENT_BITS)).astype(np.int64)
+def _places(entries: np.ndarray, probe: int, size: int = SEGMENT_BITS) -> np.ndarray:
+    """The bit of the probe inside an entry's segment of ``size`` bits."""
+    return (mix(entries + np.uint64((probe + 1) * int(M2) % (1 << 64))) % np.uint64(size)).astype(np.int64)
 
 
-def present(filter_bytes: np.ndarray, base: np.ndarray, entries: np.ndarray) -> np.ndarray:
-    """Whether the filter holds ``entries``, whose segments begin at the bits ``base``."""
+def present(filter_bytes: np.ndarray, base: np.ndarray, entries: np.ndarray, size: int = SEGMENT_BITS) -> np.ndarray:
+    """Whether the filter holds ``entries``, whose segments of ``size`` bits begin at the bits ``base``."""
     found = np.ones(len(entries), bool)
     for probe in range(PROBES):
-        bit = base + _places(entries, probe)
+        bit = base + _places(entries, probe, size)
         found &= (filter_bytes[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
     return found
 
 
-def probe_counts(filter_bytes: np.ndarray, segments: int, keys: np.ndarray, kind: int) -> np.ndarray:
-    """The counts that the filter gives for ``keys``: probes each level until one is missing."""
-    base = ((keys & np.uint64((1 << 63) - 1)) % np.uint64(segments)).astype(np.int64) * SEGMENT_BITS
-    reached, alive, at = np.zeros(len(keys), np.int64), np.arange(len(keys)), 0
-    while len(alive):
+def probe_levels(filter_bytes: np.ndarray, base: np.ndarray, keys: np.ndarray, kind: int, size: int = SEGMENT_BITS) -> np.ndarray:
+    """The levels that the filter gives for ``keys``: probes each level until one is missing."""
+    reached, alive, at = np.zeros(len(keys), np.uint8), np.arange(len(keys)), 0
+    while len(alive) and at < 64:
         at += 1
-        alive = alive[present(filter_bytes, base[alive], _entry(keys[alive], kind, at))]
+        alive = alive[present(filter_bytes, base[alive], _entry(keys[alive], kind, at), size)]
         reached[alive] = at
-    return middle(reached)
+    return reached
+
+
+def bases(segments: int, keys: np.ndarray) -> np.ndarray:
+    """The bits at which the segments of ``keys`` begin in the broadcast filter."""
+    return ((keys & np.uint64((1 << 63) - 1)) % np.uint64(segments)).astype(np.int64) * SEGMENT_BITS
+
+
+def probe_counts(filter_bytes: np.ndarray, segments: int, keys: np.ndarray, kind: int) -> np.ndarray:
+    """The counts that the broadcast filter gives for ``keys``."""
+    return middle(probe_levels(filter_bytes, bases(segments, keys), keys, kind).astype(np.int64))
 
 
-def _rows(kind: int, keys: np.ndarray) -> pa.RecordBatch:
-    found, n = np.unique(keys, return_counts=True)
+def bucket_cuts(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of ascending ``keys`` (they ascend, too) and where each one's keys end: bucket numbers, ends."""
+    at = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    ends = np.append(np.flatnonzero(at[1:] != at[:-1]) + 1, len(at)) if len(at) else np.zeros(0, np.int64)
+    return at[ends - 1].astype(np.int64), ends
+
+
+def by_bucket(columns: tuple[np.ndarray, ...], buckets: int) -> dict[int, list[bytes]]:
+    """Columns, the first of ascending keys, cut by bucket."""
+    which, ends = bucket_cuts(columns[0], buckets)
+    starts = np.append(0, ends[:-1]) if len(ends) else ends
+    return {int(b): [c[x:y].tobytes() for c in columns] for b, x, y in zip(which, starts, ends)}
+
+
+def _sent(words: list[np.ndarray], pairs: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    """One row for each bucket and kind: the keys and how often each occurs."""
+    rows = []
+    for kind, found in ((WORD, words), (PAIR, pairs)):
+        keys, n = np.unique(np.concatenate(found), return_counts=True)
+        rows += [(bucket, kind, *cut) for bucket, cut in by_bucket((keys, n.astype("<u4")), buckets).items()]
+    columns = [list(c) for c in zip(*rows)]
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(found), kind, np.int8)), pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["kind", "key", "n"]
+        [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int8()), pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.binary())],
+        names=["bucket", "kind", "keys", "n"],
     )
 
 
-def count_ngrams(texts: DataFrame) -> DataFrame:
-    """``kind, key, n``: how often each word and word pair occurs in column ``text`` of all rows."""
+def bloom(keys: dict[int, np.ndarray], counts: dict[int, np.ndarray]) -> bytes:
+    """A bucket of the whole filter: all levels of its n-grams, ``BITS`` bits for each entry."""
+    tops = {k: level(counts[k]) for k in keys}
+    bits = np.zeros(max(64, -(-BITS * sum(int(t.sum()) for t in tops.values()) // 8) * 8), bool)
+    for k, top in tops.items():
+        for at in range(1, int(top.max(initial=0)) + 1):
+            entries = _entry(keys[k][top >= at], k, at)
+            for probe in range(PROBES):
+                bits[_places(entries, probe, len(bits))] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def count_ngrams(texts: DataFrame, buckets: int) -> DataFrame:
+    """The n-grams of column ``text`` of all rows: ``kind, key, n`` of all words and of the pairs that may be
+    frequent, and for each bucket a row ``bucket, bits`` with its part of the whole filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pairs, size = [], [], 0
@@ -133,29 +186,51 @@ def count_ngrams(texts: DataFrame) -> DataFrame:
                 pairs.append(pair_keys(tokens, np.zeros(1, np.int64)))
                 size += len(tokens)
                 if size >= GATHER:
-                    yield _rows(WORD, np.concatenate(words))
-                    yield _rows(PAIR, np.concatenate(pairs))
+                    yield _sent(words, pairs, buckets)
                     words, pairs, size = [], [], 0
         if size:
-            yield _rows(WORD, np.concatenate(words))
-            yield _rows(PAIR, np.concatenate(pairs))
-
-    parts = texts.select("text").mapInArrow(run, "kind byte, key long, n long")
-    return parts.groupBy("kind", "key").agg(F.sum("n").alias("n"))
+            yield _sent(words, pairs, buckets)
+
+    def total(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = pa.Table.from_batches(list(batches))
+        kinds, keys, counts = got["kind"].to_pylist(), {}, {}
+        for kind in (WORD, PAIR):
+            join = lambda name: b"".join(x for x, k in zip(got[name].to_pylist(), kinds) if k == kind)  # noqa: B023, E731
+            keys[kind], back = np.unique(np.frombuffer(join("keys"), np.uint64), return_inverse=True)
+            counts[kind] = np.bincount(back, np.frombuffer(join("n"), "<u4"), len(keys[kind])).astype(np.int64)
+            if kind == PAIR:
+                again = counts[kind] >= 2
+                keys[kind], counts[kind] = keys[kind][again], counts[kind][again]
+        for kind in (WORD, PAIR):
+            n = len(keys[kind])
+            none = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), pa.array(keys[kind].view(np.int64)), pa.array(counts[kind]), *none], names=names)
+        last = [pa.nulls(1, pa.int8()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([key[0].as_py()], pa.int64()), pa.array([bloom(keys, counts)], pa.binary())]
+        yield pa.RecordBatch.from_arrays(last, names=names)
+
+    names = ["kind", "key", "n", "bucket", "bits"]
+    parts = texts.select("text").mapInArrow(run, "bucket long, kind byte, keys binary, n binary")
+    return parts.groupBy("bucket").applyInArrow(total, "kind byte, key long, n long, bucket long, bits binary")
+
+
+def _level() -> Column:
+    return (F.lit(1) + F.floor(F.log2("n") / float(np.log2(B)) + 1e-9)).cast("long")
+
+
+def least_cutoff(counts: DataFrame) -> int:
+    """The least level (2 or more) so that the pairs that have it and the words of one level less fit into the broadcast filter."""
+    sizes = counts.select("kind", _level().alias("level")).groupBy("kind", "level").agg(F.sum("level").alias("entries")).collect()  # a few dozen levels
+    cutoff = 2
+    while sum(r["entries"] for r in sizes if r["level"] >= cutoff - (r["kind"] == WORD)) > MAX_FILTER_BYTES * 8 // BITS:
+        cutoff += 1
+    return cutoff
 
 
 def build_filter(spark: SparkSession, counts: DataFrame) -> tuple[np.ndarray, int]:
-    """The filter's bytes and its number of segments, from counts that hold all words and repeated pairs."""
-    levels = (F.lit(1) + F.floor(F.log2("n") / float(np.log2(B)) + 1e-9)).cast("long")
-    sizes = counts.select("kind", levels.alias("level")).groupBy("kind", "level").agg(F.sum("level").alias("entries")).collect()
-    word_entries = sum(r["entries"] for r in sizes if r["kind"] == WORD)
-    pair_entries = {int(r["level"]): r["entries"] for r in sizes if r["kind"] == PAIR}  # a few dozen levels
-    least, room = min(pair_entries, default=1), MAX_FILTER_BYTES * 8 // BITS - word_entries
-    while sum(n for at, n in pair_entries.items() if at >= least) > max(room, 0) and least <= max(pair_entries):
-        least += 1
-    entries = word_entries + sum(n for at, n in pair_entries.items() if at >= least)
-    segments = min(max(1, -(-entries * BITS // SEGMENT_BITS)), MAX_FILTER_BYTES * 8 // SEGMENT_BITS)
-    chosen = counts.withColumn("level", levels).filter((F.col("kind") == WORD) | (F.col("level") >= least))
+    """The broadcast filter's bytes and its number of segments: all n-grams of ``counts``."""
+    chosen = counts.withColumn("level", _level())
+    entries = chosen.agg(F.coalesce(F.sum("level"), F.lit(0))).first()[0]
+    segments = max(1, -(-entries * BITS // SEGMENT_BITS))
 
     # all levels of an n-gram lie in one segment, so each n-gram is sent once
     segment = F.pmod(F.col("key").bitwiseAND(F.lit((1 << 63) - 1)), F.lit(segments)).cast("int")
@@ -191,16 +266,64 @@ def head_counts(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], n[order]
 
 
+def log_p(one: np.ndarray, before: np.ndarray, both: np.ndarray, below: float) -> np.ndarray:
+    """log10 of the probability of words by the levels of the word, of the one before it and of both."""
+    value = middle(np.arange(256))
+    return np.log10(LAMBDA * np.minimum(1.0, value[both] / np.maximum(value[before], 1.0)) + (1 - LAMBDA) * np.minimum(1.0, (value[one] + 0.5) / below))
+
+
+def answers(asked: DataFrame, filter_: DataFrame) -> DataFrame:
+    """``unit, bucket, words, pairs``: the level (a byte) of each key that a unit asks a bucket for."""
+
+    def look_up(questions: pa.Table, stored: pa.Table) -> pa.Table:
+        bits = np.frombuffer(stored["bits"][0].as_py() if stored.num_rows else bytes(8), np.uint8)
+        out = {"unit": questions["unit"], "bucket": questions["bucket"]}
+        for kind, name in ((WORD, "words"), (PAIR, "pairs")):
+            each = [np.frombuffer(x or b"", np.uint64) for x in questions[name].to_pylist()]
+            keys, back = np.unique(np.concatenate([np.zeros(0, np.uint64), *each]), return_inverse=True)
+            found = probe_levels(bits, np.zeros(len(keys), np.int64), keys, kind, 8 * len(bits))[back]
+            ends = np.cumsum([0, *map(len, each)])
+            out[name] = pa.array([found[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())
+        return pa.table(out)
+
+    return asked.groupBy("bucket").cogroup(filter_.groupBy("bucket")).applyInArrow(look_up, "unit long, bucket long, words binary, pairs binary")
+
+
+def late_scores(states: DataFrame, looked_up: DataFrame, below: float) -> DataFrame:
+    """``part, at, late``: by row, the sum over the words that had to wait for a level."""
+
+    def add(state: pa.Table, levels: pa.Table) -> pa.Table:
+        levels = levels.sort_by("bucket")
+        words, both = (np.frombuffer(b"".join(levels[name].to_pylist()), np.uint8) for name in ("words", "pairs"))
+        unit, size, data = (state[name][0].as_py() for name in ("unit", "size", "state"))
+        row = np.frombuffer(data, "<u2", size)
+        one, before, new = (np.frombuffer(data, np.uint8, size, (2 + i) * size).copy() for i in range(3))
+        lookups, used = np.frombuffer(data, "<u4", -1, 5 * size) if len(data) > 5 * size else np.zeros(0, "<u4"), 0
+        for side in (one, before):
+            missing = side == OPEN
+            side[missing] = words[lookups[used : used + missing.sum()]]
+            used += missing.sum()
+        sums = np.bincount(row, log_p(one, before, both[np.cumsum(new) - 1], below))
+        rows = np.unique(row).astype(np.int64)
+        return pa.table({"part": pa.array(np.full(len(rows), unit >> 40, np.int32)), "at": (unit & ((1 << 40) - 1)) + rows, "late": sums[rows]})
+
+    return states.groupBy("unit").cogroup(looked_up.groupBy("unit")).applyInArrow(add, "part int, at long, late double")
+
+
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for each row of ``docs``."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     docs = docs.withColumn("held_out", doc_crc() % FOLDS == HELD_OUT)
-    counts = store(count_ngrams(docs.filter(~F.col("held_out"))).filter((F.col("kind") == WORD) | (F.col("n") >= 2)))
+    training = docs.filter(~F.col("held_out"))
+    buckets = 1 + (training.agg(F.sum(F.length("text"))).first()[0] or 0) // BUCKET_CHARS
+    whole = store(count_ngrams(training, buckets))
+    counts = whole.filter("kind is not null").select("kind", "key", "n")
     words = counts.filter(F.col("kind") == WORD)
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     below = total + 0.5 * (distinct + 1)
-    bits, segments = build_filter(spark, counts)
+    cutoff = least_cutoff(counts)
+    bits, segments = build_filter(spark, counts.filter(_level() >= F.lit(cutoff) - (F.col("kind") == WORD).cast("int")))
     model = spark.sparkContext.broadcast((bits, segments, *head_counts(words)))
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
@@ -223,35 +346,71 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 held = hit[back]
                 base = np.add.reduceat(np.where(held, np.log10((count[back] + 0.5) / below), 0.0), starts) if below else np.zeros(len(n))
                 known = np.add.reduceat(held.astype(np.int64), starts)
-                # the model: quantised counts of the word, of the one before it, of both
-                single = probe_counts(bits, segments, found, WORD)
+                # the model: levels of the word, of the one before it, of both
+                single = probe_levels(bits, bases(segments, found), found, WORD)
+                if cutoff > 2:  # else all words are in the broadcast filter
+                    single[single < cutoff - 1] = OPEN
                 one = single[back]
                 before = np.empty_like(one)
                 before[1:] = one[:-1]
-                before[starts] = probe_counts(bits, segments, np.array([END]), WORD)[0]
+                before[starts] = single[np.searchsorted(found, END)]
                 pairs, which = np.unique(pair_keys(tokens, starts), return_inverse=True)
-                both = probe_counts(bits, segments, pairs, PAIR)[which]
-                p = LAMBDA * np.minimum(1.0, both / np.maximum(before, 1.0)) + (1 - LAMBDA) * np.minimum(1.0, (one + 0.5) / below)
-                score = np.add.reduceat(np.log10(p), starts)
+                both = probe_levels(bits, bases(segments, pairs), pairs, PAIR)
+                later = (both < cutoff)[which] | (one == OPEN) | (before == OPEN)
+                both = both[which]
+                score = np.add.reduceat(np.where(later, 0.0, log_p(one, before, both, below)), starts)
+                # what the buckets have to tell: each pair and word once, in the order of the keys
+                row = np.repeat(np.arange(len(n), dtype="<u2"), n)
+                todo = np.flatnonzero(later)
+                todo = todo[np.argsort(which[todo], kind="stable")]
+                new = np.diff(which[todo], prepend=-1) > 0
+                behind = np.empty_like(back)  # the place in ``found`` of the word before
+                behind[1:] = back[:-1]
+                behind[starts] = np.searchsorted(found, END)
+                open_, rank = np.flatnonzero(single == OPEN), np.cumsum(single == OPEN) - 1
+                lookups = [rank[x[todo][side[todo] == OPEN]].astype("<u4") for x, side in ((back, one), (behind, before))]
+                asked = {PAIR: by_bucket((pairs[which[todo][new]],), buckets), WORD: by_bucket((found[open_],), buckets)}
+                unit = (part << 40) + at
+                if len(todo):
+                    state = b"".join(x.tobytes() for x in (row[todo], one[todo], before[todo], new.astype(np.uint8), *lookups))
+                    where = sorted(asked[PAIR].keys() | asked[WORD].keys())
+                    ask = [[asked[kind].get(b, [None])[0] for b in where] for kind in (WORD, PAIR)]
+                    k = 1 + len(where)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *[pa.nulls(k, t) for t in types[:9]], pa.array([unit] * k, pa.int64()), pa.array([None, *where], pa.int64()), pa.array([state, *ask[0]], pa.binary()),
+                            pa.array([None, *ask[1]], pa.binary()), pa.array([len(todo)] + [None] * len(where), pa.int64()),
+                        ],
+                        names=names,
+                    )
                 rare = ~held
                 ends = np.concatenate([[0], np.cumsum(np.add.reduceat(rare.astype(np.int64), starts))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(n), part, np.int32)), pa.array(np.arange(at, at + len(n))), batch.column(0), batch.column(2), pa.array(n.astype(np.int64)),
                         pa.array(known), pa.array(base), pa.array(score), pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens[rare].view(np.int64))),
+                        *[pa.nulls(len(n), t) for t in types[9:]],
                     ],
-                    names=["part", "at", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare"],
+                    names=names,
                 )
                 at += len(n)
 
-    schema = f"part int, at long, doc_id {id_type}, held_out boolean, n_tokens long, known long, base double, score double, rare array<long>"
-    scored = store(docs.select("doc_id", "text", "held_out").mapInArrow(run, schema))
+    schema = (
+        f"part int, at long, doc_id {id_type}, held_out boolean, n_tokens long, known long, base double, score double, rare array<long>,"
+        " unit long, bucket long, words binary, pairs binary, size long"
+    )
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+    names, types = fields.names, fields.types
+    written = store(docs.select("doc_id", "text", "held_out").mapInArrow(run, schema))
+    scored = written.filter("part is not null").select(*names[:9])
+    looked_up = answers(written.filter("bucket is not null").select("unit", "bucket", "words", "pairs"), whole.filter("bits is not null").select("bucket", "bits"))
+    late = late_scores(written.filter("size is not null").select("unit", "size", F.col("words").alias("state")), looked_up, below)
     rare = scored.select("part", "at", F.explode("rare").alias("key")).join(words.select("key", "n"), "key", "left")
     sums = rare.groupBy("part", "at").agg(
         F.count("n").alias("more"), F.sum(F.log10((F.coalesce("n", F.lit(0)) + F.lit(0.5)) / F.lit(float(below)))).alias("rest")
     )
-    full = scored.drop("rare").join(sums, ["part", "at"], "left")
+    full = scored.drop("rare").join(sums, ["part", "at"], "left").join(late, ["part", "at"], "left")
     return full.select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score",
+        (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("late", F.lit(0.0))).alias("score"),
     )
