@@ -249,14 +249,14 @@ def test_lm_query(spark, texts, monkeypatch):
         assert sum(model) > sum(base)  # word pairs tell more than words
 
 
-def plain_lm_scores(texts, held, least_pair=1):
+def plain_lm_scores(texts, held):
     """The model's scores from exact counts on the logarithmic scale, without a filter."""
     tokens = {d: ["\n", *WORD.findall(t.translate(LOWER)), "\n"] for d, t in texts.items()}
     ones = collections.Counter(w for d in texts if not held[d] for w in tokens[d][1:])
     twos = collections.Counter(p for d in texts if not held[d] for p in zip(tokens[d], tokens[d][1:]))
     below = sum(ones.values()) + 0.5 * (len(ones) + 1)
     read = lambda n: float(lm.middle(lm.level(np.array([n])) * (n > 0))[0])
-    one, two = {w: read(n) for w, n in ones.items()}, {p: read(n) for p, n in twos.items() if n >= least_pair}
+    one, two = {w: read(n) for w, n in ones.items()}, {p: read(n) for p, n in twos.items()}
     p = lambda h, w: lm.LAMBDA * min(1, two.get((h, w), 0) / max(one.get(h, 0), 1)) + (1 - lm.LAMBDA) * min(1, (one.get(w, 0) + 0.5) / below)
     return {d: sum(math.log10(p(h, w)) for h, w in zip(t, t[1:])) for d, t in tokens.items()}
 
@@ -268,7 +268,7 @@ def test_lm_scores_do_not_depend_on_the_bound(spark, texts, monkeypatch, bound):
         monkeypatch.setattr(lm, "MAX_FILTER_BYTES", bound)
         monkeypatch.setattr(lm, "BUCKET_CHARS", 50_000)
     rows = Q.op9_bloom_lm(spark, SF).collect()
-    want = plain_lm_scores(texts, {r.doc_id: r.held_out for r in rows}, 2)
+    want = plain_lm_scores(texts, {r.doc_id: r.held_out for r in rows})  # pairs that occur once count
     off = [abs(r.score - want[r.doc_id]) / r.n_tokens for r in rows]
     assert np.mean(off) < 0.03, np.mean(off)  # false positives alone
 

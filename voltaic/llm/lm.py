@@ -1,7 +1,7 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
 Counting. Each task counts the hashed words (and an end mark) and word pairs of its training texts in
-numpy and sends partial counts; Spark sums them by key. A word is named by its 64-bit XXH3 hash.
+numpy and sends partial counts to the bucket of each key, where they are summed. A word is named by its 64-bit XXH3 hash.
 
 The model. Counts are quantised on a logarithmic scale: an n-gram of count c has ``level(c) =
 1 + floor(log_B c)`` and enters the Bloom filter once per level, under (n-gram, level). A query probes
@@ -10,14 +10,14 @@ its range. The probability of a word after the word before it interpolates both
 fixed weight ``LAMBDA``: ``LAMBDA * min(1, c(h, w) / c(h)) + (1 - LAMBDA) * (c(w) + 0.5) / (N + 0.5 (V + 1))``,
 all counts read from the filter; a text starts after an end mark.
 
-Size. The whole model is a Bloom filter of as many buckets as the training text needs (one for each
-``BUCKET_CHARS`` code points), ``BITS`` bits for each entry, so its false positives do not grow with the
-corpus. An n-gram's bucket follows from its key; a bucket is counted and built by one task and stays in
-storage. Besides, the frequent n-grams are in a broadcast filter of at most ``MAX_FILTER_BYTES``: pairs of
-``cutoff`` levels or more and words of one level less, with the least cutoff (2 or more) with which they
-fit. An n-gram that the broadcast filter does not give such a level is looked up in its bucket:
-each batch of texts sends each such n-gram once, and the levels come back to the batch. The bound thus decides where
-an n-gram is looked up and not whether.
+Size. The whole model is a Bloom filter of all words and pairs, those that occur once included. It has as
+many buckets as the training text needs (one for each ``BUCKET_CHARS`` code points) and ``BITS`` bits for each
+entry, so its false positives do not grow with the corpus. An n-gram's bucket follows from its key; a bucket is
+counted and built by one task and stays in storage. Besides, the frequent n-grams are in a broadcast filter of at
+most ``MAX_FILTER_BYTES``: pairs of ``cutoff`` levels or more and words of one level less, with the least cutoff (2 or
+more) with which they fit. An n-gram that the broadcast filter does not give such a level is looked up in its
+bucket: each batch of texts sends each such n-gram once, and the levels come back to the batch. The bound thus
+decides where an n-gram is looked up and not whether.
 
 Base score. Word counts are exact, whatever the filter holds: the most frequent words, at most
 ``HEAD`` of them, are looked up in a broadcast table; each text's other words go as (row, word) through a
@@ -198,13 +198,10 @@ def count_ngrams(texts: DataFrame, buckets: int) -> DataFrame:
             join = lambda name: b"".join(x for x, k in zip(got[name].to_pylist(), kinds) if k == kind)  # noqa: B023, E731
             keys[kind], back = np.unique(np.frombuffer(join("keys"), np.uint64), return_inverse=True)
             counts[kind] = np.bincount(back, np.frombuffer(join("n"), "<u4"), len(keys[kind])).astype(np.int64)
-            if kind == PAIR:
-                again = counts[kind] >= 2
-                keys[kind], counts[kind] = keys[kind][again], counts[kind][again]
-        for kind in (WORD, PAIR):
-            n = len(keys[kind])
+            may = counts[kind] >= (2 if kind == PAIR else 1)  # the cutoff for pairs is level 2 at least
+            n = int(may.sum())
             none = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), pa.array(keys[kind].view(np.int64)), pa.array(counts[kind]), *none], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), pa.array(keys[kind][may].view(np.int64)), pa.array(counts[kind][may]), *none], names=names)
         last = [pa.nulls(1, pa.int8()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([key[0].as_py()], pa.int64()), pa.array([bloom(keys, counts)], pa.binary())]
         yield pa.RecordBatch.from_arrays(last, names=names)
 
