@@ -341,6 +341,18 @@ def test_html_page(box):
     assert html_text.extract(page) == want
 
 
+def test_html_article_is_a_bonus():
+    body = "<p>A body that is long enough to be a surge by its own text, whatever element holds it.</p><p>Its end.</p>"
+    links = "".join(f"<p><a href=x>Another page with number {i}</a></p>" for i in range(6))
+    text = "A body that is long enough to be a surge by its own text, whatever element holds it.\nIts end."
+    assert html_text.extract(f'<div id="post">{body}</div><article class="teaser"><p>Read this, too.</p></article>') == text
+    assert html_text.extract(f"<article>{body}{links}<p>Short.</p></article><p>Imprint of the site.</p>").split("\n")[:2] == text.split("\n")
+    assert "Another page with number 2" not in html_text.extract(f"<article>{body}{links}<p>Short.</p></article>")
+    half = "A text of some fifty code points, half of a surge."
+    assert half in html_text.extract(f"<article><p>{half}</p></article><div>{body}</div>")
+    assert half not in html_text.extract(f"<div><p>{half}</p>{links}</div><div>{body}</div>")
+
+
 def test_html_query(spark):
     from html import unescape
 

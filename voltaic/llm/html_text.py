@@ -3,11 +3,11 @@
 Markup is stripped into lines: every block element and line break ends a line, inline elements don't.
 Elements that are never part of an article (scripts, styles, menus, page headers and footers, sidebars,
 forms, notices, adverts, reader comments; by element, role, class or id) leave one empty line. A line's
-weight is its text outside links and nothing if it is mostly links; if the page has an article or main
-element, lines outside it weigh nothing and none inside it weighs nothing. Text lengths are summed over windows of
-``WINDOW`` lines; where the sums rise from zero there is a surge, where they fall back to zero a dive.
+weight is its text outside links and nothing if it is mostly links; in an article or main element it weighs
+``ARTICLE_BONUS`` times as much. Weights are summed over windows of ``WINDOW`` lines, which end where such an element
+begins or ends; where the sums rise from zero there is a surge, where they fall back to zero a dive.
 Text between a surge and its dive is kept, whole and in page order, if its highest sum reaches
-``SURGE`` code points (or the page's highest sum, if that is less, or if it lies in the article).
+``SURGE`` (or the page's highest sum, if that is less), inside and outside of such elements.
 
 Each page is handled by itself in one task, in time linear in its length for ordinary markup; nothing is
 exchanged between tasks.
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 3
 SURGE = 80
+ARTICLE_BONUS = 2
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+)>|<[/!?][^>]*+(?:>|\Z)|<[a-zA-Z][^>]*+(?:>|\Z)|<|[^<]++""",
@@ -170,9 +171,13 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
 def extract(html: str | None) -> str:
     """The main text of one page: its blocks joined by line feeds."""
     lines = lines_of(html) if html else []
-    inside = any(text and article for text, _, article in lines)
-    weight = [(max(w, 1) if text and article else 0) if inside else w for text, w, article in lines]
-    sums = [sum(weight[i : i + WINDOW]) for i in range(len(weight))]
+    weight = [w * (ARTICLE_BONUS if article else 1) for _, w, article in lines]
+    same = lambda a, b: lines[a][2] == lines[b][2]
+    sums, ends = [0] * len(lines), len(lines)
+    for at in range(len(lines) - 1, -1, -1):
+        if at + 1 < ends and not same(at, at + 1):
+            ends = at + 1
+        sums[at] = sum(weight[at : min(at + WINDOW, ends)])
     least = min(SURGE, max(sums, default=0))
     kept: list[str] = []
     at = 0
@@ -181,10 +186,10 @@ def extract(html: str | None) -> str:
             at += 1
             continue
         dive = at
-        while dive < len(lines) and sums[dive]:
+        while dive < len(lines) and sums[dive] and same(at, dive):
             dive += 1
-        if inside or max(sums[at:dive]) >= least:
-            kept += [text for text, _, article in lines[at:dive] if text and (article or not inside)]
+        if max(sums[at:dive]) >= least:
+            kept += [text for text, _, _ in lines[at:dive] if text]
         at = dive
     return "\n".join(kept)
 
