@@ -402,3 +402,14 @@ def test_quality_removes_failed_lines_only(spark):
     clean = "\n\nWhole and fine.\r\n \n" + "\n\n".join(" ".join(f"w{i}x{j}" for j in range(9)) + "." for i in range(12)) + "\n"
     assert quality.keep_clean(spark.createDataFrame([(1, clean, 5)], "doc_id long, text string, n_chars int")).first().text == clean
     assert [x for x in lines if x in kept] == [lines[0], lines[6]] and len(kept) == 14 and row.n_chars == len(row.text)
+
+
+def test_quality_keeps_long_lines_that_mention_a_notice(spark):
+    from voltaic.llm import quality
+
+    story = " ".join(" ".join(f"word{i}and{j}" for j in range(9)) + "." for i in range(12))
+    mention = story + " To read more, click here or see the privacy policy of the site. " + story.replace("word", "term")
+    notices = "All rights reserved. Privacy policy. Terms of use. We use cookies, accept cookies. Click here. Share this."
+    rows = [(1, mention), (2, notices + "\n" + mention), (3, "\n".join([notices] * 12))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in quality.keep_clean(docs).collect()} == {1: mention, 2: mention}

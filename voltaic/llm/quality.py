@@ -1,7 +1,8 @@
 """Line-first quality rules, with Spark expressions only.
 
 Every line of a text is judged by itself: punctuation (it must hold a sentence's end, few signs and no
-shouting), navigation (items between separators) and boilerplate (notices that sites repeat). Lines
+shouting), navigation (items between separators) and boilerplate (notices that sites repeat: each stands for
+``NOTICE_SPAN`` code points, and a line fails if its notices stand for half of it or more). Lines
 that fail are removed; a text that loses more than half of its code points that way is rejected. The
 base rules reject texts of fewer than ``MIN_WORDS`` words and texts of which more than half of the words
 lie in repeated three-word windows.
@@ -32,6 +33,9 @@ BOILERPLATE = (
     r"|(?:enable|requires) javascript|subscribe to our|sign up for|log in to|click here|share this|lorem ipsum|skip to (?:main )?content)\b|©"
 )
 
+#: Code points of a line that one notice stands for: the notice and the words around it.
+NOTICE_SPAN = 60
+
 
 def count_of(text: Column, pattern: str) -> Column:
     """How many code points of a text lie in matches of ``pattern``."""
@@ -45,7 +49,8 @@ def line_passes(line: Column) -> Column:
         punctuation = line.rlike(ENDING) & (10 * count_of(line, SYMBOLS) <= F.length(line)) & (5 * count_of(line, "!!") <= 2 * n_words)
         separators = count_of(line, SEPARATOR)
         navigation = (separators >= 3) & (4 * separators >= n_words)
-        return punctuation & ~navigation & ~line.rlike(BOILERPLATE)
+        boilerplate = line.rlike(BOILERPLATE) & (2 * NOTICE_SPAN * F.regexp_count(line, F.lit(BOILERPLATE)) >= F.length(line))
+        return punctuation & ~navigation & ~boilerplate
 
     return let(F.size(words(line)), judged)
 
