@@ -353,6 +353,16 @@ def test_html_article_is_a_bonus():
     assert half not in html_text.extract(f"<div><p>{half}</p>{links}</div><div>{body}</div>")
 
 
+@pytest.mark.parametrize("box", ["article", "div"])
+def test_html_names_by_their_last_word(box):
+    text = "A body that is long enough to be a surge by its own text, whatever holds it."
+    extra = "".join(f'<div class="{c}"><p>Text of a part that is not the article, and it is long enough for a surge, too.</p></div>' for c in ("main-nav", "page-footer", "content-sidebar", "article-share", "post-related"))
+    header = '<div class="header"><p>The name of the site and what it is about, long enough for a surge.</p></div>'
+    for wrap in ("layout no-sidebar", "page-with-menu page", "elementor-widget elementor-widget-text-editor", "post-content"):
+        assert html_text.extract(f'{header}<{box}><div class="{wrap}">{extra}<p>{text}</p></div></{box}>') == text
+    assert html_text.extract(f'<div class="post"><div class="post-header"><h1>Title</h1></div><p>{text}</p></div>') == "Title\n" + text
+
+
 def test_html_query(spark):
     from html import unescape
 

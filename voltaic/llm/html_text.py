@@ -53,6 +53,12 @@ MARKS = frozenset(
 )
 #: Words of class and id names that mark containers of the article, whatever else they say.
 CONTAINERS = frozenset("content main article body wrapper wrap container layout page post entry story text".split())
+#: Words that make a class name a state of a container: no-sidebar, page-with-menu.
+STATES = frozenset("no has with without".split())
+#: Words of marks that name a building block as well.
+BLOCKS = frozenset("widget widgets".split())
+#: A header of these belongs to the article.
+TITLED = frozenset("article post entry story content body text".split())
 COMMENTS = frozenset("comment comments disqus replies respond".split())
 
 
@@ -65,9 +71,13 @@ def _dropped(name: str, attrs: str, in_article: bool) -> bool:
     found = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "").lower() for m in ATTRIBUTE.finditer(attrs)}
     if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "") or found.get("role") in ROLES:
         return True
-    words = set(re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", found.get("class", "") + " " + found.get("id", ""))))
+    names = [re.findall(r"[a-z]+", x) for x in (found.get("class", "") + " " + found.get("id", "")).split()]
+    words = {word for name_ in names for word in name_}
     if words & COMMENTS:
         return True
+    for name_ in names:  # a name says by its last word what it is: main-nav, page-footer
+        if name_ and not STATES & set(name_) and (name_[-1] in MARKS - BLOCKS or name_[-1] == "header" and not in_article and not TITLED & set(name_)):
+            return True
     return bool(words & MARKS) and not words & CONTAINERS
 
 
