@@ -82,6 +82,16 @@ def test_simhash_crowded_buckets(spark):
     assert got == plain_groups(prints)
 
 
+def test_simhash_one_bit_in_crowded_buckets(spark):
+    rng = random.Random(4)
+    centre = rng.getrandbits(64)
+    prints = {centre ^ sum(1 << b for b in rng.sample(range(12), rng.randint(0, 4))) for _ in range(300)}
+    marked = spark.createDataFrame([(f - (1 << 64) * (f >> 63),) for f in prints], "fp long")
+    want = {(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() == 1}
+    got = {tuple(sorted((r.u % (1 << 64), r.v % (1 << 64)))) for r in simhash.linked_fingerprints(marked, 1).collect()}
+    assert got == want and not simhash.linked_fingerprints(marked, 0).count()
+
+
 def luhn(number):
     return sum(x if i % 2 == 0 else x * 2 - 9 * (x > 4) for i, x in enumerate(map(int, reversed(number)))) % 10 == 0
 

@@ -11,7 +11,7 @@ difference exceeds ``max_bits`` cannot link (triangle inequality) and is discard
 are verified by counting the bits that differ. Buckets above ``BUCKET`` members never form all
 pairs: their nodes meet at the fingerprints one bit away from them (two nodes within two bits share
 such a point), each node is paired with the smallest node at that point, and the same pivot test and
-verification follow. No partner is dropped, and the work stays linear in a group's size.
+verification follow. Where only one bit may differ, the node that is the point itself takes the smallest one's place. No partner is dropped, and the work stays linear in a group's size.
 
 Defined results: a null, empty or blank text has fingerprint zero and links like any other; a text of
 fewer words than a shingle is one shingle; repeated rows share a group; a null id never becomes a
@@ -103,7 +103,10 @@ def linked_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     crowded = members.filter(F.col("size") > BUCKET).select("n").distinct()
     flips = F.array(F.lit(0), *[F.lit((1 << i) - (1 << 64) * (i == 63)) for i in range(64)])
     points = crowded.select("n", F.explode(F.transform(flips, lambda f: f.bitwiseXOR(F.col("n.fp")))).alias("point"))
-    centres = points.groupBy("point").agg(F.min("n").alias("a"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    if max_bits == 2:
+        centres = points.groupBy("point").agg(F.min("n").alias("a"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    else:  # the smallest node at a point may be two bits away: the node at the point itself links with all others there
+        centres = crowded.select(F.col("n.fp").alias("point"), F.col("n").alias("a"))
     stars = points.withColumnRenamed("n", "b").join(centres, "point").filter("a.fp <> b.fp").select("a", "b")
     return store(_verified(pairs, max_bits).unionByName(_verified(stars, max_bits)).distinct())
 
