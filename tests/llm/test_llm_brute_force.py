@@ -182,6 +182,17 @@ def test_packing_uses_both_encoders_alike():
         assert packing.encode(text, content).tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_packing_reads_added_tokens_as_the_tokenizer_does():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))  # as loaded, no flag set
+    content = packing.read_vocabulary()
+    for text in ("a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|> y<|endoftext|>", "a<|endoftext|" + "b" * 30_000 + "<|endoftext|>", "no such string"):
+        assert packing.encode(text, content).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert len(packing.encode("a<|endoftext|>b", content)) == 3
+
+
 @pytest.mark.parametrize("seed", range(12))
 def test_packing_plan(seed):
     rng = np.random.default_rng(seed)

@@ -58,13 +58,12 @@ def byte_alphabet() -> dict[str, int]:
 
 @lru_cache(maxsize=2)
 def _encoders(vocabulary: bytes):
-    """Two encoders of the same vocabulary: by ranks (fast), and one that is linear in unbroken runs."""
+    """Two encoders of the same vocabulary: by ranks (fast, without added tokens), and ``tokenizers`` itself."""
     import tiktoken
     from public_tokenizers import PATTERN
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_str(vocabulary.decode())
-    whole.encode_special_tokens = True
     model, back = json.loads(vocabulary)["model"], byte_alphabet()
     special = {t.content for t in whole.get_added_tokens_decoder().values()}
     ranks = {bytes(back[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
@@ -72,11 +71,19 @@ def _encoders(vocabulary: bytes):
     return fast, whole
 
 
+@lru_cache(maxsize=2)
+def _added(vocabulary: bytes) -> tuple[str, ...]:
+    """The strings that stand for one id wherever they occur in a text."""
+    return tuple(t.content for t in _encoders(vocabulary)[1].get_added_tokens_decoder().values())
+
+
 def encode(text: str | None, vocabulary: bytes) -> np.ndarray:
-    """The text's ids; strings of special tokens are ordinary text."""
+    """The text's ids; the string of an added token is its id, as ``tokenizers`` reads it without ``add_special_tokens``."""
     if not text:
         return np.zeros(0, "<u4")
     fast, whole = _encoders(vocabulary)
+    if any(token in text for token in _added(vocabulary)):
+        return np.array(whole.encode(text, add_special_tokens=False).ids, "<u4")
     if len(text) > RUN and max(len(max(text.split(), key=len, default="")), len(text) - sum(map(len, text.split()))) > RUN:
         return np.array(whole.encode(text, add_special_tokens=False).ids, "<u4")
     return np.asarray(fast.encode_to_numpy(text, disallowed_special=()), "<u4")
