@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltaic.llm import bpe, chat, html_text, lm, packing, pii, quality, simhash, topk, toxicity
+from voltaic.llm import bpe, chat, html_text, lm, mixing, packing, pii, quality, runs, simhash, spelling, topk, toxicity
 from voltaic.llm.common import table
 
 
@@ -50,8 +50,20 @@ def op10_line_block_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.digest(table(spark, sf_dir, "pages"))
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_pii_spans, op2_best_fit_packing, op3_byte_bpe, op4_pivot_topk, op5_toxicity_ftrl, op6_simhash_pivots, op7_chat_format, op8_line_quality, op9_bloom_lm, op10_line_block_html)
+    found = (op1_pii_spans, op2_best_fit_packing, op3_byte_bpe, op4_pivot_topk, op5_toxicity_ftrl, op6_simhash_pivots, op7_chat_format, op8_line_quality, op9_bloom_lm, op10_line_block_html, op11_source_mix, op12_periodic_runs, op13_spelling_groups)
     return {f.__name__: f for f in found}
 
 
