@@ -99,6 +99,7 @@ def test_full_then_incremental_run(spark, tmpdir_path):
     r2 = run_pipeline(spark, src, target, "INCR", batch_id="b2", catalog_prefix="grid")
     assert spark.catalog.tableExists("grid_gold.ops_daily_dashboard")
     assert spark.table("grid_silver.dim_transformer_current").count() == 2
+    assert spark.table("grid_gold.ops_daily_dashboard").count() == 2                          # its partitions are registered
     assert spark.sql("SELECT count(*) FROM grid_audit.dq_violations WHERE batch_id = 'b2'").first()[0] > 0
     assert spark.table("grid_audit.table_metrics").schema["metric_value"].dataType.typeName() == "string"
     assert spark.read.parquet(r2.tables["silver.smart_meter_readings"]).count() == 31

@@ -33,6 +33,7 @@ from voltaic.sources.ingest import add_ingestion_cols, parse_envelope, source_fi
 
 CDC_KEY = ["l_orderkey", "l_linenumber"]
 CDC_SPLIT_DATE = "1997-01-01"
+CDC_VERSION_DATES = ("1996-06-01", "1998-01-01")
 SCD_EFFECTIVE = "2025-06-01"
 NEW_KEY_OFFSET = 1_000_000_000
 EVOLVED_FROM = "2024-01-16"
@@ -615,17 +616,21 @@ def q_dq_report(spark, sf):
 
 
 def q_join_coverage(spark, sf):
-    known = merge.dim_current(customer_dim(spark, sf)).filter("meter_id % 7 <> 0")           # a seventh is not assigned yet
-    m = quality.join_coverage(latest_meters(spark, sf), known, "meter_id",
-                              "keys_in_facts", "keys_found_in_dim")
-    t = quality.join_coverage(telemetry_latest(spark, sf),
-                              merge.dim_current(transformer_dim(spark, sf)).filter("region >= 5"), "transformer_id", "keys_in_facts", "keys_found_in_dim")
-    fmt = quality.coverage_metric
-    return (m.select(F.lit("meter_to_customer_join_coverage").alias("metric_name"), "keys_in_facts",
-                     "keys_found_in_dim", fmt(m, "keys_in_facts", "keys_found_in_dim").alias("metric_value"))
-            .unionByName(t.select(F.lit("telemetry_to_transformer_join_coverage").alias("metric_name"),
-                                  "keys_in_facts", "keys_found_in_dim",
-                                  fmt(t, "keys_in_facts", "keys_found_in_dim").alias("metric_value"))))
+    """Coverage of the whole dimensions, and of telemetry whose transformer ids were garbled on the way (every 50th
+    substation's), so that a rate below one is seen."""
+    meters, tel = latest_meters(spark, sf), telemetry_latest(spark, sf)
+    garbled = tel.withColumn("transformer_id", F.when(F.col("substation_id") % 50 == 2, F.col("transformer_id") + NEW_KEY_OFFSET)
+                             .otherwise(F.col("transformer_id")))
+    customers, transformers = merge.dim_current(customer_dim(spark, sf)), merge.dim_current(transformer_dim(spark, sf))
+    names = ("keys_in_facts", "keys_found_in_dim")
+    out = None
+    for metric, facts, dim, key in (("meter_to_customer_join_coverage", meters, customers, "meter_id"),
+                                    ("telemetry_to_transformer_join_coverage", tel, transformers, "transformer_id"),
+                                    ("faulty telemetry_to_transformer_join_coverage", garbled, transformers, "transformer_id")):
+        found = quality.join_coverage(facts, dim, key, *names)
+        row = found.select(F.lit(metric).alias("metric_name"), *names, quality.coverage_metric(found, *names).alias("metric_value"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def q_referential_integrity(spark, sf):
@@ -684,7 +689,7 @@ def q_cdc_stream(spark, sf):
     root = shared_dir(spark, "voltaic", "cdc_stream")
     cdc_feed(spark, sf).repartition(4, "l_partkey").write.parquet(f"{root}/landing")
     q = (stream_table(spark, f"{root}/landing", files_per_batch=1).writeStream
-         .foreachBatch(cdc_foreach_batch(f"{root}/state", CDC_KEY)).option("checkpointLocation", f"{root}/_checkpoint")
+         .foreachBatch(cdc_foreach_batch(f"{root}/state", CDC_KEY, buckets=8)).option("checkpointLocation", f"{root}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
@@ -692,6 +697,55 @@ def q_cdc_stream(spark, sf):
     return read_cdc_state(spark, f"{root}/state")
 
 
+def _billing_versions(spark, sf, feed: bool) -> str:
+    """Billing-style changes merged into a bucketed table in three dated versions; the table's path."""
+    from voltaic.plans.tables import merge_buckets
+    from voltaic.session import shared_dir
+    from voltaic.streaming.ingest import latest_changes
+    root, ch = shared_dir(spark, "voltaic", "billing_versions"), cdc_feed(spark, sf)
+    day = [F.lit(d).cast("timestamp_ntz") for d in CDC_VERSION_DATES]
+    for i, part in enumerate((F.col("cdc_ts") < day[0], (F.col("cdc_ts") >= day[0]) & (F.col("cdc_ts") < day[1]), F.col("cdc_ts") >= day[1])):
+        merge_buckets(spark, root, ch.filter(part), CDC_KEY, latest_changes(CDC_KEY), f"run{i}", buckets=8,
+                      feed_keys=CDC_KEY if feed else None, visible=merge.cdc_upserts)
+    return root
+
+
+def q_cdc_apply_buckets(spark, sf):
+    """CDC merges that read and write the touched buckets of keys only (M1, M2): the live rows after three of them."""
+    from voltaic.streaming.ingest import read_cdc_state
+    return read_cdc_state(spark, _billing_versions(spark, sf, feed=False))
+
+
+def q_change_feed(spark, sf):
+    """What each of three merges inserted, updated and deleted, read from the first version on."""
+    from voltaic.plans.tables import read_changes
+    return read_changes(spark, _billing_versions(spark, sf, feed=True))
+
+
+def q_scd2_buckets(spark, sf):
+    """An SCD2 merge that reads and writes the touched buckets of keys only (M3): the dimension after a delta of
+    changed, unchanged and new customers."""
+    from voltaic.plans.tables import merge_buckets, read_current
+    from voltaic.session import shared_dir
+    root = shared_dir(spark, "voltaic", "scd2_buckets")
+    merge_buckets(spark, root, customer_dim(spark, sf), ["customer_id"], lambda old, rows: rows, "base", buckets=8)
+    merge_buckets(spark, root, customer_delta(spark, sf), ["customer_id"],
+                  lambda old, delta: merge.scd2_apply(old, delta, ["customer_id"]) if old is not None else delta, "delta")
+    return read_current(spark, root)
+
+
+def q_latest_incremental(spark, sf):
+    """The latest telemetry of each id from per-key state and new deliveries only (W1, W2): three deliveries, dealt by
+    line status and return flag, each merged into the state of those before it."""
+    from voltaic.plans.tables import merge_buckets, read_current
+    from voltaic.session import shared_dir
+    root, feed = shared_dir(spark, "voltaic", "latest_incremental"), telemetry_feed(spark, sf)
+    for i, part in enumerate(("state = 'O'", "state <> 'O' and region = 'R'", "state <> 'O' and region <> 'R'")):
+        merge_buckets(spark, root, feed.filter(part), ["telemetry_id"],
+                      lambda old, new: _latest_telemetry(new if old is None else old.unionByName(new)), f"delivery{i}", buckets=8)
+    return read_current(spark, root)
+
+
 def q_csv_feed(spark, sf):
     """Orders landed as CSV in two column orders (S4), read back by each file's own header."""
     from voltaic.session import shared_dir
@@ -724,7 +778,7 @@ def q_scd2_variant(spark, sf):
 def q_metrics_report(spark, sf):
     """The metrics of one of two runs, in report order."""
     counts = quality.row_counts([("BRONZE", n, _t(spark, sf, n)) for n in ("orders", "lineitem", "events")]
-                                + [("SILVER", "billing_transactions_current", bills_feed(spark, sf).filter("fraud_flag"))])
+                                + [("SILVER", "billing_transactions_current", bills_feed(spark, sf))])
     rows = counts.select("layer", F.concat_ws(".", F.lower("layer"), "table_name").alias("table_fqn"),
                          F.lit("rowcount").alias("metric_name"), F.col("row_count").cast("string").alias("metric_value"))
     runs = rows.withColumn("batch_id", F.lit("b1")).unionByName(rows.withColumns({"batch_id": F.lit("b2"), "metric_value": F.lit("0")}))
@@ -745,7 +799,8 @@ def q_partition_overwrite(spark, sf):
 
 
 #: Queries whose feed or state has to be written first.
-EAGER = ("q_schema_evolve", "q_partition_overwrite", "q_stream_dedup", "q_stream_dedup_id", "q_cdc_stream", "q_csv_feed", "q_scd2_deltas")
+EAGER = ("q_schema_evolve", "q_partition_overwrite", "q_stream_dedup", "q_stream_dedup_id", "q_cdc_stream", "q_csv_feed", "q_scd2_deltas",
+         "q_cdc_apply_buckets", "q_change_feed", "q_scd2_buckets", "q_latest_incremental")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -515,8 +515,10 @@ ORACLES: dict[str, str] = {
         rule_rows("early_end", "dim_customer", END_RULE)])
     + ") ORDER BY CASE severity WHEN 'CRITICAL' THEN 1 WHEN 'WARNING' THEN 2 ELSE 3 END, dataset, rule_name",
     "q_join_coverage": f"WITH {SCORED_METERS}, {TELEMETRY}, {CUSTOMER}, {TRANSFORMER} "
-    + _coverage("meter_to_customer_join_coverage", "scored_meters", "(SELECT * FROM cust_dim WHERE meter_id % 7 <> 0)", "meter_id")
-    + "\nUNION ALL\n" + _coverage("telemetry_to_transformer_join_coverage", "scored_tel", "(SELECT * FROM trf_dim WHERE region >= 5)", "transformer_id"),
+    + _coverage("meter_to_customer_join_coverage", "scored_meters", "cust_dim", "meter_id")
+    + "\nUNION ALL\n" + _coverage("telemetry_to_transformer_join_coverage", "scored_tel", "trf_dim", "transformer_id")
+    + "\nUNION ALL\n" + _coverage("faulty telemetry_to_transformer_join_coverage", """(SELECT CASE WHEN substation_id % 50 = 2
+        THEN transformer_id + 1000000000 ELSE transformer_id END AS transformer_id FROM tel_latest)""", "trf_dim", "transformer_id"),
     "q_referential_integrity": "\nUNION ALL\n".join([
         _ri("faulty orders.o_custkey->customer", """(SELECT CASE WHEN o_orderkey % 50 = 1 THEN NULL WHEN o_orderkey % 50 = 2
             THEN o_custkey + 1000000000 ELSE o_custkey END AS o_custkey FROM orders)""", "o_custkey", "customer", "c_custkey"),
@@ -556,7 +558,7 @@ ORACLES: dict[str, str] = {
         FROM (SELECT 'BRONZE' AS layer, 'orders' AS name, COUNT(*) AS n FROM orders
               UNION ALL SELECT 'BRONZE', 'lineitem', COUNT(*) FROM lineitem
               UNION ALL SELECT 'BRONZE', 'events', COUNT(*) FROM events
-              UNION ALL SELECT 'SILVER', 'billing_transactions_current', COUNT(*) FROM bills WHERE fraud_flag)""",
+              UNION ALL SELECT 'SILVER', 'billing_transactions_current', COUNT(*) FROM bills)""",
     "q_partition_overwrite": f"""WITH {BILLS}
         SELECT bill_month, payment_status, n + CASE WHEN bill_month BETWEEN 199501 AND 199503 THEN 1000 ELSE 0 END AS tx_count
         FROM (SELECT CAST(year(due_date) * 100 + month(due_date) AS INTEGER) AS bill_month, payment_status, COUNT(*) AS n
@@ -612,5 +614,27 @@ ORACLES: dict[str, str] = {
 }
 
 
+_CDC_ORDER = 'cdc_ts DESC, "__$seqval" DESC, "__$start_lsn" DESC, "__$operation" DESC'
+_CDC_VALUES = '"__$operation", "__$seqval", "__$start_lsn", cdc_ts, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus'
+ORACLES |= {
+    "q_cdc_apply_buckets": ORACLES["q_cdc_stream"],
+    "q_change_feed": f"""WITH {CDC},
+      live AS (SELECT * FROM (
+          SELECT v, c.* FROM cdc_feed c JOIN (VALUES (0, TIMESTAMP '1996-06-01'), (1, TIMESTAMP '1998-01-01'), (2, TIMESTAMP '9999-01-01')) t(v, upto)
+            ON cdc_ts < upto WHERE "__$operation" IS DISTINCT FROM 3
+          QUALIFY ROW_NUMBER() OVER (PARTITION BY v, l_orderkey, l_linenumber ORDER BY {_CDC_ORDER}) = 1) WHERE "__$operation" IN (2, 4)),
+      before AS (SELECT v + 1 AS v, * EXCLUDE (v) FROM live WHERE v < 2)
+      SELECT * EXCLUDE (v), 'insert' AS _change_type, CAST(v AS BIGINT) AS _commit_version
+        FROM live ANTI JOIN before USING (v, l_orderkey, l_linenumber)
+      UNION ALL SELECT * EXCLUDE (v), 'delete', CAST(v AS BIGINT) FROM before ANTI JOIN live USING (v, l_orderkey, l_linenumber)
+      UNION ALL SELECT * EXCLUDE (v), 'update_preimage', CAST(v AS BIGINT) FROM before SEMI JOIN live USING (v, l_orderkey, l_linenumber)
+        WHERE (v, l_orderkey, l_linenumber, {_CDC_VALUES}) NOT IN (SELECT (v, l_orderkey, l_linenumber, {_CDC_VALUES}) FROM live)
+      UNION ALL SELECT * EXCLUDE (v), 'update_postimage', CAST(v AS BIGINT) FROM live SEMI JOIN before USING (v, l_orderkey, l_linenumber)
+        WHERE (v, l_orderkey, l_linenumber, {_CDC_VALUES}) NOT IN (SELECT (v, l_orderkey, l_linenumber, {_CDC_VALUES}) FROM before)""",
+    "q_scd2_buckets": ORACLES["q_scd2_apply"],
+    "q_latest_incremental": ORACLES["q_dedup_latest"],
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

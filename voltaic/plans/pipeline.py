@@ -10,6 +10,7 @@ its inputs, and the SCD2 merge of an already applied delta changes nothing.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,19 +18,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltaic import schemas as K
-from voltaic.functions.columns import (backfill_columns, canonicalize, parse_ts, resolve_column, to_ntz,
-                                       ts_from_filename, with_event_time)
+from voltaic.functions.columns import (backfill_columns, canonicalize, parse_ts, require_columns, resolve_column,
+                                       to_ntz, ts_from_filename, with_event_time)
 from voltaic.functions.scoring import with_risk_score
 from voltaic.operators import marts, merge, quality
 from voltaic.operators.anomaly import score_meter_anomaly
-from voltaic.operators.dedup import cdc_latest, dedup_latest, split_key_validity, with_fallback_key
+from voltaic.operators.dedup import dedup_latest, split_key_validity, with_fallback_key
 from voltaic.session import cut_lineage
-from voltaic.plans.tables import (AUDIT_DDL, Layout, ensure_database, read_current, register_current_view,
-                                  read_if_present, register_table, reset_checkpoints, write_partitioned, write_table,
-                                  write_version)
+from voltaic.plans.tables import (AUDIT_DDL, Layout, current_version, delete, ensure_database, folders, merge_buckets,
+                                  observed_write, publish, read_current, read_if_present, register_current_view,
+                                  register_table, reset_checkpoints, write_partitioned, write_table)
 from voltaic.sources.ingest import (add_ingestion_cols, evolve_schema, load_schema, new_files_only,
                                     read_csv_feed, read_json_feed, read_parquet_feed, save_schema, stream_json_feed)
-from voltaic.streaming.ingest import run_available_now
+from voltaic.streaming.ingest import latest_changes, run_available_now
 
 
 @dataclass
@@ -50,6 +51,7 @@ class RunResult:
     batch_id: str
     tables: dict[str, str] = field(default_factory=dict)
     metrics: list[tuple[str, str, str, str]] = field(default_factory=list)
+    written: dict[str, dict] = field(default_factory=dict)      # what the writes of whole tables observed
 
 
 # ---------------------------------------------------------------------------
@@ -57,11 +59,12 @@ class RunResult:
 # ---------------------------------------------------------------------------
 def ingest_bronze(spark: SparkSession, src: Sources, lay: Layout, batch_id: str, run_mode: str, res: RunResult) -> None:
     incr = run_mode == "INCR"
+    run = F.lit(f"run-{batch_id}")
 
     def stream(name: str, folder: str, schema: T.StructType, system: str, glob: str = "*.json") -> None:
-        s = add_ingestion_cols(stream_json_feed(spark, folder, schema, glob=glob), system, batch_id)
+        s = add_ingestion_cols(stream_json_feed(spark, folder, schema, glob=glob), system, batch_id).withColumn(RUN, run)
         out = lay.path("bronze", name)
-        run_available_now(s, out, f"{lay.checkpoints}/{name}")
+        run_available_now(s, out, f"{lay.checkpoints}/{name}", partition_by=[RUN])
         res.tables[f"bronze.{name}"] = out
 
     def batch(name: str, df: DataFrame, system: str, append_ok: bool) -> None:
@@ -70,9 +73,9 @@ def ingest_bronze(spark: SparkSession, src: Sources, lay: Layout, batch_id: str,
         if append_ok and incr:
             ledger = _try_read(spark, out)
             df = new_files_only(df, ledger)
-            write_table(df, out, "append")
+            write_table(df.withColumn(RUN, run), out, "append", [RUN], repartition_by_partitions=False)
         else:
-            write_table(df, out, "overwrite")
+            write_table(df.withColumn(RUN, run), out, "overwrite", [RUN], repartition_by_partitions=False)
         res.tables[f"bronze.{name}"] = out
 
     if src.smart_meter:
@@ -97,11 +100,50 @@ def ingest_bronze(spark: SparkSession, src: Sources, lay: Layout, batch_id: str,
         res.metrics.append(("BRONZE", t, "status", "loaded"))
 
 
+#: Bronze tables are partitioned by the run that ingested their rows.
+RUN = "_run"
+
+
 def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
     """A bronze table with the columns of all its files, or None if it was never written."""
     return read_if_present(lambda: spark.read.option("mergeSchema", True).parquet(path))
 
 
+def _consumed(lay: Layout, name: str) -> str:
+    return lay.path("silver", f"_consumed/{name}")
+
+
+def pending_bronze(spark: SparkSession, lay: Layout, name: str, incremental: bool) -> tuple[DataFrame | None, list[str]]:
+    """Bronze rows that a silver merge has yet to take, and their runs; only those runs' files are read.
+
+    A FULL run takes all runs again. Runs are noted by :func:`note_consumed` after the merge, so what a
+    failed run ingested is taken by the next one; taking a run twice changes nothing.
+    """
+    path = lay.path("bronze", name)
+    runs = sorted(f for f in folders(spark, path) if f.startswith(f"{RUN}="))
+    if incremental:
+        noted = read_if_present(lambda: spark.read.schema("run string").json(_consumed(lay, name)))
+        done = {r["run"] for r in noted.collect()} if noted is not None else set()     # one row per run
+        runs = [r for r in runs if r not in done]
+    if not runs:
+        return None, []
+    read = spark.read.option("mergeSchema", True).option("basePath", path)
+    return read.parquet(*[f"{path}/{r}" for r in runs]), runs
+
+
+def note_consumed(spark: SparkSession, lay: Layout, name: str, runs: list[str]) -> None:
+    if runs:
+        spark.createDataFrame([(r,) for r in runs], "run string").coalesce(1).write.mode("append").json(_consumed(lay, name))
+
+
+def latest_rows(key: str):
+    """Merge function for :func:`merge_buckets`: the last delivery of each key, by ingestion time and file."""
+    def merge_rows(state: DataFrame | None, rows: DataFrame) -> DataFrame:
+        rows = rows if state is None else state.unionByName(rows, allowMissingColumns=True)
+        return dedup_latest(rows, [key], [F.col("_ingestion_ts").desc(), F.col("_source_file").desc()])
+    return merge_rows
+
+
 # ---------------------------------------------------------------------------
 # Silver
 # ---------------------------------------------------------------------------
@@ -110,18 +152,23 @@ def _curated(bronze: DataFrame) -> DataFrame:
     return canonicalize(bronze).drop(*K.CANONICAL_NAMES)
 
 
-def silver_meters(bronze: DataFrame, materialize=None, fallback_key: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(scored readings, quarantined rows). Scoring reads the deduplicated readings twice
-    (per-region thresholds, then the join); ``materialize`` (e.g. ``cut_lineage``) lets the
-    writer store them once so the dedup shuffle is not repeated. With ``fallback_key`` a
-    reading without ``event_id`` is keyed by ``meter_id|event_ts`` instead of quarantined."""
+def typed_meters(bronze: DataFrame, fallback_key: bool = False) -> tuple[DataFrame, DataFrame, str]:
+    """(rows with a key, quarantined rows, the key column). With ``fallback_key`` a reading without ``event_id``
+    is keyed by ``meter_id|event_ts`` instead of quarantined."""
+    require_columns(bronze, K.CONTRACTS["smart_meter_readings"], "smart-meter feed")
     sm = with_event_time(_curated(bronze), "timestamp", "event_ts", "event_date")
     key = "event_id"
     if fallback_key:
-        sm = with_fallback_key(sm, "event_id", ["meter_id", "event_ts"])
-        key = "_dedup_key"
-    valid, quarantine = split_key_validity(sm, [key])
-    latest = dedup_latest(valid, [key], [F.col("_ingestion_ts").desc(), F.col("_source_file").desc()])
+        sm, key = with_fallback_key(sm, "event_id", ["meter_id", "event_ts"]), "_dedup_key"
+    return *split_key_validity(sm, [key]), key
+
+
+def silver_meters(bronze: DataFrame, materialize=None, fallback_key: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(scored readings, quarantined rows). Scoring reads the deduplicated readings twice
+    (per-region thresholds, then the join); ``materialize`` (e.g. ``cut_lineage``) lets the
+    writer store them once so the dedup shuffle is not repeated. ``fallback_key``: see :func:`typed_meters`."""
+    valid, quarantine, key = typed_meters(bronze, fallback_key)
+    latest = latest_rows(key)(None, valid)
     if fallback_key:
         latest, quarantine = latest.drop(key), quarantine.drop(key)
     if materialize is not None:
@@ -129,11 +176,14 @@ def silver_meters(bronze: DataFrame, materialize=None, fallback_key: bool = Fals
     return score_meter_anomaly(latest), quarantine
 
 
+def typed_telemetry(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    require_columns(bronze, K.CONTRACTS["substation_telemetry"], "telemetry feed")
+    return split_key_validity(with_event_time(_curated(bronze), "timestamp", "telemetry_ts", "event_date"), ["telemetry_id"])
+
+
 def silver_telemetry(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    tel = with_event_time(_curated(bronze), "timestamp", "telemetry_ts", "event_date")
-    valid, quarantine = split_key_validity(tel, ["telemetry_id"])
-    latest = dedup_latest(valid, ["telemetry_id"], [F.col("_ingestion_ts").desc(), F.col("_source_file").desc()])
-    return with_risk_score(latest), quarantine
+    valid, quarantine = typed_telemetry(bronze)
+    return with_risk_score(latest_rows("telemetry_id")(None, valid)), quarantine
 
 
 def silver_maintenance(bronze: DataFrame) -> DataFrame:
@@ -157,6 +207,7 @@ def silver_renewable(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def silver_billing(bronze: DataFrame) -> DataFrame:
     """Typed change rows, ready for :func:`cdc_latest`."""
+    require_columns(bronze, K.CONTRACTS["billing_cdc"], "billing change feed")
     b = bronze.withColumn("cdc_ts", parse_ts("cdc_timestamp"))
     for c in ("billing_period_start", "billing_period_end", "due_date"):
         if c in b.columns:
@@ -169,17 +220,24 @@ def _dim_dates(df: DataFrame) -> DataFrame:
     return df.withColumns(fix) if fix else df
 
 
+def split_deltas(deltas: DataFrame, key: str = "transformer_id") -> tuple[DataFrame, DataFrame]:
+    """(delta rows with a key and an effective date, rows without one of them, for quarantine)."""
+    require_columns(deltas, [key, *K.CONTRACTS["transformer_delta"]], "transformer delta")
+    return split_key_validity(_dim_dates(deltas), [key, "record_effective_date"])
+
+
 def apply_deltas(dim: DataFrame, deltas: DataFrame, key: str = "transformer_id", step=None) -> DataFrame:
     """An SCD2 dimension after all dated deltas, applied in the order of their effective dates.
 
     One merge for each date (dates of delta files: a handful; ``step`` may store the dimension in
     between). A row that is not newer than its key's current version changes nothing, so deltas
-    that were applied before may be given again.
+    that were applied before may be given again. Rows without a key or an effective date are no
+    version of anything: they are left out (:func:`split_deltas` gives them).
     """
-    deltas = _dim_dates(deltas)
+    deltas, _ = split_deltas(deltas, key)
     days = [r[0] for r in deltas.select("record_effective_date").distinct().orderBy("record_effective_date").collect()]
     for i, day in enumerate(days):
-        rows = deltas.filter(F.col("record_effective_date").eqNullSafe(F.lit(day)))
+        rows = deltas.filter(F.col("record_effective_date") == F.lit(day))
         current = merge.dim_current(dim).select(key, F.to_date("record_effective_date").alias("__since"))
         rows = dedup_latest(rows, [key], [F.col("record_end_date").desc()] if "record_end_date" in rows.columns else [])
         rows = rows.join(current, key, "left").filter("__since is null or record_effective_date > __since").drop("__since")
@@ -189,55 +247,84 @@ def apply_deltas(dim: DataFrame, deltas: DataFrame, key: str = "transformer_id",
     return dim
 
 
-def run_silver(spark: SparkSession, lay: Layout, batch_id: str, res: RunResult) -> dict[str, DataFrame]:
-    """Silver tables. Merge targets (transformer SCD2, billing changes) continue from their
-    current version in either run mode; what a run applies again changes nothing."""
+def run_silver(spark: SparkSession, lay: Layout, batch_id: str, res: RunResult, run_mode: str = "FULL",
+               buckets: int = 64) -> dict[str, DataFrame]:
+    """Silver tables. The latest row of each key (readings, telemetry, billing changes) and the transformer
+    dimension are bucketed tables that continue from their current version in either run mode: an INCR run
+    reads the bronze files of new runs only, and touches only the buckets of their keys. What a run
+    applies again changes nothing."""
     out: dict[str, DataFrame] = {}
+    incr = run_mode == "INCR"
     b = lambda n: _try_read(spark, lay.path("bronze", n))
 
-    def save(name: str, df: DataFrame) -> None:
+    def save(name: str, df: DataFrame, ts_col: str | None = None) -> None:
         path = lay.path("silver", name)
-        write_table(df, path)
+        res.written[f"silver.{name}"] = observed_write(df, lambda rows: write_table(rows, path), ts_col)
         res.tables[f"silver.{name}"] = path
         out[name] = spark.read.parquet(path)
 
-    if (sm := b("smart_meter_events")) is not None:
-        readings, q = silver_meters(sm, materialize=cut_lineage)
-        save("smart_meter_readings", readings)
-        save("smart_meter_quarantine", q)
-    if (tel := b("substation_telemetry_events")) is not None:
-        scored, q = silver_telemetry(tel)
-        save("substation_telemetry", scored)
-        save("substation_telemetry_quarantine", q)
+    def held(name: str, rows: DataFrame | None = None, runs: Sequence[str] = ()) -> None:
+        """Quarantined rows, a partition for each bronze run: a run that is taken again replaces its own."""
+        path = lay.path("silver", name)
+        if rows is not None and not incr:
+            write_table(rows.drop(RUN), f"{path}/{RUN}=all")
+            for old in folders(spark, path):
+                if old != f"{RUN}=all":
+                    delete(spark, f"{path}/{old}")
+        for run in runs if incr else ():                       # one run, unless some failed
+            write_table(rows.filter(F.col(RUN) == run.split("=", 1)[1]).drop(RUN), f"{path}/{run}")
+        res.tables[f"silver.{name}"] = path
+        out[name] = spark.read.option("mergeSchema", True).parquet(path).drop(RUN)
+
+    def latest(source: str, state: str, quarantine: str, split, key: str, merge_rows=None, **feed) -> str | None:
+        """Merge what is new in a bronze table into the latest row of each key; the state's path."""
+        path = lay.path("silver", state)
+        rows, runs = pending_bronze(spark, lay, source, incr)
+        if rows is not None:
+            valid, invalid = split(rows)
+            held(quarantine, invalid, runs)
+            merge_buckets(spark, path, valid.drop(RUN), [key], merge_rows or latest_rows(key), batch_id, buckets=buckets, **feed)
+            note_consumed(spark, lay, source, runs)
+        elif folders(spark, lay.path("silver", quarantine)):
+            held(quarantine)
+        return path if current_version(spark, path) else None
+
+    meters = latest("smart_meter_events", "smart_meter_latest", "smart_meter_quarantine", lambda r: typed_meters(r)[:2], "event_id")
+    if meters:
+        save("smart_meter_readings", score_meter_anomaly(read_current(spark, meters)), "event_ts")
+    telemetry = latest("substation_telemetry_events", "substation_telemetry_latest", "substation_telemetry_quarantine", typed_telemetry, "telemetry_id")
+    if telemetry:
+        save("substation_telemetry", with_risk_score(read_current(spark, telemetry)), "telemetry_ts")
     if (mnt := b("maintenance_logs")) is not None:
-        save("maintenance_logs", silver_maintenance(mnt))
+        save("maintenance_logs", silver_maintenance(mnt.drop(RUN)))
     if (cust := b("customer_master_snapshot")) is not None:
-        save("dim_customer", _dim_dates(merge.scd2_baseline(cust)))
+        save("dim_customer", _dim_dates(merge.scd2_baseline(cust.drop(RUN))))
     if (ren := b("renewable_production")) is not None:
-        readings, q = silver_renewable(ren)
+        readings, q = silver_renewable(ren.drop(RUN))
         save("renewable_production", readings)
         save("renewable_quarantine", q)
 
     snap, delta = b("transformer_master_snapshot"), b("transformer_master_delta")
     if snap is not None:
-        path = lay.path("silver", "dim_transformer")
-        dim = read_current(spark, path)
-        if dim is None:
-            dim = _dim_dates(merge.scd2_baseline(snap))
+        key, path = ["transformer_id"], lay.path("silver", "dim_transformer_versions")
+        if current_version(spark, path) is None:
+            require_columns(snap, K.CONTRACTS["transformer_snapshot"], "transformer snapshot")
+            base = _dim_dates(merge.scd2_baseline(snap.drop(RUN)))
+            merge_buckets(spark, path, base, key, lambda old, rows: rows, f"{batch_id}-base", buckets=buckets, feed_keys=[*key, "scd_version"])
         if delta is not None:
-            dim = apply_deltas(dim, delta, step=cut_lineage)
-        res.tables["silver.dim_transformer"] = write_version(spark, dim, path, batch_id)
-        out["dim_transformer"] = read_current(spark, path)
-
-    if (bill := b("billing_cdc_events")) is not None:
-        path = lay.path("silver", "billing_changes_latest")
-        changes, q = split_key_validity(silver_billing(bill), ["transaction_id"])
-        save("billing_quarantine", q)
-        state = read_current(spark, path)                # the latest change of each key, deletes included
-        if state is not None:
-            changes = state.unionByName(changes, allowMissingColumns=True)
-        write_version(spark, cdc_latest(changes, ["transaction_id"]), path, batch_id)
-        save("billing_transactions_current", merge.cdc_upserts(read_current(spark, path)))
+            rows, invalid = split_deltas(delta.drop(RUN))
+            save("dim_transformer_quarantine", invalid)
+            merge_buckets(spark, path, rows, key, lambda old, new: apply_deltas(old, new, step=cut_lineage), batch_id,
+                          feed_keys=[*key, "scd_version"])
+        out["dim_transformer"] = publish(spark, path, lay.path("silver", "dim_transformer"), key)
+        res.tables["silver.dim_transformer"] = lay.path("silver", "dim_transformer")
+
+    key = ["transaction_id"]
+    bills = latest("billing_cdc_events", "billing_changes_latest", "billing_quarantine",
+                   lambda r: split_key_validity(silver_billing(r), key), key[0], latest_changes(key), feed_keys=key, visible=merge.cdc_upserts)
+    if bills:
+        out["billing_transactions_current"] = publish(spark, bills, lay.path("silver", "billing_transactions_current"), key, merge.cdc_upserts)
+        res.tables["silver.billing_transactions_current"] = lay.path("silver", "billing_transactions_current")
     return out
 
 
@@ -250,7 +337,9 @@ def run_gold(spark: SparkSession, lay: Layout, silver: dict[str, DataFrame], inc
 
     def save(name: str, df: DataFrame, part: str) -> None:
         path = lay.path("gold", name)
-        write_partitioned(spark, df, path, [part], incremental)
+        seen = observed_write(df, lambda rows: write_partitioned(spark, rows, path, [part], incremental))
+        if not incremental:                       # an incremental write replaces some dates only
+            res.written[f"gold.{name}"] = seen
         res.tables[f"gold.{name}"] = path
         out[name] = spark.read.parquet(path)
 
@@ -273,6 +362,8 @@ def run_gold(spark: SparkSession, lay: Layout, silver: dict[str, DataFrame], inc
         save("renewable_kpis_hourly", marts.renewable_hourly(silver["renewable_production"]), "event_date")
         ren = marts.renewable_daily(out["renewable_kpis_hourly"])
     if hourly is not None and health is not None:
+        for mart in ("customer_hourly_usage", "transformer_health_hourly"):
+            require_columns(out[mart], K.CONTRACTS[mart], mart)
         energy, risk = marts.energy_daily(out["customer_hourly_usage"]), marts.risk_daily(out["transformer_health_hourly"])
         if bills is None:
             bills = spark.createDataFrame([], "bill_date date, tx_count bigint, amount_total double, amount_paid double, "
@@ -324,15 +415,14 @@ def run_audit(spark: SparkSession, lay: Layout, batch_id: str, silver: dict[str,
                                     "transformer_id")
         rate = cov.select(quality.coverage_metric(cov, "keys_in_facts", "keys_found_in_dim")).first()[0]
         res.metrics.append(("SILVER", "silver.substation_telemetry", "telemetry_to_transformer_join_coverage", rate))
-    bounds = [(n, silver[n], ts) for n, ts in (("smart_meter_readings", "event_ts"), ("substation_telemetry", "telemetry_ts"))
-              if n in silver]
-    if bounds:
-        for row in quality.time_bounds(bounds).collect():
-            res.metrics.append(("SILVER", f"silver.{row['source']}", "min_ts", str(row["min_ts"])))
-            res.metrics.append(("SILVER", f"silver.{row['source']}", "max_ts", str(row["max_ts"])))
-    # row counts of everything written (parquet footers: no data scan)
-    tables = [(name.split(".")[0].upper(), name, spark.read.parquet(path)) for name, path in res.tables.items()]
-    for row in quality.row_counts(tables).collect():
+    for name, seen in res.written.items():                      # seen by the writes themselves
+        layer = name.split(".")[0].upper()
+        res.metrics.append((layer, name, "rowcount", str(seen["rows"])))
+        res.metrics += [(layer, name, m, str(seen[m])) for m in ("min_ts", "max_ts") if m in seen]
+    # tables that a run appends to or replaces in part: row counts from the parquet footers
+    tables = [(name.split(".")[0].upper(), name, df) for name, path in res.tables.items() if name not in res.written
+              and (df := read_if_present(lambda p=path: spark.read.parquet(p))) is not None]
+    for row in quality.row_counts(tables).collect() if tables else []:
         res.metrics.append((row["layer"], row["table_name"], "rowcount", str(row["row_count"])))
     metrics = quality.metric_rows(spark, batch_id, res.metrics)
     write_table(metrics.coalesce(1), lay.path("audit", "table_metrics"), "append")
@@ -370,7 +460,7 @@ def run_pipeline(spark: SparkSession, sources: Sources, target_root: str, run_mo
     if forget_checkpoints:
         reset_checkpoints(spark, lay)
     ingest_bronze(spark, sources, lay, batch_id, run_mode, res)
-    silver = run_silver(spark, lay, batch_id, res)
+    silver = run_silver(spark, lay, batch_id, res, run_mode)
     gold = run_gold(spark, lay, silver, run_mode == "INCR", res)
     run_audit(spark, lay, batch_id, silver, gold, res)
     res.tables["audit.table_metrics"] = lay.path("audit", "table_metrics")

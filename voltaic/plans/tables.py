@@ -1,19 +1,24 @@
 """Table layout and writes (the only place that persists data).
 
-Merge targets are immutable versions, ``<table>/v=<tag>-<id>/``, listed in
-``<table>/_versions``, because Spark cannot overwrite a path its own plan is reading. Partitioned marts use dynamic partition overwrite so an
-incremental run replaces only the dates it produced.
+Merge targets are immutable versions, ``<table>/v=<tag>-<id>/``, listed in ``<table>/_versions``, because Spark
+cannot overwrite a path its own plan is reading. A version holds all rows (``write_version``) or the buckets
+of keys that a merge touched (``merge_buckets``), and names the folders of earlier versions for the rest. Partitioned
+marts use dynamic partition overwrite so an incremental run replaces only the dates it produced.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from voltaic.operators.merge import snapshot_diff
 
 
 @dataclass(frozen=True)
@@ -48,6 +53,18 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     return path
 
 
+def observed_write(df: DataFrame, write: Callable[[DataFrame], object], ts_col: str | None = None) -> dict:
+    """Run ``write(df)`` and return what it wrote: ``rows`` and, with ``ts_col``, ``min_ts`` and ``max_ts``.
+
+    The metrics are accumulated by the write's own tasks (``DataFrame.observe``), so nothing is read back.
+    ``write`` must run one action on the frame that it gets.
+    """
+    seen = Observation(f"write-{uuid.uuid4().hex}")
+    bounds = [F.min(ts_col).alias("min_ts"), F.max(ts_col).alias("max_ts")] if ts_col else []
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *bounds))
+    return dict(seen.get)
+
+
 def write_partitioned(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str],
                       incremental: bool) -> str:
     """Partitioned write; INCR replaces only the partitions present in ``df``."""
@@ -62,7 +79,6 @@ def write_partitioned(spark: SparkSession, df: DataFrame, path: str, partition_b
 
 #: What Spark says when a table was never written: no folder, or one without any file.
 _ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-VERSIONS_KEPT = 2
 
 
 def read_if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
@@ -75,55 +91,212 @@ def read_if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
         raise
 
 
-def _versions(spark: SparkSession, table_path: str) -> DataFrame | None:
-    return read_if_present(lambda: spark.read.schema("n bigint, path string, tag string").json(f"{table_path}/_versions"))
+@dataclass(frozen=True)
+class Version:
+    """One line of a table's version log; it says all that is needed to read the table as of that version."""
+    n: int                                  # lines count up; the last one is the current version
+    version: int                            # place in the chain of versions: a retry has the number of what it replaces
+    epoch: int
+    tag: str
+    path: str                               # the folder that this version wrote
+    buckets: int                            # 0: the rows are not dealt to buckets
+    schema: str
+    parts: dict[str, str]                   # bucket -> folder, from this version or an earlier one
+    feed: list                              # (version, folder) of the change rows of this version and those before it
+    file: str = ""                          # the log file that holds the line
+
+    def struct(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.schema))
+
+
+_LOG = ("n bigint, version bigint, epoch bigint, tag string, path string, buckets int, schema string, "
+        "parts map<string,string>, feed array<struct<version:bigint,path:string>>")
+
+
+def _versions(spark: SparkSession, table_path: str) -> list[Version]:
+    """The lines that the log holds, oldest first: the kept versions, and what a crash left."""
+    if not exists(spark, f"{table_path}/_versions"):
+        return []
+    log = spark.read.schema(_LOG).json(f"{table_path}/_versions")
+    rows = log.select("*", F.col("_metadata.file_path").alias("file")).collect()
+    return sorted((Version(**r.asDict()) for r in rows), key=lambda v: v.n)
+
+
+def current_version(spark: SparkSession, table_path: str, before_tag: int | None = None) -> Version | None:
+    """The newest version of a versioned table (optionally of the epochs before ``before_tag``), or None."""
+    log = _versions(spark, table_path)
+    return next((v for v in reversed(log) if before_tag is None or v.epoch < before_tag), None)
 
 
-def current_version(spark: SparkSession, table_path: str, before_tag: int | None = None) -> str | None:
-    """Path of the newest version of a versioned table (optionally among numeric tags below
-    ``before_tag``), or None if it has none."""
-    log = _versions(spark, table_path)
-    if log is None:
-        return None
-    if before_tag is not None:
-        log = log.filter(F.col("tag").cast("bigint") < before_tag)
-    return log.agg(F.max_by("path", "n")).first()[0]
+def read_version(spark: SparkSession, version: Version, buckets: Iterable[str] | None = None,
+                 schema: T.StructType | None = None) -> DataFrame:
+    """The rows of a version, or of some of its buckets (with columns that a later schema adds as NULLs)."""
+    schema = schema or version.struct()
+    paths = [p for b, p in sorted(version.parts.items()) if buckets is None or b in set(buckets)]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def read_current(spark: SparkSession, table_path: str, before_tag: int | None = None) -> DataFrame | None:
     v = current_version(spark, table_path, before_tag)
-    return spark.read.parquet(v) if v else None
+    return read_version(spark, v) if v else None
 
 
-def write_version(spark: SparkSession, df: DataFrame, table_path: str, tag: str) -> str:
-    """Write ``df`` as a new version in a folder of its own and make it the current one.
+def _commit(spark: SparkSession, table_path: str, log: list[Version], new: Version) -> Version:
+    """Append the line that makes ``new`` current, then drop what no kept version needs.
+
+    Kept are the current version and the newest one of an epoch before it, which is where a retry of the
+    current epoch starts, however often it is retried. Lines of other versions leave the log, and folders
+    that no kept version names are deleted; change rows stay as long as a kept version lists them.
+    """
+    line = spark.createDataFrame([(new.n, new.version, new.epoch, new.tag, new.path, new.buckets, new.schema, new.parts,
+                                   [tuple(f) for f in new.feed])], _LOG)
+    line.coalesce(1).write.mode("append").json(f"{table_path}/_versions")
+    before = next((v for v in reversed(log) if v.epoch < new.epoch), None)
+    kept = [new, *([before] if before else [])]
+    used = {p for v in kept for p in [*v.parts.values(), *(f[1] for f in v.feed)]}
+    for v in log:
+        if v is before:
+            continue
+        delete(spark, v.file)
+    for v in log:
+        mine = [*v.parts.values(), *(f[1] for f in v.feed)]
+        for p in {p for p in mine if p not in used}:
+            delete(spark, p)
+    return new
+
+
+def _next(log: list[Version], base: Version | None, tag: str, epoch: int | None) -> tuple[int, int, int]:
+    """Line number, chain number and epoch of what is written on top of ``base``."""
+    last = log[-1] if log else None
+    if epoch is None:                       # runs that are not numbered: a tag that comes again is a retry
+        epoch = last.epoch + (last.tag != tag) if last else 0
+    return (last.n + 1 if last else 0), (base.version + 1 if base else 0), epoch
+
+
+def write_version(spark: SparkSession, df: DataFrame, table_path: str, tag: str, epoch: int | None = None) -> str:
+    """Write ``df`` as a new version in a folder of its own and make it the current one; returns the folder.
 
     The folder is never one that an earlier version uses, so a retry with the same tag may read
     the version that it replaces. The version log gains one line, last: readers see the old
-    version until that file is committed and the new one from then on. Versions that are not
-    among the newest ``VERSIONS_KEPT`` are deleted afterwards.
+    version until that file is committed and the new one from then on.
     """
     log = _versions(spark, table_path)
-    last = (log.agg(F.max("n")).first()[0] if log is not None else None) or 0
     target = f"{table_path}/v={tag}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(target)
-    entry = spark.createDataFrame([(last + 1, target, str(tag))], "n bigint, path string, tag string")
-    entry.coalesce(1).write.mode("append").json(f"{table_path}/_versions")
-    if log is not None:
-        for old in log.filter(F.col("n") <= last + 1 - VERSIONS_KEPT).select("path").distinct().collect():  # a few paths
-            _delete(spark, old["path"])
+    n, version, epoch = _next(log, log[-1] if log else None, str(tag), epoch)
+    _commit(spark, table_path, log, Version(n, version, epoch, str(tag), target, 0, df.schema.json(), {"all": target}, []))
     return target
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+BUCKET = "_bucket"
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(f"`{k}`").cast("string") for k in keys]), F.lit(buckets)).cast("int")
+
+
+def merge_buckets(spark: SparkSession, table_path: str, changes: DataFrame, keys: Sequence[str],
+                  merge: Callable[[DataFrame | None, DataFrame], DataFrame], tag: str, epoch: int | None = None,
+                  buckets: int = 64, feed_keys: Sequence[str] | None = None,
+                  visible: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> Version | None:
+    """Merge ``changes`` into a table that is dealt to buckets by a hash of ``keys``; only buckets that hold a
+    changed key are read and written, all others keep their files.
+
+    ``merge(rows, changes)`` gets the rows of the touched buckets (None in a new table) and returns their new
+    rows; it must treat each key by itself. The number of buckets is fixed by the first version: about the table's
+    size by that of a task's output. With ``epoch`` the merge starts from the newest version of an earlier epoch, so an
+    epoch may be retried any number of times, whether or not it was committed before. With ``feed_keys`` (unique in
+    ``visible(rows)``) the rows that the merge inserted, deleted and updated are written beside the version,
+    for :func:`read_changes`. No changes: no version, and the current one is returned.
+    """
+    log = _versions(spark, table_path)
+    base = next((v for v in reversed(log) if epoch is None or v.epoch < epoch), None)
+    buckets = base.buckets if base else buckets
+    n, version, epoch = _next(log, base, str(tag), epoch)
+    target = f"{table_path}/v={tag}-{uuid.uuid4().hex[:12]}"
+    changes.withColumn(BUCKET, bucket_of(keys, buckets)).write.parquet(f"{target}/in")     # read several times below
+    changes = spark.read.parquet(f"{target}/in")
+    touched = {str(r[0]) for r in changes.select(BUCKET).distinct().collect()}             # at most ``buckets``
+    if not touched:
+        delete(spark, target)
+        return base
+    old = read_version(spark, base, touched) if base else None
+    new = merge(old, changes.drop(BUCKET))
+    known = {f.name for f in base.struct().fields} if base else set()
+    schema = T.StructType([*(base.struct().fields if base else []), *[f for f in new.schema.fields if f.name not in known]])
+    dealt = new.withColumn(BUCKET, bucket_of(keys, buckets))
+    write_table(dealt, f"{target}/data", partition_by=[BUCKET])
+    written = {d.split("=", 1)[1]: f"{target}/data/{d}" for d in folders(spark, f"{target}/data") if d.startswith(f"{BUCKET}=")}
+    parts = {b: p for b, p in (base.parts if base else {}).items() if b not in touched} | written
+    made = Version(n, version, epoch, str(tag), target, buckets, schema.json(), parts, list(base.feed) if base else [])
+    if feed_keys is not None:
+        before = read_version(spark, base, touched, schema) if base else spark.createDataFrame([], schema)
+        rows = snapshot_diff(visible(before), visible(read_version(spark, made, touched)), feed_keys)
+        rows.withColumn("_commit_version", F.lit(version).cast("bigint")).write.parquet(f"{target}/feed")
+        made.feed.append((version, f"{target}/feed"))
+    delete(spark, f"{target}/in")
+    return _commit(spark, table_path, log, made)
+
+
+def read_changes(spark: SparkSession, table_path: str, first: int = 0, last: int | None = None) -> DataFrame | None:
+    """The change feed of a bucketed table from version ``first`` to ``last``, both included (default: all).
+
+    Rows as they were or became, with ``_change_type`` (``insert``, ``delete``, ``update_preimage``, ``update_postimage``)
+    and ``_commit_version``. A column that a later version added is NULL before it.
+    """
+    v = current_version(spark, table_path)
+    if v is None:
+        return None
+    paths = [f[1] for f in v.feed if f[0] >= first and (last is None or f[0] <= last)]
+    schema = T.StructType([*v.struct().fields, T.StructField("_change_type", T.StringType()), T.StructField("_commit_version", T.LongType())])
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def publish(spark: SparkSession, table_path: str, out: str, keys: Sequence[str],
+            view: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """Keep a plain folder, partitioned by bucket, equal to ``view`` of a bucketed table's current version.
+
+    Only buckets that changed since the last publication are written; what was published is noted
+    last, so a publication that fails is done again by the next one.
+    """
+    v = current_version(spark, table_path)
+    noted = spark.read.schema("bucket string, path string").json(f"{out}_published") if exists(spark, f"{out}_published") else None
+    done = {r["bucket"]: r["path"] for r in noted.collect()} if noted is not None else {}      # one row per bucket
+    changed = {b for b in {*done, *v.parts} if done.get(b) != v.parts.get(b)}
+    rows = view(read_version(spark, v, changed)).withColumn(BUCKET, bucket_of(keys, v.buckets))
+    if changed:
+        for b in changed:
+            delete(spark, f"{out}/{BUCKET}={b}")
+        write_table(rows, out, "append", [BUCKET])
+        note = spark.createDataFrame(sorted(v.parts.items()), "bucket string, path string")
+        note.coalesce(1).write.mode("overwrite").json(f"{out}_published")
+    return spark.read.schema(rows.schema).parquet(out).drop(BUCKET)
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return fs.exists(p)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder (none if it is missing)."""
+    p, fs = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def reset_checkpoints(spark: SparkSession, lay: Layout) -> None:
     """Forget what the streams have read: the next run ingests every landed file again."""
-    _delete(spark, lay.checkpoints)
+    delete(spark, lay.checkpoints)
 
 
 # ---------------------------------------------------------------------------
@@ -153,13 +326,21 @@ def register_table(spark: SparkSession, db: str, table: str, path: str, ddl: str
         current = rows[0]["data_type"] if rows else None
     if current is not None and current.rstrip("/").endswith(path.rstrip("/").split(":", 1)[-1]):
         spark.sql(f"REFRESH TABLE {fqn}")
+        _sync_partitions(spark, fqn)
         return f"{db}.{table}"
     spark.sql(f"DROP TABLE IF EXISTS {fqn}")
     cols = f"({ddl}) " if ddl else ""
     spark.sql(f"CREATE TABLE {fqn} {cols}USING parquet LOCATION '{path}'")
+    _sync_partitions(spark, fqn)
     return f"{db}.{table}"
 
 
+def _sync_partitions(spark: SparkSession, fqn: str) -> None:
+    """Make the catalog list the partitions that the folder has now: without it a partitioned table reads as empty."""
+    if any(c.isPartition for c in spark.catalog.listColumns(fqn)):
+        spark.sql(f"MSCK REPAIR TABLE {fqn} SYNC PARTITIONS")
+
+
 def register_current_view(spark: SparkSession, db: str, table: str) -> str:
     """``<table>_current``: the current rows of an SCD2 dimension."""
     spark.sql(f"CREATE OR REPLACE VIEW `{db}`.`{table}_current` AS SELECT * FROM `{db}`.`{table}` WHERE is_current = true")

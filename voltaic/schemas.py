@@ -53,6 +53,17 @@ RENEWABLE_EVOLVED_COLUMNS = ("curtailment_mw", "battery_storage_mwh")
 RENEWABLE_SCHEMA_HINTS = "production_mw double, curtailment_mw double, battery_storage_mwh double"
 RENEWABLE_FILE_PATTERN = r"renewable_production_(\d{8})_(\d{4})"
 
+# Columns that each layer boundary asks for before any job runs (a feed without them is no such feed).
+CONTRACTS = {
+    "smart_meter_readings": ("event_id", "meter_id", "timestamp", "region"),
+    "substation_telemetry": ("telemetry_id", "transformer_id", "timestamp"),
+    "billing_cdc": ("transaction_id", "cdc_timestamp", "__$operation"),
+    "transformer_snapshot": ("transformer_id",),
+    "transformer_delta": ("record_effective_date",),
+    "customer_hourly_usage": ("event_date", "region", "kwh_total"),
+    "transformer_health_hourly": ("event_date", "region", "transformer_id"),
+}
+
 # Feed names that differ from the names the curated layers use.
 CANONICAL_NAMES = {"reading_kwh": "kwh_consumed", "load_percentage": "load_pct"}
 

@@ -6,8 +6,8 @@
 * ``watermark_dedup``: duplicate delivery removed with bounded state: the
   event-time watermark lets Spark evict keys older than the delay.
 * ``cdc_foreach_batch``: each micro-batch of change rows is merged into the latest
-  change per key, deletes included (a new version per batch, so a failed batch
-  is simply retried from the checkpoint).
+  change per key, deletes included (a version per batch that holds the touched
+  buckets only, so a failed batch is simply retried from the checkpoint).
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from voltaic.operators.dedup import cdc_latest
 from voltaic.operators.merge import cdc_upserts
-from voltaic.plans.tables import read_current, write_version
+from voltaic.plans.tables import merge_buckets, read_current
 from voltaic.session import shared_dir
 
 __all__ = ["run_available_now", "watermark_dedup", "stream_table", "stream_dedup_events", "cdc_foreach_batch",
@@ -89,19 +89,26 @@ def stream_dedup_events(spark: SparkSession, events: str, delay: str = "10 minut
     return spark.read.schema(deduped.schema).parquet(f"{out}/data")
 
 
-def cdc_foreach_batch(target_root: str, key: Sequence[str], op_col: str = "__$operation"):
+def latest_changes(key: Sequence[str], op_col: str = "__$operation"):
+    """Merge function for :func:`merge_buckets`: the latest change of each key, deletes included."""
+    def merge(state: DataFrame | None, changes: DataFrame) -> DataFrame:
+        return cdc_latest(changes if state is None else state.unionByName(changes, allowMissingColumns=True), key, op_col=op_col)
+    return merge
+
+
+def cdc_foreach_batch(target_root: str, key: Sequence[str], op_col: str = "__$operation", buckets: int = 64):
     """``foreachBatch`` function that merges each micro-batch of changes into versioned state.
 
     The state is the latest change of each key, deletes included: a change that arrives after a later
     one of its key (by time, then sequence) finds it there and has no effect, and a deleted key stays
-    deleted. Each epoch writes a version of its own, tagged with the epoch; a retried epoch starts
-    from the version before it, so the merge is idempotent. :func:`read_cdc_state` gives the live rows.
+    deleted. An epoch reads and writes only the buckets of keys that it changes, and leaves its
+    inserted, updated and deleted rows as the change feed of its version. A retried epoch, whether it
+    was committed or not, starts from the newest version of an earlier epoch, so it may be retried any number of times.
+    :func:`read_cdc_state` gives the live rows.
     """
     def apply(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        state = read_current(spark, target_root, before_tag=epoch)
-        changes = batch if state is None else state.unionByName(batch, allowMissingColumns=True)
-        write_version(spark, cdc_latest(changes, key, op_col=op_col), target_root, str(epoch))
+        merge_buckets(batch.sparkSession, target_root, batch, key, latest_changes(key, op_col), str(epoch), epoch=epoch,
+                      buckets=buckets, feed_keys=key, visible=lambda rows: cdc_upserts(rows, op_col))
     return apply
 
 
