@@ -542,7 +542,6 @@ ORACLES: dict[str, str] = {
            "SELECT 'SILVER', 'substation_telemetry', COUNT(*) FROM scored_tel",
            "SELECT 'GOLD', 'customer_hourly_usage', COUNT(*) FROM hourly",
            "SELECT 'GOLD', 'billing_kpis_daily', COUNT(*) FROM bill_daily"]),
-    "q_stream_dedup": "SELECT DISTINCT * FROM events",
     "q_scd2_variant": f"""WITH {CUSTOMER}, v AS (
           SELECT *, t_id IS NOT NULL AND s_id IS NOT NULL AND (t_c_acctbal IS DISTINCT FROM s_c_acctbal
                     OR t_c_mktsegment IS DISTINCT FROM s_c_mktsegment) AS ch FROM scd_join)
@@ -563,7 +562,6 @@ ORACLES: dict[str, str] = {
         SELECT bill_month, payment_status, n + CASE WHEN bill_month BETWEEN 199501 AND 199503 THEN 1000 ELSE 0 END AS tx_count
         FROM (SELECT CAST(year(due_date) * 100 + month(due_date) AS INTEGER) AS bill_month, payment_status, COUNT(*) AS n
               FROM bills GROUP BY ALL)""",
-    "q_stream_dedup_id": "SELECT * FROM events QUALIFY ROW_NUMBER() OVER (PARTITION BY event_id) = 1",
     "q_cdc_stream": f"""WITH {CDC} SELECT * FROM (SELECT * FROM cdc_feed WHERE "__$operation" IS DISTINCT FROM 3
         QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {CDC_ORDER}) = 1)
         WHERE "__$operation" IN (2, 4)""",
@@ -616,7 +614,15 @@ ORACLES: dict[str, str] = {
 
 _CDC_ORDER = 'cdc_ts DESC, "__$seqval" DESC, "__$start_lsn" DESC, "__$operation" DESC'
 _CDC_VALUES = '"__$operation", "__$seqval", "__$start_lsn", cdc_ts, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus'
+# what a watermark leaves: held-back events of the first third, far behind the newest event of the second, are late
+_ON_TIME = """SELECT e.* FROM events e, (SELECT MIN(ts) + to_seconds(date_diff('second', MIN(ts), MAX(ts)) // 3) AS cut FROM events)
+        WHERE NOT (event_id % 50 = 7 AND ts < cut)"""
 ORACLES |= {
+    "q_stream_dedup": _ON_TIME,
+    "q_stream_dedup_id": _ON_TIME,
+    "q_usage_hourly_stream": ORACLES["q_usage_hourly"],
+    "q_health_hourly_stream": ORACLES["q_health_hourly"],
+    "q_renewable_hourly_stream": ORACLES["q_renewable_hourly"],
     "q_cdc_apply_buckets": ORACLES["q_cdc_stream"],
     "q_change_feed": f"""WITH {CDC},
       live AS (SELECT * FROM (

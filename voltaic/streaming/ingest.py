@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from voltaic.operators.dedup import cdc_latest
 from voltaic.operators.merge import cdc_upserts
@@ -24,12 +25,20 @@ from voltaic.plans.tables import merge_buckets, read_current
 from voltaic.session import shared_dir
 
 __all__ = ["run_available_now", "watermark_dedup", "stream_table", "stream_dedup_events", "cdc_foreach_batch",
-           "read_cdc_state"]
+           "read_cdc_state", "latest_changes", "use_rocksdb"]
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB on the executors' disks, with changelog checkpoints, not in their heaps."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
 def run_available_now(stream: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet",
-                      partition_by: Sequence[str] = ()) -> None:
-    """Append ``stream`` to ``out_path`` until the source is drained, then stop."""
+                      partition_by: Sequence[str] = ()) -> StreamingQuery:
+    """Append ``stream`` to ``out_path`` until the source is drained, then stop; the finished query tells its progress."""
+    use_rocksdb(stream.sparkSession)
     w = (stream.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     if partition_by:
@@ -38,6 +47,7 @@ def run_available_now(stream: DataFrame, out_path: str, checkpoint: str, fmt: st
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    return q
 
 
 def watermark_dedup(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str = "10 minutes",
