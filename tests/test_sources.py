@@ -66,3 +66,65 @@ def test_register_table_repoints_to_new_version(spark, tmpdir_path):
     register_table(spark, "vt_silver", "dim", v2)
     assert spark.table("vt_silver.dim").count() == 3
     assert spark.table("vt_silver.dim_current").count() == 2
+
+
+def test_a_feed_is_looked_into_once_and_conflicts_keep_their_lines(spark, tmpdir_path):
+    import json
+    import os
+
+    from voltaic.sources.ingest import evolve_feed
+    land, loc = f"{tmpdir_path}/land", f"{tmpdir_path}/schema"
+    os.makedirs(land)
+
+    def put(name, *recs):
+        with open(f"{land}/{name}.json", "w") as f:
+            f.writelines(json.dumps(r) + "\n" for r in recs)
+
+    put("a", {"id": "r1", "mw": 5, "at": {"lat": 1}})
+    first = evolve_feed(spark, land, loc)
+    os.chmod(f"{land}/a.json", 0)                                     # whoever reads it again may fail; the schema stays
+    put("b", {"id": "r2", "mw": "five", "at": {"lat": 2.5, "lon": 3}, "tags": [1, "x"]}, {"id": "r3", "note": None})
+    seen = []
+    real = spark.read.__class__.json
+    spark.read.__class__.json = lambda self, path, *a, **k: (seen.append(path), real(self, path, *a, **k))[1]
+    try:
+        second = evolve_feed(spark, land, loc)
+        assert [[os.path.basename(p) for p in x] for x in seen if isinstance(x, list)] == [["b.json"]]
+        seen.clear()
+        assert evolve_feed(spark, land, loc) == second and not [x for x in seen if isinstance(x, list)]
+    finally:
+        spark.read.__class__.json = real
+        os.chmod(f"{land}/a.json", 0o644)
+    assert first["mw"].dataType.typeName() == second["mw"].dataType.typeName() == "double"
+    assert second["at"].dataType.fieldNames() == ["lat", "lon"] and second["tags"].dataType.elementType.typeName() == "string"
+    rows = {r.id: r for r in spark.read.schema(second).json(land).collect()}
+    assert rows["r1"].mw == 5.0 and rows["r2"].mw is None and '"five"' in rows["r2"]._corrupt_record and rows["r2"]["at"].lon == 3.0
+
+
+def test_type_lattice():
+    from pyspark.sql import types as T
+
+    from voltaic.sources.ingest import wider_type
+    d, s = T.DoubleType(), T.StringType()
+    assert wider_type(T.LongType(), d) == d and wider_type(T.IntegerType(), T.LongType()) == T.LongType()
+    assert wider_type(T.NullType(), d) == d and wider_type(d, s) == s and wider_type(T.BooleanType(), d) == s
+    a, b = T.StructType.fromDDL("x bigint, y string"), T.StructType.fromDDL("x double, z boolean")
+    assert wider_type(a, b).simpleString() == "struct<x:double,y:string,z:boolean>"
+    assert wider_type(T.ArrayType(T.LongType()), T.ArrayType(s)) == T.ArrayType(s)
+
+
+def test_where_a_subscription_starts():
+    import datetime as dt
+    import json
+
+    import pytest
+
+    from voltaic.sources.ingest import bus_options
+    noon = dt.datetime(2025, 1, 1, 12, tzinfo=dt.timezone.utc)
+    assert bus_options("kafka", "latest", 500) == {"startingOffsets": "latest", "maxOffsetsPerTrigger": "500"}
+    assert bus_options("kafka", noon)["startingTimestamp"] == "1735732800000"
+    assert json.loads(bus_options("eventhubs")["eventhubs.startingPosition"])["offset"] == "-1"
+    assert json.loads(bus_options("eventhubs", noon)["eventhubs.startingPosition"])["enqueuedTime"].startswith("2025-01-01T12:00")
+    assert bus_options("json", per_trigger=2) == {"maxFilesPerTrigger": "2"}
+    with pytest.raises(ValueError):
+        bus_options("json", "latest")

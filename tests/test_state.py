@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voltaic.operators import marts, merge
-from voltaic.operators.anomaly import exact_percentiles
+from voltaic.operators.anomaly import add_counts, exact_percentiles, slice_counts
 from voltaic.plans.pipeline import Sources, apply_deltas, run_pipeline, silver_renewable
 from voltaic.plans.tables import read_current, read_if_present, write_version
 from voltaic.sources.ingest import read_csv_feed
@@ -116,3 +116,18 @@ def test_percentiles_do_not_depend_on_partitioning_and_take_any_double(spark):
 def test_bridge_lists_every_owner(spark):
     cust = spark.createDataFrame([("c1", "m"), ("c2", "m"), ("c3", None)], "customer_id string, meter_id string")
     assert sorted(map(tuple, marts.meter_customers(cust).collect())) == [("m", "c1"), ("m", "c2")]
+
+
+def test_percentiles_where_all_values_crowd_in_one_slice(spark):
+    """Distinct values within a millionth of each other, a third of them one value, in one of two groups."""
+    crowd = spark.range(60_000).selectExpr("'g' as g", "case when id % 3 = 0 then 1.0000003d else 1d + id * 1e-12 end as v")
+    rest = spark.range(999).selectExpr("cast(null as string) as g", "-pow(10, id % 300) as v")
+    df = crowd.unionByName(rest)
+    asked = {"p0": 0.0, "p1": 0.01, "mid": 0.5, "p99": 0.99, "top": 1.0}
+    got = {r.g: r for r in exact_percentiles(df, "g", "v", asked).collect()}
+    for g in ("g", None):
+        known = sorted(r.v for r in df.filter(F.col("g").eqNullSafe(F.lit(g))).collect())
+        assert [got[g][n] for n in asked] == [known[max(1, math.ceil(p * len(known))) - 1] for p in asked.values()]
+    stored = add_counts(slice_counts(df.filter("v < 1"), "g", "v"), slice_counts(df.filter("v >= 1"), "g", "v"))
+    again = {r.g: r for r in exact_percentiles(df, "g", "v", asked, stored).collect()}
+    assert again == got

@@ -271,18 +271,18 @@ def q_resolve_column(spark, sf):
 
 
 def q_schema_evolve(spark, sf):
-    """Readings landed as JSON in two layouts (S6, T8, P8): the schema is inferred and saved after the first,
-    evolved after the second, and columns that a layout lacks come back as typed NULLs."""
+    """Readings landed as JSON in two layouts (S6, T8, P8): the schema is inferred from the first files and saved, evolved
+    by the new files alone, and columns that a layout lacks come back as typed NULLs."""
     from voltaic.session import shared_dir
-    from voltaic.sources.ingest import evolve_schema, load_schema, save_schema
+    from voltaic.sources.ingest import evolve_feed
     root = shared_dir(spark, "voltaic", "schema_evolve")
     columns = ["reading_id", "production_mw", *K.RENEWABLE_EVOLVED_COLUMNS]
     feed = renewable_feed(spark, sf).select("event_ts", *columns)
     cut, hints = F.lit(EVOLVED_FROM).cast("timestamp_ntz"), "reading_id bigint"
     feed.filter(F.col("event_ts") < cut).select(columns[:2]).write.json(f"{root}/landing")
-    save_schema(spark, evolve_schema(spark, f"{root}/landing", None, hints), f"{root}/schema")
+    evolve_feed(spark, f"{root}/landing", f"{root}/schema", hints)
     feed.filter(F.col("event_ts") >= cut).select(columns).write.mode("append").json(f"{root}/landing")
-    schema = evolve_schema(spark, f"{root}/landing", load_schema(spark, f"{root}/schema"), hints)
+    schema = evolve_feed(spark, f"{root}/landing", f"{root}/schema", hints)
     return backfill_columns(spark.read.schema(schema).json(f"{root}/landing"), K.RENEWABLE_EVOLVED_COLUMNS).select(columns)
 
 
@@ -366,6 +366,19 @@ def q_region_thresholds(spark, sf):
     return region_thresholds(latest_meters(spark, sf))
 
 
+def q_region_thresholds_stored(spark, sf):
+    """Regional percentiles from stored slice counts, added up over three deliveries (A1): only the slices that
+    hold a rank are looked into."""
+    from voltaic.operators.anomaly import add_counts, slice_counts
+    from voltaic.plans.tables import merge_buckets, read_current
+    from voltaic.session import shared_dir
+    root, meters = shared_dir(spark, "voltaic", "slice_counts"), latest_meters(spark, sf)
+    for i in range(3):
+        more = slice_counts(meters.filter(F.pmod(F.hash("meter_id"), F.lit(3)) == i), "region", "kwh_consumed")
+        merge_buckets(spark, root, more, ["g", "slice"], add_counts, f"delivery{i}", buckets=4)
+    return region_thresholds(meters, counts=read_current(spark, root))
+
+
 def q_meter_anomaly(spark, sf):
     return scored_meters(spark, sf).select("event_id", "meter_id", "region", "kwh_consumed",
                                            "is_kwh_anomaly", "anomaly_type")
@@ -389,6 +402,14 @@ def q_band_anomaly(spark, sf):
     return m.select("event_id", "kwh_consumed", band_anomaly(F.col("kwh_consumed")).alias("band_anomaly"))
 
 
+def q_meter_signals(spark, sf):
+    """The documented meter signals with the meter's status (C8): bands first, then a suspicious status."""
+    k = F.col("voltage_v")
+    status = F.when(k < 160, "TAMPERED").when(k < 180, "DISCONNECTED").when(k < 330, "ACTIVE")
+    m = meter_feed(spark, sf).withColumn("meter_status", status)
+    return m.select("event_id", "kwh_consumed", "meter_status", band_anomaly(F.col("kwh_consumed"), F.col("meter_status")).alias("signal"))
+
+
 def q_overheat_signal(spark, sf):
     t = scored_telemetry(spark, sf)
     return t.filter(is_overheating(F.col("oil_temp_delta_c"))).select("telemetry_id", "transformer_id",
@@ -802,6 +823,64 @@ def q_latest_incremental(spark, sf):
     return read_current(spark, root)
 
 
+def q_write_metrics(spark, sf):
+    """Row counts and time bounds as the writes themselves saw them (A12, Q16, Q17): nothing is read back."""
+    from voltaic.plans.tables import observed_write
+    from voltaic.session import shared_dir
+    root, rows = shared_dir(spark, "voltaic", "write_metrics"), []
+    for name, df, ts in (("smart_meter_readings", latest_meters(spark, sf), "event_ts"),
+                         ("substation_telemetry", telemetry_latest(spark, sf), "telemetry_ts"),
+                         ("billing_transactions_current", bills_feed(spark, sf), "cdc_ts")):
+        seen = observed_write(df, lambda d, n=name: d.write.parquet(f"{root}/{n}"), ts)
+        rows.append((name, seen["rows"], seen["min_ts"], seen["max_ts"]))
+    return spark.createDataFrame(rows, "table_name string, row_count bigint, min_ts timestamp_ntz, max_ts timestamp_ntz")
+
+
+def _land_feeds(spark, sf, root):
+    """The given tables as landed feeds: JSON of three systems, CSV logs, parquet masters, JSON that evolves."""
+    from voltaic.plans.pipeline import Sources
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    m = meter_feed(spark, sf)
+    m.select(F.col("event_id").cast("string").alias("event_id"), F.col("meter_id").cast("string").alias("meter_id"), iso("event_ts").alias("timestamp"),
+             F.col("kwh_consumed").alias("reading_kwh"), "voltage_v", "current_a", "power_factor", "region", "state").write.json(f"{root}/smart_meter")
+    text = lambda c: F.col(c).cast("string")
+    m.select(text("event_id").alias("telemetry_id"), text("customer_id").alias("substation_id"), text("meter_id").alias("transformer_id"),
+             iso("event_ts").alias("timestamp"), F.col("voltage_v").alias("oil_temperature_c"), F.lit(40.0).alias("ambient_temperature_c"),
+             F.col("kwh_consumed").alias("load_pct"), "region", "state").write.json(f"{root}/telemetry")
+    op = F.element_at(F.array(F.lit(2), F.lit(4), F.lit(1)), (F.col("event_id") % 3 + 1).cast("int"))
+    m.select(text("meter_id").alias("transaction_id"), op.alias("__$operation"), F.lpad(F.hex("event_id"), 12, "0").alias("__$seqval"),
+             iso("event_ts").alias("cdc_timestamp"), iso("event_ts").alias("due_date"), F.col("kwh_consumed").alias("total_amount")).write.json(f"{root}/billing")
+    s = _t(spark, sf, "supplier")
+    s.select(F.concat(F.lit("L"), "s_suppkey").alias("log_id"), F.col("s_suppkey").alias("transformer_id"), F.lit("2025-06-01").alias("reported_date"),
+             F.col("s_acctbal").alias("cost_inr")).write.option("header", True).csv(f"{root}/maintenance")
+    trf = s.select(F.col("s_suppkey").cast("string").alias("transformer_id"), "s_name", "s_acctbal")
+    trf.write.parquet(f"{root}/transformer")
+    changed = trf.withColumns({"s_acctbal": F.col("s_acctbal") + 1, "record_effective_date": F.lit("2025-06-01")})
+    for day in ("01", "02"):                       # two files that a glob finds; the second says the same
+        changed.write.parquet(f"{root}/delta_{day}")
+    _t(spark, sf, "customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_custkey").cast("string").alias("meter_id"), "c_name").write.parquet(f"{root}/customer")
+    r = renewable_feed(spark, sf).withColumns({"timestamp": iso("event_ts")}).drop("event_ts")
+    r.filter("battery_storage_mwh is null").drop("battery_storage_mwh", "curtailment_mw").write.json(f"{root}/renewable")
+    r.filter("battery_storage_mwh is not null").write.mode("append").json(f"{root}/renewable")
+    return Sources(smart_meter=f"{root}/smart_meter", telemetry=f"{root}/telemetry", billing_cdc=f"{root}/billing", maintenance=f"{root}/maintenance",
+                   transformer_snapshot=f"{root}/transformer", transformer_delta=f"{root}/delta_*", customer_snapshot=f"{root}/customer",
+                   renewable=f"{root}/renewable")
+
+
+def q_landed_feeds(spark, sf):
+    """All feeds landed as files and run through the layers (S1-S3, S5, S9, S13-S15, K2-K7, K9, K10, Q18): streams and batch readers
+    into bronze, merges into new tables, partitioned marts, audit appends, catalog tables. What the catalog's
+    audit table says of each table: its row count, and "loaded" for bronze."""
+    from voltaic.plans.pipeline import run_pipeline
+    from voltaic.session import shared_dir
+    root = shared_dir(spark, "voltaic", "landed_feeds")
+    prefix = "q" + root.rsplit("/", 1)[1][:12]
+    sources = _land_feeds(spark, sf, f"{root}/landing")
+    run_pipeline(spark, sources, f"{root}/lake", "INCR", batch_id="b1", catalog_prefix=prefix, buckets=4)
+    metrics = spark.table(f"{prefix}_audit.table_metrics").filter("batch_id = 'b1' and layer <> 'AUDIT' and metric_name in ('rowcount', 'status')")
+    return metrics.select("layer", "table_fqn", "metric_name", "metric_value")
+
+
 def q_csv_feed(spark, sf):
     """Orders landed as CSV in two column orders (S4), read back by each file's own header."""
     from voltaic.session import shared_dir
@@ -856,7 +935,7 @@ def q_partition_overwrite(spark, sf):
 
 #: Queries whose feed or state has to be written first.
 EAGER = ("q_schema_evolve", "q_partition_overwrite", "q_stream_dedup", "q_stream_dedup_id", "q_cdc_stream", "q_csv_feed", "q_scd2_deltas",
-         "q_usage_hourly_stream", "q_health_hourly_stream", "q_renewable_hourly_stream", "q_cdc_apply_buckets", "q_change_feed", "q_scd2_buckets", "q_latest_incremental")
+         "q_usage_hourly_stream", "q_health_hourly_stream", "q_renewable_hourly_stream", "q_region_thresholds_stored", "q_write_metrics", "q_landed_feeds", "q_cdc_apply_buckets", "q_change_feed", "q_scd2_buckets", "q_latest_incremental")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -612,12 +612,45 @@ ORACLES: dict[str, str] = {
 }
 
 
-_CDC_ORDER = 'cdc_ts DESC, "__$seqval" DESC, "__$start_lsn" DESC, "__$operation" DESC'
 _CDC_VALUES = '"__$operation", "__$seqval", "__$start_lsn", cdc_ts, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus'
 # what a watermark leaves: held-back events of the first third, far behind the newest event of the second, are late
 _ON_TIME = """SELECT e.* FROM events e, (SELECT MIN(ts) + to_seconds(date_diff('second', MIN(ts), MAX(ts)) // 3) AS cut FROM events)
         WHERE NOT (event_id % 50 = 7 AND ts < cut)"""
+_LANDED = [("BRONZE", "bronze.smart_meter_events", "events"), ("BRONZE", "bronze.substation_telemetry_events", "events"),
+           ("BRONZE", "bronze.billing_cdc_events", "events"), ("BRONZE", "bronze.maintenance_logs", "supplier"),
+           ("BRONZE", "bronze.transformer_master_snapshot", "supplier"),
+           ("BRONZE", "bronze.transformer_master_delta", "(SELECT * FROM supplier UNION ALL SELECT * FROM supplier)"),
+           ("BRONZE", "bronze.customer_master_snapshot", "customer"), ("BRONZE", "bronze.renewable_production", "events"),
+           ("SILVER", "silver.smart_meter_readings", "meters"), ("SILVER", "silver.smart_meter_quarantine", "(SELECT 1 WHERE false)"),
+           ("SILVER", "silver.substation_telemetry", "meters"), ("SILVER", "silver.substation_telemetry_quarantine", "(SELECT 1 WHERE false)"),
+           ("SILVER", "silver.maintenance_logs", "supplier"), ("SILVER", "silver.dim_customer", "customer"),
+           ("SILVER", "silver.renewable_production", "(SELECT DISTINCT event_id FROM events)"),
+           ("SILVER", "silver.renewable_quarantine", "(SELECT 1 WHERE false)"), ("SILVER", "silver.dim_transformer_quarantine", "(SELECT 1 WHERE false)"),
+           ("SILVER", "silver.dim_transformer", "(SELECT * FROM supplier UNION ALL SELECT * FROM supplier)"),
+           ("SILVER", "silver.billing_quarantine", "(SELECT 1 WHERE false)"), ("SILVER", "silver.billing_transactions_current", "live"),
+           ("GOLD", "gold.customer_hourly_usage", "(SELECT DISTINCT date_trunc('hour', event_ts), meter_id, region, state FROM meters)"),
+           ("GOLD", "gold.transformer_health_hourly", "(SELECT DISTINCT date_trunc('hour', event_ts), meter_id, region, state FROM meters)"),
+           ("GOLD", "gold.billing_kpis_daily", "(SELECT DISTINCT CAST(cdc_ts AS DATE) FROM live)"),
+           ("GOLD", "gold.renewable_kpis_hourly", "(SELECT DISTINCT date_trunc('hour', ts), user_id FROM events)"),
+           ("GOLD", "gold.ops_daily_dashboard", "(SELECT DISTINCT event_date, region, state FROM meters)"),
+           ]
 ORACLES |= {
+    "q_meter_signals": f"""WITH {METER_FEED} SELECT event_id, kwh_consumed, status AS meter_status,
+        CASE WHEN kwh_consumed BETWEEN 0.001 AND 0.05 THEN 'SUSPECTED_THEFT' WHEN kwh_consumed BETWEEN 50.0 AND 120.0 THEN 'SPIKE'
+             WHEN status IN ('TAMPERED', 'DISCONNECTED') THEN 'STATUS_' || status END AS signal
+        FROM (SELECT *, CASE WHEN voltage_v < 160 THEN 'TAMPERED' WHEN voltage_v < 180 THEN 'DISCONNECTED' WHEN voltage_v < 330 THEN 'ACTIVE' END AS status
+              FROM meter_feed)""",
+    "q_region_thresholds_stored": ORACLES["q_region_thresholds"],
+    "q_write_metrics": f"""WITH {METER_FEED}, {TELEMETRY}, {BILLS}
+        SELECT 'smart_meter_readings' AS table_name, COUNT(*) AS row_count, MIN(event_ts) AS min_ts, MAX(event_ts) AS max_ts FROM meters
+        UNION ALL SELECT 'substation_telemetry', COUNT(*), MIN(telemetry_ts), MAX(telemetry_ts) FROM tel_latest
+        UNION ALL SELECT 'billing_transactions_current', COUNT(*), MIN(cdc_ts), MAX(cdc_ts) FROM bills""",
+    "q_landed_feeds": f"""WITH {METER_FEED}, live AS (
+          SELECT * FROM (SELECT user_id, event_id, ts AS cdc_ts FROM events QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+          WHERE event_id % 3 <> 2) """
+    + " UNION ALL ".join(f"SELECT '{layer}' AS layer, '{name}' AS table_fqn, 'rowcount' AS metric_name, CAST(COUNT(*) AS VARCHAR) AS metric_value FROM {rows}"
+                         for layer, name, rows in _LANDED)
+    + "".join(f" UNION ALL SELECT 'BRONZE', '{name}', 'status', 'loaded'" for layer, name, _ in _LANDED if layer == "BRONZE"),
     "q_stream_dedup": _ON_TIME,
     "q_stream_dedup_id": _ON_TIME,
     "q_usage_hourly_stream": ORACLES["q_usage_hourly"],
@@ -628,7 +661,7 @@ ORACLES |= {
       live AS (SELECT * FROM (
           SELECT v, c.* FROM cdc_feed c JOIN (VALUES (0, TIMESTAMP '1996-06-01'), (1, TIMESTAMP '1998-01-01'), (2, TIMESTAMP '9999-01-01')) t(v, upto)
             ON cdc_ts < upto WHERE "__$operation" IS DISTINCT FROM 3
-          QUALIFY ROW_NUMBER() OVER (PARTITION BY v, l_orderkey, l_linenumber ORDER BY {_CDC_ORDER}) = 1) WHERE "__$operation" IN (2, 4)),
+          QUALIFY ROW_NUMBER() OVER (PARTITION BY v, l_orderkey, l_linenumber ORDER BY {CDC_ORDER}) = 1) WHERE "__$operation" IN (2, 4)),
       before AS (SELECT v + 1 AS v, * EXCLUDE (v) FROM live WHERE v < 2)
       SELECT * EXCLUDE (v), 'insert' AS _change_type, CAST(v AS BIGINT) AS _commit_version
         FROM live ANTI JOIN before USING (v, l_orderkey, l_linenumber)

@@ -25,11 +25,11 @@ from voltaic.operators import marts, merge, quality
 from voltaic.operators.anomaly import score_meter_anomaly
 from voltaic.operators.dedup import dedup_latest, split_key_validity, with_fallback_key
 from voltaic.session import cut_lineage
-from voltaic.plans.tables import (AUDIT_DDL, Layout, current_version, delete, ensure_database, folders, merge_buckets,
+from voltaic.plans.tables import (AUDIT_DDL, Layout, current_version, delete, ensure_database, exists, folders, merge_buckets,
                                   observed_write, publish, read_current, read_if_present, register_current_view,
                                   register_table, reset_checkpoints, write_partitioned, write_table)
-from voltaic.sources.ingest import (add_ingestion_cols, evolve_schema, load_schema, new_files_only,
-                                    read_csv_feed, read_json_feed, read_parquet_feed, save_schema, stream_json_feed)
+from voltaic.sources.ingest import (add_ingestion_cols, evolve_feed, new_files_only, read_csv_feed, read_json_feed,
+                                    read_parquet_feed, stream_json_feed)
 from voltaic.streaming.ingest import latest_changes, run_available_now
 
 
@@ -92,9 +92,7 @@ def ingest_bronze(spark: SparkSession, src: Sources, lay: Layout, batch_id: str,
         if path:
             batch(name, read_parquet_feed(spark, path), system, False)
     if src.renewable:
-        loc = f"{lay.schemas}/renewable"
-        schema = evolve_schema(spark, src.renewable, load_schema(spark, loc), K.RENEWABLE_SCHEMA_HINTS, glob="*.json")
-        save_schema(spark, schema, loc)
+        schema = evolve_feed(spark, src.renewable, f"{lay.schemas}/renewable", K.RENEWABLE_SCHEMA_HINTS, glob="*.json")
         stream("renewable_production", src.renewable, schema, "renewable_production")
     for t in res.tables:
         res.metrics.append(("BRONZE", t, "status", "loaded"))
@@ -106,6 +104,8 @@ RUN = "_run"
 
 def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
     """A bronze table with the columns of all its files, or None if it was never written."""
+    if not exists(spark, path):
+        return None
     return read_if_present(lambda: spark.read.option("mergeSchema", True).parquet(path))
 
 
@@ -122,8 +122,8 @@ def pending_bronze(spark: SparkSession, lay: Layout, name: str, incremental: boo
     path = lay.path("bronze", name)
     runs = sorted(f for f in folders(spark, path) if f.startswith(f"{RUN}="))
     if incremental:
-        noted = read_if_present(lambda: spark.read.schema("run string").json(_consumed(lay, name)))
-        done = {r["run"] for r in noted.collect()} if noted is not None else set()     # one row per run
+        notes = _consumed(lay, name)
+        done = {r["run"] for r in spark.read.schema("run string").json(notes).collect()} if exists(spark, notes) else set()  # one row per run
         runs = [r for r in runs if r not in done]
     if not runs:
         return None, []
@@ -421,7 +421,7 @@ def run_audit(spark: SparkSession, lay: Layout, batch_id: str, silver: dict[str,
         res.metrics += [(layer, name, m, str(seen[m])) for m in ("min_ts", "max_ts") if m in seen]
     # tables that a run appends to or replaces in part: row counts from the parquet footers
     tables = [(name.split(".")[0].upper(), name, df) for name, path in res.tables.items() if name not in res.written
-              and (df := read_if_present(lambda p=path: spark.read.parquet(p))) is not None]
+              and exists(spark, path) and (df := read_if_present(lambda p=path: spark.read.parquet(p))) is not None]
     for row in quality.row_counts(tables).collect() if tables else []:
         res.metrics.append((row["layer"], row["table_name"], "rowcount", str(row["row_count"])))
     metrics = quality.metric_rows(spark, batch_id, res.metrics)
@@ -438,19 +438,20 @@ def register_catalog(spark: SparkSession, target_root: str, prefix: str, res: Ru
         db = f"{prefix}_{layer}"
         ensure_database(spark, db, f"{lay.root.rstrip('/')}/_catalog")
         names[name] = register_table(spark, db, table, path, AUDIT_DDL.get(table) if layer == "audit" else None)
-        if layer == "silver" and table.startswith("dim_"):
+        if layer == "silver" and table.startswith("dim_") and not table.endswith("_quarantine"):
             names[f"{name}_current"] = register_current_view(spark, db, table)
     return names
 
 
 def run_pipeline(spark: SparkSession, sources: Sources, target_root: str, run_mode: str = "FULL",
                  batch_id: str | None = None, catalog_prefix: str | None = None,
-                 forget_checkpoints: bool = False) -> RunResult:
+                 forget_checkpoints: bool = False, buckets: int = 64) -> RunResult:
     """Run all layers once with a single batch id; returns written paths and metrics.
 
     With ``catalog_prefix`` the written tables are also registered in the session
     catalog (``<prefix>_bronze`` ... ``<prefix>_audit`` databases). ``forget_checkpoints`` makes the
-    streams read every landed file again (the latest-per-key steps absorb the repeats).
+    streams read every landed file again (the latest-per-key steps absorb the repeats). ``buckets``: of
+    the merged tables, when they are new.
     """
     if run_mode not in ("FULL", "INCR"):
         raise ValueError("run_mode must be FULL or INCR")
@@ -460,7 +461,7 @@ def run_pipeline(spark: SparkSession, sources: Sources, target_root: str, run_mo
     if forget_checkpoints:
         reset_checkpoints(spark, lay)
     ingest_bronze(spark, sources, lay, batch_id, run_mode, res)
-    silver = run_silver(spark, lay, batch_id, res, run_mode)
+    silver = run_silver(spark, lay, batch_id, res, run_mode, buckets)
     gold = run_gold(spark, lay, silver, run_mode == "INCR", res)
     run_audit(spark, lay, batch_id, silver, gold, res)
     res.tables["audit.table_metrics"] = lay.path("audit", "table_metrics")

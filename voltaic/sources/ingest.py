@@ -1,14 +1,14 @@
 """Feed readers (S1-S15) and lineage columns.
 
 Streams always get an explicit schema (file streams require one). Schema
-evolution for JSON landing folders is "infer on a bounded batch read, merge with
-hints, persist, then stream with it": a restart after new columns appeared
-picks them up, which is how the evolving renewable feed is handled without a
-proprietary loader.
+evolution for JSON landing folders is "infer from the files that are new, merge with
+what is known and with hints, persist, then stream with it": a restart after new columns appeared
+picks them up.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from collections.abc import Sequence
 
@@ -16,13 +16,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltaic.plans.tables import read_if_present
+from voltaic.plans.tables import exists
 from voltaic.schemas import CORRUPT
 
 __all__ = ["add_ingestion_cols", "source_file_name", "parse_envelope", "subscribe_stream", "read_json_feed",
            "read_csv_feed",
            "read_parquet_feed", "stream_json_feed", "stream_csv_feed", "merge_schema_hints",
-           "evolve_schema", "save_schema", "load_schema", "new_files_only"]
+           "evolve_schema", "evolve_feed", "wider_type", "bus_options", "save_schema", "load_schema", "new_files_only"]
 
 
 def add_ingestion_cols(df: DataFrame, source_system: str, batch_id: str,
@@ -66,6 +66,27 @@ def parse_envelope(df: DataFrame, schema: T.StructType | str, value_col: str = "
     return parsed.select("__d.*", *[c for c in parsed.columns if c != "__d"])
 
 
+def bus_options(fmt: str, start: str | dt.datetime = "earliest", per_trigger: int | None = None) -> dict[str, str]:
+    """Where a subscription starts and how much a micro-batch takes, as the options of a connector.
+
+    ``start`` is ``earliest``, ``latest`` or a point in time: the first message at or after it, and the end of a
+    partition that has none. It counts for a new query only; a restarted one continues from its checkpoint. Folders
+    of files (``text``, ``json``, ``csv``, ``parquet``) are always read from their first file.
+    """
+    if fmt == "kafka":
+        where = {"startingTimestamp": str(int(start.timestamp() * 1000)), "startingOffsetsByTimestampStrategy": "latest"} \
+            if isinstance(start, dt.datetime) else {"startingOffsets": start}
+        return where | ({"maxOffsetsPerTrigger": str(per_trigger)} if per_trigger else {})
+    if fmt == "eventhubs":
+        at = {"offset": None, "seqNo": -1, "isInclusive": True,
+              "enqueuedTime": start.astimezone(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")} if isinstance(start, dt.datetime) else \
+            {"offset": "-1" if start == "earliest" else "@latest", "seqNo": -1, "enqueuedTime": None, "isInclusive": True}
+        return {"eventhubs.startingPosition": json.dumps(at)} | ({"maxEventsPerTrigger": str(per_trigger)} if per_trigger else {})
+    if start != "earliest":
+        raise ValueError(f"a {fmt} folder is read from its first file; start={start!r} is for message buses")
+    return {"maxFilesPerTrigger": str(per_trigger)} if per_trigger else {}
+
+
 def subscribe_stream(spark: SparkSession, fmt: str, options: dict[str, str], schema: T.StructType | str,
                      value_col: str = "value", keep: Sequence[str | Column] = ()) -> DataFrame:
     """Message-bus stream parsed into typed columns.
@@ -161,45 +182,102 @@ def merge_schema_hints(schema: T.StructType, hints: str) -> T.StructType:
     return T.StructType(ordered)
 
 
-def _wider(old: T.DataType, new: T.DataType) -> T.DataType:
-    """The type that holds values of both: numbers as doubles, otherwise the one known first."""
-    numbers = (T.LongType, T.IntegerType, T.DoubleType)
-    return T.DoubleType() if isinstance(old, numbers) and isinstance(new, numbers) else old
-
+def wider_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The least type of the lattice that holds values of both, as JSON infers types.
 
-def evolve_schema(spark: SparkSession, folder: str, previous: T.StructType | None = None,
+    NULL below everything; whole numbers below doubles; structs and arrays part by part (a field that one
+    side lacks stays); any other two different types meet in text, which holds what both look like.
+    """
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    numbers = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+    if isinstance(a, numbers) and isinstance(b, numbers):
+        whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+        return T.LongType() if isinstance(a, whole) and isinstance(b, whole) else T.DoubleType()
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        mine, other = {f.name: f.dataType for f in a.fields}, {f.name: f.dataType for f in b.fields}
+        return T.StructType([T.StructField(n, wider_type(mine[n], other[n]) if n in mine and n in other else mine.get(n, other.get(n)))
+                             for n in [*mine, *[n for n in other if n not in mine]]])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(wider_type(a.elementType, b.elementType))
+    return T.StringType()
+
+
+def _as_doubles(t: T.DataType) -> T.DataType:
+    """JSON numbers are doubles unless a hint says otherwise: 5 today may be 5.5 tomorrow."""
+    if isinstance(t, T.LongType):
+        return T.DoubleType()
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_doubles(f.dataType)) for f in t.fields])
+    return T.ArrayType(_as_doubles(t.elementType)) if isinstance(t, T.ArrayType) else t
+
+
+def _kept(known: T.DataType, seen: T.DataType) -> T.DataType:
+    """A known column's type after new values: it stays readable next to what was written, so it only grows new
+    fields. Values that don't fit (text in a number) are NULL and their line is kept in ``_corrupt_record``."""
+    if isinstance(known, T.StructType) and isinstance(seen, T.StructType):
+        mine, other = {f.name: f.dataType for f in known.fields}, {f.name: f.dataType for f in seen.fields}
+        return T.StructType([T.StructField(n, _kept(mine[n], other.get(n, mine[n])) if n in mine else other[n])
+                             for n in [*mine, *[n for n in other if n not in mine]]])
+    return seen if isinstance(known, T.NullType) else known
+
+
+def evolve_schema(spark: SparkSession, folder: str | Sequence[str], previous: T.StructType | None = None,
                   hints: str | None = None, glob: str | None = None, since: str | None = None) -> T.StructType:
-    """Union of the previous schema and the one inferred from the folder now (new columns are
-    appended), with hints applied and a ``_corrupt_record`` column for lines that don't fit.
+    """The previous schema with the columns appended that are found in the folder (or files) now, hints applied, and a
+    ``_corrupt_record`` column for lines that don't fit.
 
-    JSON numbers are doubles unless a hint says otherwise: 5 today may be 5.5 tomorrow, and files
-    already written must stay readable next to later ones. ``since`` (a timestamp) infers from
-    files modified after it only; each of those is read whole.
+    Types of new columns are those of :func:`wider_type` over all their values; a known column keeps its
+    type (:func:`_kept`). JSON numbers are doubles, so files already written stay readable next
+    to later ones. ``since`` (a timestamp) infers from files modified after it only.
     """
     r = spark.read
     if glob:
         r = r.option("pathGlobFilter", glob)
     if since:
         r = r.option("modifiedAfter", since)
-    inferred = r.json(folder).schema
+    inferred = r.json(folder if isinstance(folder, str) else list(folder)).schema
     fields = {f.name: f.dataType for f in (previous.fields if previous is not None else [])}
     for f in inferred.fields:
         if f.name != CORRUPT:
-            fields[f.name] = _wider(fields.get(f.name, f.dataType), f.dataType)
-    fields = {n: T.DoubleType() if isinstance(t, T.LongType) else t for n, t in fields.items()}
-    out = T.StructType([T.StructField(n, t, True) for n, t in fields.items()])
+            fields[f.name] = _kept(fields[f.name], _as_doubles(f.dataType)) if f.name in fields else _as_doubles(f.dataType)
+    out = T.StructType([T.StructField(n, _as_doubles(t), True) for n, t in fields.items()])
     out = merge_schema_hints(out, hints) if hints else out
     return out if CORRUPT in out.fieldNames() else out.add(CORRUPT, T.StringType())
 
 
+def evolve_feed(spark: SparkSession, folder: str, location: str, hints: str | None = None, glob: str | None = None) -> T.StructType:
+    """The schema of a landing folder, evolved by the files that came since the last call.
+
+    ``location`` holds the schema and a ledger of the files seen (path and time of modification), so each file is
+    looked into once in its life. Only the names of new files reach the driver. The schema is saved
+    before the ledger: after a crash in between, files are seen again, which changes nothing.
+    """
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob or "*.json").option("recursiveFileLookup", True)
+    files = found.load(folder).select("path", "modificationTime")            # the listing; no file is read
+    seen = f"{location}/files"
+    ledger = spark.read.schema("path string, modificationTime timestamp").parquet(seen) if exists(spark, seen) else None
+    fresh = files if ledger is None else files.join(ledger, ["path", "modificationTime"], "left_anti")
+    rows = fresh.collect()
+    known = load_schema(spark, f"{location}/schema")
+    if not rows and known is not None:
+        return known
+    names = [r["path"] for r in rows]
+    schema = evolve_schema(spark, names, known, hints) if names else evolve_schema(spark, folder, known, hints, glob)
+    save_schema(spark, schema, f"{location}/schema")
+    spark.createDataFrame(rows, "path string, modificationTime timestamp").coalesce(1).write.mode("append").parquet(seen)
+    return schema
+
+
 def save_schema(spark: SparkSession, schema: T.StructType, location: str) -> None:
     """Persist a schema as one JSON text row (any shared file system)."""
     spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1).write.mode("overwrite").text(location)
 
 
 def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
-    saved = read_if_present(lambda: spark.read.text(location))
-    rows = saved.take(1) if saved is not None else []
+    rows = spark.read.text(location).take(1) if exists(spark, location) else []
     return T.StructType.fromJson(json.loads(rows[0][0])) if rows else None
 
 
