@@ -144,7 +144,7 @@ j AS (
     AND 10 * (length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g'))) <= length(line)
     AND 5 * (length(line) - length(replace(line, '!!', ''))) <= 2 * n
     AND NOT (length(line) - length(regexp_replace(line, '[|›»·•]', '', 'g')) >= 3 AND 4 * (length(line) - length(regexp_replace(line, '[|›»·•]', '', 'g'))) >= n)
-    AND NOT regexp_matches(line, '(?i)\b(?:all rights reserved|privacy policy|terms of (?:use|service)|cookie (?:policy|settings)|(?:uses?|accept) cookies|(?:enable|requires) javascript|subscribe to our|sign up for|log in to|click here|share this|lorem ipsum|skip to (?:main )?content)\b|©') AS ok
+    AND NOT coalesce(nullif(120 * len(regexp_extract_all(line, '(?i)\b(?:all rights reserved|privacy policy|terms of (?:use|service)|cookie (?:policy|settings)|(?:uses?|accept) cookies|(?:enable|requires) javascript|subscribe to our|sign up for|log in to|click here|share this|lorem ipsum|skip to (?:main )?content)\b|©')), 0) >= length(line), false) AS ok
   FROM l WHERE n > 0
 ),
 q AS (SELECT r, count(*) - count(DISTINCT line) AS dup, 2 * coalesce(sum(length(line)) FILTER (ok), 0) < sum(length(line)) AS lost FROM j GROUP BY r),
