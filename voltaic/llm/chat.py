@@ -75,8 +75,17 @@ def format_conversations(rows: DataFrame, id_col: str = "conv_id") -> DataFrame:
     return turns.select("conv_id", let(parts(F.col("turns")), output).alias("o")).select("conv_id", "o.formatted", "o.loss_mask")
 
 
+def under_mask(text: Column, mask: Column) -> Column:
+    """The code points of a text that a run-length mask counts, by the runs' lengths alone."""
+    flags = F.flatten(F.transform(mask, lambda r: F.array_repeat(r.loss, r.n)))
+    return F.array_join(F.transform(F.filter(F.arrays_zip(F.split(text, "", -1).alias("c"), flags.alias("f")), lambda z: z.f), lambda z: z.c), "")
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
-    """``formatted`` with ``turns`` (role, text, whether it counts), read from the formatted text and mask alone."""
+    """``formatted`` with ``turns`` (role, text, whether it counts) and ``loss_text``, read from the formatted text and the mask alone.
+
+    The loss text is what lies under the mask, unescaped; turns are found by the control strings.
+    """
 
     def block(b: Column) -> Column:
         head = F.substring_index(b, "|>", 1)
@@ -87,9 +96,18 @@ def read_back(formatted: DataFrame) -> DataFrame:
     blocks = F.split("formatted", r"<\|end\|>", -1)
     found = F.flatten(F.transform(F.slice(blocks, 1, F.size(blocks) - 1), block))
     # the mask's runs come in threes: mark or joint, text, end or nothing
-    counted = F.filter("loss_mask", lambda r, i: i % 3 == 1)
-    turns = F.zip_with(found, counted, lambda t, r: F.struct(t.role.alias("role"), t.text.alias("text"), r.loss.alias("loss")))
-    return formatted.withColumn("turns", turns)
+    flags = F.filter("loss_mask", lambda r, i: i % 3 == 1)
+    turns = F.zip_with(found, flags, lambda t, r: F.struct(t.role.alias("role"), t.text.alias("text"), r.loss.alias("loss")))
+    return formatted.withColumns({"turns": turns, "loss_text": unescape(under_mask(F.col("formatted"), F.col("loss_mask")))})
+
+
+def digest_formatted(formatted: DataFrame) -> DataFrame:
+    back = read_back(formatted)
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
 
 
 def digest(spark: SparkSession, conversations: DataFrame) -> DataFrame:
@@ -98,13 +116,7 @@ def digest(spark: SparkSession, conversations: DataFrame) -> DataFrame:
         F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
     rows = conversations.select("conv_id", "turn", "role", "text").unionByName(control)
-    back = read_back(format_conversations(rows))
-    said = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t.loss), lambda t: t.text), "")
-    return back.select(
-        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"),
-        F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
-    )
+    return digest_formatted(format_conversations(rows))
 
 
 #: The digests from the rows themselves; only ``formatted_chars`` repeats the template's arithmetic.
