@@ -171,11 +171,11 @@ def keep_one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int =
     grouped = group_fingerprints(ids, max_bits)
     winners = grouped.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min(F.struct("doc_id", "fp")).alias("w"))
     winners = winners.select(F.col("w.doc_id").alias("__id"), F.col("w.fp").alias("__wfp"))
-    ids_only = docs.join(winners, docs["doc_id"].eqNullSafe(F.col("__id")))
     if ids.count() == ids.select("doc_id").distinct().count() and not ids.filter("doc_id is null").limit(1).count():
-        return ids_only.select(*names)
-    texts = ids_only.withColumn("__fp", fingerprint_udf(shingle)(F.col("text"))).filter("__fp = __wfp")
-    return texts.dropDuplicates(["__id", "__wfp"]).select(*names)
+        return docs.join(winners, docs["doc_id"] == F.col("__id")).select(*names)
+    # ids that repeat or are null name no row: the fingerprint is part of the key, so null ids are no hot key
+    kept = marked.join(winners, marked["doc_id"].eqNullSafe(F.col("__id")) & (marked["__fp"] == F.col("__wfp")))
+    return kept.dropDuplicates(["__id", "__wfp"]).select(*names)
 
 
 def digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
