@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from voltaic.llm.common import doc_crc, words_of
 
 FOLDS, HELD_OUT = 4, 2
-#: Labelled rows that the classifier is fitted on at most.
+#: Labelled rows that the classifier is fitted on at most, each id once, and features of all of them together
+#: (about 250 MB): rows are taken in the order of their ids' hashes while both bounds hold.
 SAMPLE = 12_000
+SAMPLE_FEATURES = 60_000_000
 SPACE_BITS = 20
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 0.5
 #: Lengths in bytes of the stems that longer words are cut to.
@@ -76,10 +78,30 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
+def learned(rows: Iterator[tuple[bytes, int]], epochs: int = EPOCHS, most: int = SAMPLE_FEATURES) -> tuple[np.ndarray, np.ndarray]:
+    """Places (ascending) and values of the non-zero weights after ``epochs`` passes over ``(feature places, label)``."""
+    kept, size = [], 0
+    for places, label in rows:
+        size += len(places) // 4
+        if size > most:
+            break
+        kept.append((places, int(label)))
+    model = Ftrl(1 << SPACE_BITS)
+    for _ in range(epochs):
+        for places, label in kept:
+            model.learn(np.concatenate([[BIAS], np.frombuffer(places, "<i4")]), label)
+    w = model.weights(np.arange(1 << SPACE_BITS))
+    return np.flatnonzero(w), w[np.flatnonzero(w)]
+
+
 def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
-    """The non-zero weights: places (ascending) and values. One task learns from at most ``limit`` rows."""
+    """The non-zero weights: places (ascending) and values. One task learns from at most ``limit`` rows.
+
+    Of rows that share an id one is taken, the one whose text hashes lowest.
+    """
     chosen = labelled(labels, limit)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,19 +109,14 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> tuple[np.nda
             yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(1), pa.array(each, pa.binary())], names=["at", "toxic", "places"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(at, places, label) for b in batches for at, label, places in zip(*(c.to_pylist() for c in b.columns), strict=True)]
-        rows.sort()
-        model = Ftrl(1 << SPACE_BITS)
-        for _ in range(EPOCHS):
-            for _, places, label in rows:
-                model.learn(np.concatenate([[BIAS], np.frombuffer(places, "<i4")]), int(label))
-        w = model.weights(np.arange(1 << SPACE_BITS))
-        kept = np.flatnonzero(w)
-        yield pa.RecordBatch.from_arrays([pa.array(kept.astype(np.int64)), pa.array(w[kept])], names=["place", "weight"])
+        rows = ((places.as_py(), label.as_py()) for b in batches for places, label in zip(b.column(2), b.column(1), strict=True))
+        places, values = learned(rows)
+        yield pa.RecordBatch.from_arrays([pa.array(places.astype(np.int64)), pa.array(values)], names=["place", "weight"])
 
     rows = rows.select("text", F.col("toxic").cast("int").alias("toxic"), F.xxhash64(F.lit(1), F.col("doc_id").cast("string")).alias("at"))
     found = rows.mapInArrow(extract, "at long, toxic int, places binary")
-    weights = found.repartition(1).mapInArrow(learn, "place long, weight double").toArrow()
+    in_order = found.repartition(1).sortWithinPartitions("at", "places")
+    weights = in_order.mapInArrow(learn, "place long, weight double").toArrow()
     places, values = weights["place"].to_numpy(), weights["weight"].to_numpy()
     order = np.argsort(places)
     return places[order], values[order]
