@@ -85,6 +85,44 @@ ROUNDS = 30
 SPAN = "struct<k:int,s:int,e:int>"
 
 
+#: Items that a fold appends to one array before it starts another, and code points of a piece of text: work and
+#: copies stay linear in a text's matches and length.
+STEP, BLOCK = 256, 4096
+
+
+def folded(items: Column, kind: str, begin: Column, add: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """``array<kind>``: for each item what ``add(state, item)`` gives out, beside the next state (an int)."""
+
+    def item(state: Column, x: Column) -> Column:
+        at, out = add(state.at, x)
+        return F.struct(at.alias("at"), F.concat(state.out, F.array(out)).alias("out"))
+
+    def step(state: Column, part: Column) -> Column:
+        own = F.aggregate(part, F.struct(state.at.alias("at"), F.array().cast(f"array<{kind}>").alias("out")), item)
+        return let(own, lambda o: F.struct(o.at.alias("at"), F.concat(state.out, F.array(o.out)).alias("out")))
+
+    start = F.struct(begin.alias("at"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+
+    def run(every: Column) -> Column:
+        parts = F.sequence(F.lit(0), F.floor((F.size(every) - 1) / STEP).cast("int"))
+        steps = F.transform(parts, lambda i: F.slice(every, i * STEP + 1, F.lit(STEP)))
+        return F.when(F.size(every) > 0, F.flatten(F.aggregate(steps, start, step, lambda state: state.out)))
+
+    return let(items, run)
+
+
+def blocks_of(text: Column) -> Column:
+    """A text in pieces of ``BLOCK`` code points, for :func:`cut`."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def cut(blocks: Column, start: Column, length: Column) -> Column:
+    """A substring by code points (from 0) that looks at the pieces it lies in only."""
+    first = F.floor(start / BLOCK).cast("int")
+    many = F.floor((start + length) / BLOCK).cast("int") - first + 1
+    return F.substring(F.array_join(F.slice(blocks, first + 1, many), ""), (start - first * BLOCK + 1).cast("int"), length)
+
+
 def located(text: Column, pattern: str) -> Column:
     """``array<struct<s, e, v>>``: all matches of a pattern with code-point offsets.
 
@@ -94,14 +132,13 @@ def located(text: Column, pattern: str) -> Column:
     def placed(found: Column) -> Column:
         gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
         pairs = F.zip_with(gaps, found, lambda gap, v: F.struct(F.length(gap).alias("gap"), v.alias("v")))
-        none = F.array().cast("array<struct<s:int,e:int,v:string>>")
 
-        def add(state: Column, pair: Column) -> Column:
-            s = state.at + pair.gap
+        def add(at: Column, pair: Column) -> tuple[Column, Column]:
+            s = at + pair.gap
             e = s + F.length(pair.v)
-            return F.struct(e.alias("at"), F.concat(state.out, F.array(F.struct(s.alias("s"), e.alias("e"), pair.v.alias("v")))).alias("out"))
+            return e, F.struct(s.alias("s"), e.alias("e"), pair.v.alias("v"))
 
-        return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), add, lambda state: state.out)
+        return folded(pairs, "struct<s:int,e:int,v:string>", F.lit(0), add)
 
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(F.size(found) > 0, placed(found)))
 
@@ -157,13 +194,13 @@ def _vote(value: Column, yes: str, no: str) -> Column:
     return F.when(value.rlike(yes), YES).otherwise(vote) if yes else vote
 
 
-def _judge(text: Column, kind: str) -> Callable[[Column], Column]:
+def _judge(blocks: Column, kind: str) -> Callable[[Column], Column]:
     """A proposal's kind, place, votes (a number of base 3) and feature places."""
     rules, i = PROPOSALS[kind], list(PROPOSALS).index(kind)
 
     def judged(m: Column) -> Column:
-        before = F.substring(text, F.greatest(m.s - CONTEXT, F.lit(0)) + 1, F.least(m.s, F.lit(CONTEXT)))
-        after = F.substring(text, m.e + 1, F.lit(1))
+        before = cut(blocks, F.greatest(m.s - CONTEXT, F.lit(0)), F.least(m.s, F.lit(CONTEXT)))
+        after = cut(blocks, m.e, F.lit(1))
 
         def row(ahead: Column) -> Column:
             votes = reduce(lambda code, name: code * 3 + _vote(ahead if name == "context" else m.v, *rules[name]), LABELERS, F.lit(0))
@@ -181,13 +218,24 @@ def _judge(text: Column, kind: str) -> Callable[[Column], Column]:
 
 def proposals(text: Column, base: Column) -> Column:
     """``array<struct<k, s, e, votes, places>>``: further spans that touch no base span."""
-    found = []
-    for kind, rules in PROPOSALS.items():
-        free = F.filter(located(text, rules["wide"]), lambda m: ~F.exists(base, lambda b: (b.s < m.e) & (m.s < b.e)))
-        guard = text.rlike(r"(?:Mr|Mrs|Ms|Dr|Prof)\.?\x20[A-Z]") if kind == "person" else text.rlike("[0-9]")
-        none = F.array().cast("array<struct<k:int,s:int,e:int,votes:int,places:array<int>>>")
-        found.append(F.coalesce(F.when(guard, F.transform(free, _judge(text, kind))), none))
-    return F.concat(*found)
+    none = F.array().cast("array<struct<k:int,s:int,e:int,votes:int,places:array<int>>>")
+    touching = lambda m: lambda b: (b.s < m.e) & (m.s < b.e)
+
+    def judged(blocks: Column, cells: Column) -> Column:
+        found = []
+        for kind, rules in PROPOSALS.items():
+            def free(m: Column) -> Column:  # base spans are looked for in the cells that a proposal lies in
+                first, last = F.floor(m.s / BLOCK).cast("int"), F.floor(m.e / BLOCK).cast("int")
+                return ~F.exists(F.slice(cells, first + 1, last - first + 1), lambda cell: F.exists(cell, touching(m)))
+
+            guard = text.rlike(r"(?:Mr|Mrs|Ms|Dr|Prof)\.?\x20[A-Z]") if kind == "person" else text.rlike("[0-9]")
+            spans = F.transform(F.filter(located(text, rules["wide"]), free), _judge(blocks, kind))
+            found.append(F.coalesce(F.when(guard, spans), none))
+        return F.concat(*found)
+
+    every = F.sequence(F.lit(0), F.floor(F.length(text) / BLOCK).cast("int"))
+    cells = F.transform(every, lambda c: F.filter(base, lambda b: (b.s < (c + 1) * BLOCK) & (b.e >= c * BLOCK)))
+    return let(blocks_of(text), lambda blocks: let(cells, lambda own: judged(blocks, own)))
 
 
 def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -294,12 +342,15 @@ def digest(docs: DataFrame) -> DataFrame:
 def redacted(text: Column, found: Column) -> Column:
     """The text with each span replaced by its kind in brackets; spans that overlap become one."""
 
-    def add(state: Column, x: Column) -> Column:
-        piece = F.concat(F.substring(text, state.at + 1, x.s - state.at), F.lit("["), F.upper(_named(x.k)), F.lit("]"))
-        return F.struct(F.greatest(state.at, x.e).alias("at"), F.when(x.s >= state.at, F.concat(state.out, piece)).otherwise(state.out).alias("out"))
+    def replaced(blocks: Column) -> Column:
+        def add(at: Column, x: Column) -> tuple[Column, Column]:
+            piece = F.concat(cut(blocks, at, x.s - at), F.lit("["), F.upper(_named(x.k)), F.lit("]"))
+            return F.greatest(at, x.e), F.when(x.s >= at, piece).otherwise("")
+
+        end = F.array_max(F.transform(found, lambda x: x.e))
+        return F.concat(F.array_join(folded(found, "string", F.lit(0), add), ""), cut(blocks, end, F.length(text) - end))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    return F.when(F.size(found) == 0, text).otherwise(F.aggregate(found, start, add, lambda state: F.concat(state.out, F.substring(text, state.at + 1, F.length(text)))))
+    return F.when(F.size(found) == 0, text).otherwise(let(blocks_of(text), replaced))
 
 
 def redact(docs: DataFrame) -> DataFrame:
