@@ -117,3 +117,21 @@ def test_size_for_input(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_a_local_scratch_folder_is_refused_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from voltaic.session import shared_base
+
+    def session(master, **conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k.replace(".", "_"), d)), sparkContext=SimpleNamespace(master=master))
+
+    home = {"spark_sql_warehouse_dir": "file:/home/u/spark-warehouse"}
+    assert shared_base(session("local[4]", **home)) == home["spark_sql_warehouse_dir"]
+    assert shared_base(session("yarn", spark_checkpoint_dir="hdfs://n/c", **home)) == "hdfs://n/c"
+    assert shared_base(session("yarn", spark_sql_warehouse_dir="s3a://b/w")) == "s3a://b/w"
+    with pytest.raises(ValueError):
+        shared_base(session("spark://n:7077", **home))

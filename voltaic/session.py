@@ -56,10 +56,25 @@ def size_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes
     return n
 
 
+def shared_base(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, or ``spark.sql.warehouse.dir`` where that is unset, as the session gives it.
+
+    The warehouse's default is a folder of the driver's machine, which executors elsewhere don't
+    see: on a cluster such a folder is refused, and ``spark.checkpoint.dir`` has to name a shared one.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        master = spark.sparkContext.master
+        here = base.startswith(("file:", "/")) and not spark.conf.get("spark.hadoop.fs.defaultFS", "file:").startswith(("hdfs:", "viewfs:", "s3"))
+        if here and not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return base
+
+
 def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
-    """A folder that the driver and every executor reach: under ``spark.checkpoint.dir``, or under
-    ``spark.sql.warehouse.dir`` where that is unset. The URI is kept as the session gives it."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A folder that the driver and every executor reach, under :func:`shared_base`."""
+    base = shared_base(spark)
     path = "/".join([base.rstrip("/"), *parts])
     return f"{path}/{uuid.uuid4().hex}" if unique else path
 
@@ -77,4 +92,4 @@ def cut_lineage(df, spark: SparkSession | None = None):
     return spark.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["build_session", "size_for_input", "shared_dir", "cut_lineage", "SESSION_DEFAULTS"]
+__all__ = ["build_session", "size_for_input", "shared_base", "shared_dir", "cut_lineage", "SESSION_DEFAULTS"]
