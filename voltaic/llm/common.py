@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltaic.session import shared_base
+
 #: Code points that separate words; everything else is part of a word.
 WORD_SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -37,12 +39,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``; under the warehouse where that is unset.
-
-    Both are folders that the driver and all executors reach, whatever the file system.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/voltaic-llm/{uuid.uuid4().hex}"
+    """A fresh folder under ``spark.checkpoint.dir``; under the warehouse where that is unset (refused if it is a
+    folder of one machine and the session runs on a cluster)."""
+    return f"{shared_base(spark).rstrip('/')}/voltaic-llm/{uuid.uuid4().hex}"
 
 
 def store(df: DataFrame, compression: str = "snappy") -> DataFrame:
