@@ -92,3 +92,35 @@ def test_ftrl_equals_one_weight_at_a_time(spark):
     assert len(places) > 5
     few = [np.array([1, 2, 3], "<i4").tobytes()] * 5
     assert toxicity.learned(iter([(p, 1) for p in few]), most=6)[0].tolist() == toxicity.learned(iter([(p, 1) for p in few[:2]]))[0].tolist()
+
+
+def test_topk_prunes_for_each_query_and_takes_any_size(spark):
+    from voltaic.llm import topk
+
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 16)) * 40
+    x = np.floor((centres[rng.integers(0, 40, 3000)] + rng.normal(size=(3000, 16))) * 256 / 16)
+    pivots, ids = x[:: len(x) // 32][:32], np.arange(len(x))
+    tables = topk._distances(x, pivots).astype("<f4")
+    q = np.arange(0, 3000, 50)
+    best = topk.Best(len(q), 5)
+    far = float(np.sqrt((pivots * pivots).sum(1)).max())
+    for at in range(0, len(x), 1000):
+        topk._search(best, x[q], ids[q], tables[q], x[at : at + 1000], ids[at : at + 1000], tables[at : at + 1000], far)
+    scores = x[q] @ x.T
+    for row, own in enumerate(q):
+        want = sorted(((-s, i) for i, s in enumerate(scores[row]) if i != own))[:5]
+        assert [(-s, i) for s, i in zip(best.score[row], best.id[row], strict=True)] == want
+    assert best.evaluated < 0.25 * len(q) * len(x)                              # most pairs are never multiplied
+    big = spark.createDataFrame([(0, [2.0**22, 3.0]), (1, [2.0**21, -1.0]), (2, [2.0**22 + 1 / 256, 5.0]), (3, [0.5])], "vec_id long, embedding array<double>")
+    got = [(r.rank, r.vec_id, r.score) for r in topk.digest(spark, big).orderBy("rank").collect()]
+    v = {0: [2**30, 768], 1: [2**29, -256], 2: [2**30 + 1, 1280], 3: [128, 0]}
+    want = sorted(((-sum(a * b for a, b in zip(v[0], v[i], strict=True)), i) for i in (1, 2, 3)))
+    assert got == [(n + 1, i, -s) for n, (s, i) in enumerate(want)]
+    huge = spark.createDataFrame([(0, [1e30]), (1, [2.0])], "vec_id long, embedding array<double>")
+    assert {r.v[0] for r in topk.quantised(huge).collect()} == {2.56e32, 512.0}
+    try:
+        topk.digest(spark, huge)
+        raise AssertionError
+    except ValueError as e:
+        assert "no longs" in str(e)

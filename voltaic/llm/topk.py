@@ -6,33 +6,39 @@ least the largest ``|d(q, p) - d(x, p)|`` over the pivots p, the table bounds ev
 without touching the vectors. Candidates are evaluated in the order of that bound, best first, until the
 next bound is below the k-th best score found, which is an exact stopping rule.
 
-Queries come in blocks of ``BLOCK`` rows, each sent to the tasks as one small matrix; a task goes
-through its share of the candidates and keeps k rows for each query of the block, so neither side is ever gathered
-whole and no pairs are emitted beyond k for a query and task.
+Every query has its own order and its own stop: a task takes its candidates in chunks, and of a chunk each
+query evaluates ``STEP`` at a time, best bounds first, and none that its bound excludes.
+
+Queries come in blocks of ``BLOCK`` rows, one after another: a block is sent to the tasks as one small matrix, its
+k rows for each query are written to the shared folder, and the matrix is taken back. Driver and tasks hold
+one block, however many queries there are; a task keeps k rows for each query of the block, so neither side is
+ever gathered whole and no pairs are emitted beyond k for a query and task.
 
 Defined results: vectors that are null, empty or hold null, NaN or infinite components take no part;
 rows with a null id take no part; of several rows with one query id the smallest vector asks; a row with the
 query's id is the query's own; shorter vectors count as padded with zeros; an empty table gives an
-empty result. Products are exact while ``dimension * max^2`` is below 2^53.
+empty result. Products are exact: in doubles while ``dimension * max^2`` is below 2^53, in 64-bit whole
+numbers below 2^63, and beyond that, where a score is no long any more, an error says so.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voltaic.llm.common import store
+from voltaic.llm.common import scratch_dir, store
 
 PIVOTS = 32
 #: Queries that go to the tasks together.
 BLOCK = 2048
-#: Candidates that a task bounds together, and evaluates together in the order of their bounds.
-CHUNK, STEP = 4096, 512
+#: Candidates that a task bounds together, and that a query evaluates together in the order of their bounds.
+CHUNK, STEP = 4096, 16
+#: Doubles hold all whole numbers below this.
+WHOLE = 1 << 53
 
 
 def quantised(vectors: DataFrame, scale: float = 256.0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -40,7 +46,11 @@ def quantised(vectors: DataFrame, scale: float = 256.0, id_col: str = "vec_id",
     v = F.col(vector_col)
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
     rows = vectors.filter(F.col(id_col).isNotNull() & v.isNotNull() & (F.size(v) > 0)).filter(~F.coalesce(bad, F.lit(True)))
-    return rows.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("double")).alias("v"))
+    def whole(x):  # doubles beyond 2^53 are whole numbers, and too large for floor's long
+        scaled = x.cast("double") * scale
+        return F.when(F.abs(scaled) < WHOLE, F.floor(scaled).cast("double")).otherwise(scaled)
+
+    return rows.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(v, whole).alias("v"))
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -61,15 +71,17 @@ def _distances(x: np.ndarray, p: np.ndarray) -> np.ndarray:
 class Best:
     """The k best (score, id) of each query: higher scores first, ties to the smaller id."""
 
-    def __init__(self, queries: int, k: int):
+    def __init__(self, queries: int, k: int, kind: type = float):
         self.k = k
-        self.score, self.id = np.full((queries, k), -np.inf), np.full((queries, k), np.iinfo(np.int64).max)
+        self.none = -np.inf if kind is float else np.iinfo(np.int64).min + 1
+        self.score, self.id = np.full((queries, k), self.none, kind), np.full((queries, k), np.iinfo(np.int64).max)
+        self.evaluated = 0
 
     def add(self, rows: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
-        """``score[i]`` and ``ids[i]`` belong to query ``rows[i]``; -inf: not a candidate."""
+        """``score[i]`` and ``ids[i]`` belong to query ``rows[i]``; ``none``: not a candidate."""
         s = np.concatenate([self.score[rows], score], axis=1)
-        i = np.concatenate([self.id[rows], np.broadcast_to(ids, score.shape)], axis=1)
-        i = np.where(np.isneginf(s), np.iinfo(np.int64).max, i)
+        i = np.concatenate([self.id[rows], ids], axis=1)
+        i = np.where(s == self.none, np.iinfo(np.int64).max, i)
         order = np.lexsort((i, -s), axis=1)[:, : self.k]
         self.score[rows], self.id[rows] = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
 
@@ -81,30 +93,26 @@ def _search(best: Best, q: np.ndarray, q_ids: np.ndarray, q_table: np.ndarray, x
     for p in range(q_table.shape[1]):
         np.maximum(gap, np.abs(q_table[:, p, None] - x_table[None, :, p]), out=gap)
     slack = 1e-5 * (1 + np.sqrt(q2)[:, None] + np.sqrt(x2)[None, :]) + 1e-6 * far  # the table is single precision
-    bound = (q2[:, None] + x2[None, :] - np.maximum(gap - slack, 0) ** 2) / 2
-    top = bound.max(0)
-    order = np.argsort(-top, kind="stable")
-    for at in range(0, len(order), STEP):
-        part = order[at : at + STEP]
-        asking = np.flatnonzero(bound[:, order[at:]].max(1) >= best.score[:, -1]) if at else np.arange(len(q))
+    both = q2[:, None] + x2[None, :]
+    bound = (both - np.maximum(gap - slack, 0) ** 2) / 2 + 1e-12 * both
+    order = np.argsort(-bound, axis=1, kind="stable")
+    kind = best.score.dtype
+    qs, xs = q.astype(kind), x.astype(kind)
+    asking = np.arange(len(q))
+    for at in range(0, len(x), STEP):
+        part = order[asking, at : at + STEP]
+        limit = np.take_along_axis(bound[asking], part, 1)
+        kth = best.score[asking, -1]
+        open_ = (limit >= kth[:, None]) | (kth == best.none)[:, None]
+        going = open_[:, 0]  # the best bound of a query's rest: below its k-th score, the query is done
+        asking, part, open_ = asking[going], part[going], open_[going]
         if not len(asking):
             break
-        open_ = bound[np.ix_(asking, part)] >= best.score[asking, -1][:, None]
-        columns = np.flatnonzero(open_.any(0))
-        if not len(columns):
-            continue
-        score = q[asking] @ x[part[columns]].T
-        score[~open_[:, columns] | (q_ids[asking][:, None] == x_ids[part[columns]][None, :])] = -np.inf
-        some = ~np.isneginf(score).all(1)
-        width = min(score.shape[1], 4 * best.k)
-        score, rows = score[some], asking[some]
-        if score.shape[1] > width:  # ties at the cut stay: only scores below the k-th best of these are left out
-            kth = np.partition(score, score.shape[1] - best.k, axis=1)[:, score.shape[1] - best.k]
-            wide = int((score >= kth[:, None]).sum(1).max())
-            pick = np.argsort(-score, axis=1, kind="stable")[:, : max(wide, best.k)]
-            best.add(rows, np.take_along_axis(score, pick, 1), x_ids[part[columns]][pick])
-        else:
-            best.add(rows, score, x_ids[part[columns]][None, :])
+        score = np.full(part.shape, best.none, kind)
+        row, column = np.nonzero(open_ & (x_ids[part] != q_ids[asking][:, None]))
+        score[row, column] = np.einsum("ij,ij->i", qs[asking[row]], xs[part[row, column]])
+        best.evaluated += len(row)
+        best.add(asking, score, x_ids[part])
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
@@ -113,7 +121,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     ``vectors`` and ``queries`` are ``vec_id, v`` as ``quantised`` returns them.
     """
     spark = vectors.sparkSession
-    width = vectors.agg(F.max(F.size("v"))).first()[0] or 0
+    size = vectors.agg(F.max(F.size("v")).alias("width"), F.max(F.array_max(F.transform("v", F.abs))).alias("most")).first()
+    width, most = size["width"] or 0, float(size["most"] or 0)
+    if width * most * most >= 1 << 63:
+        raise ValueError("inner products of these vectors are no longs")
+    kind = float if width * most * most < WHOLE else np.int64
     pivots = vectors.orderBy(F.xxhash64("vec_id", F.lit(11)), "vec_id").limit(PIVOTS).toArrow()
     points = _matrix(pivots["v"], width)
     far = float(np.sqrt((points * points).sum(1)).max(initial=0))
@@ -134,37 +146,34 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         join = lambda name, kind, w: np.frombuffer(b"".join(b.column(name).to_pylist()), kind).reshape(len(ids), w)
         return join("v", "<f8", width), ids, join("distances", "<f4", len(points))
 
-    def searched(block) -> DataFrame:
-        q, q_ids, q_table = rows_of(block)
-        sent = spark.sparkContext.broadcast((q, q_ids, q_table))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            q, q_ids, q_table = sent.value
-            best = Best(len(q), k)
-            for b in batches:
-                x, x_ids, x_table = rows_of(b)
-                for at in range(0, len(x), CHUNK):
-                    s = slice(at, at + CHUNK)
-                    _search(best, q, q_ids, q_table, x[s], x_ids[s], x_table[s], far)
-            found = np.isfinite(best.score)
-            row, _ = np.nonzero(found)
-            yield pa.RecordBatch.from_arrays([pa.array(q_ids[row]), pa.array(best.id[found]), pa.array(best.score[found].astype(np.int64))], names=["query_id", "vec_id", "score"])
-
-        return table.mapInArrow(run, "query_id long, vec_id long, score long")
-
-    blocks, after = [], None
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    path, after, blocks = scratch_dir(spark), None, 0
+    names = "query_id long, vec_id long, score long"
     while True:  # the queries by id, a bounded block at a time
         rows = (asked if after is None else asked.filter(F.col("vec_id") > after)).orderBy("vec_id").limit(BLOCK).toArrow()
         if rows.num_rows:
-            after = rows["vec_id"][-1].as_py()
-            blocks.append(searched(rows))
+            after, blocks = rows["vec_id"][-1].as_py(), blocks + 1
+            sent = spark.sparkContext.broadcast(rows_of(rows))
+
+            def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+                q, q_ids, q_table = sent.value
+                best = Best(len(q), k, kind)
+                for b in batches:
+                    x, x_ids, x_table = rows_of(b)
+                    for at in range(0, len(x), CHUNK):
+                        s = slice(at, at + CHUNK)
+                        _search(best, q, q_ids, q_table, x[s], x_ids[s], x_table[s], far)
+                found = best.score != best.none
+                row, _ = np.nonzero(found)
+                yield pa.RecordBatch.from_arrays([pa.array(q_ids[row]), pa.array(best.id[found]), pa.array(best.score[found].astype(np.int64))], names=["query_id", "vec_id", "score"])
+
+            ranked = table.mapInArrow(run, names).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+            ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score").write.mode("append").parquet(path)
+            sent.unpersist()
         if rows.num_rows < BLOCK:
             break
-    if not blocks:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    found = reduce(DataFrame.unionByName, blocks)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    schema = "query_id long, rank int, vec_id long, score long"
+    return spark.read.schema(schema).parquet(path) if blocks else spark.createDataFrame([], schema)
 
 
 def digest(spark: SparkSession, embeddings: DataFrame) -> DataFrame:
