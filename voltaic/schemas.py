@@ -57,7 +57,7 @@ RENEWABLE_FILE_PATTERN = r"renewable_production_(\d{8})_(\d{4})"
 CONTRACTS = {
     "smart_meter_readings": ("event_id", "meter_id", "timestamp", "region"),
     "substation_telemetry": ("telemetry_id", "transformer_id", "timestamp"),
-    "billing_cdc": ("transaction_id", "cdc_timestamp", "__$operation"),
+    "billing_cdc": ("transaction_id", "cdc_timestamp"),
     "transformer_snapshot": ("transformer_id",),
     "transformer_delta": ("record_effective_date",),
     "customer_hourly_usage": ("event_date", "region", "kwh_total"),
