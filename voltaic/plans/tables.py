@@ -195,6 +195,12 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{k}`").cast("string") for k in keys]), F.lit(buckets)).cast("int")
 
 
+def _signatures(rows: DataFrame, keys: Sequence[str], buckets: int) -> dict[str, tuple]:
+    """For each bucket the number of its rows and the sum of their hashes (at most ``buckets`` rows come back)."""
+    mark = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).cast("decimal(38,0)")
+    return {str(r[0]): (r[1], r[2]) for r in rows.groupBy(bucket_of(keys, buckets)).agg(F.count(F.lit(1)), F.sum(mark)).collect()}
+
+
 def merge_buckets(spark: SparkSession, table_path: str, changes: DataFrame, keys: Sequence[str],
                   merge: Callable[[DataFrame | None, DataFrame], DataFrame], tag: str, epoch: int | None = None,
                   buckets: int = 64, feed_keys: Sequence[str] | None = None,
@@ -227,6 +233,12 @@ def merge_buckets(spark: SparkSession, table_path: str, changes: DataFrame, keys
     dealt = new.withColumn(BUCKET, bucket_of(keys, buckets))
     write_table(dealt, f"{target}/data", partition_by=[BUCKET])
     written = {d.split("=", 1)[1]: f"{target}/data/{d}" for d in folders(spark, f"{target}/data") if d.startswith(f"{BUCKET}=")}
+    if base:                                # a bucket whose rows came out as they were keeps its files
+        now = spark.read.schema(schema).parquet(*written.values()) if written else spark.createDataFrame([], schema)
+        was, now = _signatures(read_version(spark, base, touched, schema), keys, buckets), _signatures(now, keys, buckets)
+        for b in [b for b in written if b in base.parts and was.get(b) == now.get(b)]:
+            delete(spark, written[b])
+            written[b] = base.parts[b]
     parts = {b: p for b, p in (base.parts if base else {}).items() if b not in touched} | written
     made = Version(n, version, epoch, str(tag), target, buckets, schema.json(), parts, list(base.feed) if base else [])
     if feed_keys is not None:
