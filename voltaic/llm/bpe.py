@@ -1,13 +1,13 @@
 """Byte-level BPE encoding and decoding.
 
-Words are the matches of the tokenizer's splitting pattern. The most frequent distinct words of all
-documents (a bounded number) are encoded first and sent to the tasks as a table. Each task then gathers the other
-distinct words of a bounded group of its documents into one row. Both are encoded by Spark higher-order
-functions: a word's bytes are folded, one merge for each step, always the pair whose joined bytes have the lowest rank (the
-leftmost of equals), until no joined pair has a rank. The rank map is a literal, small buckets of
-token pairs, so a look-up doesn't search the vocabulary. Each document's ids are
-put together from its words' ids in the next step, and decoding joins the binary pieces of the ids.
-Documents don't leave their partition.
+Words are the matches of the tokenizer's splitting pattern. Each text is split once: a task numbers the distinct words of a
+bounded group of its documents, and the groups are stored. A word that is a token is that token, as the splitting library
+has it; all other words are encoded by Spark higher-order functions: a word's bytes are folded, one merge for each step,
+always the pair whose joined bytes have the lowest rank (the leftmost of equals), until no joined pair has a rank. The
+rank map is a literal, small buckets of token pairs, so a look-up doesn't search the vocabulary. The words that occur
+in the most groups (a bounded number) are folded once for all documents and sent to the tasks as a table; the others are
+folded in their group. Each document's ids are then put together from its words' ids, and decoding joins the
+binary pieces of the ids. Documents don't leave their partition.
 
 Words above ``LONG`` bytes (unbroken runs) are merged with a heap instead, which gives the same ids
 in time n log n where the fold needs n squared.
@@ -21,12 +21,13 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,13 +38,14 @@ from voltaic.llm.native import let
 #: How the rank map spreads pairs over its buckets, and what it takes off the ranks that it stores.
 FACTOR, BELOW = 641, 1 << 30
 LONG = 96
+#: A piece while it is folded, in one long: from the top the rank of it and the next piece joined, less ``BELOW`` (zero or
+#: more: none), where it begins in its word (7 bits), its own rank (22 bits). The least is the next pair to merge.
+PIECE, PLACE = (1 << 22) - 1, 29
 #: Code points of documents whose distinct words make one row.
 GROUP = 4_000_000
-#: Distinct chunks that a task counts before it sends their words' counts.
-CHUNKS = 200_000
 #: Marks that close a chunk of letters, each a word of its own there.
 MARKS = frozenset(".,;:!?)")
-#: Most words in the broadcast table of frequent words, which are encoded once for all documents: about 20 MB.
+#: Most words in the broadcast table of words that many groups share, which are encoded once for all documents: about 20 MB.
 FREQUENT = 1 << 20
 
 
@@ -73,12 +75,12 @@ def _pattern():
 def rank_table(ranks: dict[bytes, int]) -> Column:
     """The rank map as a literal: for pairs of tokens, named by their own ranks, the rank of their joined bytes.
 
-    Pair (a, b) lies in the bucket ``(a * FACTOR + b) % buckets``, which holds ``a, rank - BELOW`` for each of its
-    pairs. There are at least as many buckets as tokens, so in one bucket a alone names the pair; ranks are
-    stored below zero, so no a is taken for one.
+    Pair (a, b) lies in the bucket ``(a * FACTOR + b) % buckets``, which holds a number that is no token's, then
+    ``a, rank - BELOW`` for each of its pairs. There are at least as many buckets as tokens, so in one bucket a alone names
+    the pair; ranks are stored below zero, so no a is taken for one.
     """
-    size = 1 << max(17, max(ranks.values()).bit_length())
-    buckets: list[list[int]] = [[] for _ in range(size)]
+    size = _buckets(ranks)
+    buckets: list[list[int]] = [[size] for _ in range(size)]
     for token, rank in ranks.items():
         for i in range(1, len(token)):
             a, b = ranks.get(token[:i]), ranks.get(token[i:])
@@ -87,27 +89,61 @@ def rank_table(ranks: dict[bytes, int]) -> Column:
     return F.from_json(F.lit(json.dumps(buckets)), "array<array<int>>")
 
 
-def fold_merges(word: Column, table: Column) -> Column:
-    """The ids of a word, an array of its bytes' ids, by folding ranked merges over it."""
-    none = F.array().cast("array<int>")
+def _buckets(ranks: dict[bytes, int]) -> int:
+    return 1 << max(17, max(ranks.values()).bit_length())
 
-    def rank(a: Column, b: Column) -> Column:  # below zero, or anything else if the pair has none
-        return let(F.get(table, (a * FACTOR + b).bitwiseAND(F.size(table) - 1)), lambda bucket: F.get(bucket, F.array_position(bucket, a).cast("int")))
 
-    def step(s: Column) -> Column:
-        def merged(k: Column) -> Column:  # pair k (from 1) joins the pieces k and k + 1 into the token that its rank names
-            one = F.element_at(s.r, k) + BELOW
-            left = F.when(k > 1, F.array(rank(F.get(s.p, k - 2), one))).otherwise(none)
-            right = F.when(k < F.size(s.r), F.array(rank(one, F.get(s.p, k + 1)))).otherwise(none)
-            pieces = F.concat(F.slice(s.p, F.lit(1), k - 1), F.array(one), F.slice(s.p, k + 2, F.size(s.p)))
-            pairs = F.concat(F.slice(s.r, F.lit(1), F.greatest(k - 2, F.lit(0))), left, right, F.slice(s.r, k + 2, F.size(s.r)))
-            return F.struct(pieces.alias("p"), pairs.alias("r"))
+def fold_merges(word: Column, table: Column, buckets: int) -> Column:
+    """The ids of a word, an array of its bytes' pieces (:func:`byte_pieces`), by folding ranked merges over it."""
+    none, low_bits = F.array().cast("array<long>"), (1 << PLACE) - 1
+
+    def piece(x: Column) -> Column:
+        return x.bitwiseAND(F.lit(PIECE)).cast("int")
 
-        return let(F.array_min(s.r), lambda low: F.when(low < 0, let(F.array_position(s.r, low).cast("int"), merged)).otherwise(s))
+    def rank(a: Column, b: Column) -> Column:  # in its place, below zero, or anything else if the pair has none
+        bucket = F.get(table, (a * FACTOR + b).bitwiseAND(F.lit(buckets - 1)))
+        return F.shiftleft(let(bucket, lambda each: F.get(each, F.array_position(each, a).cast("int"))).cast("long"), PLACE)
 
-    pairs = F.transform(F.sequence(F.lit(1), F.size(word) - 1), lambda i: rank(F.get(word, i - 1), F.get(word, i)))
-    start = F.struct(word.alias("p"), pairs.alias("r"))
-    return F.when(F.size(word) < 2, word).otherwise(F.aggregate(F.sequence(F.lit(2), F.size(word)), start, lambda s, _: step(s), lambda s: s.p))
+    def step(s: Column) -> Column:
+        def merged(low: Column, one: Column, k: Column) -> Column:  # the pieces k and k + 1 (from 1) become one
+            def left(x: Column) -> Column:
+                return F.array(rank(piece(x), one) + x.bitwiseAND(F.lit(low_bits)))
+
+            place = low.bitwiseAND(F.lit(low_bits - PIECE)) + one
+            joined = F.when(k + 1 < F.size(s), rank(one, piece(F.get(s, k + 1))) + place).otherwise(place)
+            before = F.when(k > 1, F.concat(F.slice(s, F.lit(1), k - 2), left(F.get(s, k - 2)))).otherwise(none)
+            return F.concat(before, F.array(joined), F.slice(s, k + 2, F.size(s)))
+
+        def at(low: Column) -> Column:
+            one = (F.shiftright(low, PLACE) + BELOW).cast("int")
+            return let(one, lambda one: let(F.array_position(s, low).cast("int"), lambda k: merged(low, one, k)))
+
+        return let(F.array_min(s), lambda low: F.when(low < 0, at(low)).otherwise(s))
+
+    return F.aggregate(F.sequence(F.lit(1), F.size(word)), word, lambda s, _: step(s), lambda s: F.transform(s, piece))
+
+
+def byte_pieces(words: list[bytes], pairs: np.ndarray) -> pa.Array:
+    """The words as lists of their bytes' pieces; ``pairs`` from :func:`byte_pairs`."""
+    ends = np.concatenate([[0], np.cumsum([len(w) for w in words], dtype=np.int64)])
+    every = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+    after = np.full(len(every), 256)
+    after[:-1] = every[1:]
+    after[ends[1:] - 1] = 256
+    place = np.arange(len(every)) - np.repeat(ends[:-1], np.diff(ends))
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(pairs[every, after] + (place << (PIECE.bit_length()))))
+
+
+def byte_pairs(ranks: dict[bytes, int]) -> np.ndarray:
+    """The piece of a byte (row) before another (column; 256: before none), as if it began its word."""
+    found = np.zeros((256, 257), np.int64)
+    for a in range(256):
+        found[a] = ranks[bytes([a])]
+        for b in range(256):
+            rank = ranks.get(bytes([a, b]))
+            if rank is not None:
+                found[a, b] += (rank - BELOW) << PLACE
+    return found
 
 
 def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -149,10 +185,6 @@ class _Words(dict):
         return self[word]
 
 
-class _Odd(Exception):
-    """A chunk whose words depend on what stands beside it."""
-
-
 def split_words(text: str) -> list[str]:
     """The matches of the splitting pattern."""
     return _pattern().findall(text)
@@ -167,108 +199,88 @@ def split_chunk(chunk: str) -> list[str]:
     return split_words(" " + chunk)
 
 
-class _Chunks(dict):
-    """The words of a chunk between spaces: their numbers as bytes."""
+def number_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, _Words]:
+    """The words of texts as numbers, all in a row; how many numbers end with each text; the words.
 
-    def __init__(self, words: _Words):
-        super().__init__()
-        self.words = words
-
-    def numbers(self, words: list[str]) -> bytes:
-        if len(words) == 1:
-            return self.words[words[0]].to_bytes(4, "little")
-        return b"".join([self.words[w].to_bytes(4, "little") for w in words])
-
-    def __missing__(self, chunk: str) -> bytes:
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
-            raise _Odd
-        self[chunk] = found = self.numbers(split_chunk(chunk))
-        return found
-
-
-def number_words(text: str, chunks: _Chunks) -> bytes:
-    """The words of a text as numbers.
-
-    Where a space stands alone, a word never crosses it but takes it as its first
-    character, so each chunk between spaces is split once for its group and looked up from then on.
+    Where a space stands alone, a word never crosses it but takes it as its first character, so each
+    distinct chunk between spaces is split once for its group and looked up from then on. Other texts, and what
+    stands before a text's first space, are split as they are.
     """
-    first, *rest = text.split(" ")
-    if not text or rest and (not first or first[-1].isspace()):
-        return chunks.numbers(split_words(text))
-    try:
-        return chunks.numbers(split_words(first)) + b"".join(map(chunks.__getitem__, rest))
-    except _Odd:
-        return chunks.numbers(split_words(text))
-
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes], list[bytes]]]:
-    """Groups of about ``GROUP`` code points: ids, each text's words as numbers, the distinct words."""
-    ids, numbers, size, words = [], [], 0, _Words()
-    chunks = _Chunks(words)
+    words = _Words()
+    chunks = pc.split_pattern(texts, " ")
+    ends = np.asarray(chunks.offsets)[1:] - chunks.offsets[0].as_py()
+    firsts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    coded = chunks.flatten().dictionary_encode()
+    index, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+    blank = np.array([not c or c[0].isspace() or c[-1].isspace() for c in distinct], bool)
+    text_of = np.repeat(np.arange(len(ends)), ends - firsts)
+    later = np.ones(len(index), bool)
+    later[firsts] = False
+    odd = np.zeros(len(ends), bool)
+    odd[text_of[later & blank[index]]] = True
+    # a first chunk has an entry of its own behind the distinct ones; the last entry has no words
+    entries = [[] for _ in range(len(distinct) + len(ends) + 1)]
+    begins = [distinct[i] for i in index[firsts].tolist()]
+    for i, first in enumerate(begins):
+        odd[i] |= bool(ends[i] - firsts[i] > 1 and (not first or first[-1].isspace()))
+    looked_up = later & ~odd[text_of]
+    for i in np.unique(index[looked_up]).tolist():
+        entries[i] = [words[w] for w in split_chunk(distinct[i])]
+    for i, first in enumerate(begins):
+        entries[len(distinct) + i] = [words[w] for w in split_words(texts[i].as_py() if odd[i] else first)]
+    index[~looked_up] = len(entries) - 1
+    index[firsts] = len(distinct) + np.arange(len(ends))
+    sizes = np.array([*map(len, entries)], np.int64)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    flat = np.fromiter(chain.from_iterable(entries), np.int32, int(starts[-1]))
+    numbers = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(flat)).take(pa.array(index)).flatten().to_numpy()
+    return numbers, np.cumsum(sizes[index])[ends - 1], words
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Groups of about ``GROUP`` code points: ids and texts."""
+    ids, texts, size = [], [], 0
     for batch in batches:
-        at = 0
-        for i, text in enumerate(batch.column(1)):
-            text = text.as_py() or ""
-            numbers.append(number_words(text, chunks))
-            size += len(text)
+        text = pc.fill_null(batch.column(1), "")
+        sizes, at = np.cumsum(pc.utf8_length(text).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+        while at < len(text):
+            done = int(sizes[at - 1]) if at else 0
+            end = min(int(np.searchsorted(sizes, done + GROUP - size)) + 1, len(text))
+            ids.append(batch.column(0).slice(at, end - at))
+            texts.append(text.slice(at, end - at))
+            size, at = size + int(sizes[end - 1]) - done, end
             if size >= GROUP:
-                yield pa.concat_arrays([*ids, batch.column(0).slice(at, i + 1 - at)]), numbers, [w.encode("utf-8", "replace") for w in words]
-                at, ids, numbers, size, words = i + 1, [], [], 0, _Words()
-                chunks = _Chunks(words)
-        ids.append(batch.column(0).slice(at))
-    if numbers:
-        yield pa.concat_arrays(ids), numbers, [w.encode("utf-8", "replace") for w in words]
+                yield pa.concat_arrays(ids), pa.concat_arrays(texts)
+                ids, texts, size = [], [], 0
+    if texts:
+        yield pa.concat_arrays(ids), pa.concat_arrays(texts)
 
 
-def _byte_ids(words: list[bytes], ids: np.ndarray) -> pa.Array:
-    """The words as lists of their bytes' ids."""
-    ends = np.concatenate([[0], np.cumsum([len(w) for w in words], dtype=np.int64)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[np.frombuffer(b"".join(words), np.uint8)], pa.int32()))
+def _lists(lists: list[list[int]]) -> pa.Array:
+    return pa.array(lists, pa.list_(pa.int32()))
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
     return np.array([*map(xxhash.xxh3_64_intdigest, words)], np.uint64)
 
 
-def frequent_words(docs: DataFrame, ranks: bytes, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes (ascending), first places and ids of the most frequent words, at most ``most``, encoded once each."""
-
-    def counted(chunks: Counter) -> Iterator[pa.RecordBatch]:
-        n: Counter = Counter()
-        for chunk, times in chunks.items():
-            for word in split_chunk(chunk):
-                n[word] += times
-        short = [(w, k) for w, k in ((w.encode("utf-8", "replace"), k) for w, k in n.items()) if len(w) <= LONG]
-        for a in range(0, len(short), 50_000):
-            part = short[a : a + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.binary()), pa.array([k for _, k in part], pa.int64())], names=["word", "n"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # what white space next to a space does to its neighbours is left out: these counts only choose the table's words
-        chunks: Counter = Counter()
-        for batch in batches:
-            for text in batch.column(1):
-                chunks.update((text.as_py() or "").split(" "))
-                if len(chunks) >= CHUNKS:
-                    yield from counted(chunks)
-                    chunks = Counter()
-        yield from counted(chunks)
-
-    counts = store(docs.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+def frequent_words(groups: DataFrame, ranks: bytes, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes (ascending), first places and ids of the words that occur in the most groups, at most ``most``, encoded once each."""
+    counts = store(groups.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")))
     least = least_count(counts, most, 2)
     if least is None:
         return np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, "<u4")
     known = ranks_of(ranks)
-    byte_ids = np.array([known[bytes([b])] for b in range(256)], np.int32)
+    pairs = byte_pairs(known)
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array(_hashes(words).view(np.int64)), _byte_ids(words, byte_ids)], names=["key", "bytes"])
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(words).view(np.int64)), byte_pieces(words, pairs)], names=["key", "bytes"])
 
     table = rank_table(known)
-    chosen = counts.filter(F.col("n") >= least).select("word").repartition(F.col("word")).mapInArrow(spell, "key long, bytes array<int>")
-    found = store(chosen.select("key", let(table, lambda t: fold_merges(F.col("bytes"), t)).alias("ids"))).toArrow().combine_chunks()
+    chosen = counts.filter(F.col("n") >= least).select("word").repartition(F.col("word")).mapInArrow(spell, "key long, bytes array<long>")
+    found = store(chosen.select("key", let(table, lambda t: fold_merges(F.col("bytes"), t, _buckets(known))).alias("ids"))).toArrow().combine_chunks()
     keys = found["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
     lists = found["ids"].combine_chunks() if isinstance(found["ids"], pa.ChunkedArray) else found["ids"]
@@ -287,56 +299,76 @@ def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str =
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     context = docs.sparkSession.sparkContext
-    table_keys, table_starts, table_ids = frequent_words(docs, ranks, frequent)
-    content, head, head_ids = context.broadcast(ranks), context.broadcast(table_keys), context.broadcast((table_starts, table_ids))
-    whole_ranks = ranks_of(ranks)
-    byte_ids = np.array([whole_ranks[bytes([b])] for b in range(256)], np.int32)
+    content = context.broadcast(ranks)
+    known = ranks_of(ranks)
+    pairs = byte_pairs(known)
+    row = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
+    binary = lambda a, kind: pa.array([np.asarray(a).astype(kind).tobytes()], pa.binary())
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = head.value
         known = ranks_of(content.value)
-        row = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-        for ids, numbers, words in _groups(batches):
-            # where each word's ids will be found: in the frequent words' table, or behind it in this group's own
-            place = np.full(len(words), -1, np.int64)
-            if len(keys):
-                mine = _hashes(words)
-                at = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
-                place = np.where(keys[at] == mine, at, -1)
-            rest = np.flatnonzero(place < 0).tolist()
+        for ids, texts in _groups(batches):
+            numbers, ends, words = number_words(texts)
+            spelled = [w.encode("utf-8", "replace") for w in words]
             # a word that is a token needs no merges, a long one a heap
-            ready = [i for i in rest if len(words[i]) > LONG or words[i] in known]
-            folded = [i for i in rest if not (len(words[i]) > LONG or words[i] in known)]
-            place[folded + ready] = len(keys) + np.arange(len(rest))
-            merged = [np.array([known[words[i]]] if words[i] in known else heap_merges(words[i], known), "<u4").tobytes() for i in ready]
-            columns = [ids, pa.array(numbers, pa.binary()), _byte_ids([words[i] for i in folded], byte_ids), pa.array(merged, pa.binary())]
-            yield pa.RecordBatch.from_arrays([*map(row, columns), pa.array([place.astype("<i8").tobytes()], pa.binary())], names=["ids", "numbers", "words", "ready", "place"])
+            ready = np.array([w in known or len(w) > LONG for w in spelled], bool)
+            place = np.where(ready, np.cumsum(ready) - 1 + np.count_nonzero(~ready), np.cumsum(~ready) - 1)
+            folded = pa.array([spelled[i] for i in np.flatnonzero(~ready).tolist()], pa.binary())
+            made = _lists([[known[spelled[i]]] if spelled[i] in known else heap_merges(spelled[i], known) for i in np.flatnonzero(ready).tolist()])
+            columns = [row(ids), binary(ends, "<i8"), binary(place[numbers], "<i4"), row(folded), row(made)]
+            yield pa.RecordBatch.from_arrays(columns, names=["ids", "ends", "numbers", "words", "ready"])
+
+    fixed = f"ids array<{kind}>, ends binary, numbers binary"
+    groups = store(docs.mapInArrow(number, f"{fixed}, words array<binary>, ready array<array<int>>"), "zstd")
+    table_keys, table_starts, table_ids = frequent_words(groups, ranks, frequent)
+    head, head_ids = context.broadcast(table_keys), context.broadcast((table_starts, table_ids))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # where each word's ids will be found: in the frequent words' table, or behind it in this group's own
+        keys = head.value
+        for batch in batches:
+            for at in range(batch.num_rows):
+                words = batch.column(3).slice(at, 1).flatten().to_pylist()
+                found = np.full(len(words), -1, np.int64)
+                if len(keys):
+                    mine = _hashes(words)
+                    near = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
+                    found = np.where(keys[near] == mine, near, -1)
+                rest = row(byte_pieces([words[i] for i in np.flatnonzero(found < 0).tolist()], pairs))
+                kept = [batch.column(i).slice(at, 1) for i in (0, 1, 2, 4)]
+                yield pa.RecordBatch.from_arrays([*kept, rest, binary(found, "<i4")], names=["ids", "ends", "numbers", "ready", "rest", "place"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts, frequent_ids = head_ids.value
-        pieces = pieces_of(content.value) if decode else []
+        shared = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(frequent_ids.astype(np.int32)))
+        pieces = pa.array(pieces_of(content.value), pa.binary()) if decode else None
         for batch in batches:
-            for row in range(batch.num_rows):
-                ids, numbers, ready, encoded = (batch.column(i).slice(row, 1).flatten() for i in range(4))
-                place = np.frombuffer(batch.column(4)[row].as_py(), "<i8")
-                own, ends = encoded.flatten().to_numpy(zero_copy_only=False).astype("<u4"), np.asarray(encoded.offsets)
-                ends = ends - ends[0]
-                mine = [own[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)] + ready.to_pylist()
-                n = len(starts) - 1
-                words = [frequent_ids[starts[p] : starts[p + 1]].astype("<u4").tobytes() if p < n else mine[p - n] for p in place.tolist()]
-                for a in range(0, len(numbers), 500):
-                    out = [b"".join(map(words.__getitem__, memoryview(each).cast("i"))) for each in numbers.slice(a, 500).to_pylist()]
-                    columns = [ids.slice(a, 500), pa.array(out, pa.binary())]
-                    if decode:
-                        columns.append(pa.array([decoded(x, pieces) for x in out], pa.binary()))
-                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
-
-    table = rank_table(whole_ranks)
-    encoded = let(table, lambda t: F.transform("words", lambda w: fold_merges(w, t)))
-    groups = docs.mapInArrow(number, f"ids array<{kind}>, numbers array<binary>, words array<array<int>>, ready array<binary>, place binary")
-    # stored in between, so that a task runs one Python worker beside the JVM and not two
-    groups = store(groups, "zstd").select("ids", "numbers", "ready", encoded.alias("encoded"), "place")
-    return groups.mapInArrow(join, f"doc_id {kind}, ids binary" + ", decoded binary" * decode)
+            for at in range(batch.num_rows):
+                ids, ready, encoded = (batch.column(i).slice(at, 1).flatten() for i in (0, 3, 4))
+                ends, numbers, found = (np.frombuffer(batch.column(i)[at].as_py(), kind) for i, kind in ((1, "<i8"), (2, "<i4"), (5, "<i4")))
+                hit = found >= 0
+                # the lists of this group's words: shared, folded here, ready
+                lists = pa.concat_arrays([shared.take(pa.array(found[hit])), *(pa.ListArray.from_arrays(a.offsets, a.values) for a in (encoded, ready))])
+                where = np.where(hit, np.cumsum(hit) - 1, np.count_nonzero(hit) + np.cumsum(~hit) - 1)
+                where = np.concatenate([where, len(found) + np.arange(len(ready))])[numbers]
+                tokens = lists.take(pa.array(where)).flatten().to_numpy()
+                ends = np.concatenate([[0], np.cumsum(np.diff(np.asarray(lists.offsets))[where])])[np.concatenate([[0], ends])]
+                columns = [ids, _binaries(tokens.astype("<u4"), ends * 4)]
+                if decode:
+                    columns.append(decoded(tokens, ends, pieces))
+                out = pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
+                for a in range(0, len(ids), 500):
+                    yield out.slice(a, 500)
+
+    table = rank_table(known)
+    encoded = let(table, lambda t: F.transform("rest", lambda w: fold_merges(w, t, _buckets(known))))
+    placed = groups.mapInArrow(place, f"{fixed}, ready array<array<int>>, rest array<array<long>>, place binary")
+    return placed.withColumn("rest", encoded).mapInArrow(join, f"doc_id {kind}, ids binary" + ", decoded binary" * decode)
+
+
+def _binaries(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of ``values``, cut at ``ends`` (the first is where they begin)."""
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(values)])
 
 
 def pieces_of(ranks: bytes) -> list[bytes]:
@@ -347,8 +379,10 @@ def pieces_of(ranks: bytes) -> list[bytes]:
     return pieces
 
 
-def decoded(ids: bytes, pieces: list[bytes]) -> bytes:
-    return b"".join(map(pieces.__getitem__, memoryview(ids).cast("I")))
+def decoded(ids: np.ndarray, ends: np.ndarray, pieces: pa.Array) -> pa.Array:
+    """The binary pieces of ids, joined; the ids of each text end at ``ends`` (the first is where they begin)."""
+    joined = pieces.take(pa.array(ids))
+    return _binaries(joined.buffers()[2] or b"", np.asarray(pa.Array.from_buffers(pa.int32(), len(joined) + 1, [None, joined.buffers()[1]]))[ends])
 
 
 def decode_documents(encoded: DataFrame, ranks: bytes | None = None) -> DataFrame:
@@ -356,10 +390,12 @@ def decode_documents(encoded: DataFrame, ranks: bytes | None = None) -> DataFram
     content = encoded.sparkSession.sparkContext.broadcast(ranks or read_ranks())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = pieces_of(content.value)
+        pieces = pa.array(pieces_of(content.value), pa.binary())
         for batch in batches:
-            out = [decoded(ids, pieces) for ids in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=["doc_id", "ids", "decoded"])
+            ids = batch.column(1).to_pylist()
+            ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)])
+            out = decoded(np.frombuffer(b"".join(ids), "<u4"), ends, pieces)
+            yield pa.RecordBatch.from_arrays([*batch.columns, out], names=["doc_id", "ids", "decoded"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids binary, decoded binary")
