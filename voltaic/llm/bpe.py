@@ -256,6 +256,15 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Ar
         yield pa.concat_arrays(ids), pa.concat_arrays(texts)
 
 
+def planes(numbers: np.ndarray) -> np.ndarray:
+    """Numbers below 2^32 as all their lowest bytes, then all their second ones and so on: they pack better than in a row."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.ravel()
+
+
+def from_planes(content: bytes) -> np.ndarray:
+    return np.frombuffer(content, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+
+
 def _lists(lists: list[list[int]]) -> pa.Array:
     return pa.array(lists, pa.list_(pa.int32()))
 
@@ -264,9 +273,9 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return np.array([*map(xxhash.xxh3_64_intdigest, words)], np.uint64)
 
 
-def frequent_words(groups: DataFrame, ranks: bytes, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def frequent_words(groups: DataFrame, ranks: bytes, table: Column, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes (ascending), first places and ids of the words that occur in the most groups, at most ``most``, encoded once each."""
-    counts = store(groups.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    counts = store(groups.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     least = least_count(counts, most, 2)
     if least is None:
         return np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, "<u4")
@@ -278,7 +287,6 @@ def frequent_words(groups: DataFrame, ranks: bytes, most: int) -> tuple[np.ndarr
             words = batch.column(0).to_pylist()
             yield pa.RecordBatch.from_arrays([pa.array(_hashes(words).view(np.int64)), byte_pieces(words, pairs)], names=["key", "bytes"])
 
-    table = rank_table(known)
     chosen = counts.filter(F.col("n") >= least).select("word").repartition(F.col("word")).mapInArrow(spell, "key long, bytes array<long>")
     found = store(chosen.select("key", let(table, lambda t: fold_merges(F.col("bytes"), t, _buckets(known))).alias("ids"))).toArrow().combine_chunks()
     keys = found["key"].to_numpy().view(np.uint64)
@@ -312,15 +320,18 @@ def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str =
             spelled = [w.encode("utf-8", "replace") for w in words]
             # a word that is a token needs no merges, a long one a heap
             ready = np.array([w in known or len(w) > LONG for w in spelled], bool)
-            place = np.where(ready, np.cumsum(ready) - 1 + np.count_nonzero(~ready), np.cumsum(~ready) - 1)
             folded = pa.array([spelled[i] for i in np.flatnonzero(~ready).tolist()], pa.binary())
             made = _lists([[known[spelled[i]]] if spelled[i] in known else heap_merges(spelled[i], known) for i in np.flatnonzero(ready).tolist()])
-            columns = [row(ids), binary(ends, "<i8"), binary(place[numbers], "<i4"), row(folded), row(made)]
+            # those that are ready come first: they are the most frequent, and small numbers pack well
+            place = np.where(ready, np.cumsum(ready) - 1, np.cumsum(~ready) - 1 + len(made))
+            columns = [row(ids), binary(ends, "<i8"), binary(planes(place[numbers]), np.uint8), row(folded), row(made)]
+            pa.default_memory_pool().release_unused()
             yield pa.RecordBatch.from_arrays(columns, names=["ids", "ends", "numbers", "words", "ready"])
 
+    table = rank_table(known)
     fixed = f"ids array<{kind}>, ends binary, numbers binary"
     groups = store(docs.mapInArrow(number, f"{fixed}, words array<binary>, ready array<array<int>>"), "zstd")
-    table_keys, table_starts, table_ids = frequent_words(groups, ranks, frequent)
+    table_keys, table_starts, table_ids = frequent_words(groups, ranks, table, frequent)
     head, head_ids = context.broadcast(table_keys), context.broadcast((table_starts, table_ids))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,25 +356,28 @@ def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str =
         for batch in batches:
             for at in range(batch.num_rows):
                 ids, ready, encoded = (batch.column(i).slice(at, 1).flatten() for i in (0, 3, 4))
-                ends, numbers, found = (np.frombuffer(batch.column(i)[at].as_py(), kind) for i, kind in ((1, "<i8"), (2, "<i4"), (5, "<i4")))
+                ends, found = (np.frombuffer(batch.column(i)[at].as_py(), kind) for i, kind in ((1, "<i8"), (5, "<i4")))
+                numbers = from_planes(batch.column(2)[at].as_py())
                 hit = found >= 0
                 # the lists of this group's words: shared, folded here, ready
                 lists = pa.concat_arrays([shared.take(pa.array(found[hit])), *(pa.ListArray.from_arrays(a.offsets, a.values) for a in (encoded, ready))])
                 where = np.where(hit, np.cumsum(hit) - 1, np.count_nonzero(hit) + np.cumsum(~hit) - 1)
-                where = np.concatenate([where, len(found) + np.arange(len(ready))])[numbers]
+                where = np.concatenate([len(found) + np.arange(len(ready)), where])[numbers]
                 tokens = lists.take(pa.array(where)).flatten().to_numpy()
                 ends = np.concatenate([[0], np.cumsum(np.diff(np.asarray(lists.offsets))[where])])[np.concatenate([[0], ends])]
                 columns = [ids, _binaries(tokens.astype("<u4"), ends * 4)]
                 if decode:
                     columns.append(decoded(tokens, ends, pieces))
                 out = pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
+                del lists, tokens, where, numbers, columns
+                pa.default_memory_pool().release_unused()
                 for a in range(0, len(ids), 500):
                     yield out.slice(a, 500)
 
-    table = rank_table(known)
     encoded = let(table, lambda t: F.transform("rest", lambda w: fold_merges(w, t, _buckets(known))))
     placed = groups.mapInArrow(place, f"{fixed}, ready array<array<int>>, rest array<array<long>>, place binary")
-    return placed.withColumn("rest", encoded).mapInArrow(join, f"doc_id {kind}, ids binary" + ", decoded binary" * decode)
+    # stored in between, so that a task runs one Python worker beside the JVM and not two
+    return store(placed.withColumn("rest", encoded), "zstd").mapInArrow(join, f"doc_id {kind}, ids binary" + ", decoded binary" * decode)
 
 
 def _binaries(values: np.ndarray, ends: np.ndarray) -> pa.Array:
