@@ -275,7 +275,7 @@ def _hashes(words: list[bytes]) -> np.ndarray:
 
 def frequent_words(groups: DataFrame, ranks: bytes, table: Column, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes (ascending), first places and ids of the words that occur in the most groups, at most ``most``, encoded once each."""
-    counts = store(groups.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    counts = store(groups.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), tidy=True)
     least = least_count(counts, most, 2)
     if least is None:
         return np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, "<u4")

@@ -44,15 +44,26 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{shared_base(spark).rstrip('/')}/voltaic-llm/{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, compression: str = "snappy") -> DataFrame:
+#: Spark's setting that removes an execution's shuffle files when it ends.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def store(df: DataFrame, compression: str = "snappy", tidy: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
-    What follows restarts from these files when executors are lost, and nothing is computed twice.
+    What follows restarts from these files when executors are lost, and nothing is computed twice. With ``tidy`` the
+    shuffle files of the write go when it ends, since nothing reads them any more.
     """
-    ship_code(df.sparkSession)
-    path = scratch_dir(df.sparkSession)
-    df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    ship_code(spark)
+    path = scratch_dir(spark)
+    before = spark.conf.get(TIDY, "false")
+    spark.conf.set(TIDY, "true" if tidy else before)
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(TIDY, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def words_of(text: str | None) -> list[bytes]:
