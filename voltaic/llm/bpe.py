@@ -265,6 +265,12 @@ def from_planes(content: bytes) -> np.ndarray:
     return np.frombuffer(content, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
 
 
+def words_in(content: pa.Scalar, sizes: pa.Scalar) -> pa.Array:
+    """The words of a group, stored one behind the other (at most ``LONG`` bytes each) with their sizes beside them."""
+    ends = np.cumsum(np.frombuffer(sizes.as_py(), np.uint8), dtype=np.int64)
+    return _binaries(np.frombuffer(content.as_py(), np.uint8), np.concatenate([[0], ends]))
+
+
 def _lists(lists: list[list[int]]) -> pa.Array:
     return pa.array(lists, pa.list_(pa.int32()))
 
@@ -273,29 +279,41 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return np.array([*map(xxhash.xxh3_64_intdigest, words)], np.uint64)
 
 
-def frequent_words(groups: DataFrame, ranks: bytes, table: Column, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes (ascending), first places and ids of the words that occur in the most groups, at most ``most``, encoded once each."""
-    counts = store(groups.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), tidy=True)
+def frequent_words(groups: DataFrame, ranks: bytes, table: Column, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words that occur in the most groups, at most ``most``, encoded once each and kept by falling number of groups:
+    their hashes (ascending) and where each of them is kept, then the first places and the ids of what is kept."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                yield pa.RecordBatch.from_arrays([words_in(batch.column(0)[at], batch.column(1)[at])], names=["word"])
+
+    every = groups.select("words", "sizes").mapInArrow(spread, "word binary")
+    counts = store(every.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), tidy=True)
     least = least_count(counts, most, 2)
     if least is None:
-        return np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, "<u4")
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, "<u4")
     known = ranks_of(ranks)
     pairs = byte_pairs(known)
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array(_hashes(words).view(np.int64)), byte_pieces(words, pairs)], names=["key", "bytes"])
+            columns = [pa.array(_hashes(words).view(np.int64)), batch.column(1), byte_pieces(words, pairs)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "bytes"])
 
-    chosen = counts.filter(F.col("n") >= least).select("word").repartition(F.col("word")).mapInArrow(spell, "key long, bytes array<long>")
-    found = store(chosen.select("key", let(table, lambda t: fold_merges(F.col("bytes"), t, _buckets(known))).alias("ids"))).toArrow().combine_chunks()
+    chosen = counts.filter(F.col("n") >= least).select("word", "n").repartition(F.col("word")).mapInArrow(spell, "key long, n long, bytes array<long>")
+    found = store(chosen.select("key", "n", let(table, lambda t: fold_merges(F.col("bytes"), t, _buckets(known))).alias("ids"))).toArrow().combine_chunks()
     keys = found["key"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
+    order = np.lexsort((keys, -found["n"].to_numpy()))
+    kept = np.empty(len(order), np.uint32)
+    kept[order] = np.arange(len(order), dtype=np.uint32)
+    ascending = np.argsort(keys)
     lists = found["ids"].combine_chunks() if isinstance(found["ids"], pa.ChunkedArray) else found["ids"]
     lists = lists.take(pa.array(order))
     ids = lists.flatten().to_numpy()
     starts = (np.asarray(lists.offsets) - lists.offsets[0].as_py()).astype(np.uint32)
-    return keys[order], starts, ids.astype(np.uint16 if max(known.values()) < 1 << 16 else np.uint32)
+    return keys[ascending], kept[ascending], starts, ids.astype(np.uint16 if max(known.values()) < 1 << 16 else np.uint32)
 
 
 def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, decode: bool = False) -> DataFrame:
@@ -320,34 +338,43 @@ def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str =
             spelled = [w.encode("utf-8", "replace") for w in words]
             # a word that is a token needs no merges, a long one a heap
             ready = np.array([w in known or len(w) > LONG for w in spelled], bool)
-            folded = pa.array([spelled[i] for i in np.flatnonzero(~ready).tolist()], pa.binary())
+            folded = [spelled[i] for i in np.flatnonzero(~ready).tolist()]
             made = _lists([[known[spelled[i]]] if spelled[i] in known else heap_merges(spelled[i], known) for i in np.flatnonzero(ready).tolist()])
             # those that are ready come first: they are the most frequent, and small numbers pack well
             place = np.where(ready, np.cumsum(ready) - 1, np.cumsum(~ready) - 1 + len(made))
-            columns = [row(ids), binary(ends, "<i8"), binary(planes(place[numbers]), np.uint8), row(folded), row(made)]
+            columns = [row(ids), binary(ends, "<i8"), binary(planes(place[numbers]), np.uint8), pa.array([b"".join(folded)], pa.binary()), binary([*map(len, folded)], np.uint8), row(made)]
             pa.default_memory_pool().release_unused()
-            yield pa.RecordBatch.from_arrays(columns, names=["ids", "ends", "numbers", "words", "ready"])
+            yield pa.RecordBatch.from_arrays(columns, names=["ids", "ends", "numbers", "words", "sizes", "ready"])
 
     table = rank_table(known)
     fixed = f"ids array<{kind}>, ends binary, numbers binary"
-    groups = store(docs.mapInArrow(number, f"{fixed}, words array<binary>, ready array<array<int>>"), "zstd")
-    table_keys, table_starts, table_ids = frequent_words(groups, ranks, table, frequent)
-    head, head_ids = context.broadcast(table_keys), context.broadcast((table_starts, table_ids))
+    groups = store(docs.mapInArrow(number, f"{fixed}, words binary, sizes binary, ready array<array<int>>"), "zstd")
+    table_keys, table_kept, table_starts, table_ids = frequent_words(groups, ranks, table, frequent)
+    head, head_ids = context.broadcast((table_keys, table_kept)), context.broadcast((table_starts, table_ids))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # where each word's ids will be found: in the frequent words' table, or behind it in this group's own
-        keys = head.value
+        # words are numbered anew: those that are ready, those of the frequent words' table in its order (so the steps
+        # from one to the next say which), then those that are folded here
+        keys, kept = head.value
         for batch in batches:
             for at in range(batch.num_rows):
-                words = batch.column(3).slice(at, 1).flatten().to_pylist()
+                words = words_in(batch.column(3)[at], batch.column(4)[at]).to_pylist()
                 found = np.full(len(words), -1, np.int64)
                 if len(keys):
                     mine = _hashes(words)
                     near = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
-                    found = np.where(keys[near] == mine, near, -1)
-                rest = row(byte_pieces([words[i] for i in np.flatnonzero(found < 0).tolist()], pairs))
-                kept = [batch.column(i).slice(at, 1) for i in (0, 1, 2, 4)]
-                yield pa.RecordBatch.from_arrays([*kept, rest, binary(found, "<i4")], names=["ids", "ends", "numbers", "ready", "rest", "place"])
+                    found = np.where(keys[near] == mine, kept[near].astype(np.int64), -1)
+                shared, own = np.flatnonzero(found >= 0), np.flatnonzero(found < 0)
+                shared = shared[np.argsort(found[shared], kind="stable")]
+                ready = batch.column(5).slice(at, 1)
+                first = len(ready.flatten())
+                number = np.arange(first + len(words))
+                number[first + np.concatenate([shared, own])] = number[first:].copy()
+                columns = [
+                    batch.column(0).slice(at, 1), batch.column(1).slice(at, 1), binary(planes(number[from_planes(batch.column(2)[at].as_py())]), np.uint8), ready,
+                    row(byte_pieces([words[i] for i in own.tolist()], pairs)), binary(planes(np.diff(found[shared], prepend=0)), np.uint8),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["ids", "ends", "numbers", "ready", "rest", "steps"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts, frequent_ids = head_ids.value
@@ -356,26 +383,23 @@ def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str =
         for batch in batches:
             for at in range(batch.num_rows):
                 ids, ready, encoded = (batch.column(i).slice(at, 1).flatten() for i in (0, 3, 4))
-                ends, found = (np.frombuffer(batch.column(i)[at].as_py(), kind) for i, kind in ((1, "<i8"), (5, "<i4")))
-                numbers = from_planes(batch.column(2)[at].as_py())
-                hit = found >= 0
-                # the lists of this group's words: shared, folded here, ready
-                lists = pa.concat_arrays([shared.take(pa.array(found[hit])), *(pa.ListArray.from_arrays(a.offsets, a.values) for a in (encoded, ready))])
-                where = np.where(hit, np.cumsum(hit) - 1, np.count_nonzero(hit) + np.cumsum(~hit) - 1)
-                where = np.concatenate([len(found) + np.arange(len(ready)), where])[numbers]
-                tokens = lists.take(pa.array(where)).flatten().to_numpy()
-                ends = np.concatenate([[0], np.cumsum(np.diff(np.asarray(lists.offsets))[where])])[np.concatenate([[0], ends])]
+                ends = np.frombuffer(batch.column(1)[at].as_py(), "<i8")
+                numbers, steps = (from_planes(batch.column(i)[at].as_py()) for i in (2, 5))
+                ready, encoded = (pa.ListArray.from_arrays(a.offsets, a.values) for a in (ready, encoded))
+                lists = pa.concat_arrays([ready, shared.take(pa.array(np.cumsum(steps))), encoded])
+                tokens = lists.take(pa.array(numbers)).flatten().to_numpy()
+                ends = np.concatenate([[0], np.cumsum(np.diff(np.asarray(lists.offsets))[numbers])])[np.concatenate([[0], ends])]
                 columns = [ids, _binaries(tokens.astype("<u4"), ends * 4)]
                 if decode:
                     columns.append(decoded(tokens, ends, pieces))
                 out = pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
-                del lists, tokens, where, numbers, columns
+                del lists, tokens, numbers, columns
                 pa.default_memory_pool().release_unused()
                 for a in range(0, len(ids), 500):
                     yield out.slice(a, 500)
 
     encoded = let(table, lambda t: F.transform("rest", lambda w: fold_merges(w, t, _buckets(known))))
-    placed = groups.mapInArrow(place, f"{fixed}, ready array<array<int>>, rest array<array<long>>, place binary")
+    placed = groups.mapInArrow(place, f"{fixed}, ready array<array<int>>, rest array<array<long>>, steps binary")
     # stored in between, so that a task runs one Python worker beside the JVM and not two
     return store(placed.withColumn("rest", encoded), "zstd").mapInArrow(join, f"doc_id {kind}, ids binary" + ", decoded binary" * decode)
 
