@@ -238,6 +238,17 @@ def test_bpe_odd_texts(spark):
     same_ids(spark, bpe.digest(docs).collect(), dict(enumerate(odd)))
 
 
+@pytest.mark.parametrize("frequent", [0, 40, 1 << 20])
+def test_bpe_words_that_groups_share(spark, texts, frequent):
+    """Several groups: words of the broadcast table, in its order, beside words folded in their group."""
+    docs = spark.createDataFrame([*texts.items()], "doc_id long, text string").repartition(5)
+    got = bpe.encode_documents(docs, frequent=frequent, decode=True).collect()
+    want = {r.doc_id: r.ids for r in bpe.encode_documents(docs.coalesce(1)).collect()}
+    assert len(got) == len(texts)
+    for r in got:
+        assert (r.ids, bytes(r.decoded)) == (want[r.doc_id], texts[r.doc_id].encode())
+
+
 def test_heap_merges_equal_repeated_lowest_merge():
     ranks = bpe.ranks_of(bpe.read_ranks())
     rng = random.Random(5)

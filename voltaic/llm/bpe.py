@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -32,8 +33,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltaic.llm.common import least_count, store
+from voltaic.llm.common import least_count, scratch_dir, store
 from voltaic.llm.native import let
+from voltaic.plans.tables import delete
 
 #: How the rank map spreads pairs over its buckets, and what it takes off the ranks that it stores.
 FACTOR, BELOW = 641, 1 << 30
@@ -271,6 +273,15 @@ def words_in(content: pa.Scalar, sizes: pa.Scalar) -> pa.Array:
     return _binaries(np.frombuffer(content.as_py(), np.uint8), np.concatenate([[0], ends]))
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32 for a broadcast, of which each machine keeps a copy on its disk."""
+    return zlib.compress(planes(numbers).tobytes(), 1)
+
+
+def unpacked(content: bytes) -> np.ndarray:
+    return from_planes(zlib.decompress(content))
+
+
 def _lists(lists: list[list[int]]) -> pa.Array:
     return pa.array(lists, pa.list_(pa.int32()))
 
@@ -281,7 +292,9 @@ def _hashes(words: list[bytes]) -> np.ndarray:
 
 def frequent_words(groups: DataFrame, ranks: bytes, table: Column, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The words that occur in the most groups, at most ``most``, encoded once each and kept by falling number of groups:
-    their hashes (ascending) and where each of them is kept, then the first places and the ids of what is kept."""
+    their hashes (ascending) and where each of them is kept, then the numbers of ids and the ids of what is kept."""
+    spark = groups.sparkSession
+    counted, encoded = scratch_dir(spark), scratch_dir(spark)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,10 +302,11 @@ def frequent_words(groups: DataFrame, ranks: bytes, table: Column, most: int) ->
                 yield pa.RecordBatch.from_arrays([words_in(batch.column(0)[at], batch.column(1)[at])], names=["word"])
 
     every = groups.select("words", "sizes").mapInArrow(spread, "word binary")
-    counts = store(every.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), tidy=True)
+    counts = store(every.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), tidy=True, path=counted)
     least = least_count(counts, most, 2)
     if least is None:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, "<u4")
+        delete(spark, counted)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     known = ranks_of(ranks)
     pairs = byte_pairs(known)
 
@@ -303,17 +317,18 @@ def frequent_words(groups: DataFrame, ranks: bytes, table: Column, most: int) ->
             yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "bytes"])
 
     chosen = counts.filter(F.col("n") >= least).select("word", "n").repartition(F.col("word")).mapInArrow(spell, "key long, n long, bytes array<long>")
-    found = store(chosen.select("key", "n", let(table, lambda t: fold_merges(F.col("bytes"), t, _buckets(known))).alias("ids"))).toArrow().combine_chunks()
+    folded = chosen.select("key", "n", let(table, lambda t: fold_merges(F.col("bytes"), t, _buckets(known))).alias("ids"))
+    found = store(folded, tidy=True, path=encoded).toArrow().combine_chunks()
+    for path in (counted, encoded):  # what the tasks need of them is broadcast
+        delete(spark, path)
     keys = found["key"].to_numpy().view(np.uint64)
     order = np.lexsort((keys, -found["n"].to_numpy()))
-    kept = np.empty(len(order), np.uint32)
-    kept[order] = np.arange(len(order), dtype=np.uint32)
+    kept = np.empty(len(order), np.int64)
+    kept[order] = np.arange(len(order))
     ascending = np.argsort(keys)
     lists = found["ids"].combine_chunks() if isinstance(found["ids"], pa.ChunkedArray) else found["ids"]
     lists = lists.take(pa.array(order))
-    ids = lists.flatten().to_numpy()
-    starts = (np.asarray(lists.offsets) - lists.offsets[0].as_py()).astype(np.uint32)
-    return keys[ascending], kept[ascending], starts, ids.astype(np.uint16 if max(known.values()) < 1 << 16 else np.uint32)
+    return keys[ascending], kept[ascending], np.diff(np.asarray(lists.offsets)).astype(np.int64), lists.flatten().to_numpy().astype(np.int64)
 
 
 def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, decode: bool = False) -> DataFrame:
@@ -338,10 +353,14 @@ def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str =
             spelled = [w.encode("utf-8", "replace") for w in words]
             # a word that is a token needs no merges, a long one a heap
             ready = np.array([w in known or len(w) > LONG for w in spelled], bool)
-            folded = [spelled[i] for i in np.flatnonzero(~ready).tolist()]
-            made = _lists([[known[spelled[i]]] if spelled[i] in known else heap_merges(spelled[i], known) for i in np.flatnonzero(ready).tolist()])
-            # those that are ready come first: they are the most frequent, and small numbers pack well
-            place = np.where(ready, np.cumsum(ready) - 1, np.cumsum(~ready) - 1 + len(made))
+            # those that are ready come first, then the most frequent, since small numbers pack well, and so do words in order
+            seen = np.bincount(numbers, minlength=len(spelled)).tolist()
+            first = np.flatnonzero(ready).tolist()
+            later = sorted(np.flatnonzero(~ready).tolist(), key=lambda i: (-seen[i], spelled[i]))
+            place = np.empty(len(spelled), np.int64)
+            place[first + later] = np.arange(len(spelled))
+            folded = [spelled[i] for i in later]
+            made = _lists([[known[spelled[i]]] if spelled[i] in known else heap_merges(spelled[i], known) for i in first])
             columns = [row(ids), binary(ends, "<i8"), binary(planes(place[numbers]), np.uint8), pa.array([b"".join(folded)], pa.binary()), binary([*map(len, folded)], np.uint8), row(made)]
             pa.default_memory_pool().release_unused()
             yield pa.RecordBatch.from_arrays(columns, names=["ids", "ends", "numbers", "words", "sizes", "ready"])
@@ -349,13 +368,16 @@ def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str =
     table = rank_table(known)
     fixed = f"ids array<{kind}>, ends binary, numbers binary"
     groups = store(docs.mapInArrow(number, f"{fixed}, words binary, sizes binary, ready array<array<int>>"), "zstd")
-    table_keys, table_kept, table_starts, table_ids = frequent_words(groups, ranks, table, frequent)
-    head, head_ids = context.broadcast((table_keys, table_kept)), context.broadcast((table_starts, table_ids))
+    keys, kept, sizes, every = frequent_words(groups, ranks, table, frequent)
+    steps = np.diff(keys, prepend=np.uint64(0))
+    head = context.broadcast([packed(x) for x in (steps >> np.uint64(32), steps & np.uint64(0xFFFFFFFF), kept)])
+    head_ids = context.broadcast([packed(x) for x in (sizes, every)])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # words are numbered anew: those that are ready, those of the frequent words' table in its order (so the steps
         # from one to the next say which), then those that are folded here
-        keys, kept = head.value
+        high, low, kept = map(unpacked, head.value)
+        keys = np.cumsum((high.astype(np.uint64) << np.uint64(32)) + low.astype(np.uint64), dtype=np.uint64)
         for batch in batches:
             for at in range(batch.num_rows):
                 words = words_in(batch.column(3)[at], batch.column(4)[at]).to_pylist()
@@ -363,7 +385,7 @@ def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str =
                 if len(keys):
                     mine = _hashes(words)
                     near = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
-                    found = np.where(keys[near] == mine, kept[near].astype(np.int64), -1)
+                    found = np.where(keys[near] == mine, kept[near], -1)
                 shared, own = np.flatnonzero(found >= 0), np.flatnonzero(found < 0)
                 shared = shared[np.argsort(found[shared], kind="stable")]
                 ready = batch.column(5).slice(at, 1)
@@ -377,8 +399,9 @@ def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str =
                 yield pa.RecordBatch.from_arrays(columns, names=["ids", "ends", "numbers", "ready", "rest", "steps"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts, frequent_ids = head_ids.value
-        shared = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(frequent_ids.astype(np.int32)))
+        sizes, every = map(unpacked, head_ids.value)
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        shared = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(every.astype(np.int32)))
         pieces = pa.array(pieces_of(content.value), pa.binary()) if decode else None
         for batch in batches:
             for at in range(batch.num_rows):

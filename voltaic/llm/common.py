@@ -48,15 +48,16 @@ def scratch_dir(spark: SparkSession) -> str:
 TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def store(df: DataFrame, compression: str = "snappy", tidy: bool = False) -> DataFrame:
+def store(df: DataFrame, compression: str = "snappy", tidy: bool = False, path: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     What follows restarts from these files when executors are lost, and nothing is computed twice. With ``tidy`` the
-    shuffle files of the write go when it ends, since nothing reads them any more.
+    shuffle files of the write go when it ends, since nothing reads them any more. ``path``: a folder
+    of the caller's own (:func:`scratch_dir`), which the caller may delete when nothing reads it any more.
     """
     spark = df.sparkSession
     ship_code(spark)
-    path = scratch_dir(spark)
+    path = path or scratch_dir(spark)
     before = spark.conf.get(TIDY, "false")
     spark.conf.set(TIDY, "true" if tidy else before)
     try:
