@@ -86,3 +86,17 @@ def test_no_python_in_the_hot_path_and_no_cross_products(spark, name):
     for bad in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "CartesianProduct",
                 "BroadcastNestedLoopJoin"):
         assert bad not in p, (name, bad)
+
+
+def test_thresholds_are_looked_up_without_a_shuffle_of_the_readings_by_region(spark):
+    from voltaic.operators.anomaly import score_meter_anomaly
+    df = spark.createDataFrame([(i % 3, f"r{i % 2}" if i % 5 else None, float(i)) for i in range(40)], "event_id long, region string, kwh_consumed double")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")             # no table is small enough by itself
+    try:
+        scored = score_meter_anomaly(df)
+        p = plan(scored)
+        assert "hashpartitioning(region" not in p and "SortMergeJoin" not in p, p
+        assert scored.count() == 40 and scored.filter("region is null and is_kwh_anomaly is null").count() == 8
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

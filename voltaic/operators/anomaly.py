@@ -13,6 +13,9 @@ level is one partial aggregation with a bounded number of results per region:
    power of two in 2**20 parts leaves a part at most 2**22 different doubles, however many readings there are and
    wherever they crowd.
 
+What is looked up for each reading (a row for each group and percentile) is broadcast: a shuffle by region would
+put all readings into as many tasks as there are regions.
+
 Everything is one lazy plan; building it runs no job.
 """
 
@@ -74,7 +77,7 @@ def exact_percentiles(df: DataFrame, group: str, value: str, percentiles: dict[s
     held = counts.select("g", "slice", "low", "high", (F.col("upto") - F.col("n")).alias("before"), "upto", F.explode(wanted).alias("w"))
     held = held.filter("w.rank > before and w.rank <= upto").select(
         F.col("g").alias("pg"), F.col("slice").alias("pslice"), "low", "high", "w.name", (F.col("w.rank") - F.col("before")).alias("need"))
-    inside = rows.join(held, F.col("g").eqNullSafe(F.col("pg")) & (F.col("slice") == F.col("pslice")))
+    inside = rows.join(F.broadcast(held), F.col("g").eqNullSafe(F.col("pg")) & (F.col("slice") == F.col("pslice")))
     wide = F.col("high") > F.col("low")                                     # false for NaN and for infinities alone
     part = F.when(wide, F.floor((F.col("v") - F.col("low")) / (F.col("high") - F.col("low")) * PARTS)).otherwise(F.lit(0))
     inside = inside.select("g", "name", "need", "v", part.cast("bigint").alias("part"))
@@ -82,7 +85,7 @@ def exact_percentiles(df: DataFrame, group: str, value: str, percentiles: dict[s
     per_part = per_part.withColumn("upto", F.sum("n").over(Window.partitionBy("g", "name").orderBy("part")))
     chosen = per_part.filter("need > upto - n and need <= upto").select(
         F.col("g").alias("pg"), F.col("name").alias("pname"), F.col("part").alias("ppart"), (F.col("need") - F.col("upto") + F.col("n")).alias("left"))
-    last = inside.join(chosen, F.col("g").eqNullSafe(F.col("pg")) & (F.col("name") == F.col("pname")) & (F.col("part") == F.col("ppart")))
+    last = inside.join(F.broadcast(chosen), F.col("g").eqNullSafe(F.col("pg")) & (F.col("name") == F.col("pname")) & (F.col("part") == F.col("ppart")))
     exact = last.groupBy("g", "name", "left", "v").agg(F.count(F.lit(1)).alias("n"))
     exact = exact.withColumn("upto", F.sum("n").over(Window.partitionBy("g", "name").orderBy("v"))).filter(F.col("upto") >= F.col("left"))
     return exact.groupBy(F.col("g").alias(group)).agg(
@@ -101,7 +104,7 @@ def score_meter_anomaly(readings: DataFrame, thresholds: DataFrame | None = None
     """Add ``is_kwh_anomaly`` (strictly outside the band; NULL when unknown) and
     ``anomaly_type``. A NULL group never matches a threshold row."""
     thr = thresholds if thresholds is not None else region_thresholds(readings, group, value, **kw)
-    out = readings.join(thr, group, "left")
+    out = readings.join(F.broadcast(thr), group, "left")
     kwh, lo, hi = F.col(value), F.col("p01_kwh"), F.col("p99_kwh")
     out = out.withColumns({"is_kwh_anomaly": meter_anomaly_flag(kwh, lo, hi),
                            "anomaly_type": meter_anomaly_type(kwh, lo, hi)})
