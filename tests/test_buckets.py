@@ -146,3 +146,29 @@ def test_a_write_reports_what_it_wrote(spark, tmpdir_path):
     seen = observed_write(rows, lambda df: df.write.parquet(f"{tmpdir_path}/t"), "ts")
     assert (seen["rows"], seen["max_ts"].second) == (10, 9)
     assert observed_write(rows.limit(0), lambda df: df.write.parquet(f"{tmpdir_path}/u"), "ts") == {"rows": 0, "min_ts": None, "max_ts": None}
+
+
+@pytest.mark.parametrize("buckets", [8, 64])
+def test_a_merge_and_its_change_feed_are_one_write(spark, tmpdir_path, monkeypatch, buckets):
+    from voltaic.operators.merge import snapshot_diff
+    from voltaic.plans import tables
+    root, real, seen = f"{tmpdir_path}/t", tables.write_table, []
+
+    def spied(df, path, *a, **k):
+        seen.append((k["repartition_by_partitions"], "_change_type" in df.columns))
+        return real(df, path, *a, **k)
+
+    monkeypatch.setattr(tables, "write_table", spied)
+    keep_last = lambda old, new: dedup_latest(new if old is None else old.unionByName(new), ["k"], [F.col("v").desc()])
+    shown = lambda rows: rows.filter("v % 5 <> 0")
+    first = spark.createDataFrame([(i, i % 7) for i in range(60)], "k long, v int")
+    more = spark.createDataFrame([(i, i % 11 + 1) for i in range(30, 90)], "k long, v int")
+    states = [first.limit(0)]
+    for i, rows in enumerate((first, more, more.limit(0).union(more.filter("k = 89")))):        # the last one changes nothing
+        merge_buckets(spark, root, rows, ["k"], keep_last, f"r{i}", buckets=buckets, feed_keys=["k"], visible=shown)
+        states.append(spark.createDataFrame(read_current(spark, root).collect(), first.schema))
+    assert seen == [(buckets > 16, True)] * 3                  # no second shuffle of few buckets; the feed is in the same job
+    got = sorted(map(str, (tuple(r) for r in read_changes(spark, root).collect())))
+    want = [str((*r, i)) for i in range(3) for r in snapshot_diff(shown(states[i]), shown(states[i + 1]), ["k"]).collect()]
+    assert got == sorted(want) and {r._commit_version for r in read_changes(spark, root).collect()} >= {0, 1}
+    assert read_current(spark, root).columns == ["k", "v"]

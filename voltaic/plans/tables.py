@@ -189,6 +189,10 @@ def write_version(spark: SparkSession, df: DataFrame, table_path: str, tag: str,
 
 
 BUCKET = "_bucket"
+#: The folder of a version's change rows, beside those of its buckets.
+FEED = -1
+#: With so many buckets at most, the tasks of a merge write their own files: to shuffle all rows once more would save few files.
+DIRECT_BUCKETS = 16
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -212,8 +216,9 @@ def merge_buckets(spark: SparkSession, table_path: str, changes: DataFrame, keys
     rows; it must treat each key by itself. The number of buckets is fixed by the first version: about the table's
     size by that of a task's output. With ``epoch`` the merge starts from the newest version of an earlier epoch, so an
     epoch may be retried any number of times, whether or not it was committed before. With ``feed_keys`` (unique in
-    ``visible(rows)``) the rows that the merge inserted, deleted and updated are written beside the version,
-    for :func:`read_changes`. No changes: no version, and the current one is returned.
+    ``visible(rows)``) the rows that the merge inserted, deleted and updated are written beside the version, by the same
+    job (so that the merge's shuffle serves both), for :func:`read_changes`. No changes: no version, and the
+    current one is returned.
     """
     log = _versions(spark, table_path)
     base = next((v for v in reversed(log) if epoch is None or v.epoch < epoch), None)
@@ -230,9 +235,18 @@ def merge_buckets(spark: SparkSession, table_path: str, changes: DataFrame, keys
     new = merge(old, changes.drop(BUCKET))
     known = {f.name for f in base.struct().fields} if base else set()
     schema = T.StructType([*(base.struct().fields if base else []), *[f for f in new.schema.fields if f.name not in known]])
-    dealt = new.withColumn(BUCKET, bucket_of(keys, buckets))
-    write_table(dealt, f"{target}/data", partition_by=[BUCKET])
+    out = new.withColumn(BUCKET, bucket_of(keys, buckets))
+    if feed_keys is not None:
+        has = set(new.columns)
+        after = visible(new.select(*[F.col(f"`{f.name}`") if f.name in has else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]))
+        rows = (snapshot_diff(visible(read_version(spark, base, touched, schema)), after, feed_keys) if base
+                else after.withColumn("_change_type", F.lit("insert")))
+        out = (out.withColumn("_change_type", F.lit(None).cast("string"))
+               .unionByName(rows.withColumn(BUCKET, F.lit(FEED)), allowMissingColumns=True)
+               .withColumn("_commit_version", F.lit(version).cast("bigint")))
+    write_table(out, f"{target}/data", partition_by=[BUCKET], repartition_by_partitions=buckets > DIRECT_BUCKETS)
     written = {d.split("=", 1)[1]: f"{target}/data/{d}" for d in folders(spark, f"{target}/data") if d.startswith(f"{BUCKET}=")}
+    feed = written.pop(str(FEED), None)                    # none: no row changed
     if base:                                # a bucket whose rows came out as they were keeps its files
         now = spark.read.schema(schema).parquet(*written.values()) if written else spark.createDataFrame([], schema)
         was, now = _signatures(read_version(spark, base, touched, schema), keys, buckets), _signatures(now, keys, buckets)
@@ -241,11 +255,8 @@ def merge_buckets(spark: SparkSession, table_path: str, changes: DataFrame, keys
             written[b] = base.parts[b]
     parts = {b: p for b, p in (base.parts if base else {}).items() if b not in touched} | written
     made = Version(n, version, epoch, str(tag), target, buckets, schema.json(), parts, list(base.feed) if base else [])
-    if feed_keys is not None:
-        before = read_version(spark, base, touched, schema) if base else spark.createDataFrame([], schema)
-        rows = snapshot_diff(visible(before), visible(read_version(spark, made, touched)), feed_keys)
-        rows.withColumn("_commit_version", F.lit(version).cast("bigint")).write.parquet(f"{target}/feed")
-        made.feed.append((version, f"{target}/feed"))
+    if feed is not None:
+        made.feed.append((version, feed))
     delete(spark, f"{target}/in")
     return _commit(spark, table_path, log, made)
 
