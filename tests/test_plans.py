@@ -100,3 +100,18 @@ def test_thresholds_are_looked_up_without_a_shuffle_of_the_readings_by_region(sp
         assert scored.count() == 40 and scored.filter("region is null and is_kwh_anomaly is null").count() == 8
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_change_files_of_a_delivery_grow_in_number_not_in_size(spark, tmpdir_path, monkeypatch):
+    import os
+
+    from voltaic import session
+    from voltaic.plans import bindings
+    from voltaic.plans.tables import current_version
+    monkeypatch.setattr(session, "shared_dir", lambda *_, **__: f"{tmpdir_path}/cdc")
+    monkeypatch.setattr(bindings, "CDC_FILE_BYTES", os.path.getsize(f"{SF_SMALL}/lineitem.parquet") // 8 + 1)
+    got = bindings.q_cdc_stream(spark, SF_SMALL)
+    assert len([f for f in os.listdir(f"{tmpdir_path}/cdc/landing") if f.endswith(".parquet")]) == 8
+    assert current_version(spark, f"{tmpdir_path}/cdc/state").version == 3     # four deliveries still
+    want = bindings.merge.cdc_upserts(bindings.cdc_latest(bindings.cdc_feed(spark, SF_SMALL), bindings.CDC_KEY)).select(*got.columns)
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()

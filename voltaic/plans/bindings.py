@@ -34,6 +34,8 @@ from voltaic.sources.ingest import add_ingestion_cols, parse_envelope, source_fi
 CDC_KEY = ["l_orderkey", "l_linenumber"]
 CDC_SPLIT_DATE = "1997-01-01"
 CDC_VERSION_DATES = ("1996-06-01", "1998-01-01")
+CDC_DELIVERIES = 4
+CDC_FILE_BYTES = 32 * 1024 ** 2
 SCD_EFFECTIVE = "2025-06-01"
 NEW_KEY_OFFSET = 1_000_000_000
 EVOLVED_FROM = "2024-01-16"
@@ -759,13 +761,16 @@ def q_renewable_hourly_stream(spark, sf):
 
 
 def q_cdc_stream(spark, sf):
-    """Billing-style changes landed in four files, merged by a stream one file at a time (T9): the
-    files are dealt by part key, so changes arrive out of order and late ones must have no effect."""
+    """Billing-style changes landed in four deliveries, merged by a stream one delivery at a time (T9): the
+    deliveries are dealt by part key, so changes arrive out of order and late ones must have no effect. A delivery is one
+    file, or as many as keep each to about ``CDC_FILE_BYTES`` of the table."""
+    from voltaic.plans.tables import size_of
     from voltaic.session import shared_dir
     from voltaic.streaming.ingest import cdc_foreach_batch, read_cdc_state, stream_table
     root = shared_dir(spark, "voltaic", "cdc_stream")
-    cdc_feed(spark, sf).repartition(4, "l_partkey").write.parquet(f"{root}/landing")
-    q = (stream_table(spark, f"{root}/landing", files_per_batch=1).writeStream
+    files = -(-size_of(spark, f"{sf}/lineitem.parquet") // (CDC_DELIVERIES * CDC_FILE_BYTES))
+    cdc_feed(spark, sf).repartition(CDC_DELIVERIES * files, "l_partkey").write.parquet(f"{root}/landing")
+    q = (stream_table(spark, f"{root}/landing", files_per_batch=files).writeStream
          .foreachBatch(cdc_foreach_batch(f"{root}/state", CDC_KEY, buckets=8)).option("checkpointLocation", f"{root}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()

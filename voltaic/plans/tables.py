@@ -312,6 +312,12 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files of a folder."""
+    p, fs = _fs(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
     fs.delete(p, True)
