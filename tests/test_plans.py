@@ -115,3 +115,18 @@ def test_change_files_of_a_delivery_grow_in_number_not_in_size(spark, tmpdir_pat
     assert current_version(spark, f"{tmpdir_path}/cdc/state").version == 3     # four deliveries still
     want = bindings.merge.cdc_upserts(bindings.cdc_latest(bindings.cdc_feed(spark, SF_SMALL), bindings.CDC_KEY)).select(*got.columns)
     assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
+def test_the_feed_of_a_mart_stream_is_computed_once(spark, monkeypatch):
+    from voltaic.plans import bindings
+
+    class Seen(Exception):
+        pass
+
+    def spied(rows, ts):
+        raise Seen(plan(rows))
+
+    monkeypatch.setattr(bindings, "_slices", spied)
+    with pytest.raises(Seen) as seen:
+        bindings.q_health_hourly_stream(spark, SF_SMALL)
+    assert "FileScan" in str(seen.value) and "Window" not in str(seen.value) and "Exchange" not in str(seen.value)

@@ -1,6 +1,7 @@
 """Hourly marts as streams: late rows, retried epochs, and state that stays bounded."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -56,3 +57,14 @@ def test_dedup_state_is_evicted(spark, tmpdir_path):
         assert q.lastProgress["stateOperators"][0]["customMetrics"].get("rocksdbPutLatency") is not None
     assert max(totals) <= 12                                                                # not a thousand
     assert spark.read.parquet(f"{tmpdir_path}/out").count() == 1000
+
+
+def test_a_drain_loads_state_from_files_and_replays_no_changes(spark, tmpdir_path):
+    rows = spark.createDataFrame([(dt.datetime(2025, 1, 1), "a")], "ts timestamp, k string")
+    for _ in range(2):
+        rows.write.mode("append").parquet(f"{tmpdir_path}/land")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{tmpdir_path}/land")
+        run_available_now(watermark_dedup(stream, ["k"], "ts"), f"{tmpdir_path}/out", f"{tmpdir_path}/ck")
+    kept = [f for _, _, files in os.walk(f"{tmpdir_path}/ck/state") for f in files]
+    assert any(f.endswith(".zip") for f in kept) and not any(f.endswith(".changelog") for f in kept)
+    assert spark.read.parquet(f"{tmpdir_path}/out").count() == 1

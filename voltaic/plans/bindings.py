@@ -730,10 +730,11 @@ def q_stream_dedup_id(spark, sf):
 
 
 def _mart_stream(spark, rows: DataFrame, ts: str, hourly, keys: list[str], name: str) -> DataFrame:
-    """A feed landed in three parts in the order of time, each drained into an hourly mart."""
-    from voltaic.session import shared_dir
+    """A feed landed in three parts in the order of time, each drained into an hourly mart. The feed is stored
+    once: its bounds and each of its parts would otherwise compute it whole again."""
+    from voltaic.session import cut_lineage, shared_dir
     from voltaic.streaming.marts import read_mart, run_mart
-    root = shared_dir(spark, "voltaic", name)
+    root, rows = shared_dir(spark, "voltaic", name), cut_lineage(rows)
     for part in _slices(rows, ts):
         part.write.mode("append").parquet(f"{root}/landing")
         stream = spark.readStream.schema(rows.schema).parquet(f"{root}/landing")
