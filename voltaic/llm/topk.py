@@ -7,7 +7,8 @@ without touching the vectors. Candidates are evaluated in the order of that boun
 next bound is below the k-th best score found, which is an exact stopping rule.
 
 Every query has its own order and its own stop: a task takes its candidates in chunks, and of a chunk each
-query evaluates ``STEP`` at a time, best bounds first, and none that its bound excludes.
+query evaluates the ``STEP`` best bounds, then the best ``GROWTH`` times as many of those that its k-th score so far
+leaves, and so on; none that its bound excludes.
 
 Queries come in blocks of ``BLOCK`` rows, one after another: a block is sent to the tasks as one small matrix, its
 k rows for each query are written to the shared folder, and the matrix is taken back. Driver and tasks hold
@@ -35,8 +36,11 @@ from voltaic.llm.common import scratch_dir, store
 PIVOTS = 32
 #: Queries that go to the tasks together.
 BLOCK = 2048
-#: Candidates that a task bounds together, and that a query evaluates together in the order of their bounds.
-CHUNK, STEP = 4096, 16
+#: Candidates that a task bounds together, and those of them that a query evaluates first, the best bounds; how many times
+#: more it evaluates at each further step.
+CHUNK, STEP, GROWTH = 4096, 16, 16
+#: Queries whose bounds are at hand together: with a chunk's candidates about 1 MB.
+TOGETHER = 64
 #: Doubles hold all whole numbers below this.
 WHOLE = 1 << 53
 
@@ -85,34 +89,62 @@ class Best:
         order = np.lexsort((i, -s), axis=1)[:, : self.k]
         self.score[rows], self.id[rows] = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
 
+    def add_pairs(self, row: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+        """Scores and candidates of single queries, ``row`` ascending."""
+        order = np.lexsort((ids, -score, row))
+        rows, starts, counts = np.unique(row, return_index=True, return_counts=True)
+        place = np.arange(len(row)) - np.repeat(starts, counts)
+        order, place = order[place < self.k], place[place < self.k]
+        at = np.searchsorted(rows, row[order])
+        s, i = np.full((len(rows), self.k), self.none, self.score.dtype), np.full((len(rows), self.k), np.iinfo(np.int64).max)
+        s[at, place], i[at, place] = score[order], ids[order]
+        self.add(rows, s, i)
 
-def _search(best: Best, q: np.ndarray, q_ids: np.ndarray, q_table: np.ndarray, x: np.ndarray, x_ids: np.ndarray, x_table: np.ndarray, far: float) -> None:
-    """Evaluates one chunk of candidates for all queries of a block; ``far``: the largest pivot's length."""
+
+def _bounds(q: np.ndarray, q_table: np.ndarray, x: np.ndarray, x_table: np.ndarray, far: float) -> np.ndarray:
+    """What the score of each query (row) and candidate (column) can't exceed; ``x_table`` by pivot."""
     q2, x2 = (q * q).sum(1), (x * x).sum(1)
-    gap = np.zeros((len(q), len(x)), np.float32)
-    for p in range(q_table.shape[1]):
-        np.maximum(gap, np.abs(q_table[:, p, None] - x_table[None, :, p]), out=gap)
+    gap, one = np.zeros((len(q), len(x)), np.float32), np.empty((len(q), len(x)), np.float32)
+    for p in range(len(x_table)):
+        np.subtract(q_table[:, p, None], x_table[p], out=one)
+        np.maximum(gap, np.abs(one, out=one), out=gap)
     slack = 1e-5 * (1 + np.sqrt(q2)[:, None] + np.sqrt(x2)[None, :]) + 1e-6 * far  # the table is single precision
     both = q2[:, None] + x2[None, :]
-    bound = (both - np.maximum(gap - slack, 0) ** 2) / 2 + 1e-12 * both
-    order = np.argsort(-bound, axis=1, kind="stable")
-    kind = best.score.dtype
-    qs, xs = q.astype(kind), x.astype(kind)
-    asking = np.arange(len(q))
-    for at in range(0, len(x), STEP):
-        part = order[asking, at : at + STEP]
-        limit = np.take_along_axis(bound[asking], part, 1)
-        kth = best.score[asking, -1]
-        open_ = (limit >= kth[:, None]) | (kth == best.none)[:, None]
-        going = open_[:, 0]  # the best bound of a query's rest: below its k-th score, the query is done
-        asking, part, open_ = asking[going], part[going], open_[going]
-        if not len(asking):
-            break
-        score = np.full(part.shape, best.none, kind)
-        row, column = np.nonzero(open_ & (x_ids[part] != q_ids[asking][:, None]))
-        score[row, column] = np.einsum("ij,ij->i", qs[asking[row]], xs[part[row, column]])
-        best.evaluated += len(row)
-        best.add(asking, score, x_ids[part])
+    return (both - np.maximum(gap - slack, 0) ** 2) / 2 + 1e-12 * both
+
+
+def _search(best: Best, q: np.ndarray, q_ids: np.ndarray, q_table: np.ndarray, x: np.ndarray, x_ids: np.ndarray, x_table: np.ndarray, far: float) -> None:
+    """Evaluates one chunk of candidates for all queries of a block; ``far``: the largest pivot's length."""
+    kind, by_pivot = best.score.dtype, np.ascontiguousarray(x_table.T)
+    xs = x.astype(kind)
+    for at in range(0, len(q), TOGETHER):
+        some = slice(at, at + TOGETHER)
+        bound, qs, size = _bounds(q[some], q_table[some], x, by_pivot, far), q[some].astype(kind), STEP
+        bound[q_ids[some, None] == x_ids] = -np.inf  # a query's own rows, and later those that it has evaluated
+        while True:
+            kth = best.score[some, -1]
+            open_ = (bound >= kth[:, None]) & (bound > -np.inf)
+            many = np.flatnonzero(open_.sum(1) > size)
+            if len(many):  # the best bounds first: the k-th score that they give may exclude the rest
+                first = np.argpartition(bound[many], len(x) - size, axis=1)[:, len(x) - size :]
+                open_[many] = False
+                open_[many[:, None], first] = True
+            count = np.count_nonzero(open_)
+            if not count:
+                break
+            if count * 8 < open_.size:
+                row, column = np.nonzero(open_)
+                score = np.einsum("ij,ij->i", qs[row], xs[column])
+                high = score >= kth[row]
+                row, column, score = row[high], column[high], score[high]
+            else:  # most of the pairs: the product of both as matrices costs less than picking their vectors
+                product = qs @ xs.T
+                row, column = np.nonzero(open_ & (product >= kth[:, None]))
+                score = product[row, column]
+            best.evaluated += count
+            best.add_pairs(at + row, score, x_ids[column])
+            bound[open_] = -np.inf
+            size *= GROWTH
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
