@@ -1,8 +1,9 @@
 """What the training-data operators spend: counts of steps and sizes that must not grow."""
 
 import numpy as np
+import pyarrow as pa
 
-from voltaic.llm import topk
+from voltaic.llm import lm, topk
 
 
 def test_topk_takes_few_steps_where_bounds_exclude_nothing(monkeypatch):
@@ -38,3 +39,36 @@ def test_topk_of_whole_numbers_beyond_doubles_and_ties():
     for row, own in enumerate(ids[q].tolist()):
         want = sorted((-int(sum(int(a) * int(b) for a, b in zip(x[q[row]], v, strict=True))), int(i)) for v, i in zip(x, ids, strict=True) if i != own)[:5]
         assert [(-int(s), int(i)) for s, i in zip(best.score[row], best.id[row], strict=True)] == want
+
+
+def test_lm_units_are_bounded_by_their_text_too():
+    texts = ["ab" * 10, None, "x" * (lm.UNIT_CHARS + 1), "", "c", *["d"] * (lm.UNIT + 1), *["e" * (lm.UNIT_CHARS // 4)] * 9]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    cuts = [cut.column(1).to_pylist() for cut in lm.units(batch.slice(1))]
+    assert [t for cut in cuts for t in cut] == texts[1:]
+    assert all(len(cut) <= lm.UNIT and (len(cut) == 1 or sum(len(t or "") for t in cut) <= lm.UNIT_CHARS) for cut in cuts)
+    assert list(lm.units(batch.slice(0, 0))) == []
+
+
+def test_lm_joined_reads_cut_columns():
+    rows = [np.arange(n, dtype=np.uint64).tobytes() for n in (3, 0, 2, 4)]
+    whole = pa.array([b"odd", *rows], pa.binary())
+    got = lm.joined(pa.chunked_array([whole.slice(1, 2), whole.slice(3, 0), whole.slice(3)]), np.uint64)
+    assert got.tolist() == [0, 1, 2, 0, 1, 0, 1, 2, 3]
+    assert lm.joined(pa.chunked_array([], pa.binary()), "<u4").tolist() == []
+
+
+def test_lm_stores_little_at_a_time_and_reads_states_alone(spark, monkeypatch):
+    """What a task holds for its stored file is bounded, and a bucket that answers doesn't read what waits for it."""
+    stored = []
+
+    def store(df, *args, **more):
+        stored.append((more.get("block"), df.columns))
+        return kept(df, *args, **more)
+
+    kept = lm.store
+    monkeypatch.setattr(lm, "store", store)
+    docs = spark.createDataFrame([(i, f"w{i} w{i % 7} a b {i % 3}") for i in range(300)], "doc_id long, text string")
+    assert lm.score_documents(docs).count() == 300
+    assert all(block and block < 128 << 20 for block, _ in stored)
+    assert "state" in stored[-1][1] and "words" in stored[-1][1]

@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,6 +60,10 @@ OPEN = 255
 HEAD = 1 << 20
 #: Hashes gathered in a task before it sends partial counts.
 GATHER = 1_500_000
+#: Rows that a task hands over together; bytes that it gathers for a stored file before it writes them.
+ROWS, BLOCK_BYTES = 1 << 15, 8 << 20
+#: Documents that look up their n-grams together, and about how many code points they have at most.
+UNIT, UNIT_CHARS = 500, 2_000_000
 END = np.uint64(0x9E3779B97F4A7C15)
 WORD, PAIR = 0, 1
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -148,11 +153,32 @@ def by_bucket(columns: tuple[np.ndarray, ...], buckets: int) -> dict[int, list[b
     return {int(b): [c[x:y].tobytes() for c in columns] for b, x, y in zip(which, starts, ends)}
 
 
-def _sent(words: list[np.ndarray], pairs: list[np.ndarray], buckets: int) -> pa.RecordBatch:
-    """One row for each bucket and kind: the keys and how often each occurs."""
-    rows = []
-    for kind, found in ((WORD, words), (PAIR, pairs)):
-        keys, n = np.unique(np.concatenate(found), return_counts=True)
+def joined(column: pa.ChunkedArray, kind: type | str) -> np.ndarray:
+    """The numbers that a column of binaries (no nulls) holds, one row's behind the other's."""
+    parts = [np.zeros(0, kind)]
+    for c in column.chunks:
+        ends = np.asarray(pa.Array.from_buffers(pa.int32(), len(c) + 1, [None, c.buffers()[1]], offset=c.offset)) if len(c) else [0, 0]
+        if ends[-1] > ends[0]:
+            parts.append(np.frombuffer(c.buffers()[2], kind, (ends[-1] - ends[0]) // np.dtype(kind).itemsize, ends[0]))
+    return np.concatenate(parts)
+
+
+def units(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows cut into at most ``UNIT`` each, and of about ``UNIT_CHARS`` code points of text (column 1) or one row."""
+    sizes, at = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + UNIT_CHARS, "right"))
+        end = max(at + 1, min(at + UNIT, end))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def _sent(texts: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    """One row for each bucket and kind: the keys of the texts' n-grams and how often each occurs."""
+    rows, tokens = [], np.concatenate(texts)
+    starts = np.cumsum([0, *map(len, texts[:-1])])
+    for kind, found in ((WORD, tokens), (PAIR, pair_keys(tokens, starts))):
+        keys, n = np.unique(found, return_counts=True)
         rows += [(bucket, kind, *cut) for bucket, cut in by_bucket((keys, n.astype("<u4")), buckets).items()]
     columns = [list(c) for c in zip(*rows)]
     return pa.RecordBatch.from_arrays(
@@ -178,30 +204,31 @@ def count_ngrams(texts: DataFrame, buckets: int) -> DataFrame:
     frequent, and for each bucket a row ``bucket, bits`` with its part of the whole filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pairs, size = [], [], 0
+        texts, size = [], 0
         for batch in batches:
             for text in batch.column(0):
-                tokens = hashed(text.as_py())
-                words.append(tokens)
-                pairs.append(pair_keys(tokens, np.zeros(1, np.int64)))
-                size += len(tokens)
+                texts.append(hashed(text.as_py()))
+                size += len(texts[-1])
                 if size >= GATHER:
-                    yield _sent(words, pairs, buckets)
-                    words, pairs, size = [], [], 0
+                    yield _sent(texts, buckets)
+                    texts, size = [], 0
         if size:
-            yield _sent(words, pairs, buckets)
+            yield _sent(texts, buckets)
 
     def total(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = pa.Table.from_batches(list(batches))
-        kinds, keys, counts = got["kind"].to_pylist(), {}, {}
+        keys, counts = {}, {}
         for kind in (WORD, PAIR):
-            join = lambda name: b"".join(x for x, k in zip(got[name].to_pylist(), kinds) if k == kind)  # noqa: B023, E731
-            keys[kind], back = np.unique(np.frombuffer(join("keys"), np.uint64), return_inverse=True)
-            counts[kind] = np.bincount(back, np.frombuffer(join("n"), "<u4"), len(keys[kind])).astype(np.int64)
-            may = counts[kind] >= (2 if kind == PAIR else 1)  # the cutoff for pairs is level 2 at least
-            n = int(may.sum())
-            none = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), pa.array(keys[kind][may].view(np.int64)), pa.array(counts[kind][may]), *none], names=names)
+            own = got.filter(pc.equal(got["kind"], kind))
+            keys[kind], back = np.unique(joined(own["keys"], np.uint64), return_inverse=True)
+            counts[kind] = np.bincount(back, joined(own["n"], "<u4"), len(keys[kind])).astype(np.int64)
+        del got, own, back
+        for kind in (WORD, PAIR):
+            may = np.flatnonzero(counts[kind] >= (2 if kind == PAIR else 1))  # the cutoff for pairs is level 2 at least
+            for at in range(0, len(may), ROWS):
+                some = may[at : at + ROWS]
+                none = [pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind, np.int8)), pa.array(keys[kind][some].view(np.int64)), pa.array(counts[kind][some]), *none], names=names)
         last = [pa.nulls(1, pa.int8()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([key[0].as_py()], pa.int64()), pa.array([bloom(keys, counts)], pa.binary())]
         yield pa.RecordBatch.from_arrays(last, names=names)
 
@@ -276,11 +303,11 @@ def answers(asked: DataFrame, filter_: DataFrame) -> DataFrame:
         bits = np.frombuffer(stored["bits"][0].as_py() if stored.num_rows else bytes(8), np.uint8)
         out = {"unit": questions["unit"], "bucket": questions["bucket"]}
         for kind, name in ((WORD, "words"), (PAIR, "pairs")):
-            each = [np.frombuffer(x or b"", np.uint64) for x in questions[name].to_pylist()]
-            keys, back = np.unique(np.concatenate([np.zeros(0, np.uint64), *each]), return_inverse=True)
+            asked = pc.fill_null(questions[name], b"")
+            keys, back = np.unique(joined(asked, np.uint64), return_inverse=True)
             found = probe_levels(bits, np.zeros(len(keys), np.int64), keys, kind, 8 * len(bits))[back]
-            ends = np.cumsum([0, *map(len, each)])
-            out[name] = pa.array([found[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())
+            ends = np.cumsum(pc.binary_length(asked).to_numpy() // 8)
+            out[name] = pa.array([found[a:b].tobytes() for a, b in zip([0, *ends], ends)], pa.binary())
         return pa.table(out)
 
     return asked.groupBy("bucket").cogroup(filter_.groupBy("bucket")).applyInArrow(look_up, "unit long, bucket long, words binary, pairs binary")
@@ -314,7 +341,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.withColumn("held_out", doc_crc() % FOLDS == HELD_OUT)
     training = docs.filter(~F.col("held_out"))
     buckets = 1 + (training.agg(F.sum(F.length("text"))).first()[0] or 0) // BUCKET_CHARS
-    whole = store(count_ngrams(training, buckets))
+    whole = store(count_ngrams(training, buckets), tidy=True, block=BLOCK_BYTES)
     counts = whole.filter("kind is not null").select("kind", "key", "n")
     words = counts.filter(F.col("kind") == WORD)
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -328,11 +355,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         bits, segments, keys, exact = model.value
         part, at = TaskContext.get().partitionId(), 0
         for whole in batches:
-            for cut in range(0, whole.num_rows, 500):
-                batch = whole.slice(cut, 500)
+            for batch in units(whole):
                 each = [hashed(t.as_py()) for t in batch.column(1)]
-                if not each:
-                    continue
                 n = np.array([len(x) for x in each])
                 starts = np.concatenate([[0], np.cumsum(n)[:-1]])
                 tokens = np.concatenate(each)
@@ -375,8 +399,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     k = 1 + len(where)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            *[pa.nulls(k, t) for t in types[:9]], pa.array([unit] * k, pa.int64()), pa.array([None, *where], pa.int64()), pa.array([state, *ask[0]], pa.binary()),
-                            pa.array([None, *ask[1]], pa.binary()), pa.array([len(todo)] + [None] * len(where), pa.int64()),
+                            *[pa.nulls(k, t) for t in types[:9]], pa.array([unit] * k, pa.int64()), pa.array([None, *where], pa.int64()), pa.array([None, *ask[0]], pa.binary()),
+                            pa.array([None, *ask[1]], pa.binary()), pa.array([len(todo)] + [None] * len(where), pa.int64()), pa.array([state] + [None] * len(where), pa.binary()),
                         ],
                         names=names,
                     )
@@ -391,17 +415,18 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     names=names,
                 )
                 at += len(n)
+            pa.default_memory_pool().release_unused()
 
     schema = (
         f"part int, at long, doc_id {id_type}, held_out boolean, n_tokens long, known long, base double, score double, rare array<long>,"
-        " unit long, bucket long, words binary, pairs binary, size long"
+        " unit long, bucket long, words binary, pairs binary, size long, state binary"
     )
     fields = to_arrow_schema(StructType.fromDDL(schema))
     names, types = fields.names, fields.types
-    written = store(docs.select("doc_id", "text", "held_out").mapInArrow(run, schema))
+    written = store(docs.select("doc_id", "text", "held_out").mapInArrow(run, schema), block=BLOCK_BYTES)
     scored = written.filter("part is not null").select(*names[:9])
     looked_up = answers(written.filter("bucket is not null").select("unit", "bucket", "words", "pairs"), whole.filter("bits is not null").select("bucket", "bits"))
-    late = late_scores(written.filter("size is not null").select("unit", "size", F.col("words").alias("state")), looked_up, below)
+    late = late_scores(written.filter("size is not null").select("unit", "size", "state"), looked_up, below)
     rare = scored.select("part", "at", F.explode("rare").alias("key")).join(words.select("key", "n"), "key", "left")
     sums = rare.groupBy("part", "at").agg(
         F.count("n").alias("more"), F.sum(F.log10((F.coalesce("n", F.lit(0)) + F.lit(0.5)) / F.lit(float(below)))).alias("rest")
