@@ -1,9 +1,11 @@
 """What the training-data operators spend: counts of steps and sizes that must not grow."""
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 
-from voltaic.llm import lm, topk
+from voltaic.llm import bpe, lm, topk
 
 
 def test_topk_takes_few_steps_where_bounds_exclude_nothing(monkeypatch):
@@ -72,3 +74,20 @@ def test_lm_stores_little_at_a_time_and_reads_states_alone(spark, monkeypatch):
     assert lm.score_documents(docs).count() == 300
     assert all(block and block < 128 << 20 for block, _ in stored)
     assert "state" in stored[-1][1] and "words" in stored[-1][1]
+
+
+def test_bpe_numbering_keeps_no_list_for_each_chunk():
+    """Python's garbage collector has nothing to look through, however many chunks a group has."""
+    texts = pa.array([" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}{'k' * (i // 17576)}." for i in range(30_000))] * 2)
+    rounds = []
+    count = lambda phase, info: rounds.append(info["generation"]) if phase == "start" else None
+    gc.collect()
+    gc.callbacks.append(count)
+    try:
+        numbers, ends, words = bpe.number_words(texts)
+    finally:
+        gc.callbacks.remove(count)
+    assert len(rounds) <= 3, len(rounds)
+    names = list(words)
+    assert ends.tolist() == [len(numbers) // 2, len(numbers)]
+    assert [names[i] for i in numbers[: ends[0]]] == bpe.split_words(texts[0].as_py())

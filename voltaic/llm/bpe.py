@@ -24,7 +24,6 @@ import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -192,13 +191,9 @@ def split_words(text: str) -> list[str]:
     return _pattern().findall(text)
 
 
-def split_chunk(chunk: str) -> list[str]:
-    """The words of a chunk between spaces, with the space before it: mostly letters and a closing mark."""
-    if chunk.isalpha():
-        return [" " + chunk]
-    if chunk[-1:] in MARKS and chunk[:-1].isalpha():
-        return [" " + chunk[:-1], chunk[-1]]
-    return split_words(" " + chunk)
+def objects(words: pa.Array) -> list:
+    """The column as Python strings or bytes, in a fraction of the time that ``to_pylist`` takes, which makes a scalar of each."""
+    return words.to_numpy(zero_copy_only=False).tolist()
 
 
 def number_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, _Words]:
@@ -213,28 +208,38 @@ def number_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, _Words]:
     ends = np.asarray(chunks.offsets)[1:] - chunks.offsets[0].as_py()
     firsts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
     coded = chunks.flatten().dictionary_encode()
-    index, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
-    blank = np.array([not c or c[0].isspace() or c[-1].isspace() for c in distinct], bool)
+    index, distinct = coded.indices.to_numpy().astype(np.int64), objects(coded.dictionary)
+    blank = np.array([not c.isalpha() and (not c or c[0].isspace() or c[-1].isspace()) for c in distinct], bool)
     text_of = np.repeat(np.arange(len(ends)), ends - firsts)
     later = np.ones(len(index), bool)
     later[firsts] = False
     odd = np.zeros(len(ends), bool)
     odd[text_of[later & blank[index]]] = True
-    # a first chunk has an entry of its own behind the distinct ones; the last entry has no words
-    entries = [[] for _ in range(len(distinct) + len(ends) + 1)]
+    # a first chunk has an entry of its own behind the distinct ones; the last entry has no words. All entries' words are
+    # one list: a list for each of them would be looked through by Python's garbage collector again and again
+    sizes, flat = np.zeros(len(distinct) + len(ends) + 1, np.int64), []
     begins = [distinct[i] for i in index[firsts].tolist()]
     for i, first in enumerate(begins):
         odd[i] |= bool(ends[i] - firsts[i] > 1 and (not first or first[-1].isspace()))
     looked_up = later & ~odd[text_of]
-    for i in np.unique(index[looked_up]).tolist():
-        entries[i] = [words[w] for w in split_chunk(distinct[i])]
+    used = np.zeros(len(distinct), bool)
+    used[index[looked_up]] = True
+    for i in np.flatnonzero(used).tolist():
+        chunk, before = distinct[i], len(flat)
+        if chunk.isalpha():  # mostly letters and a closing mark
+            flat.append(words[" " + chunk])
+        elif chunk[-1:] in MARKS and chunk[:-1].isalpha():
+            flat += words[" " + chunk[:-1]], words[chunk[-1]]
+        else:
+            flat += [words[w] for w in split_words(" " + chunk)]
+        sizes[i] = len(flat) - before
     for i, first in enumerate(begins):
-        entries[len(distinct) + i] = [words[w] for w in split_words(texts[i].as_py() if odd[i] else first)]
-    index[~looked_up] = len(entries) - 1
+        before = len(flat)
+        flat += [words[w] for w in split_words(texts[i].as_py() if odd[i] else first)]
+        sizes[len(distinct) + i] = len(flat) - before
+    index[~looked_up] = len(sizes) - 1
     index[firsts] = len(distinct) + np.arange(len(ends))
-    sizes = np.array([*map(len, entries)], np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    flat = np.fromiter(chain.from_iterable(entries), np.int32, int(starts[-1]))
+    starts, flat = np.concatenate([[0], np.cumsum(sizes)]), np.array(flat, np.int32)
     numbers = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(flat)).take(pa.array(index)).flatten().to_numpy()
     return numbers, np.cumsum(sizes[index])[ends - 1], words
 
@@ -312,7 +317,7 @@ def frequent_words(groups: DataFrame, ranks: bytes, table: Column, most: int) ->
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column(0).to_pylist()
+            words = objects(batch.column(0))
             columns = [pa.array(_hashes(words).view(np.int64)), batch.column(1), byte_pieces(words, pairs)]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "bytes"])
 
@@ -354,9 +359,10 @@ def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str =
             # a word that is a token needs no merges, a long one a heap
             ready = np.array([w in known or len(w) > LONG for w in spelled], bool)
             # those that are ready come first, then the most frequent, since small numbers pack well, and so do words in order
-            seen = np.bincount(numbers, minlength=len(spelled)).tolist()
+            seen = np.bincount(numbers, minlength=len(spelled))
             first = np.flatnonzero(ready).tolist()
-            later = sorted(np.flatnonzero(~ready).tolist(), key=lambda i: (-seen[i], spelled[i]))
+            later = np.array(sorted(np.flatnonzero(~ready).tolist(), key=spelled.__getitem__), np.int64)
+            later = later[np.argsort(-seen[later], kind="stable")].tolist()
             place = np.empty(len(spelled), np.int64)
             place[first + later] = np.arange(len(spelled))
             folded = [spelled[i] for i in later]
@@ -380,7 +386,7 @@ def encode_documents(docs: DataFrame, ranks: bytes | None = None, id_col: str =
         keys = np.cumsum((high.astype(np.uint64) << np.uint64(32)) + low.astype(np.uint64), dtype=np.uint64)
         for batch in batches:
             for at in range(batch.num_rows):
-                words = words_in(batch.column(3)[at], batch.column(4)[at]).to_pylist()
+                words = objects(words_in(batch.column(3)[at], batch.column(4)[at]))
                 found = np.full(len(words), -1, np.int64)
                 if len(keys):
                     mine = _hashes(words)
