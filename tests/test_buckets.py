@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,3 +173,65 @@ def test_a_merge_and_its_change_feed_are_one_write(spark, tmpdir_path, monkeypat
     want = [str((*r, i)) for i in range(3) for r in snapshot_diff(shown(states[i]), shown(states[i + 1]), ["k"]).collect()]
     assert got == sorted(want) and {r._commit_version for r in read_changes(spark, root).collect()} >= {0, 1}
     assert read_current(spark, root).columns == ["k", "v"]
+
+
+def shuffle_files(spark):
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for top in dirs for _, _, names in os.walk(top.getPath()) for f in names if f.startswith("shuffle_")}
+
+
+def left_over(spark, before):
+    """Shuffle files that are there beside those of before, given some seconds to go."""
+    for _ in range(50):
+        if not (more := shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    return more
+
+
+@pytest.mark.parametrize(("buckets", "size"), [(4, 1), (20, 10_000)])
+def test_a_merge_in_steps_gives_the_same_rows_and_feed_and_leaves_no_shuffle_files(spark, tmpdir_path, monkeypatch, buckets, size):
+    from voltaic.plans import tables
+    keep_last = lambda old, new: dedup_latest(new if old is None else old.unionByName(new, allowMissingColumns=True), ["k"], [F.col("v").desc()])
+    shown = lambda rows: rows.filter("v % 5 <> 0")
+    first = spark.createDataFrame([(i, i % 7) for i in range(60)] + [(None, 3), (None, 3), (7, 0)], "k long, v int")
+    more = spark.createDataFrame([(i, i % 11 + 1, "x") for i in range(30, 90)] + [(None, 4, None)], "k long, v int, note string")
+    few = spark.createDataFrame([(3, 9), (200, 1)], "k long, v int")
+    real, stored = tables.write_table, {}
+
+    def spied(df, path, *a, **k):
+        before = shuffle_files(spark)
+        out = real(df, path, *a, **k)
+        assert not left_over(spark, before)                # gone before the next step begins
+        return out
+
+    def run(root):
+        writes = []
+        monkeypatch.setattr(tables, "write_table", lambda df, path, *a, **k: writes.append(path) or spied(df, path, *a, **k))
+        for i, rows in enumerate((first, more, few)):
+            before = shuffle_files(spark)
+            merge_buckets(spark, root, rows, ["k"], keep_last, f"r{i}", buckets=buckets, feed_keys=["k"], visible=shown)
+            assert not left_over(spark, before)
+        stored[root] = [sorted(str(tuple(r)) for r in df.collect()) for df in (read_current(spark, root), read_changes(spark, root))]
+        return len(writes), set(current_version(spark, root).parts)
+
+    assert run(f"{tmpdir_path}/whole") == (3, {str(b) for b in range(buckets)})
+    monkeypatch.setattr(tables, "STEP_BYTES", size)
+    writes, parts = run(f"{tmpdir_path}/steps")
+    assert 5 < writes <= 2 * buckets + 2 and len(parts) == buckets
+    assert stored[f"{tmpdir_path}/whole"] == stored[f"{tmpdir_path}/steps"]
+    assert len(stored[f"{tmpdir_path}/steps"][0]) == 92    # keys 0 to 89, 200 and null
+
+
+def test_steps_of_a_merge_are_as_large_as_their_buckets_allow(spark, tmpdir_path, monkeypatch):
+    from voltaic.plans import tables
+    base = tables.Version(0, 0, 0, "t", tmpdir_path, 8, "{}", {}, [])
+    for b, size in (("0", 40), ("1", 70), ("10", 500), ("2", 10)):
+        os.makedirs(f"{tmpdir_path}/{b}")
+        with open(f"{tmpdir_path}/{b}/f", "wb") as f:
+            f.write(b"x" * size)
+        base.parts[b] = f"{tmpdir_path}/{b}"
+    monkeypatch.setattr(tables, "STEP_BYTES", 100)
+    touched = {"10": 1, "2": 1, "0": 1, "1": 1, "11": 1}   # a change takes 10 bytes; bucket 11 is new
+    assert tables._steps(spark, base, touched, 50) == [["0"], ["1", "2"], ["10"], ["11"]]
+    assert tables._steps(spark, None, touched, 50) == [["0", "1", "2", "10", "11"]]

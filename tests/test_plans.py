@@ -130,3 +130,31 @@ def test_the_feed_of_a_mart_stream_is_computed_once(spark, monkeypatch):
     with pytest.raises(Seen) as seen:
         bindings.q_health_hourly_stream(spark, SF_SMALL)
     assert "FileScan" in str(seen.value) and "Window" not in str(seen.value) and "Exchange" not in str(seen.value)
+
+
+def test_a_stream_of_changes_leaves_no_shuffle_files_and_stores_them_small(spark, tmpdir_path, monkeypatch):
+    import glob
+    import os
+
+    from test_buckets import left_over, shuffle_files
+
+    from voltaic import session
+    from voltaic.plans import bindings, tables
+    from voltaic.plans.tables import read_changes
+    monkeypatch.setattr(session, "shared_dir", lambda *_, **__: f"{tmpdir_path}/cdc")
+    monkeypatch.setattr(tables, "STEP_BYTES", 64 * 1024, raising=False)
+    before = shuffle_files(spark)
+    got = bindings.q_cdc_stream(spark, SF_SMALL)
+    assert not left_over(spark, before)
+    want = bindings.merge.cdc_upserts(bindings.cdc_latest(bindings.cdc_feed(spark, SF_SMALL), bindings.CDC_KEY)).select(*got.columns)
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+    changes = read_changes(spark, f"{tmpdir_path}/cdc/state")                  # all four epochs' changes add up to the live rows
+    sums = {r[0]: r[1] for r in changes.groupBy("_change_type").count().collect()}
+    assert sums["insert"] - sums["delete"] == got.count() and changes.select("_commit_version").distinct().count() == 4
+    for part in ("landing", "state/v=*/data/*"):
+        files = glob.glob(f"{tmpdir_path}/cdc/{part}/*.parquet")
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
+    landed = spark.read.parquet(f"{tmpdir_path}/cdc/landing")
+    feed = bindings.cdc_feed(spark, SF_SMALL)
+    assert landed.count() == feed.count() and landed.exceptAll(feed).isEmpty()
+    assert len([f for f in os.listdir(f"{tmpdir_path}/cdc/landing") if f.endswith(".parquet")]) == 4

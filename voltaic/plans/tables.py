@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltaic.operators.merge import snapshot_diff
+from voltaic.session import tidy_shuffles
 
 
 @dataclass(frozen=True)
@@ -38,7 +39,7 @@ class Layout:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
-                repartition_by_partitions: bool = True) -> str:
+                repartition_by_partitions: bool = True, compression: str | None = None) -> str:
     """Write parquet; for partitioned output, cluster rows by partition value first
     (one shuffle) so each date is written by few tasks instead of every task
     writing a small file per date. The ``rebalance`` hint lets adaptive execution
@@ -49,7 +50,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    w.parquet(path, compression=compression)
     return path
 
 
@@ -193,6 +194,11 @@ BUCKET = "_bucket"
 FEED = -1
 #: With so many buckets at most, the tasks of a merge write their own files: to shuffle all rows once more would save few files.
 DIRECT_BUCKETS = 16
+#: A merge takes so many bytes of stored rows and changes at a time, and one bucket at least: the shuffle files of a step go
+#: before the next one, so that they grow with a step and not with the table.
+STEP_BYTES = 256 * 1024 ** 2
+#: Versions stay, two of them beside the one that is written: they are stored small.
+STORED = "zstd"
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -205,6 +211,19 @@ def _signatures(rows: DataFrame, keys: Sequence[str], buckets: int) -> dict[str,
     return {str(r[0]): (r[1], r[2]) for r in rows.groupBy(bucket_of(keys, buckets)).agg(F.count(F.lit(1)), F.sum(mark)).collect()}
 
 
+def _steps(spark: SparkSession, base: Version | None, touched: dict[str, int], size: int) -> list[list[str]]:
+    """The touched buckets in groups of about ``STEP_BYTES``. ``touched``: the number of changes of each; ``size``: bytes of all changes."""
+    rows, steps, room = sum(touched.values()), [], 0
+    for b in sorted(touched, key=int):
+        own = size * touched[b] // rows + (size_of(spark, base.parts[b]) if base and b in base.parts else 0)
+        if not steps or own > room:
+            steps.append([])
+            room = STEP_BYTES
+        steps[-1].append(b)
+        room -= own
+    return steps
+
+
 def merge_buckets(spark: SparkSession, table_path: str, changes: DataFrame, keys: Sequence[str],
                   merge: Callable[[DataFrame | None, DataFrame], DataFrame], tag: str, epoch: int | None = None,
                   buckets: int = 64, feed_keys: Sequence[str] | None = None,
@@ -212,44 +231,48 @@ def merge_buckets(spark: SparkSession, table_path: str, changes: DataFrame, keys
     """Merge ``changes`` into a table that is dealt to buckets by a hash of ``keys``; only buckets that hold a
     changed key are read and written, all others keep their files.
 
-    ``merge(rows, changes)`` gets the rows of the touched buckets (None in a new table) and returns their new
-    rows; it must treat each key by itself. The number of buckets is fixed by the first version: about the table's
-    size by that of a task's output. With ``epoch`` the merge starts from the newest version of an earlier epoch, so an
-    epoch may be retried any number of times, whether or not it was committed before. With ``feed_keys`` (unique in
-    ``visible(rows)``) the rows that the merge inserted, deleted and updated are written beside the version, by the same
-    job (so that the merge's shuffle serves both), for :func:`read_changes`. No changes: no version, and the
-    current one is returned.
+    ``merge(rows, changes)`` gets the rows of touched buckets (None in a new table) and their changes and returns their new
+    rows; it must treat each key by itself, and is called for about ``STEP_BYTES`` of buckets at a time. The number of
+    buckets is fixed by the first version: about the table's size by that of a task's output. With ``epoch`` the merge starts
+    from the newest version of an earlier epoch, so an epoch may be retried any number of times, whether or not it was
+    committed before. With ``feed_keys`` (unique in ``visible(rows)``) the rows that the merge inserted, deleted and updated
+    are written beside the version, by the same job of each step (so that the merge's shuffle serves both), for
+    :func:`read_changes`. No changes: no version, and the current one is returned.
     """
     log = _versions(spark, table_path)
     base = next((v for v in reversed(log) if epoch is None or v.epoch < epoch), None)
     buckets = base.buckets if base else buckets
     n, version, epoch = _next(log, base, str(tag), epoch)
     target = f"{table_path}/v={tag}-{uuid.uuid4().hex[:12]}"
-    changes.withColumn(BUCKET, bucket_of(keys, buckets)).write.parquet(f"{target}/in")     # read several times below
-    changes = spark.read.parquet(f"{target}/in")
-    touched = {str(r[0]) for r in changes.select(BUCKET).distinct().collect()}             # at most ``buckets``
+    with tidy_shuffles(spark):              # the changes are read by each step, which finds those of its buckets together
+        changes.withColumn(BUCKET, bucket_of(keys, buckets)).sortWithinPartitions(BUCKET).write.parquet(f"{target}/in", compression=STORED)
+        changes = spark.read.parquet(f"{target}/in")
+        touched = {str(r[0]): r[1] for r in changes.groupBy(BUCKET).count().collect()}     # at most ``buckets``
     if not touched:
         delete(spark, target)
         return base
-    old = read_version(spark, base, touched) if base else None
-    new = merge(old, changes.drop(BUCKET))
     known = {f.name for f in base.struct().fields} if base else set()
-    schema = T.StructType([*(base.struct().fields if base else []), *[f for f in new.schema.fields if f.name not in known]])
-    out = new.withColumn(BUCKET, bucket_of(keys, buckets))
-    if feed_keys is not None:
-        has = set(new.columns)
-        after = visible(new.select(*[F.col(f"`{f.name}`") if f.name in has else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]))
-        rows = (snapshot_diff(visible(read_version(spark, base, touched, schema)), after, feed_keys) if base
-                else after.withColumn("_change_type", F.lit("insert")))
-        out = (out.withColumn("_change_type", F.lit(None).cast("string"))
-               .unionByName(rows.withColumn(BUCKET, F.lit(FEED)), allowMissingColumns=True)
-               .withColumn("_commit_version", F.lit(version).cast("bigint")))
-    write_table(out, f"{target}/data", partition_by=[BUCKET], repartition_by_partitions=buckets > DIRECT_BUCKETS)
+    for step in _steps(spark, base, touched, size_of(spark, f"{target}/in")):
+        old = read_version(spark, base, step) if base else None
+        new = merge(old, changes.filter(F.col(BUCKET).isin([int(b) for b in step])).drop(BUCKET))
+        schema = T.StructType([*(base.struct().fields if base else []), *[f for f in new.schema.fields if f.name not in known]])
+        out = new.withColumn(BUCKET, bucket_of(keys, buckets))
+        if feed_keys is not None:
+            has = set(new.columns)
+            after = visible(new.select(*[F.col(f"`{f.name}`") if f.name in has else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]))
+            rows = (snapshot_diff(visible(read_version(spark, base, step, schema)), after, feed_keys) if base
+                    else after.withColumn("_change_type", F.lit("insert")))
+            out = (out.withColumn("_change_type", F.lit(None).cast("string"))
+                   .unionByName(rows.withColumn(BUCKET, F.lit(FEED)), allowMissingColumns=True)
+                   .withColumn("_commit_version", F.lit(version).cast("bigint")))
+        with tidy_shuffles(spark):
+            write_table(out, f"{target}/data", "append", [BUCKET], repartition_by_partitions=buckets > DIRECT_BUCKETS, compression=STORED)
     written = {d.split("=", 1)[1]: f"{target}/data/{d}" for d in folders(spark, f"{target}/data") if d.startswith(f"{BUCKET}=")}
     feed = written.pop(str(FEED), None)                    # none: no row changed
     if base:                                # a bucket whose rows came out as they were keeps its files
         now = spark.read.schema(schema).parquet(*written.values()) if written else spark.createDataFrame([], schema)
-        was, now = _signatures(read_version(spark, base, touched, schema), keys, buckets), _signatures(now, keys, buckets)
+        with tidy_shuffles(spark):
+            was, now = _signatures(read_version(spark, base, touched, schema), keys, buckets), _signatures(now, keys, buckets)
         for b in [b for b in written if b in base.parts and was.get(b) == now.get(b)]:
             delete(spark, written[b])
             written[b] = base.parts[b]
